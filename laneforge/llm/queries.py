@@ -4,16 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laneforge.llm import quality
+from laneforge.llm import licenses, matroska, mixing, quality, sharding, simhash, tokens
 from laneforge.llm.common import documents
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placements(documents(spark, sf_dir))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(documents(spark, sf_dir))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.clusters(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(documents(spark, sf_dir))
+
+
+def op8_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matroska.media_digests(documents(spark, sf_dir))
+
+
+def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode(documents(spark, sf_dir).select("doc_id", "text"), digests_only=True).drop("text")
+
+
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.found_licenses(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op4_token_counts": op4_token_counts,
+    "op5_simhash": op5_simhash,
     "op6_quality_rules": op6_quality_rules,
+    "op7_mixing": op7_mixing,
+    "op8_matroska": op8_matroska,
+    "op9_bpe_codec": op9_bpe_codec,
+    "op10_license_scans": op10_license_scans,
 }
 
 ORACLES: dict[str, str] = {}
