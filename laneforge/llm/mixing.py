@@ -6,7 +6,8 @@ rest with a chance. The flight phase moves the chances of three documents at a t
 null-space of the balance equations (documents, words) until one of them is certain, so both totals
 stay as they are. Long documents come first, so what stays undecided is short. It runs in blocks of a source; two undecided documents at most stay of a block
 and meet in fewer blocks in the next round, until a source has one block. What is then undecided
-(two documents a source at most) lands to the side nearest the target.
+(two documents a source at most) lands to the side nearest the target, with
+up to two decided documents changed to take up the rest.
 
 Defined cases: a null text has size 0, and so has a blank one; a source of size 0 takes nothing. The null source comes
 last. Repeated rows each have their own chance. Order within blocks and draws come
@@ -78,13 +79,25 @@ def flight(chance: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarra
 
 
 def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Certain chances: of all ways to decide the undecided rows, the one nearest to their total."""
+    """Certain chances: of all ways to decide the undecided rows, the one nearest to their total.
+
+    What is then left of the difference in words is taken up by changing up to two decided rows.
+    """
     open_rows = np.flatnonzero((chance > 0) & (chance < 1))
     want = (chance[open_rows] * size[open_rows]).sum()
     ways = range(1 << len(open_rows))
-    best = min(ways, key=lambda w: (abs(sum(int(size[k]) for j, k in enumerate(open_rows) if w >> j & 1) - want), w))
+    total = lambda w: sum(int(size[k]) for j, k in enumerate(open_rows) if w >> j & 1)
+    best = min(ways, key=lambda w: (abs(total(w) - want), w))
     out = chance.copy()
     out[open_rows] = [float(best >> j & 1) for j in range(len(open_rows))]
+    short = want - total(best)
+    for _ in range(2):
+        off = np.abs(short - np.where(out == 0, size, -size)) if len(out) else np.array([np.inf])
+        k = int(off.argmin())
+        if off[k] >= abs(short):
+            break
+        short -= size[k] if out[k] == 0 else -size[k]
+        out[k] = 1 - out[k]
     return out
 
 
