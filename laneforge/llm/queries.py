@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laneforge.llm import licenses, matroska, mixing, quality, sharding, simhash, tokens
+from laneforge.llm import kneser_ney, licenses, matroska, mixing, quality, secrets, sharding, simhash, tokens
 from laneforge.llm.common import documents
 
 
@@ -12,6 +12,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placements(documents(spark, sf_dir))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.scored(documents(spark, sf_dir))
+
+
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.found_secrets(documents(spark, sf_dir))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(documents(spark, sf_dir))
 
@@ -42,6 +50,8 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_secret_scans": op3_secret_scans,
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
     "op6_quality_rules": op6_quality_rules,
