@@ -183,7 +183,7 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", id_col:
     return prints.join(named, "fp").select("id", "fp", "component")
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
     If that id stands on several rows, the first of them by the other columns stays.
