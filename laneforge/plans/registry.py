@@ -1,8 +1,7 @@
 """All queries by name, and SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from laneforge.plans import control_queries, match_queries, timeline_queries  # noqa: F401  they register their queries
+from laneforge.plans.catalog import ORACLES, QUERIES
+from laneforge.plans.match_queries import tier_list
 
-
-def tier_list(spark, sf_dir, min_cell_n=100):
-    raise NotImplementedError
+__all__ = ["ORACLES", "QUERIES", "tier_list"]
