@@ -20,7 +20,7 @@ from laneforge.llm.common import WORD
 SYMBOL = r"[#*$%&|<>]"
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
 #: Characters that part the entries of a menu when they stand alone.
-SEPARATOR = r"(?:^|[\x20\x09-\x0D])[|>/\x{BB}\x{203A}\x{B7}\x{2022}](?:[\x20\x09-\x0D]|$)"
+SEPARATOR = r"(?:\A|[\x20\x09-\x0D])[|>/\x{BB}\x{203A}\x{B7}\x{2022}](?:[\x20\x09-\x0D]|\z)"
 BOILERPLATE = (
     r"(?i)all rights reserved|cookies? policy|uses? cookies|privacy policy|terms of (?:use|service)|"
     r"(?:enable|requires?) javascript|click here|sign up (?:now|today|for)|subscribe (?:now|to)|"
@@ -140,3 +140,24 @@ def verdicts(docs: DataFrame) -> DataFrame:
     """Counts and verdicts by document."""
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_failed_lines", "lost_chars")
     return judged(docs.select("doc_id", "text")).select("doc_id", *(F.col("quality")[c].alias(c) for c in names))
+
+
+def oracle() -> str:
+    """The rows of ``verdicts`` in DuckDB's SQL."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    count = lambda value, pattern: f"len(regexp_extract_all({value}, {quote(pattern)}))"
+    words = count("x", WORD)
+    fails = (
+        f"(({words} >= {PUNCTUATION_WORDS} AND 2 * {count('x', PUNCTUATION)} > {words}) OR ({count('x', SEPARATOR)} >= 3 AND 4 * {count('x', SEPARATOR)} >= {words})"
+        f" OR ({words} <= {BOILERPLATE_WORDS} AND regexp_matches(x, {quote(BOILERPLATE)})))"
+    )
+    chars = lambda value: f"len(regexp_replace({value}, '[\\x20\\x09-\\x0D]+', '', 'g'))"
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, {quote(WORD)}) AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {quote(WORD)})) AS ls FROM d),
+win AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM rep) GROUP BY 1),
+k AS (SELECT r, doc_id, t, len(ws) AS n_words, {chars('t')} AS word_chars, {count('t', SYMBOL)} AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines, list_filter(ls, lambda x: NOT {fails}) AS good FROM w),
+v AS (SELECT k.*, coalesce(cov.n, 0) AS n_repeat_words, word_chars - {chars("array_to_string(good, chr(10))")} AS lost_chars FROM k LEFT JOIN cov USING (r)),
+z AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words AS base_failed FROM v)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 100 * lost_chars <= {MAX_LOST} * word_chars AS kept, n_lines - len(good) AS n_failed_lines, lost_chars FROM z"""

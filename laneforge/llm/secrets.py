@@ -233,3 +233,21 @@ def found_secrets(docs: DataFrame) -> DataFrame:
     count = lambda n: F.size(F.filter("found", lambda s: s["rule"] == n)).cast("long")
     base = F.filter("found", lambda s: s["rule"] < len(BASE))
     return out.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"))
+
+
+def oracle() -> str:
+    """The rows of ``found_secrets`` in DuckDB's SQL, each rule over all texts."""
+    parts = []
+    for n, rule in enumerate(RULES):
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        parts.append(
+            f"SELECT r, {n} AS rule, '{rule.kind}' AS kind, i, len(gaps[i]) AS gap, len(ms[i]) AS size, len(cs[i]) >= {rule.least} AS kept FROM (SELECT r, string_split_regex(t, {pattern}) AS gaps, "
+            f"regexp_extract_all(t, {pattern}, 0) AS ms, regexp_extract_all(t, {pattern}, {rule.group}) AS cs FROM d WHERE regexp_matches(t, {pattern})), unnest(range(1, len(ms) + 1)) AS u(i)"
+        )
+    listed = lambda rule: f"coalesce(string_agg(kind || ':' || (e - size) || ':' || e, ',' ORDER BY e - size, rule){rule}, '')"
+    base = f"rule < {len(BASE)}"
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({' UNION ALL '.join(parts)}),
+p AS (SELECT * FROM (SELECT *, CAST(sum(gap + size) OVER (PARTITION BY r, rule ORDER BY i) AS BIGINT) AS e FROM m) WHERE kept)
+SELECT doc_id, count(*) FILTER (WHERE rule = 0) AS n_assign, count(*) FILTER (WHERE rule = 1) AS n_access, count(*) FILTER (WHERE rule = 2) AS n_hex,
+sha256({listed(f' FILTER (WHERE {base})')}) AS base_sha256, {listed('')} AS spans FROM d LEFT JOIN p USING (r) GROUP BY d.r, doc_id"""
