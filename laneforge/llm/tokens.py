@@ -19,10 +19,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
 
+import ahocorasick
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -69,24 +71,34 @@ def whole_tokens(path: str) -> list[str]:
     return [s for s, e in zip(alone, tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True) if len(e.ids) == 1]
 
 
-class Known(dict):
-    """What is known of pre-tokens. ``fixed`` stays; what is learnt is forgotten beyond ``KEEP``."""
+class Known:
+    """Results by pre-token, a table for each part of a result.
 
-    def __init__(self, fixed: dict):
-        super().__init__(fixed)
-        self.fixed = fixed
-
-    def learn(self, texts_parts: list[list[str]], look) -> None:
-        new = list({p for parts in texts_parts for p in parts if p not in self})
-        if len(self) + len(new) > len(self.fixed) + KEEP:
-            self.clear()
-            self.update(self.fixed)
-            new = list({p for parts in texts_parts for p in parts if p not in self})
-        self.update(zip(new, look(new), strict=True))
+    What is ``fixed`` stays; what is learnt is forgotten beyond ``KEEP`` pre-tokens, and long ones
+    after each use.
+    """
 
-    def forget_long(self) -> None:
-        for p in [p for p in self if len(p) > KEEP_CHARS and p not in self.fixed]:
-            del self[p]
+    def __init__(self, look, *fixed: dict):
+        self.look, self.fixed, self.long = look, fixed, []
+        self.tables = [dict(f) for f in fixed]
+
+    def learn(self, split: list[list[str]]) -> None:
+        for table in self.tables:
+            for p in self.long:
+                del table[p]
+        new = self.unknown(split)
+        if len(self.tables[0]) + len(new) > len(self.fixed[0]) + KEEP:
+            self.tables = [dict(f) for f in self.fixed]
+            new = self.unknown(split)
+        for table, values in zip(self.tables, self.look(new), strict=True):
+            table.update(zip(new, values, strict=True))
+        self.long = [p for p in new if len(p) > KEEP_CHARS]
+
+    def unknown(self, split: list[list[str]]) -> list[str]:
+        found: set[str] = set()
+        for parts in split:
+            found |= set(parts).difference(self.tables[0])
+        return list(found)
 
 
 def slices(texts: list, chars: int = 4_000_000) -> Iterator[list]:
@@ -109,13 +121,10 @@ def count_tokens(docs: DataFrame, path: str | None = None, text: str = "text", k
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = counter(path)
-        known = Known(dict.fromkeys(whole.value, 1))
         specials = special_strings(tokenizer)
         cut = re.compile("|".join(map(re.escape, specials))) if specials else None
 
-        def look(parts: list[str]) -> list[int]:
-            return [len(e.ids) for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-
+        known = Known(lambda parts: [[len(e) for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]], dict.fromkeys(whole.value, 1))
         for batch in batches:
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             counts: list[int] = []
@@ -132,9 +141,9 @@ def count_tokens(docs: DataFrame, path: str | None = None, text: str = "text", k
                     else:
                         split.append(SPLIT.findall(t))
                         extra.append(0)
-                known.learn(split, look)
-                counts += [n + sum(map(known.__getitem__, parts)) for n, parts in zip(extra, split, strict=True)]
-                known.forget_long()
+                known.learn(split)
+                count_of = known.tables[0].__getitem__
+                counts += [n + sum(map(count_of, parts)) for n, parts in zip(extra, split, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(counts, pa.int64())], names=[*keys, "n_tokens"])
 
     source = docs.select(*keys, F.col(text).alias("_text"))
@@ -161,18 +170,26 @@ def ranks_of(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def periodic(path: str) -> re.Pattern:
-    """Matches what holds a token that two overlapping pairs can form, as in runs of a character.
+def overlaps(path: str) -> ahocorasick.Automaton:
+    """Finds where two overlapping pairs of tokens can form the same token, as in runs of a character.
 
-    For such a token the library's order of pairs and the leftmost-first rule of ranks may differ.
+    There the library, which knows an order of pairs, may differ from leftmost first by rank. Such
+    a place reads x, y, z with x + y = y + z the token. Bytes stand as characters up to 255.
     """
-    ranks = ranks_of(path)
-    risky = {
-        t for t in ranks for k in range(1, len(t))
-        if t[k:] == t[: len(t) - k] and t[:k] in ranks and t[k:] in ranks and t[len(t) - k :] in ranks and len(t) > 2
-    }
-    least = [t for t in risky if not any(u != t and u in t for u in risky)]
-    return re.compile(b"|".join(map(re.escape, sorted(least))) or b"(?!)")
+    ranks, found = ranks_of(path), ahocorasick.Automaton()
+    for t in ranks:
+        for k in range(1, len(t)):
+            if t[k:] == t[: len(t) - k] and t[:k] in ranks and t[k:] in ranks and t[len(t) - k :] in ranks:
+                found.add_word((t[:k] + t).decode("latin-1"), True)
+    found.make_automaton()
+    return found
+
+
+def with_overlaps(parts: list[str], path: str) -> set[int]:
+    """The numbers of the pre-tokens that hold such a place."""
+    raw = [p.encode() for p in parts]
+    ends = list(accumulate(len(r) + 1 for r in raw))
+    return {bisect_right(ends, at) for at, _ in overlaps(path).iter(b"\0".join(raw).decode("latin-1"))}
 
 
 @lru_cache(maxsize=2)
@@ -196,19 +213,23 @@ def rank_encoding(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(path), special_tokens={})
 
 
-def encode_parts(parts: list[str], path: str) -> list[tuple[list[int], list[int]]]:
+def encode_parts(parts: list[str], path: str, offsets: bool = True) -> tuple[list[list[int]], list[list[int]]]:
     """For each pre-token its ids, and where each id ends in characters of the pre-token.
 
     A character split over several tokens ends with each of them, as the library's offsets have it.
     """
-    exact, risk = rank_encoding(path), periodic(path)
-    out = []
-    for part, e in zip(parts, encoder(path).encode_batch(parts, add_special_tokens=False), strict=True):
-        if risk.search(raw := part.encode()) and (ids := exact.encode_ordinary(part)) != e.ids:
-            out.append((ids, ends_in_chars(raw, ids, path)))
-        else:
-            out.append((e.ids, [end for _, end in e.offsets]))
-    return out
+    tokenizer = encoder(path)
+    run = tokenizer.encode_batch if offsets else tokenizer.encode_batch_fast
+    encoded = run(parts, add_special_tokens=False)
+    ids = [e.ids for e in encoded]
+    ends = [[end for _, end in e.offsets] for e in encoded] if offsets else []
+    exact = rank_encoding(path)
+    for k in with_overlaps(parts, path):
+        if (right := exact.encode_ordinary(parts[k])) != ids[k]:
+            ids[k] = right
+            if offsets:
+                ends[k] = ends_in_chars(parts[k].encode(), right, path)
+    return ids, ends
 
 
 @lru_cache(maxsize=2)
@@ -241,39 +262,35 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", digests
     path = path or public_tokenizers.path(ENCODE_FILE)
     names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known({})
+    def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exact = rank_encoding(path)
 
-        def look(parts: list[str]) -> list[tuple]:
-            return [(len(ids), ",".join(map(str, ids)), decode_ids(ids, path)) if digests_only else (ids, ends) for ids, ends in encode_parts(parts, path)]
+        def look(parts: list[str]) -> tuple[list, list]:
+            ids, ends = encode_parts(parts, path, offsets=not digests_only)
+            return ([",".join(map(str, i)) for i in ids], [decode_ids(i, path) for i in ids]) if digests_only else (ids, ends)
 
+        known = Known(look, {}, {})
         for batch in batches:
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             columns: list[list] = [[], [], []]
-            for part in slices(texts):
-                split = [SPLIT.findall(t) if settled(t) else [] for t in part]
-                known.learn(split, look)
-                for t, parts in zip(part, split, strict=True):
-                    if t and not parts:
-                        ids = exact.encode_ordinary(t)
-                        found = [look_whole(ids, t, path, digests_only)]
-                        parts = [t]
-                    else:
-                        found = list(map(known.__getitem__, parts))
+            for run in slices(texts):
+                split = [SPLIT.findall(t) if settled(t) else [] for t in run]
+                known.learn(split)
+                first, second = (table.__getitem__ for table in known.tables)
+                for t, parts in zip(run, split, strict=True):
+                    whole = exact.encode_ordinary(t) if t and not parts else None
                     if digests_only:
-                        columns[0].append(sum(f[0] for f in found))
-                        columns[1].append(hashlib.sha256(",".join([f[1] for f in found]).encode()).hexdigest())
-                        columns[2].append(hashlib.sha256(b"".join([f[2] for f in found])).hexdigest())
+                        ids = ",".join(map(str, whole) if whole else map(first, parts))
+                        decoded = decode_ids(whole, path) if whole else b"".join(map(second, parts))
+                        row = (ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest())
+                    elif whole:
+                        row = (whole, ends_in_chars(t.encode(), whole, path), decode_ids(whole, path))
                     else:
-                        ids = list(chain.from_iterable(f[0] for f in found))
-                        starts = [0]
-                        for p in parts:
-                            starts.append(starts[-1] + len(p))
-                        columns[0].append(ids)
-                        columns[1].append([s + e for s, f in zip(starts, found) for e in f[1]])
-                        columns[2].append(decode_ids(ids, path))
-                known.forget_long()
+                        ids = list(chain.from_iterable(map(first, parts)))
+                        starts = accumulate(map(len, parts), initial=0)
+                        row = (ids, [s + e for s, p in zip(starts, parts) for e in second(p)], decode_ids(ids, path))
+                    for column, value in zip(columns, row, strict=True):
+                        column.append(value)
             kinds = (pa.int64(), pa.string(), pa.string()) if digests_only else (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary())
             kept = [batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[*(f"c{i}" for i in range(len(names))), *added])
@@ -282,11 +299,6 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", digests
     types = ["long", "string", "string"] if digests_only else ["array<int>", "array<int>", "binary"]
     source = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(names)), F.col(text).alias("_text"))
     schema = ", ".join([*(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema)), *(f"{a} {k}" for a, k in zip(added, types, strict=True))])
-    out = source.mapInArrow(run, schema)
+    out = source.mapInArrow(encode_batches, schema)
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c not in added), *added)
 
-
-def look_whole(ids: list[int], text: str, path: str, digests_only: bool) -> tuple:
-    if digests_only:
-        return len(ids), ",".join(map(str, ids)), decode_ids(ids, path)
-    return ids, ends_in_chars(text.encode(), ids, path)
