@@ -36,6 +36,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, or that with underscores before it, so that it is no column of ``docs``."""
+    while name.lower() in map(str.lower, docs.columns):
+        name = f"_{name}"
+    return name
+
+
 def utf8_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 

@@ -7,7 +7,7 @@ null-space of the balance equations (documents, words) until one of them is cert
 stay as they are. Long documents come first, so what stays undecided is short. It runs in blocks of a source; two undecided documents at most stay of a block
 and meet in fewer blocks in the next round, until a source has one block. What is then undecided
 (two documents a source at most) lands to the side nearest the target, with
-up to two decided documents changed to take up the rest.
+up to four decided documents changed to take up the rest.
 
 Defined cases: a null text has size 0, and so has a blank one; a source of size 0 takes nothing. The null source comes
 last. Repeated rows each have their own chance. Order within blocks and draws come
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from laneforge.llm.common import count_words, saved
+from laneforge.llm.common import count_words, saved, unused
 
 MAX_REPEATS = 3
 #: Rows of a block of the flight phase.
@@ -81,7 +81,7 @@ def flight(chance: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarra
 def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Certain chances: of all ways to decide the undecided rows, the one nearest to their total.
 
-    What is then left of the difference in words is taken up by changing up to two decided rows.
+    What is then left of the difference in words is taken up by changing up to four decided rows.
     """
     open_rows = np.flatnonzero((chance > 0) & (chance < 1))
     want = (chance[open_rows] * size[open_rows]).sum()
@@ -92,15 +92,32 @@ def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     out[open_rows] = [float(best >> j & 1) for j in range(len(open_rows))]
     short = want - total(best)
     for _ in range(2):
-        off = np.abs(short - np.where(out == 0, size, -size)) if len(out) else np.array([np.inf])
-        k = int(off.argmin())
-        if off[k] >= abs(short):
+        chosen = nearest(np.where(out == 0, size, -size), short)
+        if not chosen:
             break
-        short -= size[k] if out[k] == 0 else -size[k]
-        out[k] = 1 - out[k]
+        for k in chosen:
+            short -= size[k] if out[k] == 0 else -size[k]
+            out[k] = 1 - out[k]
     return out
 
 
+def nearest(gains: np.ndarray, short: float) -> tuple[int, ...]:
+    """The row or pair of rows whose gains come nearest to ``short``; none if doing nothing is as near."""
+    if not len(gains):
+        return ()
+    order = np.argsort(gains, kind="stable")
+    ranked = gains[order]
+    one = int(np.abs(short - gains).argmin())
+    options = [(abs(short), ()), (abs(short - gains[one]), (one,))]
+    place = np.searchsorted(ranked, short - ranked)
+    for step in (-1, 0, 1):
+        other = np.clip(place + step, 0, len(ranked) - 1)
+        off = np.where(other == np.arange(len(ranked)), np.inf, np.abs(short - ranked - ranked[other]))
+        k = int(off.argmin())
+        options.append((off[k], (int(order[k]), int(order[other[k]]))))
+    return min(options, key=lambda o: (o[0], len(o[1])))[1]
+
+
 def move(last: bool):
     def run(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["size", "h", "row"], ascending=[False, True, True])
@@ -163,10 +180,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3)) -> DataFrame:
 
     ``docs`` is read twice and must number its rows alike both times, as a stored table does.
     """
-    names = docs.columns
-    taken = copies(docs, weights).where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").alias("_copies"))
-    held = docs.withColumn("_row", F.monotonically_increasing_id()).join(taken.hint("shuffle_hash"), "_row")
-    return held.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*names)
+    names, row, many, copy = docs.columns, unused(docs, "row"), unused(docs, "copies"), unused(docs, "copy")
+    taken = copies(docs.select("doc_id", "source", "text"), weights).where("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(many))
+    held = docs.withColumn(row, F.monotonically_increasing_id()).join(taken.hint("shuffle_hash"), row)
+    return held.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*names)
 
 
 def mixed(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from laneforge.llm.common import saved
+from laneforge.llm.common import saved, unused
 
 
 class Rule(NamedTuple):
@@ -134,8 +134,8 @@ def one_of(trigrams: list[str]) -> str:
 # ---- index, candidates, verification -----------------------------------------------------
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_row", F.monotonically_increasing_id())
+def numbered(docs: DataFrame, row: str = "_row") -> DataFrame:
+    return docs.withColumn(row, F.monotonically_increasing_id())
 
 
 def postings(docs: DataFrame, trigrams: list[str], text: str = "text") -> DataFrame:
@@ -147,7 +147,7 @@ def postings(docs: DataFrame, trigrams: list[str], text: str = "text") -> DataFr
 def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """``_row`` and ``_rules``, the numbers of the rules whose trigram query the row satisfies."""
     terms = [(t, n, k, len(way)) for n, r in enumerate(rules) for k, way in enumerate(trigram_query(r.pattern)) for t in sorted(way)]
-    index = postings(docs, sorted({t for t, *_ in terms}), text)
+    index = postings(docs.select(text), sorted({t for t, *_ in terms}), text)
     literal = F.array(*(F.struct(F.lit(t).alias("trigram"), F.lit(n).alias("rule"), F.lit(k).alias("way"), F.lit(size).alias("need")) for t, n, k, size in terms))
     asked = docs.sparkSession.range(1).select(F.inline(literal))  # as many rows as the rules have trigrams
     met = index.join(F.broadcast(asked), "trigram").groupBy("_row", "rule", "way", "need").count().where(F.col("count") == F.col("need"))
@@ -197,16 +197,18 @@ def matches(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """The rows of ``docs`` without their text, with ``found``: structs of start, rule and end, in order."""
+    row, names = unused(docs, "row"), [c for c in docs.columns if c not in (text, "found")]
     spans = matches(docs, rules, text).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "rule", "end"))).alias("found"))
-    narrow = numbered(docs).drop(text)
     none = F.array().cast("array<struct<start:bigint,rule:int,end:bigint>>")
-    return narrow.join(spans, "_row", "left").withColumn("found", F.coalesce("found", none)).drop("_row")
+    held = numbered(docs.select(*names), row).join(spans.withColumnRenamed("_row", row), row, "left")
+    return held.select(*names, F.coalesce("found", none).alias("found"))
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """``docs`` with each secret replaced by ``[kind]``; spans that overlap are replaced as one."""
-    spans = matches(docs, rules, text).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "rule", "end"))).alias("_found"))
-    held = numbered(docs).join(spans.hint("shuffle_hash"), "_row", "left")
+    row, found = unused(docs, "row"), unused(docs, "found")
+    spans = matches(docs, rules, text).groupBy(F.col("_row").alias(row)).agg(F.array_sort(F.collect_list(F.struct("start", "rule", "end"))).alias(found))
+    held = numbered(docs, row).join(spans.hint("shuffle_hash"), row, "left")
     kinds = F.array(*(F.lit(f"[{r.kind}]") for r in rules))
     body = F.col(text)
     part = lambda start, end: F.substring(body, start + 1, end - start)
@@ -217,9 +219,9 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
         more = F.concat(done["out"], part(done["upto"].cast("int"), s["start"].cast("int")), F.get(kinds, s["rule"]))
         return F.struct(F.greatest(done["upto"], s["end"]).alias("upto"), F.when(fresh, more).otherwise(done["out"]).alias("out"))
 
-    put = F.aggregate("_found", start, step, lambda done: F.concat(done["out"], part(done["upto"].cast("int"), F.length(body))))
+    put = F.aggregate(found, start, step, lambda done: F.concat(done["out"], part(done["upto"].cast("int"), F.length(body))))
     names = docs.columns
-    return held.withColumn(text, F.when(F.col("_found").isNotNull(), put).otherwise(body)).select(*names)
+    return held.withColumn(text, F.when(F.col(found).isNotNull(), put).otherwise(body)).select(*names)
 
 
 def span_text(found: Column) -> Column:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from laneforge.llm.common import saved, text_crc32, utf8_size
+from laneforge.llm.common import saved, text_crc32, unused, utf8_size
 
 OVERHEAD = 16
 SHARDS = 40
@@ -131,10 +131,10 @@ def shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int | Non
 
 def assign(docs: DataFrame, n_shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
     """``docs`` with ``shard`` and ``slot``. ``docs`` is read twice and must number its rows alike, as a stored table does."""
-    placed = shards(docs, n_shards, target_bytes).select(F.col("row").alias("_row"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    names = [c for c in docs.columns if c not in ("shard", "slot")]
-    held = docs.withColumn("_row", F.monotonically_increasing_id()).join(placed.hint("shuffle_hash"), "_row")
-    return held.select(*names, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    names, row, shard, slot = [c for c in docs.columns if c not in ("shard", "slot")], *(unused(docs, c) for c in ("row", "shard", "slot"))
+    placed = shards(docs, n_shards, target_bytes).select(F.col("row").alias(row), F.col("shard").alias(shard), F.col("slot").alias(slot))
+    held = docs.withColumn(row, F.monotonically_increasing_id()).join(placed.hint("shuffle_hash"), row)
+    return held.select(*names, F.col(shard).alias("shard"), F.col(slot).alias("slot"))
 
 
 def placements(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from laneforge.llm.common import saved
+from laneforge.llm.common import saved, unused
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 #: Fingerprints that share a variant and are still joined with each other.
@@ -188,15 +188,16 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", te
 
     If that id stands on several rows, the first of them by the other columns stays.
     """
+    key, n = unused(docs, "id"), unused(docs, "n")
     groups = grouped(docs, shingle, text, id_col)
-    chosen = saved(groups.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.count("*").alias("_rows")))
+    chosen = saved(groups.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.count("*").alias("rows")))
 
     def of(ids: DataFrame) -> DataFrame:
-        return docs.join(ids.select(F.col("id").alias("_id")).hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+        return docs.join(ids.select(F.col("id").alias(key)).hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
 
     first = Window.partitionBy(id_col).orderBy(*(F.col(c) for c in docs.columns if c != id_col))
-    repeated = of(chosen.where("_rows > 1")).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    return of(chosen.where("_rows = 1")).unionByName(repeated)
+    repeated = of(chosen.where("rows > 1")).withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(n)
+    return of(chosen.where("rows = 1")).unionByName(repeated)
 
 
 def clusters(docs: DataFrame) -> DataFrame:
