@@ -146,7 +146,8 @@ def merge_frontier(frontier: DataFrame, entries: DataFrame) -> DataFrame:
 def seed_entries(pages: DataFrame, default_tier: str = "", default_division: str = "") -> DataFrame:
     """Frontier entries of ladder pages (region, tier, division, fetched_at, payload of entries)."""
     entry = "STRUCT<puuid: STRING, tier: STRING, rank: STRING>"
-    listed = F.coalesce(F.from_json("payload", f"ARRAY<{entry}>"), F.from_json("payload", f"STRUCT<entries: ARRAY<{entry}>>")["entries"])
+    league = F.from_json("payload", f"STRUCT<entries: ARRAY<{entry}>>")["entries"]
+    listed = F.when(F.ltrim("payload").startswith("["), F.from_json("payload", f"ARRAY<{entry}>")).otherwise(league)
     rows = pages.select("region", "fetched_at", "tier", "division", F.explode(listed).alias("e"))
     puuid = F.trim("e.puuid")
     or_else = lambda own, page, rest: F.upper(F.coalesce(F.nullif(own, F.lit("")), F.nullif(page, F.lit("")), F.lit(rest)))
