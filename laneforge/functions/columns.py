@@ -16,10 +16,15 @@ def as_long(value: Column) -> Column:
     return value.try_cast("bigint")
 
 
-def valid_json(payload: Column) -> Column:
-    """True for a JSON document; false for null, broken text, or text that goes on after it."""
-    parsed = F.try_parse_json(payload).isNotNull()
-    return F.coalesce(parsed & F.rtrim(payload).rlike(r"[}\]\"0-9a-z]$"), F.lit(False))
+def valid_json(payload: Column, parsed: Column | None = None) -> Column:
+    """True for a JSON document; false for null, broken text, or text that goes on after it.
+
+    ``parsed`` is a part of a parse already made: where it is not null the text is not parsed again.
+    """
+    whole = F.try_parse_json(payload).isNotNull()
+    if parsed is not None:
+        whole = F.when(parsed.isNotNull(), True).otherwise(whole)
+    return F.coalesce(whole & F.rtrim(payload).rlike(r"[}\]\"0-9a-z]$"), F.lit(False))
 
 
 def normal_role(team_position: Column, individual_position: Column) -> Column:

@@ -75,6 +75,20 @@ def read_archive(spark, sf_dir):
     return rows.groupBy("dt").agg(F.count("*").alias("rows"), F.count_distinct("match_id").alias("matches"))
 
 
+@query("scan_with_position", "SELECT count(*) AS rows, count(*) AS places, 0::BIGINT AS first_row, count(*) - 1 AS last_row FROM orders")
+def scan_with_position(spark, sf_dir):
+    """Every row of a file has its own place in it."""
+    rows = archive.with_position(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return rows.agg(F.count("*").alias("rows"), F.count_distinct("part", "part_row").alias("places"), F.min("part_row").alias("first_row"), F.max("part_row").alias("last_row"))
+
+
+@query("union_by_name", "SELECT o_orderkey, o_custkey, NULL::VARCHAR AS o_orderstatus FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, NULL, o_orderstatus FROM orders WHERE o_orderkey % 2 = 1")
+def union_by_name(spark, sf_dir):
+    """Parts with different columns, put together by name."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return rows.where("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey").unionByName(rows.where("o_orderkey % 2 = 1").select("o_orderstatus", "o_orderkey"), allowMissingColumns=True)
+
+
 @query("resolve_window", W + f", a AS (SELECT max(CAST(game_creation AS DATE) + CASE WHEN {synth.COPY} THEN 2 ELSE 1 END) AS last_day FROM m) SELECT last_day - 13 AS first_day, last_day FROM a")
 def resolve_window(spark, sf_dir):
     return archive.resolve_window(synth.summaries(spark, sf_dir), DAYS)

@@ -96,8 +96,8 @@ def parse_summaries(archive: DataFrame) -> DataFrame:
     The parse is to the paths that are read; Spark leaves out those that a query does not use.
     """
     keep = [c for c in ("region", "dt", "part", "part_row") if c in archive.columns]
-    doc = F.from_json("payload", schemas.SUMMARY)
-    return archive.select(*keep, valid_json(F.col("payload")).alias("payload_valid"), doc.alias("doc"))
+    parsed = archive.select(*keep, "payload", F.from_json("payload", schemas.SUMMARY).alias("doc"))
+    return parsed.select(*keep, valid_json(F.col("payload"), F.col("doc.info")).alias("payload_valid"), "doc")
 
 
 def envelope(parsed: DataFrame) -> DataFrame:
@@ -125,7 +125,9 @@ def summary_envelope(parsed: DataFrame) -> DataFrame:
 def timeline_envelope(archive: DataFrame) -> DataFrame:
     """The archive's own columns of each timeline, its struct, and counts of frames and of participants' frames."""
     own = ("match_id", "region", "patch", "game_version", "queue_id", "game_creation_ms", "game_duration_s")
-    parsed = archive.select(*own, *(c for c in ("part", "part_row") if c in archive.columns), valid_json(F.col("payload")).alias("payload_valid"), F.from_json("payload", schemas.TIMELINE).alias("doc"))
+    keep = (*own, *(c for c in ("part", "part_row") if c in archive.columns))
+    parsed = archive.select(*keep, "payload", F.from_json("payload", schemas.TIMELINE).alias("doc"))
+    parsed = parsed.select(*keep, valid_json(F.col("payload"), F.col("doc.info")).alias("payload_valid"), "doc")
     frames = F.col("doc.info.frames")
     players = F.aggregate(frames, F.lit(0).cast("bigint"), lambda n, f: n + F.coalesce(F.size(F.map_keys(f["participantFrames"])), F.lit(0)))
     guarded = lambda c: F.when(F.col("payload_valid"), c)
