@@ -101,7 +101,7 @@ class Known:
         return list(found)
 
 
-def slices(texts: list, chars: int = 4_000_000) -> Iterator[list]:
+def slices(texts: list[str], chars: int = 4_000_000) -> Iterator[list]:
     """Runs of texts with a bounded number of characters, or a single longer text."""
     run, size = [], 0
     for t in texts:
@@ -271,9 +271,9 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", digests
 
         known = Known(look, {}, {})
         for batch in batches:
-            texts = [t or "" for t in batch.column("_text").to_pylist()]
-            columns: list[list] = [[], [], []]
-            for run in slices(texts):
+            texts, at = [t or "" for t in batch.column("_text").to_pylist()], 0
+            for run in slices(texts, 1_000_000):
+                columns: list[list] = [[], [], []]
                 split = [SPLIT.findall(t) if settled(t) else [] for t in run]
                 known.learn(split)
                 first, second = (table.__getitem__ for table in known.tables)
@@ -291,9 +291,10 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", digests
                         row = (ids, [s + e for s, p in zip(starts, parts) for e in second(p)], decode_ids(ids, path))
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
-            kinds = (pa.int64(), pa.string(), pa.string()) if digests_only else (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary())
-            kept = [batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[*(f"c{i}" for i in range(len(names))), *added])
+                kinds = (pa.int64(), pa.string(), pa.string()) if digests_only else (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary())
+                kept = [batch.column(i).slice(at, len(run)) for i in range(len(names))]
+                at += len(run)
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[*(f"c{i}" for i in range(len(names))), *added])
 
     added = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests_only else ["ids", "ends", "decoded"]
     types = ["long", "string", "string"] if digests_only else ["array<int>", "array<int>", "binary"]
