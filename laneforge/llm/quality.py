@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laneforge.llm.common import WORD
+from laneforge.llm.common import WORD, unused
 
 SYMBOL = r"[#*$%&|<>]"
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
@@ -97,49 +97,47 @@ def bind(value: Column, use, when: Column | None = None) -> Column:
     return out if when is None else F.when(when, out).otherwise(F.lit(0).cast("long"))
 
 
-def judged(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a struct ``quality`` of counts, verdicts and the cleaned text."""
+def once(docs: DataFrame, name: str, **values: Column) -> DataFrame:
+    """``docs`` with a struct ``name`` of the values, which no later filter or projection computes again."""
+    return docs.withColumn(name, F.explode(F.array(F.struct(*(v.alias(k) for k, v in values.items())))))
+
+
+def judged(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a struct ``name`` of counts, verdicts and the cleaned text."""
     body = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(WORD))
-    step = docs.withColumn("quality", F.struct(body.alias("body"), lines.alias("lines")))
-    q = lambda name: F.col("quality")[name]
-    step = step.withColumn(
-        "quality",
-        F.struct(
-            bind(F.regexp_extract_all(q("body"), F.lit(WORD), F.lit(0)), lambda w: F.struct(F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"), repeated_words(w).alias("repeated"))).alias("words"),
-            F.regexp_count(q("body"), F.lit(SYMBOL)).cast("long").alias("n_symbols"),
-            (F.size(q("lines")) - F.size(F.array_distinct(q("lines")))).cast("long").alias("n_dup_lines"),
-            F.filter(q("lines"), lambda x: ~line_fails(x)).alias("kept_lines"),
-            F.size(q("lines")).alias("n_lines"),
-        ),
+    q = lambda field: F.col(name)[field]
+    step = once(docs, name, body=body, lines=F.filter(F.split(body, "\n"), lambda x: x.rlike(WORD)), words=F.regexp_extract_all(body, F.lit(WORD), F.lit(0)))
+    step = once(
+        step, name,
+        n_words=F.size(q("words")).cast("long"), word_chars=F.length(F.array_join(q("words"), "")).cast("long"), n_repeat_words=bind(q("words"), repeated_words),
+        n_symbols=F.regexp_count(q("body"), F.lit(SYMBOL)).cast("long"), n_dup_lines=(F.size(q("lines")) - F.size(F.array_distinct(q("lines")))).cast("long"),
+        kept_lines=F.filter(q("lines"), lambda x: ~line_fails(x)), n_lines=F.size(q("lines")),
     )
+    n, chars, repeated = q("n_words"), q("word_chars"), q("n_repeat_words")
     kept_text = F.array_join(q("kept_lines"), "\n")
-    n, chars, repeated = (q("words")[x] for x in ("n", "chars", "repeated"))
     base_failed = (n < MIN_WORDS) | (100 * repeated > MAX_REPEATED * n)
-    lost = chars - F.when(F.size(q("kept_lines")) == q("n_lines"), chars).otherwise(word_chars(kept_text))
-    return step.withColumn(
-        "quality",
-        F.struct(
-            n.alias("n_words"), chars.alias("word_chars"), q("n_symbols").alias("n_symbols"), q("n_dup_lines").alias("n_dup_lines"),
-            repeated.alias("n_repeat_words"), base_failed.alias("base_failed"),
-            (q("n_lines") - F.size(q("kept_lines"))).cast("long").alias("n_failed_lines"), lost.cast("long").alias("lost_chars"),
-            (~base_failed & (100 * lost <= MAX_LOST * chars)).alias("kept"), kept_text.alias("clean_text"),
-        ),
+    whole = F.size(q("kept_lines")) == q("n_lines")
+    lost = F.when(whole, 0).otherwise(chars - word_chars(kept_text)).cast("long")
+    return once(
+        step, name,
+        **{c: q(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}, base_failed=base_failed,
+        n_failed_lines=(q("n_lines") - F.size(q("kept_lines"))).cast("long"), lost_chars=lost, kept=~base_failed & (100 * lost <= MAX_LOST * chars), clean_text=kept_text,
     )
 
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that pass, without their failed lines, in the columns of ``docs``."""
-    judgement = F.col("quality")
-    cleaned = F.when(judgement["n_failed_lines"] > 0, judgement["clean_text"]).otherwise(F.col(text))
-    out = judged(docs, text).where(judgement["kept"])
+    name = unused(docs, "quality")
+    q = F.col(name)
+    out = judged(docs, name, text).where(q["kept"])
+    cleaned = F.when(q["n_failed_lines"] > 0, q["clean_text"]).otherwise(F.col(text))
     return out.select(*(cleaned.alias(c) if c == text else F.col(c) for c in docs.columns))
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
     """Counts and verdicts by document."""
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_failed_lines", "lost_chars")
-    return judged(docs.select("doc_id", "text")).select("doc_id", *(F.col("quality")[c].alias(c) for c in names))
+    return judged(docs.select("doc_id", "text"), "quality").select("doc_id", *(F.col("quality")[c].alias(c) for c in names))
 
 
 def oracle() -> str:
