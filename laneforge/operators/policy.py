@@ -48,11 +48,12 @@ def ranked(rows: DataFrame) -> DataFrame:
 
 
 def top_builds(counts: DataFrame, limit: int = TOP_BUILDS) -> DataFrame:
-    """The builds most played by champion and role: by games, then by key; ``label`` joins the key."""
-    order = Window.partitionBy("champion_id", "role").orderBy(F.col("n").desc(), "key")
+    """The builds most played by champion, role and kind where there is one: by games, then by key; ``label`` joins the key."""
+    kind = ["kind"] if "kind" in counts.columns else []
+    order = Window.partitionBy("champion_id", "role", *kind).orderBy(F.col("n").desc(), "key")
     rows = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
     rate = round4(F.col("wins") / F.col("n").cast("double"))
-    return rows.select("champion_id", "role", "key", F.array_join("key", "-").alias("label"), "n", "wins", rate.alias("win_rate"), "rank")
+    return rows.select("champion_id", "role", "key", F.array_join("key", "-").alias("label"), "n", "wins", rate.alias("win_rate"), "rank", *kind)
 
 
 def matchup_cells(counts: DataFrame) -> DataFrame:

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from laneforge.functions.columns import two_parts
 from laneforge.operators.extract import ITEMS, classified, rejected
 
-WINS = F.count_if  # of a boolean column
-
-
 def cell_counts(participants: DataFrame, patch: str | None = None) -> DataFrame:
     return tally(participants.where(classified(patch)), "champion_id", "role")
 
@@ -39,6 +36,17 @@ def build_counts(participants: DataFrame, kind: str, patch: str | None = None) -
     return tally(participants.where(classified(patch) & there), "champion_id", "role", key.alias("key"))
 
 
+BUILD_KINDS = ("items", "runes", "spells")
+
+
+def all_build_counts(participants: DataFrame, patch: str | None = None) -> DataFrame:
+    """Builds of every kind, in one pass and one shuffle: the columns of ``build_counts`` and ``kind``."""
+    keys = [(kind, *build_key(kind)) for kind in BUILD_KINDS]
+    each = F.array_compact(F.array(*(F.when(there, F.struct(F.lit(kind).alias("kind"), key.alias("key"))) for kind, key, there in keys)))
+    rows = participants.where(classified(patch)).select("champion_id", "role", "win", F.inline(each))
+    return tally(rows, "champion_id", "role", "kind", "key")
+
+
 def matchups(participants: DataFrame, patch: str | None = None) -> DataFrame:
     """Opponents of the same role, each pair once, the lower champion first; mirrors by team."""
     side = participants.where(classified(patch)).select("match_id", "role", "team_id", "champion_id", "win")

@@ -164,10 +164,10 @@ def checkpoint_picks(minutes: DataFrame) -> DataFrame:
     A frame counts from a minute before the checkpoint to half a minute after it; of two as near the
     earlier one stands.
     """
-    last = minutes.groupBy("match_id").agg(F.max("frame_timestamp_ms").alias("last_ms"))
-    points = minutes.select(*KEY, *AT_CHECKPOINT, F.explode(F.array(*map(F.lit, CHECKPOINTS))).alias("checkpoint"))
+    last = F.max("frame_timestamp_ms").over(Window.partitionBy("match_id"))  # a window, so that minutes are made once
+    points = minutes.select(*KEY, *AT_CHECKPOINT, last.alias("last_ms"), F.explode(F.array(*map(F.lit, CHECKPOINTS))).alias("checkpoint"))
     at, ms = F.col("checkpoint") * 60000, F.col("frame_timestamp_ms")
-    near = points.where(ms.between(at - 60000, at + 30000)).join(last, "match_id").where(at <= F.col("last_ms"))
+    near = points.where(ms.between(at - 60000, at + 30000) & (at <= F.col("last_ms")))
     best = near.groupBy(*KEY, "checkpoint").agg(F.min_by(F.struct(*AT_CHECKPOINT), F.struct(F.abs(ms - at), ms)).alias("f"))
     return best.select(*KEY, "checkpoint", "f.*")
 

@@ -55,11 +55,7 @@ class Build:
         return policy.cells(self.tallies(), tallies.ban_counts(self.bans, self.patch), self.matches())
 
     def builds(self) -> DataFrame:
-        out = None
-        for kind in ("items", "runes", "spells"):
-            rows = policy.top_builds(tallies.build_counts(self.participants, kind, self.patch)).withColumn("kind", F.lit(kind))
-            out = rows if out is None else out.unionByName(rows)
-        return out
+        return policy.top_builds(tallies.all_build_counts(self.participants, self.patch))
 
 
 def tier_list(spark: SparkSession, sf_dir: str, min_cell_n: int = 100) -> DataFrame:
