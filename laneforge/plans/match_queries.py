@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laneforge.functions.columns import minute_of, patch_of, valid_json
+from laneforge.functions.columns import ci95, minute_of, patch_of, tier_of, valid_json
 from laneforge.operators import extract, gates, policy, tallies
 from laneforge.plans import synth
 from laneforge.plans.catalog import query
@@ -166,6 +166,28 @@ def carry_payload(spark, sf_dir):
     return held.select("match_id", F.json_array_length(F.get_json_object("payload", "$.info.participants")).alias("participants"))
 
 
+query("rune_key", W + f"SELECT array_to_string(rune_style, '-') AS rune_key, count(*) AS n FROM p WHERE {IN_SCOPE} GROUP BY 1")(
+    lambda spark, sf_dir: Build(spark, sf_dir).participants.groupBy(F.array_join("rune_style", "-").alias("rune_key")).agg(F.count("*").alias("n"))
+)
+query("feature_filter", W + f"SELECT role, count(*) AS n, count(DISTINCT match_id) AS matches FROM p WHERE {GOOD} GROUP BY 1")(
+    lambda spark, sf_dir: Build(spark, sf_dir).participants.where(extract.classified(PATCH)).groupBy("role").agg(F.count("*").alias("n"), F.count_distinct("match_id").alias("matches"))
+)
+
+
+@query("match_filter", W + f"SELECT match_id FROM m WHERE {USED}")
+def match_filter(spark, sf_dir):
+    b = Build(spark, sf_dir)
+    return b.envelopes.where(extract.match_filter(b.scope, PATCH)).select("match_id")
+
+
+@query("tier_for_rate", "SELECT l_linenumber::BIGINT AS line, (l_quantity * 2)::BIGINT AS games, CASE WHEN d * 100 >= 2.0 THEN 'S+' WHEN d * 100 >= 1.2 THEN 'S' WHEN d * 100 >= 0.6 THEN 'A' WHEN d * 100 >= -0.6 THEN 'B' WHEN d * 100 >= -1.5 THEN 'C' ELSE 'D' END AS tier, round(0.98 / sqrt(CAST((l_quantity * 2)::BIGINT AS DOUBLE)) * 10000) / 10000 AS ci95, count(*) AS n FROM (SELECT *, CAST(l_discount AS DOUBLE) - 0.05 AS d FROM lineitem) GROUP BY 1, 2, 3, 4")
+def tier_for_rate(spark, sf_dir):
+    """Tiers and intervals of lines, with the discount for a rate and the quantity for games."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_linenumber").cast("bigint").alias("line"), (F.col("l_quantity") * 2).cast("bigint").alias("games"), F.col("l_discount").cast("double").alias("rate"))
+    graded = rows.select("line", "games", tier_of(F.col("rate"), F.lit(0.05)).alias("tier"), ci95(F.col("games")).alias("ci95"))
+    return graded.groupBy("line", "games", "tier", "ci95").agg(F.count("*").alias("n"))
+
+
 query("cell_counts", CELLS + "SELECT * FROM t")(lambda spark, sf_dir: Build(spark, sf_dir).tallies())
 query("ban_counts", CELLS + "SELECT * FROM bn")(lambda spark, sf_dir: tallies.ban_counts(Build(spark, sf_dir).bans, PATCH))
 KEYS = {

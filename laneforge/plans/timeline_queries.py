@@ -61,16 +61,20 @@ made("events_table", "SELECT " + ", ".join(f"{E_COLUMNS.get(c, c)} AS {c}" for c
 made("mark_duplicate_events", "SELECT match_id, event_index, actor_participant_id, skill_slot, level FROM e WHERE is_duplicate_skill_level_up", lambda d: d.events_table().where("is_duplicate_skill_level_up").select("match_id", "event_index", "actor_participant_id", "skill_slot", "level"))
 made("event_actors", "SELECT match_id, event_index, event_type, participant_id, role_in_event FROM act", lambda d: d.actors().select("match_id", "event_index", "event_type", "participant_id", "role_in_event"))
 made("merged_points", "SELECT match_id, participant_id, timestamp_ms, CAST(sum(kills) AS BIGINT) AS kills, CAST(sum(deaths) AS BIGINT) AS deaths, CAST(sum(assists) AS BIGINT) AS assists FROM pt GROUP BY 1, 2, 3", lambda d: timeline.merged_points(timeline.kill_points(d.events_table())))
+made("kill_points", "SELECT * FROM pt", lambda d: timeline.kill_points(d.events_table()))
 made("running_kda", "SELECT match_id, participant_id, timestamp_ms, CAST(sum(sum(kills)) OVER w AS BIGINT) AS kills_to_minute, CAST(sum(sum(deaths)) OVER w AS BIGINT) AS deaths_to_minute, CAST(sum(sum(assists)) OVER w AS BIGINT) AS assists_to_minute FROM pt GROUP BY 1, 2, 3 WINDOW w AS (PARTITION BY match_id, participant_id ORDER BY timestamp_ms)", lambda d: timeline.running_kda(timeline.kill_points(d.events_table())))
 made("participant_minutes", "SELECT " + ", ".join(f"CAST({c} AS {k.upper()}) AS {c}" for c, k in schemas.PARTICIPANT_MINUTES) + " FROM mins", lambda d: d.minutes())
 CHK = "match_id, participant_id, checkpoint, frame_timestamp_ms, cs_total, xp, total_gold, level, kills_to_minute, deaths_to_minute, assists_to_minute"
 made("nearest_checkpoint", f"SELECT {CHK} FROM chk", lambda d: d.picks().select(*CHK.split(", ")))
+made("checkpoint_pivot", "SELECT match_id, participant_id, " + ", ".join(f"max({n}) FILTER (WHERE checkpoint = {c}) AS {n}_at_{c}" for c in (5, 10, 15) for n in timeline.AT_CHECKPOINT[1:]) + " FROM chk GROUP BY 1, 2", lambda d: timeline.checkpoint_pivot(d.picks()))
 PAIRS = "SELECT a.match_id, a.region, a.patch, CAST(a.queue_id AS INT) AS queue_id, a.participant_id, o.participant_id AS opponent_participant_id, a.role, CAST(a.champion_id AS INT) AS champion_id, CAST(o.champion_id AS INT) AS opponent_champion_id, CAST(a.team_id AS INT) AS team_id, a.win, 'team_position' AS pairing_basis, a.role IN ('BOTTOM', 'SUPPORT') AS is_duo_lane, a.role <> 'JUNGLE' AS has_nominal_opponent FROM p a JOIN ok USING (match_id) JOIN p o ON o.match_id = a.match_id AND o.role = a.role AND o.team_id <> a.team_id"
 made("lane_pairs", PAIRS, lambda d: timeline.lane_pairs(d.index, d.players))
 _side = lambda c: f"LEFT JOIN chk c{c} ON c{c}.match_id = pr.match_id AND c{c}.participant_id = pr.participant_id AND c{c}.checkpoint = {c} LEFT JOIN chk o{c} ON o{c}.match_id = pr.match_id AND o{c}.participant_id = pr.opponent_participant_id AND o{c}.checkpoint = {c}"
 _cols = lambda c: f"c{c}.cs_total AS cs_{c}, o{c}.cs_total AS opponent_cs_{c}, c{c}.cs_total - o{c}.cs_total AS cs_diff_{c}, c{c}.xp - o{c}.xp AS xp_diff_{c}, c{c}.total_gold - o{c}.total_gold AS gold_diff_{c}, c{c}.level - o{c}.level AS level_diff_{c}, c{c}.kills_to_minute AS kills_{c}, c{c}.deaths_to_minute AS deaths_{c}, c{c}.assists_to_minute AS assists_{c}"
 LANES = f", pr AS ({PAIRS}), lm AS (SELECT pr.*, {', '.join(map(_cols, (5, 10, 15)))} FROM pr {' '.join(map(_side, (5, 10, 15)))})"
 made("lane_matchups", LANES + " SELECT * FROM lm", lambda d: d.lanes())
+OTHER = [f"{x}_{c}" for c in (5, 10, 15) for x in ("kills", "deaths", "assists")]
+made("opponent_recipe", LANES + " SELECT p.match_id, p.participant_id, p.role, " + ", ".join(f"o.{n} AS o_{n}" for n in OTHER) + " FROM lm p JOIN lm o ON o.match_id = p.match_id AND o.participant_id = p.opponent_participant_id WHERE NOT p.is_duo_lane AND p.has_nominal_opponent", lambda d: recipes.opponents(d.lanes()).select("match_id", "participant_id", "role", *(f"o_{n}" for n in OTHER)))
 COUNT = lambda kind, role, more="": f"count(*) FILTER (WHERE event_type = '{kind}' AND role_in_event IN ({role}){more})"
 BOTH = "'actor', 'assist'"
 EARLY = f""", inv AS (SELECT match_id, participant_id, {COUNT('WARD_PLACED', "'actor'")} AS wards_placed, {COUNT('WARD_KILL', "'actor'")} AS wards_killed, {COUNT('TURRET_PLATE_DESTROYED', "'actor'")} AS plates_destroyed,
@@ -132,6 +136,21 @@ made("recipe_skill_order_top", EARLY + " SELECT role, skill_order, count(*) AS n
 made("recipe_cs_bucket_frame", LANES + f" SELECT CAST(floor(cs_diff_5 / 10.0) * 10 AS INT) AS cs_diff_bucket, count(*) AS n, {WIN} FROM lm WHERE NOT is_duo_lane AND has_nominal_opponent AND cs_diff_5 IS NOT NULL GROUP BY 1", lambda d: recipes.cs_buckets(d.lanes()))
 
 
+@query("feature_scope", W + "SELECT exclusion_reason AS reason, count(*) AS matches FROM idx WHERE platform_id IN ('NA', 'NA1') AND queue_id = 420 GROUP BY 1")
+def feature_scope(spark, sf_dir):
+    d = Dataset(spark, sf_dir)
+    return gates.exclusion_counts(timeline.match_index(d.summaries.where(extract.feature_scope("NA", queue=420)), d.timelines))
+
+
+@query("schema_drift", "SELECT table_name, 0::INT AS problems FROM (VALUES ('match_index'), ('participant_minutes'), ('events'), ('lane_matchups'), ('participant_early'), ('match_objectives')) t(table_name) WHERE (SELECT count(*) FROM orders) > 0")
+def schema_drift(spark, sf_dir):
+    """How many columns of each table differ from the specification, for as long as there are matches."""
+    d = Dataset(spark, sf_dir)
+    tables = {"match_index": d.index, "participant_minutes": d.minutes(), "events": d.events_table(), "lane_matchups": d.lanes(), "participant_early": d.early(), "match_objectives": d.objectives()}
+    found = F.array(*(F.struct(F.lit(n).alias("table_name"), F.lit(len(gates.schema_drift(df, n))).alias("problems")) for n, df in tables.items()))
+    return synth.base(spark, sf_dir).agg(F.count("*").alias("n")).where("n > 0").select(F.inline(found))
+
+
 @query("asof_events", "SELECT l.event_id, l.user_id, r.value AS last_purchase FROM events l ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase') r ON r.user_id = l.user_id AND l.ts >= r.ts")
 def asof_events(spark, sf_dir):
     """Each event with its user's latest purchase so far."""
