@@ -31,10 +31,13 @@ TIE_BITS, HALF_BITS = 24, 12
 DIMENSIONS = ("length", "source", "lang", "id")
 
 
-def scaled(value: Column, low: Column, high: Column) -> Column:
-    """The bin of a number between the least and the greatest of all."""
-    share = (value.cast("double") - low.cast("double")) / (high.cast("double") - low.cast("double"))
-    return F.coalesce(F.when(high > low, F.least(F.lit(BINS - 1), F.floor(share * BINS).cast("int"))), F.lit(0))
+def scaled(value: Column, ends: tuple[float | None, float | None]) -> Column:
+    """The bin of a number between the least and the greatest of all; 0 for null or where all are alike."""
+    low, high = ends
+    if low is None or low == high:
+        return F.lit(0)
+    share = (value - F.lit(low)) / F.lit(high - low)
+    return F.coalesce(F.least(F.lit(BINS - 1), F.floor(share * BINS).cast("int")), F.lit(0))
 
 
 def hashed(value: Column) -> Column:
@@ -52,11 +55,10 @@ def points(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     base = saved(base)
     number = F.col("id").cast("double") if dict(base.dtypes)["id"] in ("bigint", "int", "smallint", "tinyint") else F.pmod(F.xxhash64("id"), F.lit(1 << 20)).cast("double")
     length = F.log2(F.col("size").cast("double"))
-    ends = base.agg(F.min(number).alias("id_low"), F.max(number).alias("id_high"), F.min(length).alias("len_low"), F.max(length).alias("len_high"))
-    wide = base.join(F.broadcast(ends))  # one row
-    return wide.select(
+    ends = base.agg(F.min(number), F.max(number), F.min(length), F.max(length)).first()  # one row
+    return base.select(
         "id", "size", "crc", "part", "row",
-        F.array(scaled(length, F.col("len_low"), F.col("len_high")), "d_source", "d_lang", scaled(number, F.col("id_low"), F.col("id_high"))).alias("bins"),
+        F.array(scaled(length, ends[2:]), "d_source", "d_lang", scaled(number, ends[:2])).alias("bins"),
         F.pmod(F.xxhash64("id", "size", "crc"), F.lit(1 << TIE_BITS)).cast("int").alias("tie"),
     )
 
