@@ -27,6 +27,21 @@ def cells(tallies: DataFrame, bans: DataFrame, matches: DataFrame) -> DataFrame:
     )
 
 
+def cells_of_facts(facts: DataFrame) -> DataFrame:
+    """The same cells from ``tallies.tier_facts``: windows over its few hundred rows stand for joins."""
+    everywhere, champion = Window.partitionBy(), Window.partitionBy("champion_id")
+    of = lambda kind, c: F.when(F.col("kind") == kind, F.col(c))
+    rows = facts.select(
+        "*", (F.sum(of("cell", "wins")).over(everywhere) / F.sum(of("cell", "n")).over(everywhere).cast("double")).alias("baseline"),
+        F.max(of("match", "n")).over(everywhere).cast("double").alias("games"), F.max(of("ban", "n")).over(champion).alias("bans"),
+    ).where("kind = 'cell'")
+    rate = F.col("wins") / F.col("n").cast("double")
+    return rows.select(
+        "champion_id", "role", "n", "wins", round4(rate).alias("win_rate"), round4(F.col("n") / (2 * F.col("games"))).alias("pick_rate"),
+        round4(F.coalesce("bans", F.lit(0)) / F.col("games")).alias("ban_rate"), tier_of(rate, F.col("baseline")).alias("tier"), ci95(F.col("n")).alias("ci95"),
+    )
+
+
 def published(rows: DataFrame, min_cell_n: int = MIN_CELL_N) -> DataFrame:
     return rows.where(F.col("n") >= min_cell_n)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laneforge.functions.columns import two_parts
+from laneforge.functions.columns import as_int, normal_role, two_parts
 from laneforge.operators.extract import ITEMS, classified, rejected
 
 def cell_counts(participants: DataFrame, patch: str | None = None) -> DataFrame:
@@ -22,6 +22,30 @@ def ban_counts(bans: DataFrame, patch: str | None = None) -> DataFrame:
     return rows.groupBy("champion_id").agg(F.count_distinct("match_id").cast("int").alias("bans"))
 
 
+def tier_facts(window: DataFrame, patch: str | None = None) -> DataFrame:
+    """All that cells are made of, in one pass over the matches and one aggregate.
+
+    Rows of ``kind`` cell (games and wins of a champion in a role), ban (matches in which a champion
+    was banned) and match (matches played). ``window`` has one row for each match, so a champion that
+    a match bans twice is counted once by its list of bans.
+    """
+    fact = lambda kind, champion=None, role=None, win=None: F.struct(
+        F.lit(kind).alias("kind"), (F.lit(None) if champion is None else champion).cast("int").alias("champion_id"),
+        (F.lit(None) if role is None else role).cast("string").alias("role"), (F.lit(None) if win is None else win).cast("boolean").alias("win"),
+    )
+    players = F.transform("doc.info.participants", lambda p: fact("cell", as_int(p["championId"]), normal_role(p["teamPosition"], p["individualPosition"]), p["win"].try_cast("boolean")))
+    known = F.filter(players, lambda f: f["role"].isNotNull() & (f["champion_id"] > 0) & f["win"].isNotNull())
+    banned = F.array_distinct(F.transform(F.flatten(F.transform("doc.info.teams", lambda t: F.coalesce(t["bans"], F.array()))), lambda b: as_int(b["championId"])))
+    bans = F.transform(F.filter(F.coalesce(banned, F.array().cast("array<int>")), lambda c: c > 0), lambda c: fact("ban", c))
+    rows = window.where("payload_valid").where(two_parts(F.col("game_version")) == patch if patch else F.lit(True))
+    each = rows.select(F.inline(F.concat(F.coalesce(known, F.array().cast(known_type())), bans, F.array(fact("match")))))
+    return each.groupBy("kind", "champion_id", "role").agg(F.count("*").cast("int").alias("n"), F.count_if("win").cast("int").alias("wins"))
+
+
+def known_type() -> str:
+    return "array<struct<kind:string,champion_id:int,role:string,win:boolean>>"
+
+
 def build_key(kind: str) -> tuple[Column, Column]:
     """The grouping key of a kind of build, and which rows have one."""
     if kind == "items":

@@ -52,7 +52,7 @@ class Build:
         return self.envelopes.where(extract.match_filter(self.scope, self.patch)).agg(F.count_distinct("match_id").alias("matches_used"))
 
     def cells(self) -> DataFrame:
-        return policy.cells(self.tallies(), tallies.ban_counts(self.bans, self.patch), self.matches())
+        return policy.cells_of_facts(tallies.tier_facts(self.window, self.patch))
 
     def builds(self) -> DataFrame:
         return policy.top_builds(tallies.all_build_counts(self.participants, self.patch))
@@ -229,7 +229,15 @@ query("archive_stats", W + "SELECT CAST(count(*) AS INT) AS archive_rows, 0::INT
 STATS = W + f", ps AS (SELECT * FROM p WHERE {USED}) SELECT (SELECT CAST(count(*) AS INT) FROM m WHERE {USED}) AS matches_used, (SELECT CAST(count(*) AS INT) FROM ps) AS participant_rows, (SELECT CAST(count(*) AS INT) FROM ps WHERE role IS NULL OR champion_id <= 0) AS rejected_rows, (SELECT CAST(count(*) AS INT) FROM b WHERE {IN_SCOPE} AND champion_id > 0) AS ban_rows"
 query("window_stats", STATS)(lambda spark, sf_dir: Build(spark, sf_dir).stats())
 query("baseline_win_rate", CELLS + "SELECT r AS baseline FROM base")(lambda spark, sf_dir: tallies.baseline(Build(spark, sf_dir).tallies()))
-query("cells", CELLS + "SELECT * FROM cell")(lambda spark, sf_dir: Build(spark, sf_dir).cells())
+
+
+@query("cells", CELLS + "SELECT * FROM cell")
+def cells(spark, sf_dir):
+    """From separate tallies, bans and matches."""
+    b = Build(spark, sf_dir)
+    return policy.cells(b.tallies(), tallies.ban_counts(b.bans, b.patch), b.matches())
+
+
 query("suppress", CELLS + "SELECT CAST(count(*) AS INT) AS cells_total, CAST(count_if(n >= 100) AS INT) AS cells_published, CAST(count_if(n < 100) AS INT) AS cells_suppressed, CAST(sum(n) AS INT) AS sum_n, CAST(coalesce(sum(n) FILTER (n >= 100), 0) AS INT) AS sum_n_published FROM cell")(
     lambda spark, sf_dir: policy.suppression(Build(spark, sf_dir).tallies())
 )
@@ -247,7 +255,8 @@ query("matchup_axis", CELLS + "SELECT role, array_to_string(list_sort(list(DISTI
 @query("champion_builds", CELLS + "SELECT champion_id, CAST(count(*) FILTER (n >= 100) AS INT) AS roles, coalesce(string_agg(role, ',' ORDER BY CASE role WHEN 'TOP' THEN 1 WHEN 'JUNGLE' THEN 2 WHEN 'MID' THEN 3 WHEN 'BOTTOM' THEN 4 ELSE 5 END) FILTER (n >= 100), '') AS role_names FROM cell GROUP BY 1")
 def champion_builds(spark, sf_dir):
     b = Build(spark, sf_dir)
-    docs = policy.champion_documents(policy.published(b.cells()), b.tallies(), b.builds())
+    found = b.cells()
+    docs = policy.champion_documents(policy.published(found), found, b.builds())
     return docs.select("champion_id", F.size("roles").alias("roles"), F.array_join(F.transform("roles", lambda r: r["role"]), ",").alias("role_names"))
 
 

@@ -44,6 +44,14 @@ def test_published_cells(spark):
     assert tallies.baseline(s.tallies).first()[0] == 0.5
 
 
+def test_one_pass_gives_the_same_cells(spark):
+    s = Season(frame(spark, season()))
+    for patch in ("16.18", "16.17", None):
+        apart = policy.cells(tallies.cell_counts(s.participants, patch), tallies.ban_counts(s.bans, patch), s.envelopes.where(extract.match_filter(SCOPE(), patch)).agg(F.count_distinct("match_id").alias("matches_used")))
+        once = policy.cells_of_facts(tallies.tier_facts(s.envelopes.where(s.filters), patch))
+        assert sorted(rows(once)) == sorted(rows(apart)) and once.count() > 0
+
+
 def test_copies_change_nothing(spark):
     from matches import summary
 
