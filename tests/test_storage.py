@@ -97,7 +97,7 @@ def test_ladder_pages(spark):
 
 def test_published_partitions(spark, tmp_path):
     cells = lambda patch, n: publish.in_partition(spark.createDataFrame([(1, n)], "champion_id int, n int"), patch, "EUW", 420)
-    entry = lambda patch, at: publish.in_partition(spark.createDataFrame([(at, "riot")], "built_at int, source string"), patch, "EUW", 420)
+    entry = lambda patch, at: publish.in_partition(spark.createDataFrame([(at, "live")], "built_at int, source string"), patch, "EUW", 420)
     for patch, n, at in (("16.9", 1, 1), ("16.10", 2, 2), ("16.9", 3, 3)):
         publish.publish_partition({"tier_list": cells(patch, n)}, str(tmp_path), entry(patch, at))
     back = spark.read.json(f"{tmp_path}/tier_list")
