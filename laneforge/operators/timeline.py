@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from laneforge.functions.columns import as_int, as_long, minute_of
+from laneforge.operators.extract import summary_participants
 from laneforge.sources.schemas import CHECKPOINTS, OBJECTIVES, TABLES
 
 KEY = ["match_id", "participant_id"]
@@ -303,3 +304,24 @@ def match_objectives(index: DataFrame, all_events: DataFrame, players: DataFrame
     per_match = team_events(all_events, players).groupBy("match_id").agg(*firsts, *counts)
     rows = eligible(index).select("match_id", "region", "patch", "queue_id", "game_duration_s").join(per_match, "match_id", "left")
     return as_table(rows, "match_objectives")
+
+
+# ---- all of it ---------------------------------------------------------------------------
+
+
+def feature_tables(summaries: DataFrame, timelines: DataFrame, min_duration_s: int = MIN_DURATION_S) -> dict[str, DataFrame]:
+    """The six tables, for a caller that writes them all.
+
+    What several tables read (ledger, players, events, minutes, checkpoints) is made once and kept,
+    in memory as far as it fits, so each payload is parsed twice at most: for frames and for events.
+    """
+    index = match_index(summaries, timelines, min_duration_s).persist()
+    players = summary_participants(summaries).persist()
+    all_events = events(timelines).persist()
+    minutes = participant_minutes(index, players, frames(timelines), kill_points(all_events)).persist()
+    picks = checkpoint_picks(minutes).persist()
+    actors = event_actors(all_events.join(eligible(index).select("match_id"), "match_id", "left_semi"))
+    return {
+        "match_index": index, "participant_minutes": minutes, "events": events_table(index, all_events), "lane_matchups": lane_matchups(index, players, picks),
+        "participant_early": participant_early(index, players, actors, picks), "match_objectives": match_objectives(index, all_events, players),
+    }

@@ -112,7 +112,7 @@ def test_gates(data):
 def test_written_tables_have_the_specified_columns(spark, data, tmp_path):
     names = {"match_index": "index", "participant_minutes": "minutes", "events": "events", "lane_matchups": "lanes", "participant_early": "early", "match_objectives": "objectives"}
     tables = {name: data[key] for name, key in names.items()}
-    publish.write_features(tables, str(tmp_path))
+    publish.write_features(timeline.feature_tables(data["summaries"], data["timelines"]), str(tmp_path))
     assert {name: spark.read.parquet(f"{tmp_path}/{name}").count() for name in tables} == {name: df.count() for name, df in tables.items()}
     with pytest.raises(gates.GateFailed, match="column 2"):
         publish.write_features({"match_index": data["index"].drop("region")}, str(tmp_path))
