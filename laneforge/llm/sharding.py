@@ -7,7 +7,7 @@ comes from histograms of bytes over a dimension's bins; rows of the median bin a
 hash, again by histogram, so ties of any number split at the right byte. All nodes of a level are
 split in one job over narrow rows, and what is broadcast has one row for each node.
 
-The law is ``bytes``: shards get near equal sizes, within about one document. No groups are held
+The law is ``bytes``: shards get near equal sizes, within a document or two or a thousandth. No groups are held
 together; equal texts may lie in different shards.
 
 Defined cases: a null text has 16 bytes and the CRC of an empty one. A null source, language or id
@@ -26,8 +26,8 @@ from laneforge.llm.common import saved, text_crc32, unused, utf8_size
 OVERHEAD = 16
 SHARDS = 40
 BINS = 256
-#: Bits of the hash that orders the rows of one bin, and of its half that a histogram tells apart.
-TIE_BITS, HALF_BITS = 24, 12
+#: Values of the hash that orders the rows of one bin: a split falls between two of them.
+TIES = 4096
 DIMENSIONS = ("length", "source", "lang", "id")
 
 
@@ -59,57 +59,39 @@ def points(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     return base.select(
         "id", "size", "crc", "part", "row",
         F.array(scaled(length, ends[2:]), "d_source", "d_lang", scaled(number, ends[:2])).alias("bins"),
-        F.pmod(F.xxhash64("id", "size", "crc"), F.lit(1 << TIE_BITS)).cast("int").alias("tie"),
+        F.pmod(F.xxhash64("id", "size", "crc"), F.lit(TIES)).cast("int").alias("tie"),
     )
 
 
-def cut(histogram: DataFrame, by: str, goal: str, at_most: bool) -> DataFrame:
-    """For each node the bin where its running bytes reach ``goal``, and the bytes before it.
+def split_level(rows: DataFrame) -> DataFrame:
+    """Every node with several leaves split in two; ``node`` is the first leaf below, ``leaves`` their number.
 
-    With ``at_most`` false that bin is the one that holds the goal; with true the row tells the last
-    bin that goes left, -1 for none, chosen nearest to the goal. A node has one row for each bin.
+    First the widest dimension and the bin that holds the goal, from a histogram of all bins; then, from
+    one of that bin's rows by tie hash, the last hash that goes left, -1 for none, nearest to the goal.
+    A node has ``BINS`` or ``TIES`` rows of a histogram at most, and one row of what is broadcast.
     """
-    run = Window.partitionBy("node").orderBy(by)
-    upto = histogram.withColumn("upto", F.sum("w").over(run))
-    if not at_most:
-        reached = upto.where(F.col("upto") >= F.col(goal))
-        return reached.groupBy("node").agg(F.min_by(F.struct(by, (F.col("upto") - F.col("w")).alias("before")), by).alias("s")).select("node", F.col(f"s.{by}").alias(by), F.col("s.before").alias("before"))
-    off = F.abs(F.col("before") + F.col("upto") - F.col(goal))
-    best = upto.groupBy("node").agg(F.min(F.struct(off.alias("off"), F.col(by).alias("at"))).alias("s"), F.first("before").alias("before"), F.first(goal).alias("goal"))
-    return best.select("node", F.when(F.abs(F.col("before") - F.col("goal")) <= F.col("s.off"), F.lit(-1)).otherwise(F.col("s.at")).alias(by))
-
-
-def split_level(rows: DataFrame) -> DataFrame:
-    """Every node with several leaves split in two; ``node`` is the first leaf below, ``leaves`` their number."""
     open_rows = rows.where("leaves > 1")
     dims = open_rows.select("node", "leaves", "size", F.posexplode("bins").alias("dim", "bin"))
     histogram = dims.groupBy("node", "leaves", "dim", "bin").agg(F.sum("size").alias("w"))
     width = histogram.groupBy("node", "leaves", "dim").agg((F.max("bin") - F.min("bin")).alias("width"), F.sum("w").alias("total"))
-    widest = width.groupBy("node", "leaves").agg(F.max_by("dim", F.struct("width", -F.col("dim"))).alias("dim"), F.max("total").alias("total"))
-    goals = widest.withColumn("goal", F.col("total") * F.floor(F.col("leaves") / 2) / F.col("leaves"))
-    first = cut(histogram.join(F.broadcast(goals.select("node", "dim", "goal")), ["node", "dim"]), "bin", "goal", False)
-    first = first.join(goals.select("node", "dim", "goal"), "node").withColumnRenamed("bin", "at")
-    # the rows of the median bin, by the upper and then the lower half of their hash
-    inside = open_rows.join(F.broadcast(first), "node").where(F.get("bins", F.col("dim")) == F.col("at"))
-    upper = inside.groupBy("node", F.shiftright("tie", HALF_BITS).alias("up")).agg(F.sum("size").alias("w"), F.first("before").alias("before"), F.first("goal").alias("goal"))
-    run = Window.partitionBy("node").orderBy("up")
-    reached = upper.withColumn("upto", F.col("before") + F.sum("w").over(run)).where("upto >= goal")
-    second = reached.groupBy("node").agg(F.min_by(F.struct("up", (F.col("upto") - F.col("w")).alias("before"), "goal"), "up").alias("s")).select("node", "s.*")
-    low_bits = (1 << HALF_BITS) - 1
-    lower = (
-        open_rows.join(F.broadcast(first.drop("before", "goal")), "node").join(F.broadcast(second), "node")
-        .where((F.get("bins", F.col("dim")) == F.col("at")) & (F.shiftright("tie", HALF_BITS) == F.col("up")))
-        .groupBy("node", F.col("tie").bitwiseAND(low_bits).alias("low")).agg(F.sum("size").alias("w"), F.first("before").alias("before"), F.first("goal").alias("goal"))
-    )
-    third = cut(lower, "low", "goal", True)
-    splits = first.select("node", "dim", "at").join(second.select("node", "up"), "node").join(third, "node")
-    splits = splits.select("node", "dim", "at", (F.shiftleft("up", HALF_BITS) + F.col("low")).alias("last_tie"))
+    goal = F.max("total") * F.floor(F.col("leaves") / 2) / F.col("leaves")
+    goals = width.groupBy("node", "leaves").agg(F.max_by("dim", F.struct("width", -F.col("dim"))).alias("dim"), goal.alias("goal")).drop("leaves")
+    run = Window.partitionBy("node").orderBy("bin")
+    reached = histogram.join(F.broadcast(goals), ["node", "dim"]).withColumn("upto", F.sum("w").over(run)).where("upto >= goal")
+    median = reached.groupBy("node").agg(F.min_by(F.struct("dim", "goal", F.col("bin").alias("at"), (F.col("upto") - F.col("w")).alias("before")), "bin").alias("s")).select("node", "s.*")
+    inside = open_rows.join(F.broadcast(median), "node").where(F.get("bins", F.col("dim")) == F.col("at"))
+    ties = inside.groupBy("node", "dim", "at", "goal", "before", "tie").agg(F.sum("size").alias("w"))
+    left = F.col("before") + F.sum("w").over(Window.partitionBy("node").orderBy("tie"))
+    off = F.struct(F.abs(left - F.col("goal")).alias("off"), F.col("tie").alias("tie"))
+    best = ties.withColumn("off", off).groupBy("node", "dim", "at", "goal", "before").agg(F.min("off").alias("best"))
+    none = F.abs(F.col("before") - F.col("goal")) <= F.col("best.off")
+    splits = best.select("node", "dim", "at", F.when(none, -1).otherwise(F.col("best.tie")).alias("last_tie"))
     joined = rows.join(F.broadcast(splits), "node", "left")
     bin_ = F.get("bins", F.col("dim"))
-    left = (bin_ < F.col("at")) | (bin_ == F.col("at")) & (F.col("tie") <= F.col("last_tie"))
-    half = F.floor(F.col("leaves") / 2).cast("int")
-    node = F.when(F.col("dim").isNull() | left, F.col("node")).otherwise(F.col("node") + half)
-    leaves = F.when(F.col("dim").isNull(), F.col("leaves")).when(left, half).otherwise(F.col("leaves") - half)
+    goes_left = (bin_ < F.col("at")) | (bin_ == F.col("at")) & (F.col("tie") <= F.col("last_tie"))
+    half, whole = F.floor(F.col("leaves") / 2).cast("int"), F.col("dim").isNull()
+    node = F.when(whole | goes_left, F.col("node")).otherwise(F.col("node") + half)
+    leaves = F.when(whole, F.col("leaves")).when(goes_left, half).otherwise(F.col("leaves") - half)
     return joined.select("id", "size", "crc", "part", "row", "bins", "tie", node.cast("int").alias("node"), leaves.cast("int").alias("leaves"))
 
 
