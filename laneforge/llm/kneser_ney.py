@@ -44,9 +44,9 @@ from laneforge.llm.common import saved, shared_dir
 #: Hashed as the end token; holds a space, so no word is equal.
 END = b" end"
 #: Tokens that a task counts before it sends a block, and tokens for each shard of the model.
-BLOCK_TOKENS, SHARD_TOKENS = 4_000_000, 4_000_000
+BLOCK_TOKENS, SHARD_TOKENS = 2_000_000, 2_000_000
 #: Words whose numbers a worker keeps between batches.
-KEEP_WORDS = 400_000
+KEEP_WORDS = 200_000
 #: Stand in keys for the start of a text and for words that training lacks.
 BEGIN, OTHER = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFE)
 UNKNOWN = np.int64(-1)
@@ -436,7 +436,7 @@ def score(docs: DataFrame, sizes: Sizes, d: Discounts) -> DataFrame:
     names = [c for c in docs.columns if c != "_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hashes, lengths, rows in runs_of(batches, BLOCK_TOKENS // 4):
+        for hashes, lengths, rows in runs_of(batches, BLOCK_TOKENS // 2):
             p, c = probabilities(hashes, lengths, sizes, d)
             first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
             base = np.log10((c + 0.5) / (sizes.tokens + 0.5 * (sizes.words + 1)))
