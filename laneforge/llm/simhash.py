@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laneforge.llm.common import saved, unused
@@ -172,32 +172,35 @@ def components(edges: DataFrame) -> DataFrame:
             return known.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
 
 
-def grouped(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", id_col: str = "doc_id", hot: int = HOT) -> DataFrame:
-    """``id``, ``fp`` and ``component``, the smallest id that links reach from it."""
-    prints = saved(fingerprints(docs, shingle, text, id_col))
+def rooted(prints: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """Of ``prints`` (id, fp): ``fp`` and ``root``, its component's smallest fingerprint, and ``root`` and ``component``, the smallest id."""
     distinct = saved(prints.groupBy("fp").agg(F.min("id").alias("least")))
     roots = components(links(distinct.select("fp"), hot))
     member = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = member.groupBy("root").agg(F.min("least").alias("component"))
+    return member, member.groupBy("root").agg(F.min("least").alias("component"))
+
+
+def grouped(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", id_col: str = "doc_id", hot: int = HOT) -> DataFrame:
+    """``id``, ``fp`` and ``component``, the smallest id that links reach from it."""
+    prints = saved(fingerprints(docs, shingle, text, id_col))
+    member, smallest = rooted(prints, hot)
     named = member.join(smallest, "root").select("fp", "component")
     return prints.join(named, "fp").select("id", "fp", "component")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id.
+    """One document of each group of near copies: the one with the smallest id; any id comes before null.
 
-    If that id stands on several rows, the first of them by the other columns stays.
+    If that id stands on several rows of the group, the first of them by row number stays. Rows are
+    told apart by number, so ``docs`` should be a stored table.
     """
-    key, n = unused(docs, "id"), unused(docs, "n")
-    groups = grouped(docs, shingle, text, id_col)
-    chosen = saved(groups.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.count("*").alias("rows")))
-
-    def of(ids: DataFrame) -> DataFrame:
-        return docs.join(ids.select(F.col("id").alias(key)).hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
-
-    first = Window.partitionBy(id_col).orderBy(*(F.col(c) for c in docs.columns if c != id_col))
-    repeated = of(chosen.where("rows > 1")).withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(n)
-    return of(chosen.where("rows = 1")).unionByName(repeated)
+    row = unused(docs, "row")
+    told = docs.withColumn(row, F.monotonically_increasing_id())
+    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+    prints = saved(fingerprints(told.select(place.alias("place"), F.col(text).alias("text")), shingle, "text", "place"))
+    _, smallest = rooted(prints)
+    chosen = saved(smallest.select(F.col("component.row").alias(row)))
+    return told.join(chosen.hint("shuffle_hash"), row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def clusters(docs: DataFrame) -> DataFrame:

@@ -369,6 +369,14 @@ def test_one_of_each_group_stays(spark, tmp_path):
     assert sorted(r.doc_id for r in out.collect()) == [1, 7, 8] and out.columns == ["doc_id", "text"]
 
 
+def test_rows_of_one_id_or_none_stay_by_group(spark, tmp_path):
+    texts = [" ".join(f"{w}{k} is here" for k in range(80)) for w in ("ant", "bee", "cow", "dog", "elk", "fox")]
+    found = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]), (3, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4]), (None, texts[4]), (9, texts[5])]
+    spark.createDataFrame(found, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    out = simhash.keep_one(spark.read.parquet(f"{tmp_path}/d")).collect()
+    assert sorted((r.text, r.doc_id) for r in out) == list(zip(texts, [None, None, 3, 7, 7, 9]))
+
+
 # ---- 6 -----------------------------------------------------------------------------------
 
 
