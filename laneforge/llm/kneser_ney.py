@@ -1,22 +1,22 @@
 """An interpolated modified Kneser-Ney model, counted by Spark and memory-mapped by workers.
 
 Words are numbered through a sorted array of their 64-bit hashes, and a bigram is one 64-bit key of
-two numbers. Training is two counting passes:
+two numbers; a trigram is the key of its first two words and the number of its third. Training is
+two counting passes:
 
 1. words: counts by hash, written as a sorted hash array in shards by the hash's upper bits;
-2. bigrams: each task counts its keys, sorts them and sends one compressed block to each shard of
-   the key space; a shard adds its blocks up and writes one sorted key array with counts. From the
-   keys follow, again as sorted blocks by shard, the continuation counts of words and the totals
-   of contexts.
+2. trigrams: each task counts them, sorts them and sends one compressed block to each shard of the
+   contexts; a shard adds its blocks up and writes its contexts, their words and counts. The
+   continuation counts of bigrams go on as sorted blocks by shard of bigrams, which write one sorted
+   key array with counts, and from those follow in the same way the continuation counts of words and
+   the totals of their contexts. With ``order`` 2, bigrams are counted in place of trigrams.
 
 Scoring maps the arrays into memory; a batch of documents looks its distinct keys up by binary
 search. The number of shards follows the number of tokens, so no task holds more than a share of the
 model. The arrays lie in the shared folder that ``spark.checkpoint.dir`` names, which must be mounted on
 the workers for mapping; ``model_dir`` names another.
 
-The model has order 2. A third order would hold a key for nearly every token of a corpus with
-as many rare words as this one (83 % of the trigrams of 2 million tokens are distinct), several
-times the input in shuffles and files.
+The model has order 3; two marks stand before each text.
 
 Defined cases: a null text counts as empty and is scored as its end token alone. A null id
 belongs to the training part. A word that training lacks gets the uniform share of the
@@ -60,6 +60,7 @@ class Sizes(NamedTuple):
     shards: int
     tokens: int
     words: int
+    order: int = 3
 
 
 # ---- tokens and words --------------------------------------------------------------------
@@ -245,6 +246,14 @@ def keys_of(numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return before << np.uint64(32) | current
 
 
+def contexts_of(pairs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The key of the two tokens before each token."""
+    contexts = np.empty_like(pairs)
+    contexts[1:] = pairs[:-1]
+    contexts[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = BEGIN << np.uint64(32) | BEGIN
+    return contexts
+
+
 def key_shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys * MIX >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
@@ -273,8 +282,59 @@ def blocks(shard: np.ndarray, kind: int, *arrays: np.ndarray) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([pa.array([int(shard[at[0]])]), pa.array([kind]), pa.array([b - a]), pa.array([pack(*(x[at] for x in arrays))], pa.binary())], names=["shard", "kind", "n", "block"])
 
 
+def added_trigrams(contexts: np.ndarray, last: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal trigrams' counts added up, in order of contexts and last words."""
+    if not len(contexts):
+        return contexts, last, counts
+    order = np.lexsort((last, contexts))
+    contexts, last, counts = contexts[order], last[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], (contexts[1:] != contexts[:-1]) | (last[1:] != last[:-1])]))
+    return contexts[first], last[first], np.add.reduceat(counts, first)
+
+
 BLOCKS = "shard long, kind long, n long, block binary"
-KEYS, CONTINUATIONS, CONTEXTS, TALLIES = range(4)
+KEYS, CONTINUATIONS, CONTEXTS, TRIGRAMS = range(4)
+#: Contexts of more words have their totals stored.
+WIDE = 16
+
+
+def write_trigrams(docs: DataFrame, sizes: Sizes) -> DataFrame:
+    """The arrays of trigrams by shard of contexts; gives blocks of bigrams with their continuation counts."""
+    shards = sizes.shards
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, lengths, _ in runs_of(batches, BLOCK_TOKENS):
+            pairs = keys_of(numbered(hashes, sizes), lengths)
+            contexts, last, n = added_trigrams(contexts_of(pairs, lengths), pairs.astype(np.uint32), np.ones(len(pairs), np.uint32))
+            yield from blocks(key_shard(contexts, shards), TRIGRAMS, contexts, last, n)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, rows in rows_by_shard(batches):
+            parts = [unpack(block, n, "u8", "u4", "u4") for _, n, block in rows]
+            kinds = ("u8", "u4", "u8")
+            contexts, last, n = added_trigrams(*(np.concatenate([p[i] for p in parts]).astype(k) if parts else np.empty(0, k) for i, k in enumerate(kinds)))
+            first = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]])) if len(contexts) else np.empty(0, np.int64)
+            starts = np.append(first, len(contexts))
+            wide = np.diff(starts) > WIDE
+            sums = [np.add.reduceat(x.astype(np.uint64), first)[wide] for x in (n, n == 1, n == 2, n >= 3)] if len(first) else [np.empty(0, "u8")] * 4
+            name = f"tri-{shard}"
+            write_array(sizes.path, name, contexts[first])
+            write_array(sizes.path, f"{name}.at", starts.astype(np.uint32))
+            write_array(sizes.path, f"{name}.w", last)
+            write_array(sizes.path, f"{name}.n", n.astype(np.uint32))
+            write_array(sizes.path, f"{name}.wide", np.flatnonzero(wide).astype(np.uint32))
+            write_array(sizes.path, f"{name}.sums", np.stack(sums, 1))
+            if len(contexts):
+                pairs, preceding = np.unique(contexts << np.uint64(32) | last.astype(np.uint64), return_counts=True)
+                yield from blocks(key_shard(pairs, shards), KEYS, pairs, preceding.astype(np.uint32))
+
+    return with_marks(docs.mapInArrow(count, BLOCKS), shards).mapInArrow(gather, BLOCKS)
+
+
+def with_marks(frame: DataFrame, shards: int) -> DataFrame:
+    """``frame`` dealt out by shard, with an empty row for each shard."""
+    marks = frame.sparkSession.range(shards).select(F.col("id").alias("shard"), F.lit(-1).cast("long").alias("kind"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("block"))
+    return frame.unionByName(marks).repartition(shards, "shard")
 
 
 def write_bigrams(docs: DataFrame, sizes: Sizes) -> None:
@@ -292,7 +352,7 @@ def write_bigrams(docs: DataFrame, sizes: Sizes) -> None:
             parts = [unpack(block, n, "u8", "u4") for _, n, block in rows]
             keys, n = added(*(np.concatenate([p[i] for p in parts]).astype("u8") if parts else np.empty(0, "u8") for i in (0, 1)))
             write_array(sizes.path, f"pair-{shard}", keys)
-            write_array(sizes.path, f"pair-{shard}.n", n)
+            write_array(sizes.path, f"pair-{shard}.n", n.astype(np.uint32))
             if not len(keys):
                 continue
             many = lambda x: np.searchsorted(words.starts, x.astype(np.int64), "right") - 1
@@ -324,12 +384,8 @@ def write_bigrams(docs: DataFrame, sizes: Sizes) -> None:
                 write_array(sizes.path, "begin", begin)
             yield pa.RecordBatch.from_arrays([pa.array([shard])], names=["shard"])
 
-    def with_marks(frame: DataFrame) -> DataFrame:
-        marks = frame.sparkSession.range(shards).select(F.col("id").alias("shard"), F.lit(-1).cast("long").alias("kind"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("block"))
-        return frame.unionByName(marks).repartition(shards, "shard")
-
-    counted = with_marks(docs.mapInArrow(count, BLOCKS))
-    with_marks(counted.mapInArrow(gather, BLOCKS)).mapInArrow(finish, "shard long").count()
+    counted = write_trigrams(docs, sizes) if sizes.order == 3 else docs.mapInArrow(count, BLOCKS)
+    with_marks(with_marks(counted, shards).mapInArrow(gather, BLOCKS), shards).mapInArrow(finish, "shard long").count()
 
 
 def rows_by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
@@ -346,8 +402,9 @@ def rows_by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list
 
 
 class Discounts(NamedTuple):
-    """Discounts of counts 1, 2 and more, for bigrams and for continuations, and what the lowest order shares."""
+    """Discounts of counts 1, 2 and more, for trigrams, bigrams and words, and what the lowest order shares."""
 
+    top: tuple[float, float, float]
     high: tuple[float, float, float]
     low: tuple[float, float, float]
     bigrams: int
@@ -362,8 +419,10 @@ def discounts(tally: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.0), float(k)) for k, d in enumerate(raw, 1))
 
 
-def train(docs: DataFrame, model_dir: str | None = None) -> tuple[Sizes, Discounts]:
+def train(docs: DataFrame, model_dir: str | None = None, order: int = 3) -> tuple[Sizes, Discounts]:
     """Counts ``docs`` (a column ``_text`` of UTF-8 bytes), writes the arrays, and gives what scoring needs beside them."""
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     spark = docs.sparkSession
     path = f"{local(model_dir or shared_dir(spark))}/kneser-ney-{uuid.uuid4().hex}"
     os.makedirs(path)
@@ -372,22 +431,23 @@ def train(docs: DataFrame, model_dir: str | None = None) -> tuple[Sizes, Discoun
     tokens_, words = whole["tokens"] or 0, whole["words"]
     if words >= int(OTHER):
         raise ValueError("keys hold numbers of 32 bits; the corpus has more distinct words")
-    sizes = Sizes(path, max(1, -(-tokens_ // SHARD_TOKENS)), tokens_, words)
+    sizes = Sizes(path, max(1, -(-tokens_ // SHARD_TOKENS)), tokens_, words, order)
     write_words(counts, path, sizes.shards)
     write_bigrams(docs, sizes)
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                pairs, follow = mapped(f"{path}/pair-{shard}.n", "u8"), mapped(f"{path}/follow-{shard}", "u4")
-                row = [[int((x == k).sum()) for k in range(1, 5)] + [int((x >= 3).sum()), len(pairs)] for x in (pairs, follow)]
-                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row[0] + row[1]], names=[f"t{i}" for i in range(12)])
+                pairs, follow = mapped(f"{path}/pair-{shard}.n", "u4"), mapped(f"{path}/follow-{shard}", "u4")
+                top = mapped(f"{path}/tri-{shard}.n", "u4") if order == 3 else np.empty(0, "u4")
+                row = [[int((x == k).sum()) for k in range(1, 5)] + [int((x >= 3).sum()), len(pairs)] for x in (pairs, follow, top)]
+                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in sum(row, [])], names=[f"t{i}" for i in range(18)])
 
-    by_shard = spark.range(sizes.shards).repartition(min(sizes.shards, 64)).mapInArrow(tally, ", ".join(f"t{i} long" for i in range(12)))
-    t = [v or 0 for v in by_shard.agg(*(F.sum(f"t{i}") for i in range(12))).first()]
+    by_shard = spark.range(sizes.shards).repartition(min(sizes.shards, 64)).mapInArrow(tally, ", ".join(f"t{i} long" for i in range(18)))
+    t = [v or 0 for v in by_shard.agg(*(F.sum(f"t{i}") for i in range(18))).first()]
     high, low, bigrams = discounts(t[:4]), discounts(t[6:10]), t[5]
     low_share = (low[0] * t[6] + low[1] * t[7] + low[2] * t[10]) / bigrams if bigrams else 1.0
-    return sizes, Discounts(high, low, bigrams, low_share)
+    return sizes, Discounts(discounts(t[12:16]), high, low, bigrams, low_share)
 
 
 def step(counts: np.ndarray, by: tuple[float, float, float]) -> np.ndarray:
@@ -410,7 +470,7 @@ def probabilities(hashes: np.ndarray, lengths: np.ndarray, sizes: Sizes, d: Disc
         s = shard[at[0]]
         place = found_in(mapped(f"{sizes.path}/pair-{s}", "u8"), unique[at])
         hit = place >= 0
-        n[at[hit]] = mapped(f"{sizes.path}/pair-{s}.n", "u8")[place[hit]]
+        n[at[hit]] = mapped(f"{sizes.path}/pair-{s}.n", "u4")[place[hit]]
     n = n.astype(np.int64)
     last = (unique & np.uint64(0xFFFFFFFF)).astype(np.int64)
     last[last == int(OTHER)] = UNKNOWN
@@ -427,8 +487,72 @@ def probabilities(hashes: np.ndarray, lengths: np.ndarray, sizes: Sizes, d: Disc
     total = context[:, 0]
     left = context[:, 1:] @ np.array(d.high)
     p = np.where(total > 0, (np.maximum(n - step(n, d.high), 0) + left * low) / np.maximum(total, 1), low)
+    p = p[back]
+    if sizes.order == 3:
+        p = third(contexts_of(keys, lengths), keys.astype(np.uint32), p, sizes, d)
     token_number, token_of = np.unique(numbers, return_inverse=True)
-    return p[back], words.values("word-{}.n", "i8", token_number)[token_of]
+    return p, words.values("word-{}.n", "i8", token_number)[token_of]
+
+
+def third(contexts: np.ndarray, last: np.ndarray, low: np.ndarray, sizes: Sizes, d: Discounts) -> np.ndarray:
+    """The probability of each token after two others, where ``low`` is that after one."""
+    unique, back = np.unique(contexts, return_inverse=True)
+    shard = key_shard(unique, sizes.shards)
+    order = np.argsort(shard, kind="stable")
+    ends = np.flatnonzero(np.diff(shard[order], append=-1)) + 1
+    by_context = np.argsort(back, kind="stable")
+    firsts = np.concatenate([[0], np.cumsum(np.bincount(back, minlength=len(unique)))])
+    p = low.copy()
+    for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
+        at = order[a:b]
+        name = f"{sizes.path}/tri-{shard[at[0]]}"
+        place = found_in(mapped(name, "u8"), unique[at])
+        at, place = at[place >= 0], place[place >= 0]
+        if not len(at):
+            continue
+        starts = mapped(f"{name}.at", "u4")
+        low_end, high_end = starts[place].astype(np.int64), starts[place + 1].astype(np.int64)
+        counts = mapped(f"{name}.n", "u4")
+        sums = totals(name, place, low_end, high_end, counts)
+        # the tokens after these contexts
+        own = np.repeat(np.arange(len(at)), firsts[at + 1] - firsts[at])
+        token = by_context[ragged(firsts[at], firsts[at + 1])]
+        there = within(mapped(f"{name}.w", "u4"), low_end[own], high_end[own], last[token])
+        n = np.where(there >= 0, counts[np.maximum(there, 0)], 0).astype(np.int64)
+        left = sums[:, 1:] @ np.array(d.top)
+        p[token] = (np.maximum(n - step(n, d.top), 0) + left[own] * low[token]) / sums[own, 0]
+    return p
+
+
+def totals(name: str, place: np.ndarray, start: np.ndarray, end: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Of each context the sum of its counts, and how many are 1, 2 and more."""
+    out = np.empty((len(place), 4))
+    wide = end - start > WIDE
+    if wide.any():
+        out[wide] = mapped(f"{name}.sums", "u8").reshape(-1, 4)[np.searchsorted(mapped(f"{name}.wide", "u4"), place[wide])]
+    if not wide.all():
+        start, end = start[~wide], end[~wide]
+        n = counts[ragged(start, end)].astype(np.int64)
+        first = np.concatenate([[0], np.cumsum(end - start)[:-1]])
+        out[~wide] = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (n, n == 1, n == 2, n >= 3)], 1)
+    return out
+
+
+def ragged(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All indexes from each start to its end."""
+    size = end - start
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
+def within(array: np.ndarray, start: np.ndarray, end: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each wanted value stands in its sorted part of ``array``, or -1."""
+    lo, hi = start.copy(), end - 1
+    while (open_ := np.flatnonzero(lo < hi)).size:
+        mid = (lo[open_] + hi[open_]) // 2
+        less = array[mid] < wanted[open_]
+        lo[open_] = np.where(less, mid + 1, lo[open_])
+        hi[open_] = np.where(less, hi[open_], mid)
+    return np.where(array[lo] == wanted, lo, UNKNOWN)
 
 
 def score(docs: DataFrame, sizes: Sizes, d: Discounts) -> DataFrame:
@@ -452,10 +576,10 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def scored(docs: DataFrame, model_dir: str | None = None) -> DataFrame:
+def scored(docs: DataFrame, model_dir: str | None = None, order: int = 3) -> DataFrame:
     """Scores of all documents by a model of those that are not held out."""
     body = F.col("text").cast("binary").alias("_text")
-    sizes, d = train(docs.where(~held_out(F.col("doc_id"))).select(body), model_dir)
+    sizes, d = train(docs.where(~held_out(F.col("doc_id"))).select(body), model_dir, order)
     out = score(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), body), sizes, d)
     out = out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(sizes.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")

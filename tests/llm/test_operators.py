@@ -161,6 +161,37 @@ def test_language_model(spark, path, monkeypatch):
         assert sum(m.p(u, w) for w in m.words) + m.p(u, "never seen") == pytest.approx(1)
 
 
+class Trigrams(Model):
+    """The model of order 3 in dictionaries: bigrams count the words before them."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        self.triples = collections.Counter(t for w in texts for t in zip(["begin", "begin", *w], ["begin", *w], w))
+        self.pairs = collections.Counter((v, w) for _, v, w in self.triples)
+        self.high, self.top = discounts(self.pairs.values()), discounts(self.triples.values())
+        self.total, self.left, self.totals, self.lefts = (collections.Counter() for _ in range(4))
+        for (u, _), c in self.pairs.items():
+            self.total[u] += c
+            self.left[u] += self.high[min(c, 3)]
+        for (u, v, _), c in self.triples.items():
+            self.totals[u, v] += c
+            self.lefts[u, v] += self.top[min(c, 3)]
+
+    def q(self, u, v, w):
+        c, low = self.triples[u, v, w], self.p(v, w)
+        return (max(c - self.top[min(c, 3)], 0) + self.lefts[u, v] * low) / self.totals[u, v] if self.totals[u, v] else low
+
+
+def test_trigram_model(spark, path, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", 9000)
+    docs = [(r.doc_id, [*WORD.findall(lower(r.text)), None]) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
+    m, by_id = Trigrams([w for i, w in docs if not held(i)]), dict(docs)
+    for _, r in results(spark, "op2_lm_scoring", path):
+        w = by_id[r.doc_id]
+        assert r.score == pytest.approx(sum(math.log10(m.q(u, v, x)) for u, v, x in zip(["begin", "begin", *w], ["begin", *w], w)))
+    assert sum(m.q("begin", "begin", w) for w in m.words) + m.q("begin", "begin", "never seen") == pytest.approx(1)
+
+
 def test_the_model_beats_the_base_on_held_out_texts(spark):
     out = queries.op2_lm_scoring(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert out[0] > out[1]
