@@ -101,10 +101,16 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
 
 
 def star_links(fps: DataFrame) -> DataFrame:
-    """Links from each fingerprint to the smallest of every star key that it has with others."""
+    """Links from each fingerprint to the smallest of every star key that it has with others.
+
+    Keys are hashes, so a stranger may share one by chance: links are verified, and those whom the
+    smallest doesn't suit link to the largest.
+    """
     named = fps.select("fp", F.explode(star_keys(F.col("fp"))).alias("key"))
-    least = named.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("most")).where("a < most").select("key", "a")
-    return named.join(least, "key").where(F.col("a") < F.col("fp")).select("a", F.col("fp").alias("b")).distinct()
+    ends = named.groupBy("key").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least < most")
+    fp, least, most = F.col("fp"), F.col("least"), F.col("most")
+    other = F.when(near(least, fp), least).when(near(most, fp), most).otherwise(fp)
+    return named.join(ends, "key").select(F.least(other, fp).alias("a"), F.greatest(other, fp).alias("b")).where("a < b").distinct()
 
 
 def ball(part: Column, bits: int) -> Column:

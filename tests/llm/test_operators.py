@@ -379,6 +379,13 @@ def test_crowded_variants_lose_no_link(spark, hot):
     assert groups(lambda f: found.get(f, f)) == groups(joined(prints).get)
 
 
+def test_strangers_in_a_star_key_do_not_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "star_keys", lambda fp: F.array(F.lit(1)))  # every key collides
+    for stranger in (-(1 << 62) | 0xFF00, 1 << 62 | 0xFF00):
+        links = simhash.star_links(spark.createDataFrame([(stranger,), (5,), (6,), (7,)], "fp long")).collect()
+        assert links and stranger not in {x for r in links for x in r} and {x for r in links for x in r} == {5, 6, 7}
+
+
 def group(members, of):
     out = collections.defaultdict(set)
     for x in members:
