@@ -104,6 +104,9 @@ FAMILIES = (
     ("copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}", "copyright"),
 )
 
+# Families whose names are not licenses one can be licensed under; their identifiers are no SPDX ones.
+NO_LICENSE = {"public-domain", "proprietary", "copyright"}
+
 # How a text takes up a license, where ID is its identifier in words and NAME its name.
 FORMS = (
     ("SPDX license identifier ID", r"spdx license identifier ID(?: only| or later| plus)?", 1, 1.0),
@@ -114,16 +117,91 @@ FORMS = (
     ("NAME", r"NAME", 5, 0.6),
 )
 
+# Sentences that stand in the text or the notice of a license, with a keyword that each holds.
+SENTENCES = (
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "hereby granted free of charge", 0.95),
+    ("mit", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "substantial portions", 0.9),
+    ("x11", r"except as contained in this notice the name of the x consortium shall not be used", "x consortium", 0.95),
+    ("bsl-1.0", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software", "person or organization", 0.95),
+    ("bsd", r"redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms", 0.9),
+    ("bsd", r"redistributions of source code must retain the above copyright notice", "redistributions of source", 0.85),
+    ("bsd", r"redistributions in binary form must reproduce the above copyright notice", "redistributions in binary", 0.85),
+    ("bsd-3-clause", r"neither the names? of (?:[^ ]+ ){1,12}?nor the names of (?:its|their|other|any) contributors may be used to endorse", "may be used to endorse", 0.9),
+    ("bsd-4-clause", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "advertising materials", 0.95),
+    ("isc", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice", "permission to use copy modify", 0.95),
+    ("0bsd", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted(?! provided)", "permission to use copy modify", 0.9),
+    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", "without a written agreement", 0.95),
+    ("zlib", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable", "without any express or implied", 0.9),
+    ("zlib", r"altered source versions must be plainly marked as such", "plainly marked", 0.95),
+    ("apache-2.0", r"you may not use this file except in compliance with the license you may obtain a copy of the license at https? www apache org licenses license 2 0", "except in compliance", 1.0),
+    ("apache-2.0", r"www apache org licenses license 2 0", "apache org licenses", 0.95),
+    ("apache-2.0", r"terms and conditions for use reproduction and distribution", "use reproduction and distribution", 0.8),
+    ("gpl", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "is free software you can", 0.9),
+    ("gpl", r"you should have received a copy of the gnu general public license", "received a copy of the gnu", 0.8),
+    ("gpl-2.0", r"gnu general public license as published by the free software foundation either version 2 of the license", "either version 2", 0.85),
+    ("gpl-3.0", r"gnu general public license as published by the free software foundation either version 3 of the license", "either version 3", 0.95),
+    ("lgpl", r"you should have received a copy of the gnu (?:lesser|library) general public license", "received a copy of the gnu", 0.85),
+    ("lgpl", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", "is free software you can", 0.9),
+    ("agpl-3.0", r"you should have received a copy of the gnu affero general public license", "received a copy of the gnu", 0.9),
+    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", "modify this document", 0.95),
+    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?2 0", "source code form is subject", 1.0),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public license version 1 1", "subject to the mozilla", 1.0),
+    ("epl", r"this program and the accompanying materials are made available under the terms of the eclipse public license", "accompanying materials", 0.9),
+    ("cddl", r"the contents of this file are subject to the terms of the common development and distribution license", "common development", 0.95),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered software", 1.0),
+    ("cc0-1.0", r"to the extent possible under law (?:[^ ]+ ){1,12}?(?:has|have) waived all copyright and related or neighboring rights", "neighboring rights", 0.95),
+    ("ofl-1.1", r"this font software is licensed under the sil open font license", "font software", 0.95),
+    ("artistic-1.0", r"the intent of this document is to state the conditions under which a package may be copied", "a package may be copied", 0.95),
+    ("upl-1.0", r"subject to the condition set forth below permission is hereby granted to any person obtaining a copy of this software associated documentation and or data", "condition set forth below", 0.95),
+    ("wtfpl", r"you just do what the f[a-z]* you want to", "you want to", 0.9),
+    ("ncsa", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software", "to deal with the software", 0.95),
+)
+
+# Short names as texts write them, in words.
+SHORT = (
+    ("gpl-1.0", r"gpl ?v?(?: ?version )?1(?: 0)?(?: only| or later)?", "gpl"),
+    ("gpl-2.0", r"gpl ?v?(?: ?version )?2(?: 0)?(?: only| or later)?", "gpl"),
+    ("gpl-3.0", r"gpl ?v?(?: ?version )?3(?: 0)?(?: only| or later)?", "gpl"),
+    ("lgpl-2.0", r"lgpl ?v?(?: ?version )?2(?: 0)?(?: only| or later)?", "lgpl"),
+    ("lgpl-2.1", r"lgpl ?v?(?: ?version )?2 1(?: only| or later)?", "lgpl"),
+    ("lgpl-3.0", r"lgpl ?v?(?: ?version )?3(?: 0)?(?: only| or later)?", "lgpl"),
+    ("agpl-3.0", r"agpl ?v?(?: ?version )?3(?: 0)?(?: only| or later)?", "agpl"),
+    ("gfdl-1.3", r"gfdl ?v?(?: ?version )?1 3", "gfdl"),
+    ("apache-2.0", r"(?:apache|asl) ?v?2 0", "apache|asl"),
+    ("apache-1.1", r"(?:apache|asl) ?v?1 1", "apache|asl"),
+    ("mpl-1.1", r"mpl ?v?1 1", "mpl"),
+    ("mpl-2.0", r"mpl ?v?2(?: 0)?", "mpl"),
+    ("epl-1.0", r"epl ?v?1 0", "epl"),
+    ("epl-2.0", r"epl ?v?2 0", "epl"),
+    ("cddl-1.0", r"cddl ?v?1(?: 0)?", "cddl"),
+    ("eupl-1.2", r"eupl ?v?1 2", "eupl"),
+    ("cc-by-4.0", r"cc by 4 0", "cc by"),
+    ("cc-by-sa", r"cc by sa(?: [1-4] [05])?", "cc by sa"),
+    ("cc-by-nc", r"cc by nc(?: [1-4] [05])?", "cc by nc"),
+    ("cc-by-nd", r"cc by nd(?: [1-4] [05])?", "cc by nd"),
+    ("cc-by-nc-sa", r"cc by nc sa(?: [1-4] [05])?", "cc by nc sa"),
+    ("cc-by-nc-nd", r"cc by nc nd(?: [1-4] [05])?", "cc by nc nd"),
+    ("bsd-2-clause", r"(?:2|two) clause bsd(?: license)?", "clause bsd"),
+    ("bsd-3-clause", r"(?:3|three) clause bsd(?: license)?", "clause bsd"),
+    ("bsd-4-clause", r"(?:4|four) clause bsd(?: license)?", "clause bsd"),
+    ("mit", r"(?:mit x11|x11 mit|expat)(?: license)?", "mit x11|x11 mit|expat"),
+    ("bsl-1.0", r"bsl 1 0", "bsl"),
+    ("busl-1.1", r"(?:busl|bsl) 1 1", "busl|bsl"),
+)
+
 
 def rules() -> list[Rule]:
-    """The ordered rules: the base's, then each form for each license."""
+    """The ordered rules: the base's, then each form for each license it can occur with, sentences of licenses, and short names."""
     found = [Rule(label, phrase, phrase, 0, 0.5, True) for phrase, label in BASE]
     for label, name, keyword in FAMILIES:
         identifier = " ".join(re.findall("[a-z0-9]+", label))
         for _, form, priority, weight in FORMS:
+            if label in NO_LICENSE and form != "NAME":
+                continue
             pattern = form.replace("NAME", f"(?:{name})").replace("ID", identifier)
             found.append(Rule(label, pattern, "licen" if "ID" in form else keyword, priority, weight))
-    return found
+    found += [Rule(label, pattern, keyword, 2, weight) for label, pattern, keyword, weight in SENTENCES]
+    return found + [Rule(label, pattern, keyword, 4, 0.75) for label, pattern, keyword in SHORT]
 
 
 @lru_cache(maxsize=1)

@@ -600,3 +600,22 @@ def test_license_rules():
     for _ in range(300):
         norm = " " + " ".join(rng.choice(words) for _ in range(60)) + " "
         assert licenses.detections(norm) == brute_detections(norm)
+
+
+def test_license_texts_and_short_names_have_labels():
+    cases = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the 'Software'), to deal in the Software": "mit",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that": "bsd",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice": "isc",
+        "This is free and unencumbered software released into the public domain.": "unlicense", "Licensed GPLv2 or later": "gpl-2.0", "LGPLv2.1": "lgpl-2.1", "see Apache-2.0": "apache-2.0", "MPL 2.0": "mpl-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2.0", "a 3-clause BSD license": "bsd-3-clause", "Apache 2.4 serves pages": "", "EPL 2 goals": "",
+        "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0": "apache-2.0",
+    }
+    for text, labels in cases.items():
+        assert licenses.summary(text.encode())[5] == labels, (text, licenses.summary(text.encode())[5])
+    for rule in licenses.rules():
+        assert rule.base or not any(p in rule.pattern for p in ("identifier copyright", "cense copyright", "identifier proprietary", "identifier public domain"))
+
+
+def test_each_sentence_holds_its_keyword():
+    assert all(keyword in pattern for _, pattern, keyword, _ in licenses.SENTENCES)
