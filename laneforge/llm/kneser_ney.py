@@ -1,22 +1,25 @@
 """An interpolated modified Kneser-Ney model, counted by Spark and memory-mapped by workers.
 
-Words are numbered through a sorted array of their 64-bit hashes, and a bigram is one 64-bit key of
-two numbers; a trigram is the key of its first two words and the number of its third. Training is
-two counting passes:
-
-1. words: counts by hash, written as a sorted hash array in shards by the hash's upper bits;
-2. trigrams: each task counts them, sorts them and sends one compressed block to each shard of the
-   contexts; a shard adds its blocks up and writes its contexts, their words and counts. The
-   continuation counts of bigrams go on as sorted blocks by shard of bigrams, which write one sorted
-   key array with counts, and from those follow in the same way the continuation counts of words and
-   the totals of their contexts. With ``order`` 2, bigrams are counted in place of trigrams.
-
-Scoring maps the arrays into memory; a batch of documents looks its distinct keys up by binary
-search. The number of shards follows the number of tokens, so no task holds more than a share of the
-model. The arrays lie in the shared folder that ``spark.checkpoint.dir`` names, which must be mounted on
-the workers for mapping; ``model_dir`` names another.
-
-The model has order 3; two marks stand before each text.
+Words are numbered through a sorted array of their 64-bit hashes. A pair of words is one 64-bit key of
+two numbers, and pairs lie in an array sorted by the key's (reversible) hash; the words after a pair
+lie behind it in a second array. Training has three passes over compressed blocks of sorted keys:
+
+1. words: each task counts them and sends blocks by range of hashes; a range adds its blocks up;
+2. trigrams: each task counts them and sends blocks by range of the first pair's hash; a range adds
+   them up and writes its pairs, the words after each and their counts;
+3. pairs and words: continuation counts go on as blocks to the ranges of pairs, and from these to
+   those of words, which also take the totals by first word. With ``order`` 2 pairs are counted in
+   place of trigrams.
+
+How it grows: the number of ranges follows the bytes of the corpus, so a range fits in memory whatever
+the corpus. A task sends ``FAN`` blocks at most for each ``BLOCK_TOKENS`` tokens; beyond ``FAN`` ranges the
+blocks go on to finer ranges in a further round, so the number of blocks a token has stays bounded. Files
+hold ``BUNDLES`` runs of ranges at most; a worker keeps all of them mapped, and a batch of a million tokens
+visits each once, with its keys in order. Tables of counts have a byte a value, larger values apart.
+
+The arrays lie in the folder of ``spark.checkpoint.dir``, which must be mounted on the workers for mapping;
+``model_dir`` names another. ``scored`` stores its narrow result and then removes the model, unless
+``model_dir`` asks to keep it.
 
 Defined cases: a null text counts as empty and is scored as its end token alone. A null id
 belongs to the training part. A word that training lacks gets the uniform share of the
@@ -26,38 +29,52 @@ training part every token has the uniform share of one class. Repeated rows coun
 
 from __future__ import annotations
 
+import mmap
 import os
+import shutil
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laneforge.llm.common import saved, shared_dir
 
 #: Hashed as the end token; holds a space, so no word is equal.
 END = b" end"
-#: Tokens that a task counts before it sends a block, and tokens for each shard of the model.
-BLOCK_TOKENS, SHARD_TOKENS = 2_000_000, 2_000_000
-#: Words whose numbers a worker keeps between batches.
+#: Tokens that a task counts before it sends blocks, and bytes of text for each range of the model.
+BLOCK_TOKENS, RANGE_BYTES = 2_000_000, 16_000_000
+#: Bits of the most ranges that blocks are dealt to at once, and of the most files of a kind.
+FAN_BITS, BUNDLE_BITS = 12, 10
+#: Words whose hashes a worker keeps between batches.
 KEEP_WORDS = 200_000
-#: Stand in keys for the start of a text and for words that training lacks.
-BEGIN, OTHER = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFE)
+#: Stand in keys for the start of a text, for words that training lacks, and for "no word follows".
+BEGIN, OTHER, NOTHING = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFE), np.uint32(0xFFFFFFFF)
+START = BEGIN << np.uint64(32) | BEGIN
+LOW = np.uint64(0xFFFFFFFF)
 UNKNOWN = np.int64(-1)
+#: An odd factor, whose product modulo 2^64 can be undone, and what undoes it.
 MIX = np.uint64(0x9E3779B97F4A7C15)
+UNMIX = np.uint64(pow(int(MIX), -1, 1 << 64))
+#: Pairs whose lengths are added up to find where the words after one begin; pairs with more words after them have their totals stored.
+STEP, WIDE = 8, 16
 
 
 class Sizes(NamedTuple):
-    """What tasks need to know of a model beside its arrays."""
+    """What tasks need to know of a model beside its arrays; ``starts`` has the first word number of each bundle."""
 
     path: str
-    shards: int
+    bits: int
+    bundle_bits: int
+    starts: tuple[int, ...]
     tokens: int
     words: int
     order: int = 3
@@ -85,11 +102,12 @@ def runs_of(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.n
     """Hashes of the tokens of whole texts, lengths of the texts, and what else their rows hold, up to about ``most`` tokens at a time."""
     known, hashes, lengths, rows, n = Hashes(), [], [], [], 0
     for batch in batches:
-        for i, text in enumerate(batch.column("_text").to_pylist()):
+        others = batch.drop_columns(["_text"]).to_pylist() if batch.num_columns > 1 else [None] * len(batch)
+        for text, other in zip(batch.column("_text").to_pylist(), others, strict=True):
             words = tokens(text or b"")
             hashes.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
             lengths.append(len(words))
-            rows.append((batch, i))
+            rows.append(other)
             n += len(words)
             if n >= most:
                 yield np.concatenate(hashes), np.array(lengths), rows
@@ -101,19 +119,58 @@ def runs_of(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.n
 # ---- files -------------------------------------------------------------------------------
 
 
-def write_array(path: str, name: str, values: np.ndarray) -> None:
-    """Written aside and renamed, so a repeated task leaves the same file."""
-    aside = f"{path}/.{name}-{uuid.uuid4().hex}"
-    with open(aside, "wb") as out:
-        out.write(np.ascontiguousarray(values).tobytes())
-    os.replace(aside, f"{path}/{name}")
+class Bundle:
+    """The files of a run of ranges: written aside, range after range, and renamed at the end, so a repeated task leaves the same files."""
+
+    def __init__(self, path: str, number: int):
+        self.path, self.number, self.mark, self.files, self.length = path, number, uuid.uuid4().hex, {}, Counter()
+
+    def aside(self, name: str) -> str:
+        return f"{self.path}/.{self.mark}-{name}-{self.number}"
+
+    def add(self, name: str, values: np.ndarray) -> None:
+        if name not in self.files:
+            self.files[name] = open(self.aside(name), "wb")
+        self.files[name].write(np.ascontiguousarray(values).tobytes())
+
+    def add_small(self, name: str, values: np.ndarray) -> None:
+        """Counts in a byte each; where one has 255 or more, it stands in a second array by its place."""
+        large = np.flatnonzero(values >= 255)
+        self.add(name, np.minimum(values, 255).astype(np.uint8))
+        self.add(f"{name}.at", large.astype(np.uint64) + np.uint64(self.length[name]))
+        self.add(f"{name}.of", values[large].astype(np.uint64))
+        self.length[name] += len(values)
 
+    def close(self) -> None:
+        for name, out in self.files.items():
+            out.close()
+            os.replace(self.aside(name), f"{self.path}/{name}-{self.number}")
 
-@lru_cache(maxsize=4096)
+
+@lru_cache(maxsize=1 << 15)
 def mapped(path: str, kind: str) -> np.ndarray:
     if not os.path.getsize(path):
         return np.empty(0, kind)
-    return np.memmap(path, kind, "r")
+    with open(path, "rb") as data:
+        return np.frombuffer(mmap.mmap(data.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False), kind)
+
+
+def small(path: str, name: str, bundle: int, at: np.ndarray) -> np.ndarray:
+    """The counts at some places of a table that ``add_small`` has written."""
+    values = mapped(f"{path}/{name}-{bundle}", "u1")[at].astype(np.int64)
+    large = np.flatnonzero(values == 255)
+    if large.size:
+        place = np.searchsorted(mapped(f"{path}/{name}.at-{bundle}", "u8"), np.asarray(at)[large].astype(np.uint64))
+        values[large] = mapped(f"{path}/{name}.of-{bundle}", "u8")[place]
+    return values
+
+
+def tallied(path: str, name: str, bundle: int) -> list[int]:
+    """How many counts of a table are 1, 2, 3 and 4, how many are 3 or more, and their sum."""
+    values = mapped(f"{path}/{name}-{bundle}", "u1")
+    by = np.bincount(values, minlength=256)
+    whole = int((by[:255] * np.arange(255)).sum()) + int(mapped(f"{path}/{name}.of-{bundle}", "u8").sum())
+    return [*(int(x) for x in by[1:5]), int(by[3:].sum()), whole]
 
 
 def local(folder: str) -> str:
@@ -125,116 +182,174 @@ def local(folder: str) -> str:
     return folder
 
 
-# ---- words -------------------------------------------------------------------------------
+# ---- blocks ------------------------------------------------------------------------------
 
+BLOCKS = "range long, kind long, n long, block binary"
+WORDS, TRIGRAMS, PAIRS, CONTINUATIONS, CONTEXTS, TALLY = range(6)
+#: The arrays of each kind of block.
+ARRAYS = {WORDS: ("u8", "u4"), TRIGRAMS: ("u8", "u4", "u4"), PAIRS: ("u8", "u4"), CONTINUATIONS: ("u8", "u4"), CONTEXTS: ("u8",) * 5, TALLY: ("u8",)}
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``h`` and ``n``: how often each token occurs, by its hash."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hashes, _, _ in runs_of(batches, BLOCK_TOKENS):
-            h, n = np.unique(hashes, return_counts=True)
-            for k in range(0, len(h), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(h[k : k + 100_000].view(np.int64)), pa.array(n[k : k + 100_000])], names=["h", "n"])
+def pack(*arrays: np.ndarray) -> bytes:
+    """Sorted numbers as differences, then the other arrays, compressed."""
+    first = np.diff(arrays[0], prepend=arrays[0].dtype.type(0))
+    columns = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in (first, *arrays[1:])]  # like bytes together
+    return zstandard.compress(b"".join(columns), 1)
+
+
+def unpack(block: bytes, n: int, kind: int) -> list[np.ndarray]:
+    data, out, at = np.frombuffer(zstandard.decompress(block), np.uint8), [], 0
+    for each in map(np.dtype, ARRAYS[kind]):
+        size = each.itemsize * n
+        out.append(np.ascontiguousarray(data[at : at + size].reshape(each.itemsize, n).T).view(each).ravel())
+        at += size
+    out[0] = np.cumsum(out[0], dtype=out[0].dtype)
+    return out
 
-    return docs.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
+def blocks(range_: np.ndarray, kind: int, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One packed block for each range; arrays keep their order within it."""
+    if not len(range_):
+        return
+    order = np.argsort(range_.astype(np.uint16) if range_.max() < 1 << 16 else range_, kind="stable")
+    ends = np.flatnonzero(np.diff(range_[order].astype(np.int64), append=-1)) + 1
+    rows: list[tuple] = []
+    for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
+        at = order[a:b]
+        rows.append((int(range_[at[0]]), kind, int(b - a), pack(*(x[at] for x in arrays))))
+        if len(rows) == 256:
+            yield batch_of(rows)
+            rows = []
+    if rows:
+        yield batch_of(rows)
 
-def word_shard(h: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of a hash: shards are consecutive ranges of hashes."""
-    return ((h >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
+def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names=["range", "kind", "n", "block"])
 
-def write_words(counts: DataFrame, path: str, shards: int) -> None:
-    """Sorted hashes and their counts, by ranges of hashes; a marker row for each shard makes empty files."""
-    upper = F.shiftrightunsigned("h", 32)
-    placed = counts.select(F.floor(upper * F.lit(shards) / F.lit(1 << 32)).cast("int").alias("shard"), "h", "n")
-    marks = counts.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("n"))
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, columns in by_shard(batches, ("h", "n")):
-            h, n = columns["h"].view(np.uint64), columns["n"]
-            keep = n > 0
-            h, n = h[keep], n[keep]
-            order = np.argsort(h)
-            write_array(path, f"word-{shard}", h[order])
-            write_array(path, f"word-{shard}.n", n[order])
-            yield pa.RecordBatch.from_arrays([pa.array([shard])], names=["shard"])
+def top(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The range of each hash: its upper bits."""
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
 
-    placed.unionByName(marks).repartition(shards, "shard").mapInArrow(write, "shard long").count()
 
+def range_of(kind: int, keys: np.ndarray, bits: int) -> np.ndarray:
+    return top(keys if kind == WORDS else keys * MIX, bits)
 
-def by_shard(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
-    """The rows of a partition, by shard."""
-    found = list(batches)
-    if not found:
-        return
-    table = pa.Table.from_batches(found)
-    shard = table.column("shard").to_numpy()
-    columns = {n: table.column(n).to_numpy() for n in names}
-    for s in np.unique(shard):
-        yield int(s), {n: c[shard == s] for n, c in columns.items()}
-
-
-class Words:
-    """The numbers and counts of words, from the mapped arrays."""
-
-    def __init__(self, sizes: Sizes):
-        self.sizes = sizes
-        lengths = [os.path.getsize(f"{sizes.path}/word-{s}") // 8 for s in range(sizes.shards)]
-        self.starts = np.concatenate([[0], np.cumsum(lengths)])
-
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        """The number of each hash, -1 for those that training lacks. ``hashes`` is sorted."""
-        out = np.full(len(hashes), UNKNOWN)
-        shard = word_shard(hashes, self.sizes.shards)
-        for s in np.unique(shard):
-            at = np.flatnonzero(shard == s)
-            array = mapped(f"{self.sizes.path}/word-{s}", "u8")
-            out[at] = found_in(array, hashes[at], self.starts[s])
-        return out
-
-    def values(self, name: str, kind: str, numbers: np.ndarray, width: int = 1) -> np.ndarray:
-        """What the array ``name`` has for each number; zeros for -1. ``numbers`` is sorted."""
-        out = np.zeros((len(numbers), width) if width > 1 else len(numbers), kind)
-        shard = np.searchsorted(self.starts, numbers, "right") - 1
-        for s in np.unique(shard[numbers >= 0]):
-            at = np.flatnonzero((shard == s) & (numbers >= 0))
-            array = mapped(f"{self.sizes.path}/{name.format(s)}", kind)
-            out[at] = (array.reshape(-1, width) if width > 1 else array)[numbers[at] - self.starts[s]]
-        return out
-
-
-def found_in(array: np.ndarray, keys: np.ndarray, first: int = 0) -> np.ndarray:
-    if not len(array):
-        return np.full(len(keys), UNKNOWN)
-    at = np.minimum(np.searchsorted(array, keys), len(array) - 1)
-    return np.where(array[at] == keys, at + first, UNKNOWN)
 
+def sums_of(parts: list[list[np.ndarray]], kind: int) -> list[np.ndarray]:
+    """Blocks of one kind put together: keys in order, equal ones' counts added up."""
+    kinds = ARRAYS[kind]
+    if not parts:
+        return [np.empty(0, k) for k in (*kinds[:-1], "u8")]
+    columns = [np.concatenate([p[i] for p in parts]) for i in range(len(kinds))]
+    return list(added(columns[:-1], columns[-1].astype(np.uint64)))
 
-@lru_cache(maxsize=2)
-def words_of(sizes: Sizes) -> Words:
-    return Words(sizes)
 
+def added(keys: list[np.ndarray], counts: np.ndarray) -> list[np.ndarray]:
+    """Counts of equal keys (of one array or more) added up, in order of keys."""
+    if not len(counts):
+        return [*keys, counts]
+    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    keys, counts = [k[order] for k in keys], counts[order]
+    new = np.ones(len(counts), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    first = np.flatnonzero(new)
+    return [*(k[first] for k in keys), np.add.reduceat(counts, first)]
 
-# ---- bigrams -----------------------------------------------------------------------------
 
+def dealt(frame: DataFrame, bits: int) -> DataFrame:
+    """Blocks by coarse range, ``FAN_BITS`` of it at a time, brought to single ranges.
 
-def pack(*arrays: np.ndarray) -> bytes:
-    """Sorted numbers as differences, then the other arrays, compressed."""
-    first = np.diff(arrays[0], prepend=arrays[0].dtype.type(0))
-    columns = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in (first, *arrays[1:])]  # like bytes together
-    return zstandard.compress(b"".join(columns), 1)
+    A coarse range is shared by as many tasks as it has ranges below, so no task gets more than about
+    a range's share. Nothing is to be done up to 2 ** ``FAN_BITS`` ranges.
+    """
+    fan = FAN_BITS  # tasks get the driver's setting
 
+    def split(upto: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[int, list] = {}
+            n = 0
+            for batch in batches:
+                for kind, size, block in zip(*(batch.column(c).to_pylist() for c in ("kind", "n", "block"))):
+                    held.setdefault(kind, []).append(unpack(block, size, kind))
+                    n += size
+                    if n >= BLOCK_TOKENS:
+                        yield from sent(held, upto)
+                        held, n = {}, 0
+            yield from sent(held, upto)
 
-def unpack(block: bytes, n: int, *kinds: str) -> list[np.ndarray]:
-    data, out, at = np.frombuffer(zstandard.decompress(block), np.uint8), [], 0
-    for kind in map(np.dtype, kinds):
-        size = kind.itemsize * n
-        out.append(np.ascontiguousarray(data[at : at + size].reshape(kind.itemsize, n).T).view(kind).ravel())
-        at += size
-    out[0] = np.cumsum(out[0], dtype=out[0].dtype)
-    return out
+        return run
+
+    def sent(held: dict[int, list], upto: int) -> Iterator[pa.RecordBatch]:
+        for kind, parts in held.items():
+            arrays = sums_of(parts, kind)
+            yield from blocks(range_of(kind, arrays[0], upto), kind, *arrays[:-1], arrays[-1].astype(np.uint32))
+
+    level = fan
+    while level < bits:
+        below = 1 << (bits - level)
+        level = min(bits, level + fan)
+        frame = frame.repartition(1 << bits, "range", F.pmod(F.crc32("block"), F.lit(below))).mapInArrow(split(level), BLOCKS)
+    return frame
+
+
+def by_bundle(frame: DataFrame, bits: int, bundle_bits: int) -> DataFrame:
+    """Blocks dealt out by bundle, in order of ranges, with an empty row for each bundle."""
+    shift = bits - bundle_bits
+    marks = frame.sparkSession.range(1 << bundle_bits).select(F.shiftleft("id", shift).alias("range"), F.lit(-1).cast("long").alias("kind"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("block"))
+    placed = frame.unionByName(marks).withColumn("bundle", F.shiftright("range", shift))
+    return placed.repartition(1 << bundle_bits, "bundle").sortWithinPartitions("bundle", "range").select("bundle", "range", "kind", "n", "block")
+
+
+def ranges_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, dict[int, list]]]:
+    """Bundle, range and, by kind, the unpacked blocks of each range of a sorted partition."""
+    at, found = None, {}
+    for batch in batches:
+        for bundle, range_, kind, n, block in zip(*(c.to_pylist() for c in batch.columns)):
+            if at is not None and at != (bundle, range_):
+                yield *at, found
+                found = {}
+            at = (bundle, range_)
+            if kind >= 0:
+                found.setdefault(kind, []).append(unpack(block, n, kind))
+    if at is not None:
+        yield *at, found
+
+
+def bundles_of(batches: Iterator[pa.RecordBatch]):
+    return groupby(ranges_of(batches), key=lambda r: r[0])
+
+
+# ---- training ----------------------------------------------------------------------------
+
+
+def write_words(docs: DataFrame, path: str, bits: int) -> tuple[tuple[int, ...], int]:
+    """Sorted hashes and counts of words by ranges of hashes; gives where bundles start, and the number of tokens."""
+    first = min(bits, FAN_BITS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, _, _ in runs_of(batches, BLOCK_TOKENS):
+            h, n = np.unique(hashes, return_counts=True)
+            yield from blocks(top(h, first), WORDS, h, n.astype(np.uint32))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bundle, ranges in bundles_of(batches):
+            out, words, tokens_ = Bundle(path, bundle), 0, 0
+            for _, _, found in ranges:
+                h, n = sums_of(found.get(WORDS, []), WORDS)
+                out.add("word", h)
+                out.add_small("word.n", n)
+                words, tokens_ = words + len(h), tokens_ + int(n.sum())
+            out.close()
+            yield pa.RecordBatch.from_pydict({"bundle": [bundle], "words": [words], "tokens": [tokens_]})
+
+    bundle_bits = min(bits, BUNDLE_BITS)
+    counted = dealt(docs.mapInArrow(count, BLOCKS), bits)
+    found = by_bundle(counted, bits, bundle_bits).mapInArrow(gather, "bundle long, words long, tokens long").collect()  # a row for each bundle
+    lengths = [r.words for r in sorted(found, key=lambda r: r.bundle)]
+    return tuple(int(x) for x in np.cumsum([0, *lengths])), sum(r.tokens for r in found)
 
 
 def keys_of(numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -246,169 +361,189 @@ def keys_of(numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return before << np.uint64(32) | current
 
 
-def contexts_of(pairs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The key of the two tokens before each token."""
+def contexts_of(pairs: np.ndarray, lengths: np.ndarray, start) -> np.ndarray:
+    """What stands in ``pairs`` one token before each token; ``start`` at the start of a text."""
     contexts = np.empty_like(pairs)
     contexts[1:] = pairs[:-1]
-    contexts[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = BEGIN << np.uint64(32) | BEGIN
+    contexts[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = start
     return contexts
 
 
-def key_shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    return ((keys * MIX >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-
-
 def numbered(hashes: np.ndarray, sizes: Sizes) -> np.ndarray:
+    """The number of each word, -1 for those that training lacks."""
     distinct, back = np.unique(hashes, return_inverse=True)
-    return words_of(sizes).numbers(distinct)[back]
-
+    out, bundle = np.full(len(distinct), UNKNOWN), top(distinct, sizes.bundle_bits)
+    for b, at in groups_of(bundle):
+        place = found_in(mapped(f"{sizes.path}/word-{b}", "u8"), distinct[at])
+        out[at] = np.where(place < 0, UNKNOWN, place + sizes.starts[b])
+    return out[back]
 
-def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Equal keys' counts added up, in order of keys."""
-    if not len(keys):
-        return keys, counts
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts, first)
 
-
-def blocks(shard: np.ndarray, kind: int, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One packed block for each shard; arrays keep their order within it."""
-    order = np.argsort(shard, kind="stable")
-    ends = np.flatnonzero(np.diff(shard[order], append=-1)) + 1
+def groups_of(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each value, and where it stands, in order."""
+    if not len(of):
+        return
+    order = np.argsort(of.astype(np.uint16) if 0 <= of.min() and of.max() < 1 << 16 else of, kind="stable")
+    ends = np.flatnonzero(np.diff(of[order], append=of[order[-1]] + 1)) + 1
     for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
-        at = order[a:b]
-        yield pa.RecordBatch.from_arrays([pa.array([int(shard[at[0]])]), pa.array([kind]), pa.array([b - a]), pa.array([pack(*(x[at] for x in arrays))], pa.binary())], names=["shard", "kind", "n", "block"])
+        yield int(of[order[a]]), order[a:b]
 
 
-def added_trigrams(contexts: np.ndarray, last: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Equal trigrams' counts added up, in order of contexts and last words."""
-    if not len(contexts):
-        return contexts, last, counts
-    order = np.lexsort((last, contexts))
-    contexts, last, counts = contexts[order], last[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], (contexts[1:] != contexts[:-1]) | (last[1:] != last[:-1])]))
-    return contexts[first], last[first], np.add.reduceat(counts, first)
-
-
-BLOCKS = "shard long, kind long, n long, block binary"
-KEYS, CONTINUATIONS, CONTEXTS, TRIGRAMS = range(4)
-#: Contexts of more words have their totals stored.
-WIDE = 16
+def found_in(array: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    if not len(array):
+        return np.full(len(keys), UNKNOWN)
+    at = np.minimum(np.searchsorted(array, keys), len(array) - 1)
+    return np.where(array[at] == keys, at, UNKNOWN)
 
 
-def write_trigrams(docs: DataFrame, sizes: Sizes) -> DataFrame:
-    """The arrays of trigrams by shard of contexts; gives blocks of bigrams with their continuation counts."""
-    shards = sizes.shards
+def count_keys(docs: DataFrame, sizes: Sizes) -> DataFrame:
+    """Blocks of trigrams by range of their first pair, or of pairs for order 2."""
+    first = min(sizes.bits, FAN_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hashes, lengths, _ in runs_of(batches, BLOCK_TOKENS):
             pairs = keys_of(numbered(hashes, sizes), lengths)
-            contexts, last, n = added_trigrams(contexts_of(pairs, lengths), pairs.astype(np.uint32), np.ones(len(pairs), np.uint32))
-            yield from blocks(key_shard(contexts, shards), TRIGRAMS, contexts, last, n)
+            if sizes.order == 2:
+                keys, n = np.unique(pairs, return_counts=True)
+                yield from blocks(range_of(PAIRS, keys, first), PAIRS, keys, n.astype(np.uint32))
+                continue
+            ends = np.unique(pairs[np.cumsum(lengths) - 1])  # nothing follows these; they are listed as pairs all the same
+            contexts = np.concatenate([contexts_of(pairs, lengths, START), ends])
+            last = np.concatenate([pairs.astype(np.uint32), np.full(len(ends), NOTHING)])
+            n = np.ones(len(contexts), np.uint32)
+            n[len(pairs) :] = 0
+            contexts, last, n = added([contexts, last], n)
+            yield from blocks(range_of(TRIGRAMS, contexts, first), TRIGRAMS, contexts, last, n.astype(np.uint32))
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, rows in rows_by_shard(batches):
-            parts = [unpack(block, n, "u8", "u4", "u4") for _, n, block in rows]
-            kinds = ("u8", "u4", "u8")
-            contexts, last, n = added_trigrams(*(np.concatenate([p[i] for p in parts]).astype(k) if parts else np.empty(0, k) for i, k in enumerate(kinds)))
-            first = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]])) if len(contexts) else np.empty(0, np.int64)
-            starts = np.append(first, len(contexts))
-            wide = np.diff(starts) > WIDE
-            sums = [np.add.reduceat(x.astype(np.uint64), first)[wide] for x in (n, n == 1, n == 2, n >= 3)] if len(first) else [np.empty(0, "u8")] * 4
-            name = f"tri-{shard}"
-            write_array(sizes.path, name, contexts[first])
-            write_array(sizes.path, f"{name}.at", starts.astype(np.uint32))
-            write_array(sizes.path, f"{name}.w", last)
-            write_array(sizes.path, f"{name}.n", n.astype(np.uint32))
-            write_array(sizes.path, f"{name}.wide", np.flatnonzero(wide).astype(np.uint32))
-            write_array(sizes.path, f"{name}.sums", np.stack(sums, 1))
-            if len(contexts):
-                pairs, preceding = np.unique(contexts << np.uint64(32) | last.astype(np.uint64), return_counts=True)
-                yield from blocks(key_shard(pairs, shards), KEYS, pairs, preceding.astype(np.uint32))
-
-    return with_marks(docs.mapInArrow(count, BLOCKS), shards).mapInArrow(gather, BLOCKS)
-
-
-def with_marks(frame: DataFrame, shards: int) -> DataFrame:
-    """``frame`` dealt out by shard, with an empty row for each shard."""
-    marks = frame.sparkSession.range(shards).select(F.col("id").alias("shard"), F.lit(-1).cast("long").alias("kind"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("block"))
-    return frame.unionByName(marks).repartition(shards, "shard")
-
-
-def write_bigrams(docs: DataFrame, sizes: Sizes) -> None:
-    """The key arrays, and from them the arrays of continuations and contexts by number of word."""
-    shards = sizes.shards
+    return dealt(docs.mapInArrow(count, BLOCKS), sizes.bits)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hashes, lengths, _ in runs_of(batches, BLOCK_TOKENS):
-            keys, n = np.unique(keys_of(numbered(hashes, sizes), lengths), return_counts=True)
-            yield from blocks(key_shard(keys, shards), KEYS, keys, n.astype(np.uint32))
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = words_of(sizes)
-        for shard, rows in rows_by_shard(batches):
-            parts = [unpack(block, n, "u8", "u4") for _, n, block in rows]
-            keys, n = added(*(np.concatenate([p[i] for p in parts]).astype("u8") if parts else np.empty(0, "u8") for i in (0, 1)))
-            write_array(sizes.path, f"pair-{shard}", keys)
-            write_array(sizes.path, f"pair-{shard}.n", n.astype(np.uint32))
-            if not len(keys):
-                continue
-            many = lambda x: np.searchsorted(words.starts, x.astype(np.int64), "right") - 1
-            last, preceding = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
-            yield from blocks(many(last), CONTINUATIONS, last, preceding.astype(np.uint32))
-            before = (keys >> np.uint64(32)).astype(np.int64)
-            first = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
-            sums = [np.add.reduceat(x.astype(np.uint64), first) for x in (n, n == 1, n == 2, n >= 3)]
-            where = np.where(before[first] == int(BEGIN), 0, many(before[first]))
-            yield from blocks(where, CONTEXTS, before[first].astype(np.uint64), *sums)
+def write_trigrams(counted: DataFrame, sizes: Sizes) -> DataFrame:
+    """The pairs of each range and the words after them; gives blocks of pairs with how many words stand before each."""
+    first = min(sizes.bits, FAN_BITS)
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = words_of(sizes)
-        for shard, rows in rows_by_shard(batches):
-            start, size = words.starts[shard], words.starts[shard + 1] - words.starts[shard]
-            follow, context, begin = np.zeros(size, np.uint32), np.zeros((size, 4), np.uint64), np.zeros(4, np.uint64)
-            for kind, n, block in rows:
-                if kind == CONTINUATIONS:
-                    number, preceding = unpack(block, n, "u8", "u4")
-                    follow[number.astype(np.int64) - start] += preceding
-                else:
-                    number, *sums = unpack(block, n, *["u8"] * 5)
-                    own = number != BEGIN
-                    context[number[own].astype(np.int64) - start] += np.stack(sums, 1)[own]
-                    begin += np.stack(sums, 1)[~own].sum(0, dtype=np.uint64)
-            write_array(sizes.path, f"follow-{shard}", follow)
-            write_array(sizes.path, f"context-{shard}", context)
-            if shard == 0:
-                write_array(sizes.path, "begin", begin)
-            yield pa.RecordBatch.from_arrays([pa.array([shard])], names=["shard"])
-
-    counted = write_trigrams(docs, sizes) if sizes.order == 3 else docs.mapInArrow(count, BLOCKS)
-    with_marks(with_marks(counted, shards).mapInArrow(gather, BLOCKS), shards).mapInArrow(finish, "shard long").count()
-
-
-def rows_by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    rows: dict[int, list[tuple]] = {}
-    for batch in batches:
-        for shard, kind, n, block in zip(*(c.to_pylist() for c in batch.columns)):
-            own = rows.setdefault(shard, [])
-            if kind >= 0:
-                own.append((kind, n, block))
-    yield from rows.items()
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bundle, ranges in bundles_of(batches):
+            out, upto, pairs_ = Bundle(sizes.path, bundle), 0, 0
+            lengths: list[np.ndarray] = []
+            for _, _, found in ranges:
+                contexts, last, n = sums_of(found.pop(TRIGRAMS, []), TRIGRAMS)
+                starts = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]])) if len(contexts) else np.empty(0, np.int64)
+                real = n > 0
+                length = np.add.reduceat(real.astype(np.int64), starts) if len(starts) else starts
+                mixed = contexts[starts] * MIX
+                by_hash = np.argsort(mixed)
+                begin = (np.cumsum(length) - length)[by_hash]
+                order = np.flatnonzero(real)[ragged(begin, begin + length[by_hash])]
+                length, kept = length[by_hash], n[order]
+                out.add("pair", mixed[by_hash])
+                out.add_small("after", length)
+                out.add("third", last[order])
+                out.add_small("third.n", kept)
+                wide = np.flatnonzero(length > WIDE)
+                at = ragged((np.cumsum(length) - length)[wide], np.cumsum(length)[wide])
+                out.add("wide", wide.astype(np.uint64) + np.uint64(pairs_))
+                out.add("wide.sums", sums_by(kept[at], length[wide]).astype(np.uint64))
+                # where the words after every STEP-th pair of the bundle begin
+                lengths.append(length)
+                whole = np.concatenate(lengths)
+                full = len(whole) // STEP * STEP
+                by_step = whole[:full].reshape(-1, STEP).sum(1)
+                out.add("after.start", (upto + np.cumsum(by_step) - by_step).astype(np.uint64))
+                upto, lengths, pairs_ = upto + int(by_step.sum()), [whole[full:]], pairs_ + len(length)
+                pairs, preceding = np.unique(contexts[real] << np.uint64(32) | last[real].astype(np.uint64), return_counts=True)
+                yield from blocks(range_of(PAIRS, pairs, first), PAIRS, pairs, preceding.astype(np.uint32))
+            out.add("after.start", np.array([upto], np.uint64))
+            out.close()
+
+    return dealt(by_bundle(counted, sizes.bits, sizes.bundle_bits).mapInArrow(gather, BLOCKS), sizes.bits)
+
+
+def sums_by(n: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Of each run of counts their sum, and how many are 1, 2 and more. No run is empty."""
+    if not len(length):
+        return np.empty((0, 4), np.int64)
+    first = np.cumsum(length) - length
+    return np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (n, n == 1, n == 2, n >= 3)], 1)
+
+
+def write_pairs(pairs: DataFrame, sizes: Sizes) -> list[int]:
+    """Counts of pairs beside them; then, by number of word, continuations and totals. Gives tallies of all counts."""
+    starts = np.array(sizes.starts)
+    bundle_of = lambda numbers: np.searchsorted(starts, numbers.astype(np.int64), "right") - 1
 
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bundle, ranges in bundles_of(batches):
+            out, cursor = Bundle(sizes.path, bundle), 0
+            for _, range_, found in ranges:
+                keys, n = sums_of(found.get(PAIRS, []), PAIRS)
+                mixed = keys * MIX
+                order = np.argsort(mixed)
+                if sizes.order == 2:
+                    out.add("pair", mixed[order])
+                    out.add_small("pair.n", n[order])
+                elif len(keys):
+                    listed = mapped(f"{sizes.path}/pair-{bundle}", "u8")
+                    place = np.searchsorted(listed, mixed[order])
+                    counts = np.zeros(int(place[-1]) + 1 - cursor, np.uint64)  # pairs that start a text twice over have none
+                    counts[place - cursor] = n[order]
+                    out.add_small("pair.n", counts)
+                    cursor = int(place[-1]) + 1
+                if not len(keys):
+                    continue
+                last, preceding = np.unique(keys & LOW, return_counts=True)
+                yield from blocks(bundle_of(last), CONTINUATIONS, last, preceding.astype(np.uint32))
+                before = keys >> np.uint64(32)
+                first = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
+                sums = sums_by(n, np.diff(np.append(first, len(keys)))).astype(np.uint64)
+                of = before[first]
+                yield from blocks(np.where(of == BEGIN, 0, bundle_of(of)), CONTEXTS, of, *sums.T)
+            if sizes.order == 3:
+                out.add_small("pair.n", np.zeros(len(mapped(f"{sizes.path}/pair-{bundle}", "u8")) - cursor, np.uint64))
+            else:
+                out.add("pair", np.empty(0, np.uint64))
+            out.close()
+            thirds = tallied(sizes.path, "third.n", bundle) if sizes.order == 3 else [0] * 6
+            known = mapped(f"{sizes.path}/pair.n-{bundle}", "u1")
+            tally = np.array([*tallied(sizes.path, "pair.n", bundle), *thirds, int((known > 0).sum())], np.uint64)
+            yield batch_of([(bundle, TALLY, len(tally), pack(tally))])
 
-# ---- the model ---------------------------------------------------------------------------
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bundle, ranges in bundles_of(batches):
+            start, size = sizes.starts[bundle], sizes.starts[bundle + 1] - sizes.starts[bundle]
+            follow, context = np.zeros(size, np.uint64), np.zeros((size, 4), np.uint64)
+            begin, tally = np.zeros(4, np.uint64), np.zeros(13, np.uint64)
+            for _, _, found in ranges:
+                for number, preceding in found.get(CONTINUATIONS, []):
+                    follow[number.astype(np.int64) - start] += preceding.astype(np.uint64)
+                for number, *sums in found.get(CONTEXTS, []):
+                    own, table = number != BEGIN, np.stack(sums, 1)
+                    context[number[own].astype(np.int64) - start] += table[own]
+                    begin += table[~own].sum(0, dtype=np.uint64)
+                for (part,) in found.get(TALLY, []):
+                    tally += part
+            out = Bundle(sizes.path, bundle)
+            out.add_small("follow", follow)
+            out.add_small("context", context.ravel())
+            out.close()
+            values = [*map(int, tally), *tallied(sizes.path, "follow", bundle), *map(int, begin)]
+            yield pa.RecordBatch.from_pydict({f"t{i}": [v] for i, v in enumerate(values)})
+
+    names = [f"t{i}" for i in range(13 + 6 + 4)]
+    sent = by_bundle(pairs, sizes.bits, sizes.bundle_bits).mapInArrow(gather, BLOCKS)
+    done = by_bundle(sent, sizes.bundle_bits, sizes.bundle_bits).mapInArrow(finish, ", ".join(f"{t} long" for t in names))
+    return list(done.agg(*(F.sum(t) for t in names)).first())
 
 
 class Discounts(NamedTuple):
-    """Discounts of counts 1, 2 and more, for trigrams, bigrams and words, and what the lowest order shares."""
+    """Discounts of counts 1, 2 and more, for trigrams, pairs and words, what the lowest order shares, and totals after the start."""
 
     top: tuple[float, float, float]
     high: tuple[float, float, float]
     low: tuple[float, float, float]
-    bigrams: int
+    pairs: int
     low_share: float
+    begin: tuple[int, int, int, int]
 
 
 def discounts(tally: list[int]) -> tuple[float, float, float]:
@@ -423,31 +558,23 @@ def train(docs: DataFrame, model_dir: str | None = None, order: int = 3) -> tupl
     """Counts ``docs`` (a column ``_text`` of UTF-8 bytes), writes the arrays, and gives what scoring needs beside them."""
     if order not in (2, 3):
         raise ValueError("the order is 2 or 3")
-    spark = docs.sparkSession
-    path = f"{local(model_dir or shared_dir(spark))}/kneser-ney-{uuid.uuid4().hex}"
+    path = f"{local(model_dir or shared_dir(docs.sparkSession))}/kneser-ney-{uuid.uuid4().hex}"
     os.makedirs(path)
-    counts = saved(word_counts(docs))
-    whole = counts.agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).first()
-    tokens_, words = whole["tokens"] or 0, whole["words"]
-    if words >= int(OTHER):
+    size = docs.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    bits = max(0, -(-size // RANGE_BYTES) - 1).bit_length()
+    starts, tokens_ = write_words(docs, path, bits)
+    if starts[-1] >= int(OTHER):
         raise ValueError("keys hold numbers of 32 bits; the corpus has more distinct words")
-    sizes = Sizes(path, max(1, -(-tokens_ // SHARD_TOKENS)), tokens_, words, order)
-    write_words(counts, path, sizes.shards)
-    write_bigrams(docs, sizes)
+    sizes = Sizes(path, bits, min(bits, BUNDLE_BITS), starts, tokens_, starts[-1], order)
+    counted = count_keys(docs, sizes)
+    t = write_pairs(write_trigrams(counted, sizes) if order == 3 else counted, sizes)
+    pair, third, pairs, follow, begin = t[:6], t[6:12], t[12], t[13:19], t[19:23]
+    low = discounts(follow[:4])
+    share = (low[0] * follow[0] + low[1] * follow[1] + low[2] * follow[4]) / pairs if pairs else 1.0
+    return sizes, Discounts(discounts(third[:4]), discounts(pair[:4]), low, pairs, share, tuple(begin))
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                pairs, follow = mapped(f"{path}/pair-{shard}.n", "u4"), mapped(f"{path}/follow-{shard}", "u4")
-                top = mapped(f"{path}/tri-{shard}.n", "u4") if order == 3 else np.empty(0, "u4")
-                row = [[int((x == k).sum()) for k in range(1, 5)] + [int((x >= 3).sum()), len(pairs)] for x in (pairs, follow, top)]
-                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in sum(row, [])], names=[f"t{i}" for i in range(18)])
 
-    by_shard = spark.range(sizes.shards).repartition(min(sizes.shards, 64)).mapInArrow(tally, ", ".join(f"t{i} long" for i in range(18)))
-    t = [v or 0 for v in by_shard.agg(*(F.sum(f"t{i}") for i in range(18))).first()]
-    high, low, bigrams = discounts(t[:4]), discounts(t[6:10]), t[5]
-    low_share = (low[0] * t[6] + low[1] * t[7] + low[2] * t[10]) / bigrams if bigrams else 1.0
-    return sizes, Discounts(discounts(t[12:16]), high, low, bigrams, low_share)
+# ---- scoring -----------------------------------------------------------------------------
 
 
 def step(counts: np.ndarray, by: tuple[float, float, float]) -> np.ndarray:
@@ -455,86 +582,90 @@ def step(counts: np.ndarray, by: tuple[float, float, float]) -> np.ndarray:
     return np.array([0.0, *by])[np.minimum(counts, 3)]
 
 
+def of_words(name: str, numbers: np.ndarray, sizes: Sizes, width: int = 1) -> np.ndarray:
+    """What a table of words has for each number, a row of ``width`` values; zeros for words that training lacks."""
+    out = np.zeros((len(numbers), width), np.int64)
+    bundle = np.where(numbers < 0, -1, np.searchsorted(np.array(sizes.starts), numbers, "right") - 1)
+    for b, at in groups_of(bundle):
+        if b >= 0:
+            place = numbers[at] - sizes.starts[b]
+            out[at] = small(sizes.path, name, b, (place[:, None] * width + np.arange(width)).ravel()).reshape(-1, width)
+    return out
+
+
 def probabilities(hashes: np.ndarray, lengths: np.ndarray, sizes: Sizes, d: Discounts) -> tuple[np.ndarray, np.ndarray]:
     """The model's probability of each token, and the token's count in training."""
-    words = words_of(sizes)
     numbers = numbered(hashes, sizes)
     keys = keys_of(numbers, lengths)
-    unique, back = np.unique(keys, return_inverse=True)
-    n = np.zeros(len(unique))
-    shard = key_shard(unique, sizes.shards)
-    order = np.argsort(shard, kind="stable")
-    ends = np.flatnonzero(np.diff(shard[order], append=-1)) + 1
-    for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
-        at = order[a:b]
-        s = shard[at[0]]
-        place = found_in(mapped(f"{sizes.path}/pair-{s}", "u8"), unique[at])
-        hit = place >= 0
-        n[at[hit]] = mapped(f"{sizes.path}/pair-{s}.n", "u4")[place[hit]]
-    n = n.astype(np.int64)
-    last = (unique & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    last[last == int(OTHER)] = UNKNOWN
+    unique, back = np.unique(np.append(keys, START), return_inverse=True)
+    back, start = back[:-1], back[-1]
+    mixed = unique * MIX
+    bundle, place, n = top(mixed, sizes.bundle_bits), np.full(len(unique), UNKNOWN), np.zeros(len(unique), np.int64)
+    for b, at in groups_of(bundle):
+        found = found_in(mapped(f"{sizes.path}/pair-{b}", "u8"), mixed[at])
+        place[at], hit = found, found >= 0
+        n[at[hit]] = small(sizes.path, "pair.n", b, found[hit])
+    last = (unique & LOW).astype(np.int64)
+    last[last >= int(OTHER)] = UNKNOWN
     # the lower order: after how many words each word stands
     number, of = np.unique(last, return_inverse=True)
-    follow = words.values("follow-{}", "u4", number).astype(np.int64)[of]
-    low = np.maximum(follow - step(follow, d.low), 0) / max(1, d.bigrams) + d.low_share / (sizes.words + 1)
+    follow = of_words("follow", number, sizes)[:, 0]
+    low = (np.maximum(follow - step(follow, d.low), 0) / max(1, d.pairs) + d.low_share / (sizes.words + 1))[of]
     before = (unique >> np.uint64(32)).astype(np.int64)
-    context_number, of = np.unique(before, return_inverse=True)
-    starts = context_number == int(BEGIN)
-    context = words.values("context-{}", "u8", np.where(context_number >= int(OTHER), UNKNOWN, context_number), 4)
-    context[starts] = mapped(f"{sizes.path}/begin", "u8")
+    number, of = np.unique(before, return_inverse=True)
+    context = of_words("context", np.where(number >= int(OTHER), UNKNOWN, number), sizes, 4)
+    context[number == int(BEGIN)] = d.begin
     context = context[of].astype(float)
-    total = context[:, 0]
-    left = context[:, 1:] @ np.array(d.high)
-    p = np.where(total > 0, (np.maximum(n - step(n, d.high), 0) + left * low) / np.maximum(total, 1), low)
-    p = p[back]
+    total, left = context[:, 0], context[:, 1:] @ np.array(d.high)
+    p = np.where(total > 0, (np.maximum(n - step(n, d.high), 0) + left * low) / np.maximum(total, 1), low)[back]
     if sizes.order == 3:
-        p = third(contexts_of(keys, lengths), keys.astype(np.uint32), p, sizes, d)
-    token_number, token_of = np.unique(numbers, return_inverse=True)
-    return p, words.values("word-{}.n", "i8", token_number)[token_of]
-
-
-def third(contexts: np.ndarray, last: np.ndarray, low: np.ndarray, sizes: Sizes, d: Discounts) -> np.ndarray:
-    """The probability of each token after two others, where ``low`` is that after one."""
-    unique, back = np.unique(contexts, return_inverse=True)
-    shard = key_shard(unique, sizes.shards)
-    order = np.argsort(shard, kind="stable")
-    ends = np.flatnonzero(np.diff(shard[order], append=-1)) + 1
-    by_context = np.argsort(back, kind="stable")
-    firsts = np.concatenate([[0], np.cumsum(np.bincount(back, minlength=len(unique)))])
+        p = third(bundle, place, contexts_of(back, lengths, start), keys.astype(np.uint32), p, sizes, d)
+    number, of = np.unique(numbers, return_inverse=True)
+    return p, of_words("word.n", number, sizes)[of, 0]
+
+
+def third(bundle: np.ndarray, place: np.ndarray, context: np.ndarray, last: np.ndarray, low: np.ndarray, sizes: Sizes, d: Discounts) -> np.ndarray:
+    """The probability of each token after its context, one of the pairs placed, where ``low`` is that after one word."""
     p = low.copy()
-    for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
-        at = order[a:b]
-        name = f"{sizes.path}/tri-{shard[at[0]]}"
-        place = found_in(mapped(name, "u8"), unique[at])
-        at, place = at[place >= 0], place[place >= 0]
+    by_context = np.argsort(context, kind="stable")
+    firsts = np.concatenate([[0], np.cumsum(np.bincount(context, minlength=len(place)))])
+    for b, at in groups_of(bundle):
+        at = at[place[at] >= 0]
+        length = small(sizes.path, "after", b, place[at])
+        at, length = at[length > 0], length[length > 0]
         if not len(at):
             continue
-        starts = mapped(f"{name}.at", "u4")
-        low_end, high_end = starts[place].astype(np.int64), starts[place + 1].astype(np.int64)
-        counts = mapped(f"{name}.n", "u4")
-        sums = totals(name, place, low_end, high_end, counts)
+        begin = begins(sizes.path, b, place[at])
+        sums = totals(sizes.path, b, place[at], begin, length)
         # the tokens after these contexts
-        own = np.repeat(np.arange(len(at)), firsts[at + 1] - firsts[at])
-        token = by_context[ragged(firsts[at], firsts[at + 1])]
-        there = within(mapped(f"{name}.w", "u4"), low_end[own], high_end[own], last[token])
-        n = np.where(there >= 0, counts[np.maximum(there, 0)], 0).astype(np.int64)
+        many = firsts[at + 1] - firsts[at]
+        own, token = np.repeat(np.arange(len(at)), many), by_context[ragged(firsts[at], firsts[at + 1])]
+        there = within(mapped(f"{sizes.path}/third-{b}", "u4"), begin[own], (begin + length)[own], last[token])
+        n = np.zeros(len(there), np.int64)
+        n[there >= 0] = small(sizes.path, "third.n", b, there[there >= 0])
         left = sums[:, 1:] @ np.array(d.top)
         p[token] = (np.maximum(n - step(n, d.top), 0) + left[own] * low[token]) / sums[own, 0]
     return p
 
 
-def totals(name: str, place: np.ndarray, start: np.ndarray, end: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Of each context the sum of its counts, and how many are 1, 2 and more."""
+def begins(path: str, bundle: int, place: np.ndarray) -> np.ndarray:
+    """Where the words after each pair begin: a stored start, and the lengths of the few pairs from there."""
+    base = mapped(f"{path}/after.start-{bundle}", "u8")[place // STEP].astype(np.int64)
+    first = place // STEP * STEP
+    length = small(path, "after", bundle, ragged(first, place))
+    upto = np.concatenate([[0], np.cumsum(length)])
+    ends = np.cumsum(place - first)
+    return base + upto[ends] - upto[ends - (place - first)]
+
+
+def totals(path: str, bundle: int, place: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Of each pair the sum of the counts after it, and how many are 1, 2 and more."""
     out = np.empty((len(place), 4))
-    wide = end - start > WIDE
+    wide = length > WIDE
     if wide.any():
-        out[wide] = mapped(f"{name}.sums", "u8").reshape(-1, 4)[np.searchsorted(mapped(f"{name}.wide", "u4"), place[wide])]
-    if not wide.all():
-        start, end = start[~wide], end[~wide]
-        n = counts[ragged(start, end)].astype(np.int64)
-        first = np.concatenate([[0], np.cumsum(end - start)[:-1]])
-        out[~wide] = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (n, n == 1, n == 2, n >= 3)], 1)
+        out[wide] = mapped(f"{path}/wide.sums-{bundle}", "u8").reshape(-1, 4)[np.searchsorted(mapped(f"{path}/wide-{bundle}", "u8"), place[wide].astype(np.uint64))]
+    narrow = ~wide
+    out[narrow] = sums_by(small(path, "third.n", bundle, ragged(begin[narrow], begin[narrow] + length[narrow])), length[narrow])
     return out
 
 
@@ -545,7 +676,7 @@ def ragged(start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def within(array: np.ndarray, start: np.ndarray, end: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Where each wanted value stands in its sorted part of ``array``, or -1."""
+    """Where each wanted value stands in its sorted part of ``array``, or -1. No part is empty."""
     lo, hi = start.copy(), end - 1
     while (open_ := np.flatnonzero(lo < hi)).size:
         mid = (lo[open_] + hi[open_]) // 2
@@ -560,26 +691,37 @@ def score(docs: DataFrame, sizes: Sizes, d: Discounts) -> DataFrame:
     names = [c for c in docs.columns if c != "_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hashes, lengths, rows in runs_of(batches, BLOCK_TOKENS // 2):
+        schema = None
+        for hashes, lengths, rows in runs_of(watched(batches, kinds := {}), BLOCK_TOKENS // 2):
+            schema = schema or kinds["schema"]
             p, c = probabilities(hashes, lengths, sizes, d)
             first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
             base = np.log10((c + 0.5) / (sizes.tokens + 0.5 * (sizes.words + 1)))
             results = [lengths, np.add.reduceat((c > 0).astype(np.int64), first), np.add.reduceat(base, first), np.add.reduceat(np.log10(p), first)]
-            kept = [pa.array([batch.column(n)[i].as_py() for batch, i in rows], rows[0][0].schema.field(n).type) for n in names]
+            kept = [pa.array([r[n] for r in rows], schema.field(n).type) for n in names]
             yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, results)], names=[*names, "n_tokens", "n_known", "base_score", "score"])
 
     kept = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
     return docs.select(*names, "_text").mapInArrow(run, f"{kept}, n_tokens long, n_known long, base_score double, score double")
 
 
+def watched(batches: Iterator[pa.RecordBatch], kinds: dict) -> Iterator[pa.RecordBatch]:
+    """``batches``, whose schema is noted."""
+    for batch in batches:
+        kinds["schema"] = batch.schema
+        yield batch
+
+
 def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
 def scored(docs: DataFrame, model_dir: str | None = None, order: int = 3) -> DataFrame:
-    """Scores of all documents by a model of those that are not held out."""
+    """Scores of all documents by a model of those that are not held out; the model stays only in a ``model_dir``."""
     body = F.col("text").cast("binary").alias("_text")
     sizes, d = train(docs.where(~held_out(F.col("doc_id"))).select(body), model_dir, order)
-    out = score(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), body), sizes, d)
+    out = saved(score(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), body), sizes, d))
+    if model_dir is None:
+        shutil.rmtree(sizes.path)
     out = out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(sizes.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")

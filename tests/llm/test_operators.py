@@ -147,12 +147,18 @@ def held(doc_id):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 1
 
 
+def small_ranges(monkeypatch, fan=1, bundles=2):
+    """Ranges so small that even a few texts need several rounds of dealing and several ranges a file."""
+    for name, value in (("RANGE_BYTES", 9000), ("BLOCK_TOKENS", 3000), ("FAN_BITS", fan), ("BUNDLE_BITS", bundles)):
+        monkeypatch.setattr(kneser_ney, name, value)
+
+
 def test_language_model(spark, path, monkeypatch):
-    monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", 9000)
+    small_ranges(monkeypatch)
     docs = [(r.doc_id, [*WORD.findall(lower(r.text)), None]) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
     m = Model([w for i, w in docs if not held(i)])
     by_id = dict(docs)
-    for _, r in results(spark, "op2_lm_scoring", path):
+    for r in kneser_ney.scored(spark.read.parquet(f"{path}/documents.parquet"), order=2).collect():
         w = by_id[r.doc_id]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(r.doc_id), len(w), sum(m.words[x] > 0 for x in w), m.n)
         assert r.base_score == pytest.approx(sum(math.log10((m.words[x] + 0.5) / (m.n + 0.5 * (m.v + 1))) for x in w))
@@ -182,12 +188,14 @@ class Trigrams(Model):
         return (max(c - self.top[min(c, 3)], 0) + self.lefts[u, v] * low) / self.totals[u, v] if self.totals[u, v] else low
 
 
-def test_trigram_model(spark, path, monkeypatch):
-    monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", 9000)
+@pytest.mark.parametrize("fan", [1, 2, 12])
+def test_trigram_model(spark, path, monkeypatch, fan):
+    small_ranges(monkeypatch, fan)
     docs = [(r.doc_id, [*WORD.findall(lower(r.text)), None]) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
     m, by_id = Trigrams([w for i, w in docs if not held(i)]), dict(docs)
     for _, r in results(spark, "op2_lm_scoring", path):
         w = by_id[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(r.doc_id), len(w), sum(m.words[x] > 0 for x in w), m.n)
         assert r.score == pytest.approx(sum(math.log10(m.q(u, v, x)) for u, v, x in zip(["begin", "begin", *w], ["begin", *w], w)))
     assert sum(m.q("begin", "begin", w) for w in m.words) + m.q("begin", "begin", "never seen") == pytest.approx(1)
 
@@ -197,6 +205,24 @@ def test_the_model_beats_the_base_on_held_out_texts(spark):
     assert out[0] > out[1]
 
 
+def test_blocks_grow_with_tokens_alone(spark, monkeypatch):
+    """At twice the text there are twice the blocks, not four times, in the first round and after the last."""
+    small_ranges(monkeypatch, fan=3)
+    text = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("text").cast("binary").alias("_text")).repartition(1).cache()
+    found = []
+    for times in (1, 2):
+        docs = text
+        for k in range(1, times):  # other words, so nothing adds up
+            docs = docs.unionByName(text.select(F.encode(F.regexp_replace(F.decode("_text", "UTF-8"), r"(?=\b\w)", f"q{k}"), "UTF-8").alias("_text")))
+        sizes, _ = kneser_ney.train(docs)
+        first = kneser_ney.count_keys(docs, sizes._replace(bits=min(sizes.bits, 3))).count()
+        whole = kneser_ney.count_keys(docs, sizes)
+        tokens_ = sizes.tokens
+        found.append((first / tokens_, whole.count() / tokens_))
+        assert sizes.bits > 3
+    assert found[1][0] < 1.2 * found[0][0] and found[1][1] < 1.5 * found[0][1]
+
+
 def test_the_model_needs_a_mounted_folder():
     with pytest.raises(ValueError, match="model_dir"):
         kneser_ney.local("hdfs://nodes/checkpoints")
