@@ -4,15 +4,17 @@ A source's target is its share of all words by weight, at most ``MAX_REPEATS`` t
 document of the source is then taken ``target / size`` times on average: the whole part always, the
 rest with a chance. The flight phase moves the chances of three documents at a time along the
 null-space of the balance equations (documents, words) until one of them is certain, so both totals
-stay as they are. Long documents come first, so what stays undecided is short. It runs in blocks of a source; two undecided documents at most stay of a block
-and meet in fewer blocks in the next round, until a source has one block. What is then undecided
-(two documents a source at most) lands to the side nearest the target, with
-up to four decided documents changed to take up the rest.
-
-Defined cases: a null text has size 0, and so has a blank one; a source of size 0 takes nothing. The null source comes
-last. Repeated rows each have their own chance. Order within blocks and draws come
-from hashes of the row's id and size, so reruns agree. An empty table gives an empty result. Other columns pass through
-``mix``.
+stay as they are. Long documents come first, so what stays undecided is short. It runs in blocks of a
+source; two undecided documents at most stay of a block and meet in fewer blocks in the next round, until
+the source has one block. What is then undecided (two documents a source at most) lands to the side nearest
+the target, and documents of that last block change one or two at a time as long as that comes nearer.
+
+Defined cases: a null text has size 0, and so has a blank one; a source of size 0 takes nothing. The null
+source comes last. Repeated rows each have their own chance. Blocks, the order within them and draws come from
+hashes of the row's id, size, CRC and its number among rows alike in these, so reruns agree over any layout of
+the table, and rows alike spread over all blocks. Rows are told apart by their address in the table. An empty
+table gives an empty result. Other columns pass through ``mix``. The table of sources, a row for each, is ranked in
+one task.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from laneforge.llm.common import count_words, saved, unused
+from laneforge.llm.common import addressed, count_words, numbered_within, saved, text_crc32, unused
 
 MAX_REPEATS = 3
 #: Rows of a block of the flight phase.
@@ -81,7 +83,7 @@ def flight(chance: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarra
 def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Certain chances: of all ways to decide the undecided rows, the one nearest to their total.
 
-    What is then left of the difference in words is taken up by changing up to four decided rows.
+    What is then left of the difference in words is taken up by changing rows, one or two at a time.
     """
     open_rows = np.flatnonzero((chance > 0) & (chance < 1))
     want = (chance[open_rows] * size[open_rows]).sum()
@@ -91,10 +93,7 @@ def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     out = chance.copy()
     out[open_rows] = [float(best >> j & 1) for j in range(len(open_rows))]
     short = want - total(best)
-    for _ in range(2):
-        chosen = nearest(np.where(out == 0, size, -size), short)
-        if not chosen:
-            break
+    while chosen := nearest(np.where(out == 0, size, -size), short):
         for k in chosen:
             short -= size[k] if out[k] == 0 else -size[k]
             out[k] = 1 - out[k]
@@ -108,7 +107,7 @@ def nearest(gains: np.ndarray, short: float) -> tuple[int, ...]:
     order = np.argsort(gains, kind="stable")
     ranked = gains[order]
     one = int(np.abs(short - gains).argmin())
-    options = [(abs(short), ()), (abs(short - gains[one]), (one,))]
+    options = [(abs(short) - EPSILON, ()), (abs(short - gains[one]), (one,))]
     place = np.searchsorted(ranked, short - ranked)
     for step in (-1, 0, 1):
         other = np.clip(place + step, 0, len(ranked) - 1)
@@ -118,24 +117,26 @@ def nearest(gains: np.ndarray, short: float) -> tuple[int, ...]:
     return min(options, key=lambda o: (o[0], len(o[1])))[1]
 
 
-def move(last: bool):
+def move(most: int):
+    """The flight of a block; a source that has no more than one block of ``most`` rows lands at once."""
+
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["size", "h", "row"], ascending=[False, True, True])
+        block = block.sort_values(["size", "h", "file", "at"], ascending=[False, True, True, True])
         size = block["size"].to_numpy(np.int64)
         mixed = block["h"].to_numpy(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # rows of one size come in order of h
         draws = (mixed >> np.uint64(11)) * 2.0**-53
         chance = flight(block["chance"].to_numpy(float), size, draws)
-        block["chance"] = landing(chance, size) if last else chance
+        block["chance"] = landing(chance, size) if block["source_rows"].iloc[0] <= most else chance
         return block.drop(columns="block")
 
     return run
 
 
-COLUMNS = "row long, source_key long, size long, h long, chance double, source_rows long"
+COLUMNS = "file long, at long, source_key long, size long, h long, chance double, source_rows long"
 
 
 def decided(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``row`` and ``chance`` (0 or 1) from rows of ``COLUMNS``; one round of blocks after the other."""
+    """Address and ``chance`` (0 or 1) from rows of ``COLUMNS``; one round of blocks after the other."""
     done: list[DataFrame] = []
     count = "source_rows"
     most = rows.agg(F.max(count)).first()[0] or 0
@@ -144,9 +145,9 @@ def decided(rows: DataFrame, block: int = BLOCK) -> DataFrame:
         last = most <= block
         blocks = F.ceil(F.col(count) / block)
         keyed = rows.withColumn("block", F.pmod(F.xxhash64("h", F.lit(k)), blocks))
-        moved = saved(keyed.groupBy("source_key", "block").applyInPandas(move(last), COLUMNS))
+        moved = saved(keyed.groupBy("source_key", "block").applyInPandas(move(block), COLUMNS))
         certain = (F.col("chance") == 0) | (F.col("chance") == 1)
-        done.append(moved.where(certain).select("row", "chance"))
+        done.append(moved.where(certain).select("file", "at", "chance"))
         if last:
             break
         # two rows of each block at most are left
@@ -159,33 +160,37 @@ def decided(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     return out
 
 
-def copies(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), block: int = BLOCK) -> DataFrame:
-    """``row``, ``doc_id``, ``size``, ``source_size``, ``target`` and ``copies`` for each row of ``docs``.
+def copies(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), block: int = BLOCK, is_table: bool = False) -> DataFrame:
+    """``doc_id``, ``size``, ``source_size``, ``target`` and ``copies`` for each row of ``docs``, and its address ``file``, ``at``."""
+    told, keys = addressed(docs, is_table)
+    return copies_of(told, keys, weights, block)
 
-    ``row`` is the row's number from ``monotonically_increasing_id``.
-    """
-    narrow = saved(docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row")))
+
+def copies_of(told: DataFrame, keys: list[str], weights: tuple[float, ...], block: int) -> DataFrame:
+    """``copies`` for rows that have the address ``keys``."""
+    narrow = saved(told.select("doc_id", "source", count_words(F.col("text")).alias("size"), text_crc32(F.col("text")).alias("crc"), *(F.col(k).alias(a) for k, a in zip(keys, ("file", "at")))))
     shares = saved(targets(narrow.select("source", "size"), weights).withColumn("source_key", F.xxhash64("source", F.col("source").isNull())))
     rated = narrow.join(shares, narrow["source"].eqNullSafe(shares["source"])).drop(shares["source"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rated = rated.withColumn("whole", F.floor(rate + EPSILON)).withColumn("chance", F.greatest(F.lit(0.0), rate - F.col("whole")))
-    part = rated.select("row", "source_key", "size", F.xxhash64("doc_id", "size").alias("h"), "chance", "source_rows").where(F.col("chance") > 0)
+    part = rated.where(F.col("chance") > 0).withColumn("same", F.xxhash64("source_key", "doc_id", "size", "crc"))
+    part = numbered_within(part.select("file", "at", "source_key", "size", "same", "chance", "source_rows"), "same", "copy", ["file", "at"])
+    part = saved(part.select("file", "at", "source_key", "size", F.xxhash64("same", "copy").alias("h"), "chance", "source_rows"))
     drawn = decided(part, block).withColumnRenamed("chance", "drawn")
-    out = rated.join(drawn, "row", "left")
-    return out.select("row", "doc_id", "size", "source_size", "target", (F.col("whole") + F.coalesce("drawn", F.lit(0.0))).cast("long").alias("copies"))
-
+    out = rated.join(drawn, ["file", "at"], "left")
+    return out.select("file", "at", "doc_id", "size", "source_size", "target", (F.col("whole") + F.coalesce("drawn", F.lit(0.0))).cast("long").alias("copies"))
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3)) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, in the columns of ``docs``.
 
-    ``docs`` is read twice and must number its rows alike both times, as a stored table does.
-    """
-    names, row, many, copy = docs.columns, unused(docs, "row"), unused(docs, "copies"), unused(docs, "copy")
-    taken = copies(docs.select("doc_id", "source", "text"), weights).where("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(many))
-    held = docs.withColumn(row, F.monotonically_increasing_id()).join(taken.hint("shuffle_hash"), row)
-    return held.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*names)
+def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), is_table: bool = False) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, in the columns of ``docs``."""
+    told, keys = addressed(docs, is_table)
+    many, copy = unused(told, "copies"), unused(told, "copy")
+    taken = copies_of(told.select("doc_id", "source", "text", *keys), keys, weights, BLOCK).where("copies > 0")
+    taken = taken.select(F.col("file").alias(keys[0]), F.col("at").alias(keys[1]), F.col("copies").alias(many))
+    held = told.join(taken, keys)
+    return held.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """What the mix takes of each document."""
-    return copies(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    """What the mix takes of each document of a stored table."""
+    return copies(docs, is_table=True).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

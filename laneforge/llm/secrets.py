@@ -10,9 +10,9 @@ Spans count code points, end exclusive, leftmost and not overlapping within a ki
 ``assign``, ``access`` and ``hex`` come first; the others are this method's own.
 
 Defined cases: a null text counts as empty and has no spans; redaction leaves it null. Texts are
-searched whole. Rows repeat and ids may be null: rows are told apart by number, so ``docs`` must
-number its rows alike when it is read again, as a stored table does. An empty table gives an empty
-result. Other columns pass through ``redact``.
+searched whole. Rows repeat and ids may be null: rows are told apart by their address in the table, which
+is the same at every read; ``is_table`` says that ``docs`` is a plain read of one, else it is stored first. An
+empty table gives an empty result. Other columns pass through ``redact``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from laneforge.llm.common import saved, unused
+from laneforge.llm.common import addressed, saved, unused
 
 
 class Rule(NamedTuple):
@@ -134,30 +134,20 @@ def one_of(trigrams: list[str]) -> str:
 # ---- index, candidates, verification -----------------------------------------------------
 
 
-def numbered(docs: DataFrame, row: str = "_row") -> DataFrame:
-    return docs.withColumn(row, F.monotonically_increasing_id())
-
-
-def postings(docs: DataFrame, trigrams: list[str], text: str = "text") -> DataFrame:
-    """``trigram`` and ``_row`` for the trigrams of a list that a row's text holds, in any case."""
+def postings(told: DataFrame, keys: list[str], trigrams: list[str], text: str = "text") -> DataFrame:
+    """``trigram`` and a row's address for the trigrams of a list that the row's text holds, in any case."""
     found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"(?=({one_of(trigrams)}))"), F.lit(1)))
-    return numbered(docs).select("_row", F.explode(found).alias("trigram"))
+    return told.select(*keys, F.explode(found).alias("trigram"))
 
 
-def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """``_row`` and ``_rules``, the numbers of the rules whose trigram query the row satisfies."""
+def candidates(told: DataFrame, keys: list[str], rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """A row's address and ``_rules``, the numbers of the rules whose trigram query the row satisfies."""
     terms = [(t, n, k, len(way)) for n, r in enumerate(rules) for k, way in enumerate(trigram_query(r.pattern)) for t in sorted(way)]
-    index = postings(docs.select(text), sorted({t for t, *_ in terms}), text)
+    index = postings(told, keys, sorted({t for t, *_ in terms}), text)
     literal = F.array(*(F.struct(F.lit(t).alias("trigram"), F.lit(n).alias("rule"), F.lit(k).alias("way"), F.lit(size).alias("need")) for t, n, k, size in terms))
-    asked = docs.sparkSession.range(1).select(F.inline(literal))  # as many rows as the rules have trigrams
-    met = index.join(F.broadcast(asked), "trigram").groupBy("_row", "rule", "way", "need").count().where(F.col("count") == F.col("need"))
-    return met.groupBy("_row").agg(F.collect_set("rule").alias("_rules"))
-
-
-def with_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``_row`` and the rules to search them with, beside those that search all."""
-    found = saved(candidates(docs, rules, text))
-    return numbered(docs).join(found.hint("shuffle_hash"), "_row", "left")
+    asked = told.sparkSession.range(1).select(F.inline(literal))  # as many rows as the rules have trigrams
+    met = index.join(F.broadcast(asked), "trigram").groupBy(*keys, "rule", "way", "need").count().where(F.col("count") == F.col("need"))
+    return met.groupBy(*keys).agg(F.collect_set("rule").alias("_rules"))
 
 
 def applies(n: int, rule: Rule) -> Column:
@@ -171,13 +161,14 @@ def quick(rule: Rule) -> str:
     return rule.pattern[:-1] + f"{{{rule.least},}}" if rule.pattern == "[0-9a-f]+" else rule.pattern
 
 
-def matches(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """``_row``, ``rule``, ``start`` and ``end`` of every match that is kept.
+def matches(told: DataFrame, keys: list[str], rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """The address, ``rule``, ``start`` and ``end`` of every match that is kept, of rows with the address ``keys``.
 
     The pieces that an expression's matches part a text into tell where the matches lie.
     """
-    small = with_rules(docs.select(text), rules, text)
-    body = F.col(text)
+    texts = told.select(*keys, F.col(text).alias("_text"))
+    small = texts.join(saved(candidates(texts, keys, rules, "_text")), keys, "left")
+    body = F.col("_text")
 
     def of(n: int, rule: Rule) -> Column:
         pattern = quick(rule)
@@ -189,26 +180,31 @@ def matches(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
 
     none = F.array().cast("array<struct<rule:int,at:int,gap:int,size:int,kept:boolean>>")
     every = F.flatten(F.array(*(F.coalesce(of(n, r), none) for n, r in enumerate(rules))))
-    rows = small.select("_row", F.explode(every).alias("m")).select("_row", "m.*")
-    run = Window.partitionBy("_row", "rule").orderBy("at")
+    rows = small.select(*keys, F.explode(every).alias("m")).select(*keys, "m.*")
+    run = Window.partitionBy(*keys, "rule").orderBy("at")
     placed = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(run)).where("kept")
-    return placed.select("_row", "rule", (F.col("end") - F.col("size")).alias("start"), "end")
+    return placed.select(*keys, "rule", (F.col("end") - F.col("size")).alias("start"), "end")
+
+
+def listed(told: DataFrame, keys: list[str], rules: tuple[Rule, ...], text: str, name: str) -> DataFrame:
+    """The address of each row with matches, and these as structs of start, rule and end, in order."""
+    return matches(told, keys, rules, text).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("start", "rule", "end"))).alias(name))
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", is_table: bool = False) -> DataFrame:
     """The rows of ``docs`` without their text, with ``found``: structs of start, rule and end, in order."""
-    row, names = unused(docs, "row"), [c for c in docs.columns if c not in (text, "found")]
-    spans = matches(docs, rules, text).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "rule", "end"))).alias("found"))
+    told, keys = addressed(docs, is_table)
+    names = [c for c in docs.columns if c not in (text, "found")]
     none = F.array().cast("array<struct<start:bigint,rule:int,end:bigint>>")
-    held = numbered(docs.select(*names), row).join(spans.withColumnRenamed("_row", row), row, "left")
+    held = told.select(*names, *keys).join(listed(told, keys, rules, text, "found"), keys, "left")
     return held.select(*names, F.coalesce("found", none).alias("found"))
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", is_table: bool = False) -> DataFrame:
     """``docs`` with each secret replaced by ``[kind]``; spans that overlap are replaced as one."""
-    row, found = unused(docs, "row"), unused(docs, "found")
-    spans = matches(docs, rules, text).groupBy(F.col("_row").alias(row)).agg(F.array_sort(F.collect_list(F.struct("start", "rule", "end"))).alias(found))
-    held = numbered(docs, row).join(spans.hint("shuffle_hash"), row, "left")
+    told, keys = addressed(docs, is_table)
+    found = unused(told, "found")
+    held = told.join(listed(told, keys, rules, text, found), keys, "left")
     kinds = F.array(*(F.lit(f"[{r.kind}]") for r in rules))
     body = F.col(text)
     part = lambda start, end: F.substring(body, start + 1, end - start)
@@ -230,8 +226,8 @@ def span_text(found: Column) -> Column:
 
 
 def found_secrets(docs: DataFrame) -> DataFrame:
-    """Counts, spans and their digest by document."""
-    out = scan(docs.select("doc_id", "text"))
+    """Counts, spans and their digest by document of a stored table."""
+    out = scan(docs.select("doc_id", "text"), is_table=True)
     count = lambda n: F.size(F.filter("found", lambda s: s["rule"] == n)).cast("long")
     base = F.filter("found", lambda s: s["rule"] < len(BASE))
     return out.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laneforge.llm.common import saved, unused
+from laneforge.llm.common import addressed, saved, unused
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 #: Fingerprints that share a variant and are still joined with each other.
@@ -194,19 +194,17 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", id_col:
     return prints.join(named, "fp").select("id", "fp", "component")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text: str = "text", is_table: bool = False) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id; any id comes before null.
 
-    If that id stands on several rows of the group, the first of them by row number stays. Rows are
-    told apart by number, so ``docs`` should be a stored table.
+    If that id stands on several rows of the group, the first of them by address stays.
     """
-    row = unused(docs, "row")
-    told = docs.withColumn(row, F.monotonically_increasing_id())
-    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+    told, keys = addressed(docs, is_table)
+    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), *(F.col(k).alias(a) for k, a in zip(keys, ("file", "at"))))
     prints = saved(fingerprints(told.select(place.alias("place"), F.col(text).alias("text")), shingle, "text", "place"))
     _, smallest = rooted(prints)
-    chosen = saved(smallest.select(F.col("component.row").alias(row)))
-    return told.join(chosen.hint("shuffle_hash"), row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    chosen = saved(smallest.select(*(F.col(f"component.{a}").alias(k) for k, a in zip(keys, ("file", "at")))))
+    return told.join(chosen, keys, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def clusters(docs: DataFrame) -> DataFrame:

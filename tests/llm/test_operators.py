@@ -23,6 +23,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from conftest import SF
 
 from laneforge.llm import kneser_ney, licenses, matroska, mixing, quality, queries, secrets, sharding, simhash, tokens
+from laneforge.llm.common import addressed
 
 PROSE = "\n".join(f"{' '.join(w[k::7])}." for w in ["the quick brown fox jumps over a lazy dog while seven wizards box five jugs of liquor and my quiet friends watch them play chess under old trees near a river that runs past green fields toward distant hills where sheep graze all summer long until snow falls again each winter night".split()] for k in range(7))
 
@@ -111,6 +112,90 @@ def test_ties_split_at_the_median(spark, tmp_path):
     assert sorted(r["count"] for r in out) == [500] * 4
 
 
+def kd_tree(points, names, leaves, first=0):
+    """The shard of each point (bins, tie, size) by the same splits, one node after the other."""
+    if leaves == 1 or not points:
+        return {p: first for p in points}
+    widths = []
+    for dim in range(4):
+        bins = {b[dim] for b, *_ in points}
+        widths.append((len(bins) - 1) * 255.0 / max(1, names[dim - 1] - 1) if dim in (1, 2) else float(max(bins) - min(bins)))
+    dim = max(range(4), key=lambda d: (widths[d], -d))
+    goal, upto, by_bin = sum(p[2] for p in points) * (leaves // 2) / leaves, 0, collections.Counter()
+    for b, _, size, *_ in points:
+        by_bin[b[dim]] += size
+    for at in sorted(by_bin):
+        upto += by_bin[at]
+        if upto >= goal:
+            break
+    before, ties = upto - by_bin[at], collections.Counter()
+    for b, tie, size, *_ in points:
+        if b[dim] == at:
+            ties[tie] += size
+    run, ways = before, []
+    for tie in sorted(ties):
+        run += ties[tie]
+        ways.append((abs(run - goal), tie))
+    last = -1 if abs(before - goal) <= min(ways)[0] else min(ways)[1]
+    left = [p for p in points if p[0][dim] < at or p[0][dim] == at and p[1] <= last]
+    right = [p for p in points if not (p[0][dim] < at or p[0][dim] == at and p[1] <= last)]
+    return kd_tree(left, names, leaves // 2, first) | kd_tree(right, names, leaves - leaves // 2, first + leaves // 2)
+
+
+@pytest.mark.parametrize("n", [1, 5, 40])
+def test_shards_are_those_of_a_brute_force_tree(spark, path, n):
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    told, keys = addressed(docs, True)
+    points, names = sharding.points(told, keys)
+    points = points.collect()
+    by_id = {r.doc_id: (r.source, r.lang) for r in docs.collect()}
+    code = lambda x: zlib.crc32(x.encode()) % 256 if x is not None else 0
+    sizes = [math.log2(p["size"]) for p in points]
+    for p in points:
+        assert p.bins[1:3] == [code(x) for x in by_id[p.id]]
+        share = (math.log2(p["size"]) - min(sizes)) / (max(sizes) - min(sizes))
+        assert abs(p.bins[0] - min(255, 256 * share)) <= 1.001
+    assert names == [len({p.bins[k] for p in points}) for k in (1, 2)]
+    want = kd_tree([(tuple(p.bins), p.tie, p["size"], p.file, p["at"]) for p in points], names, n)
+    out = {(r.file, r["at"]): r.shard for r in sharding.shards(docs, n, is_table=True).collect()}
+    assert out == {k[3:]: v for k, v in want.items()}
+
+
+def test_rows_alike_split_too(spark, tmp_path):
+    """A third of all rows agree in id, text and all else, and still every shard gets its share."""
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("text "), F.col("id"))).alias("text"), F.lit("s").alias("source"))
+    df.repartition(3).write.parquet(f"{tmp_path}/d")
+    out = sharding.shards(spark.read.parquet(f"{tmp_path}/d"), 8).groupBy("shard").agg(F.sum("size").alias("s"), F.count("*").alias("n"), F.max("slot").alias("top")).collect()
+    assert len(out) == 8 and max(r.s for r in out) < 1.05 * min(r.s for r in out) and all(r.top == r.n - 1 for r in out)
+
+
+@pytest.fixture
+def resplit(spark):
+    """Runs an operator's eager part with one split of scans into tasks, and its last read with another."""
+    def run(make):
+        key = "spark.sql.leafNodeDefaultParallelism"
+        try:
+            spark.conf.set(key, 6)
+            df = make()
+            spark.conf.set(key, 2)
+            return collections.Counter(map(str, df.collect()))
+        finally:
+            spark.conf.unset(key)
+
+    return run
+
+
+def test_rows_stay_whole_however_scans_are_split(spark, tmp_path, resplit):
+    spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for make in (
+        lambda: queries.op3_secret_scans(spark, str(tmp_path)), lambda: secrets.redact(docs, is_table=True), lambda: mixing.mix(docs, is_table=True),
+        lambda: sharding.assign(docs, 7, is_table=True), lambda: simhash.keep_one(docs, is_table=True), lambda: secrets.redact(docs.where("doc_id % 2 = 0").union(docs)),
+    ):
+        assert resplit(make) == collections.Counter(map(str, make().collect()))
+    assert mixing.mix(docs, is_table=True).count() > 300 and sharding.assign(docs, 7, is_table=True).count() == docs.count()
+
+
 # ---- 2 -----------------------------------------------------------------------------------
 
 
@@ -520,8 +605,8 @@ def test_reruns_agree_and_caps_are_reshared(spark, tmp_path):
     found = [(k, "w " * rng.randrange(1, 60), "big" if k % 50 else f"s{k % 7}") for k in range(4000)] + [(9000, "w w", "a"), (9001, "w", None)]
     spark.createDataFrame(found, "doc_id long, text string, source string").repartition(5).write.parquet(f"{tmp_path}/d")
     docs = spark.read.parquet(f"{tmp_path}/d")
-    one = sorted(mixing.copies(docs, block=300).drop("row").collect())
-    assert one == sorted(mixing.copies(docs, block=300).drop("row").collect())
+    one = sorted(mixing.copies(docs, block=300).drop("file", "at").collect())
+    assert one == sorted(mixing.copies(docs.repartition(3), block=300).drop("file", "at").collect())
     by_source, shown = dict((i, s) for i, _, s in found), collections.Counter()
     for r in one:
         shown[by_source[r.doc_id]] += r.copies * r["size"]
@@ -532,6 +617,32 @@ def test_reruns_agree_and_caps_are_reshared(spark, tmp_path):
     assert mixed.columns == docs.columns and mixed.where("row <> 'r' OR copies <> 'c'").isEmpty() and mixed.groupBy("doc_id").count().where("count > 3").isEmpty()
 
 
+def test_a_hot_id_spreads_over_blocks(spark, tmp_path):
+    """Rows alike, or of no id, lie in many blocks, and the source comes to its target."""
+    df = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("a b c").alias("text"), F.when(F.col("id") % 10 < 7, "big").otherwise("small").alias("source"))
+    df.repartition(4).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    seen = []
+    def watched(rows, block):
+        seen.append(rows.withColumn("block", F.pmod(F.xxhash64("h", F.lit(0)), F.ceil(F.col("source_rows") / block))).groupBy("source_key", "block").count().agg(F.max("count")).first()[0])
+        return real(rows, block)
+    real, mixing.decided = mixing.decided, watched
+    try:
+        out = mixing.copies(docs, block=200).join(docs.select("doc_id", "source").distinct(), "doc_id").groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target")).collect()
+    finally:
+        mixing.decided = real
+    assert seen[0] < 400 and len(out) == 2
+
+
+def test_one_long_document_does_not_miss_the_target(spark, tmp_path):
+    found = [(k, "w " * (1 + k % 5), "a") for k in range(900)] + [(900, "w " * 1500, "a")] + [(1000 + k, "w " * 3, "b") for k in range(600)]
+    spark.createDataFrame(found, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/d")
+    out = mixing.copies(spark.read.parquet(f"{tmp_path}/d"), block=1000).collect()
+    want = brute_targets({"a": 4200, "b": 1800})
+    taken = {s: sum(r.copies * r["size"] for r in out if (r.doc_id < 1000) == (s == "a")) for s in "ab"}
+    assert all(abs(taken[s] - want[s]) <= 3 for s in want), (taken, want)
+
+
 def test_flight_keeps_both_totals():
     rng = np.random.default_rng(3)
     chance, size = rng.random(500), rng.integers(1, 900, 500)
