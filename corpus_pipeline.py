@@ -21,17 +21,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near copies."""
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, is_table=True)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets replaced by markers."""
-    return secrets.redact(docs)
+    return secrets.redact(docs, is_table=True)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it."""
-    return mixing.mix(docs)
+    return mixing.mix(docs, is_table=True)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
