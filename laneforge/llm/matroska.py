@@ -2,12 +2,14 @@
 
 ``pack`` writes a payload as a Matroska file: EBML header, segment, info, one audio track, clusters
 of simple blocks with every kind of lacing, and cues. ``packets`` parses such files, or others, into
-a table of packets with timestamps, tracks and byte ranges. The parser takes elements of any
-length, sizes of one to eight bytes, unknown sizes of segments and clusters, void and checksum
-elements, simple blocks and block groups, and the four kinds of lacing.
-
-Defined cases: a null payload counts as empty. A null media value has no packets. Bytes that are
-not Matroska raise an error that names what is wrong. Equal payloads give equal files. Other
+a table of packets with timestamps, tracks and byte ranges, and whether a cue points to them. The parser
+takes elements of any length, sizes of one to eight bytes, unknown sizes of segments and clusters, void and
+checksum elements, simple blocks and block groups, and the four kinds of lacing. A block of a group is a key
+frame if it refers to no other block.
+
+Defined cases: a null payload counts as empty. A null media value has no packets. Bytes that are not
+Matroska, or are damaged, raise ``MatroskaError``, which says what is wrong and at which byte; with ``errors`` as
+"column" such a value gives one row, without a packet, that says it. Equal payloads give equal files. Other
 columns pass through ``packets``.
 """
 
@@ -32,7 +34,7 @@ CHAPTERS, TAGS, ATTACHMENTS = 0x1043A770, 0x1254C367, 0x1941A469
 TIMESTAMP_SCALE, DURATION, MUXING_APP, WRITING_APP = 0x2AD7B1, 0x4489, 0x4D80, 0x5741
 TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC_ID, DEFAULT_DURATION, FLAG_LACING = 0xAE, 0xD7, 0x73C5, 0x83, 0x86, 0x23E383, 0x9C
 AUDIO, SAMPLING_FREQUENCY, CHANNELS, BIT_DEPTH = 0xE1, 0xB5, 0x9F, 0x6264
-TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, BLOCK_DURATION = 0xE7, 0xA3, 0xA0, 0xA1, 0x9B
+TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, BLOCK_DURATION, REFERENCE_BLOCK = 0xE7, 0xA3, 0xA0, 0xA1, 0x9B, 0xFB
 CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 TOP_LEVEL = {SEEK_HEAD, INFO, TRACKS, CLUSTER, CUES, CHAPTERS, TAGS, ATTACHMENTS}
 NO_LACING, XIPH, FIXED, EBML_LACING = range(4)
@@ -98,6 +100,10 @@ def pack(payload: bytes) -> bytes:
 # ---- parsing -----------------------------------------------------------------------------
 
 
+class MatroskaError(ValueError):
+    """Bytes that are no Matroska file, or a damaged one."""
+
+
 class Packet(NamedTuple):
     track: int
     timestamp_ns: int
@@ -106,15 +112,16 @@ class Packet(NamedTuple):
     keyframe: bool
     lacing: int
     cluster: int
+    cued: bool
 
 
 def varint(data: bytes, at: int, keep_marker: bool = False) -> tuple[int, int, bool]:
     """A variable-length number, where it ends, and whether all its bits are ones."""
     if at >= len(data) or not data[at]:
-        raise ValueError(f"no variable-length number at byte {at}")
+        raise MatroskaError(f"no variable-length number at byte {at}")
     width = 9 - data[at].bit_length()
     if at + width > len(data):
-        raise ValueError(f"a number is cut off at byte {at}")
+        raise MatroskaError(f"a number is cut off at byte {at}")
     n = int.from_bytes(data[at : at + width], "big")
     mask = (1 << 7 * width) - 1
     return n if keep_marker else n & mask, at + width, n & mask == mask
@@ -133,7 +140,7 @@ def elements(data: bytes, at: int, end: int, until: frozenset | set = frozenset(
         else:
             stop = body + size
         if stop > end:
-            raise ValueError(f"element {ident:X} at byte {at} runs past its parent")
+            raise MatroskaError(f"element {ident:X} at byte {at} runs past its parent")
         yield ident, body, stop
         at = stop
 
@@ -160,7 +167,7 @@ def block_frames(data: bytes, at: int, end: int) -> tuple[int, int, int, list[tu
     count, at, sizes = data[at] + 1, at + 1, []
     if kind == FIXED:
         if (end - at) % count:
-            raise ValueError("a block's frames of fixed size don't fill it")
+            raise MatroskaError(f"frames of fixed size don't fill the block that ends at byte {end}")
         sizes = [(end - at) // count] * count
     else:
         for k in range(count - 1):
@@ -177,7 +184,7 @@ def block_frames(data: bytes, at: int, end: int) -> tuple[int, int, int, list[tu
             sizes.append(n)
         sizes.append(end - at - sum(sizes))
     if min(sizes) < 0:
-        raise ValueError("a block's frames run past its end")
+        raise MatroskaError(f"frames run past the block that ends at byte {end}")
     frames = []
     for n in sizes:
         frames.append((at, at + n))
@@ -187,17 +194,26 @@ def block_frames(data: bytes, at: int, end: int) -> tuple[int, int, int, list[tu
 
 def parse(data: bytes) -> tuple[dict, list[Packet]]:
     """What a file says of itself, and its packets in the order of storage."""
+    at = [0]  # where the element begins that is being read
+    try:
+        return parsed(data, at)
+    except (KeyError, IndexError, struct.error, UnicodeDecodeError, StopIteration) as error:
+        raise MatroskaError(f"the element before byte {at[0]} lacks a part or is cut off ({type(error).__name__})") from error
+
+
+def parsed(data: bytes, reading: list[int]) -> tuple[dict, list[Packet]]:
     top = elements(data, 0, len(data))
-    ident, at, end = next(top)
+    ident, at, end = next(top, (0, 0, 0))
     if ident != EBML or not any(i == DOC_TYPE and data[a:b] in (b"matroska", b"webm") for i, a, b in elements(data, at, end)):
-        raise ValueError("not a Matroska file")
+        raise MatroskaError("not a Matroska file: no header of that type at byte 0")
     about = {"scale": 1_000_000, "tracks": {}, "cues": [], "clusters": 0, "duration": 0.0}
-    packets: list[Packet] = []
+    found: list[tuple[Packet, tuple[int, int, int]]] = []  # with track, time and cluster position, as cues have them
     for ident, at, end in top:
         if ident != SEGMENT:
             continue
-        about["segment"], cluster_starts = at, []
+        about["segment"], number_of_clusters, before = at, 0, at
         for kind, a, b in elements(data, at, end, TOP_LEVEL):
+            reading[0] = b
             if kind == INFO:
                 for i, x, y in elements(data, a, b):
                     if i == TIMESTAMP_SCALE:
@@ -210,25 +226,38 @@ def parse(data: bytes) -> tuple[dict, list[Packet]]:
                         of = {j: (p, q) for j, p, q in elements(data, x, y)}
                         about["tracks"][unsigned(data, *of[TRACK_NUMBER])] = {"codec": data[slice(*of[CODEC_ID])].decode(), "frame_ns": unsigned(data, *of[DEFAULT_DURATION]) if DEFAULT_DURATION in of else 0}
             elif kind == CLUSTER:
-                cluster_starts.append(a)
-                time = 0
-                for i, x, y in elements(data, a, b):
-                    if i == TIMESTAMP:
-                        time = unsigned(data, x, y)
-                    elif i in (SIMPLE_BLOCK, BLOCK_GROUP):
-                        blocks = [(x, y)] if i == SIMPLE_BLOCK else [(p, q) for j, p, q in elements(data, x, y) if j == BLOCK]
-                        for block in blocks:
-                            track, since, flags, frames = block_frames(data, *block)
-                            frame_ns = about["tracks"].get(track, {}).get("frame_ns", 0)
-                            packets += [Packet(track, (time + since) * about["scale"] + k * frame_ns, p, q - p, bool(flags & 0x80), flags >> 1 & 3, len(cluster_starts) - 1) for k, (p, q) in enumerate(frames)]
+                for packet, track, time in cluster_packets(data, a, b, about, number_of_clusters):
+                    found.append((packet, (track, time, before - at)))
+                number_of_clusters += 1
             elif kind == CUES:
                 for i, x, y in elements(data, a, b):
                     if i == CUE_POINT:
                         of = {j: (p, q) for j, p, q in elements(data, x, y)}
                         places = {j: (p, q) for j, p, q in elements(data, *of[CUE_TRACK_POSITIONS])}
-                        about["cues"].append((unsigned(data, *of[CUE_TIME]), unsigned(data, *places[CUE_CLUSTER_POSITION])))
-        about["clusters"] += len(cluster_starts)
-    return about, packets
+                        about["cues"].append((unsigned(data, *of[CUE_TIME]), unsigned(data, *places[CUE_CLUSTER_POSITION]), unsigned(data, *places[CUE_TRACK])))
+            before = b
+        about["clusters"] += number_of_clusters
+    cued = {(track, time, position) for time, position, track in about["cues"]}
+    return about, [p._replace(cued=True) if place in cued else p for p, place in found]
+
+
+def cluster_packets(data: bytes, start: int, end: int, about: dict, cluster: int) -> Iterator[tuple[Packet, int, int]]:
+    """The packets of a cluster, each with its track and, for the first of a block, the block's time, else -1."""
+    time = 0
+    for kind, a, b in elements(data, start, end):
+        if kind == TIMESTAMP:
+            time = unsigned(data, a, b)
+        if kind not in (SIMPLE_BLOCK, BLOCK_GROUP):
+            continue
+        inner = list(elements(data, a, b)) if kind == BLOCK_GROUP else []
+        refers = any(i == REFERENCE_BLOCK for i, _, _ in inner)
+        for x, y in [(a, b)] if kind == SIMPLE_BLOCK else [(p, q) for i, p, q in inner if i == BLOCK]:
+            track, since, flags, frames = block_frames(data, x, y)
+            frame_ns = about["tracks"].get(track, {}).get("frame_ns", 0)
+            key = bool(flags & 0x80) if kind == SIMPLE_BLOCK else not refers
+            for k, (p, q) in enumerate(frames):
+                packet = Packet(track, (time + since) * about["scale"] + k * frame_ns, p, q - p, key, flags >> 1 & 3, cluster, False)
+                yield packet, track, time + since if k == 0 else -1
 
 
 # ---- DataFrames --------------------------------------------------------------------------
@@ -248,25 +277,39 @@ def store(docs: DataFrame, payload, media: str = "media") -> DataFrame:
     return with_column(docs, payload, "_payload", run, media, "binary")
 
 
-def packets(media_df: DataFrame, media: str = "media") -> DataFrame:
-    """A row for each packet, beside the other columns: track, timestamp, byte range, keyframe, lacing, cluster."""
+def packets(media_df: DataFrame, media: str = "media", errors: str = "raise") -> DataFrame:
+    """A row for each packet, beside the other columns: track, timestamp, byte range, keyframe, lacing, cluster and cue.
+
+    With ``errors`` as "column" there is a column ``error``, and a damaged value has one row with it alone.
+    """
+    if errors not in ("raise", "column"):
+        raise ValueError('errors is "raise" or "column"')
     names = [c for c in media_df.columns if c != media]
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.bool_(), pa.string())
+
+    def rows_of(data: bytes | None) -> list[tuple]:
+        try:
+            return [(k, *p, None) for k, p in enumerate(parse(data)[1])] if data is not None else []
+        except MatroskaError as error:
+            if errors == "raise":
+                raise
+            return [(*[None] * (len(kinds) - 1), str(error))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data in enumerate(batch.column("_media").to_pylist()):
-                found = parse(data)[1] if data else []
+            for row in range(len(batch)):
+                found = rows_of(batch.column("_media")[row].as_py())
                 for k in range(0, len(found), PACKETS_AT_ONCE):
                     part = found[k : k + PACKETS_AT_ONCE]
                     kept = [c.take(pa.array([row] * len(part), pa.int32())) for c in batch.columns[:-1]]
-                    values = [pa.array(v, t) for v, t in zip(zip(*part), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32()))]
-                    yield pa.RecordBatch.from_arrays([*kept, pa.array(range(k, k + len(part)), pa.int32()), *values], names=[*batch.schema.names[:-1], "packet", *Packet._fields])
+                    yield pa.RecordBatch.from_arrays([*kept, *(pa.array(v, t) for v, t in zip(zip(*part), kinds))], names=[*batch.schema.names[:-1], *added])
 
+    added = ["packet", *Packet._fields, "error"]
     source = media_df.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(names)), F.col(media).alias("_media"))
     kept = [f"c{i} {media_df.schema[c].dataType.simpleString()}" for i, c in enumerate(names)]
-    out = source.mapInArrow(run, ", ".join([*kept, "packet int, track long, timestamp_ns long, offset long, size long, keyframe boolean, lacing int, cluster int"]))
-    added = ("packet", *Packet._fields)
-    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c not in added), *added)
+    out = source.mapInArrow(run, ", ".join([*kept, "packet int, track long, timestamp_ns long, offset long, size long, keyframe boolean, lacing int, cluster int, cued boolean, error string"]))
+    shown = added if errors == "column" else added[:-1]
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c not in shown), *shown)
 
 
 def with_column(docs: DataFrame, value, inner: str, run, name: str, kind: str) -> DataFrame:
@@ -291,7 +334,7 @@ def digest(text: bytes) -> tuple:
     media = pack(padded(text))
     about, found = parse(media)
     back = b"".join([media[p.offset : p.offset + p.size] for p in found])
-    at_cues = sum(int.from_bytes(media[about["segment"] + pos : about["segment"] + pos + 4], "big") == CLUSTER for _, pos in about["cues"])
+    at_cues = sum(int.from_bytes(media[about["segment"] + pos : about["segment"] + pos + 4], "big") == CLUSTER for _, pos, _ in about["cues"])
     kinds = [sum(p.lacing == k for p in found) for k in range(4)]
     last = found[-1].timestamp_ns // 1_000_000
     feature = f"packets={len(found)};clusters={about['clusters']};cues={at_cues};lacing={'/'.join(map(str, kinds))};last_ms={last};duration_ms={about['duration']:.3f};codec={about['tracks'][1]['codec']}"

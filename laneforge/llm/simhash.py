@@ -71,7 +71,12 @@ def variants(fps: DataFrame) -> DataFrame:
     """``fp`` by each key: a segment, the place of its wildcard, and its other bits."""
     masks = [(which << 5 | bit, which, 0xFFFFFFFF ^ (1 << bit)) for which in (0, 1) for bit in range(32)]
     keys = [F.lit(tag << 32).bitwiseOR(segment(F.col("fp"), which).bitwiseAND(F.lit(mask))) for tag, which, mask in masks]
-    return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
+    return spread(fps).select("fp", F.explode(F.array(*keys)).alias("key"))
+
+
+def spread(fps: DataFrame) -> DataFrame:
+    """Short rows that are about to become many, over as many tasks as a shuffle has."""
+    return fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
 
 
 def first_meeting(a: Column, b: Column, key: Column) -> Column:
@@ -106,7 +111,7 @@ def star_links(fps: DataFrame) -> DataFrame:
     Keys are hashes, so a stranger may share one by chance: links are verified, and those whom the
     smallest doesn't suit link to the largest.
     """
-    named = fps.select("fp", F.explode(star_keys(F.col("fp"))).alias("key"))
+    named = spread(fps).select("fp", F.explode(star_keys(F.col("fp"))).alias("key"))
     ends = named.groupBy("key").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least < most")
     fp, least, most = F.col("fp"), F.col("least"), F.col("most")
     other = F.when(near(least, fp), least).when(near(most, fp), most).otherwise(fp)

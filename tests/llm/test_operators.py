@@ -662,6 +662,17 @@ def test_media(spark, path):
         payload = raw + b"\0" * (-len(raw) % 64 or 64 * (not raw))
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
         assert media.setdefault(text or "", r[5:]) == r[5:]
+        file = matroska.pack(payload)
+        assert (r.media_bytes, r.media_sha256) == (len(file), hashlib.sha256(file).hexdigest())
+        # what a file of one track of 400-byte frames, eight to a block and eight blocks to a cluster, must hold
+        kinds = [0, 0, 0, 0]
+        for k in range(-(-len(payload) // 3200)):
+            sizes = [min(400, len(payload) - i) for i in range(3200 * k, min(3200 * (k + 1), len(payload)), 400)]
+            kind = 0 if len(sizes) == 1 else (0, 2, 1, 3)[k % 4]
+            kinds[1 if kind == 2 and sizes[-1] != 400 else kind] += len(sizes)
+        packets, clusters = -(-len(payload) // 400), -(-len(payload) // 25600)
+        want = f"packets={packets};clusters={clusters};cues={clusters};lacing={'/'.join(map(str, kinds))};last_ms={50 * (packets - 1)};duration_ms={len(payload) / 8:.3f};codec=A_PCM/INT/LIT"
+        assert r.feature == want
 
 
 def test_packets(spark):
@@ -694,14 +705,44 @@ def test_foreign_files():
     data = head + unknown(m.SEGMENT, element(m.CRC, b"1234") + element(m.TRACKS, entry(1) + entry(200)) + unknown(m.CLUSTER, cluster) + unknown(m.CLUSTER, number(m.TIMESTAMP, 20) + element(m.SIMPLE_BLOCK, block(1, 0, 0, b"q"))))
     about, found = m.parse(data)
     assert [(p.track, p.timestamp_ns // 1_000_000, data[p.offset : p.offset + p.size], p.keyframe, p.cluster) for p in found] == [
-        (1, 7, b"abc", True, 0), (200, 15, b"x" * 256, False, 0), (200, 16, b"yy", False, 0), (200, 17, b"zzz", False, 0), (1, 20, b"q", False, 1),
+        (1, 7, b"abc", True, 0), (200, 15, b"x" * 256, True, 0), (200, 16, b"yy", True, 0), (200, 17, b"zzz", True, 0), (1, 20, b"q", False, 1),
     ]
-    assert about["clusters"] == 2
+    assert about["clusters"] == 2 and not any(p.cued for p in found)
     for bad in (b"RIFF", b"", data[:40]):
-        with pytest.raises((ValueError, StopIteration)):
+        with pytest.raises(m.MatroskaError, match="byte"):
             m.parse(bad)
 
 
+def test_key_frames_of_groups_and_cues():
+    m = matroska
+    group = lambda body, *more: m.element(m.BLOCK_GROUP, m.element(m.BLOCK, block(1, 0, 0, body)) + b"".join(more))
+    cluster = m.element(m.CLUSTER, m.number(m.TIMESTAMP, 5) + group(b"key") + group(b"delta", m.element(m.REFERENCE_BLOCK, b"\xff")))
+    cues = m.element(m.CUES, m.element(m.CUE_POINT, m.number(m.CUE_TIME, 5) + m.element(m.CUE_TRACK_POSITIONS, m.number(m.CUE_TRACK, 1) + m.number(m.CUE_CLUSTER_POSITION, 0))))
+    _, found = m.parse(m.element(m.EBML, m.element(m.DOC_TYPE, b"webm")) + m.element(m.SEGMENT, cluster + cues))
+    assert [(p.keyframe, p.cued) for p in found] == [(True, True), (False, True)]
+    _, own = m.parse(m.pack(b"x" * 60_000))
+    assert [k for k, p in enumerate(own) if p.cued] == [0, 64, 128]  # the first packet of each cluster
+
+
+def test_damaged_files_say_where(spark):
+    good = matroska.pack(b"x" * 5000)
+    rng = random.Random(9)
+    found = [(0, bytearray(good)), (1, None), (2, bytearray(b"RIFF....")), (3, bytearray(b""))]
+    for k in range(4, 120):
+        bad = bytearray(good[: rng.randrange(40, len(good))] if k % 2 else good)
+        bad[rng.randrange(len(bad))] ^= 1 << rng.randrange(8)
+        found.append((k, bad))
+    df = spark.createDataFrame(found, "key int, media binary")
+    out = collections.defaultdict(list)
+    for r in matroska.packets(df, errors="column").collect():
+        out[r.key].append(r)
+    assert len(out[0]) == 13 and out[0][0].error is None and 1 not in out
+    assert all(len(out[k]) == 1 and "byte" in out[k][0].error and out[k][0].packet is None for k in (2, 3))
+    assert any(len(out[k]) == 1 and out[k][0].error for k in range(4, 120)) and all((r.error is None) != (r.packet is None) for rows in out.values() for r in rows)
+    with pytest.raises(Exception, match="at byte 0"):
+        matroska.packets(df.where("key = 2")).collect()
+
+
 # ---- 10 ----------------------------------------------------------------------------------
 
 
