@@ -155,6 +155,129 @@ SENTENCES = (
     ("upl-1.0", r"subject to the condition set forth below permission is hereby granted to any person obtaining a copy of this software associated documentation and or data", "condition set forth below", 0.95),
     ("wtfpl", r"you just do what the f[a-z]* you want to", "you want to", 0.9),
     ("ncsa", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software", "to deal with the software", 0.95),
+    ("mit", r"the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", "purpose and noninfringement", 0.75),
+    ("mit", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise", "authors or copyright holders be liable", 0.75),
+    ("bsd", r"this software is provided by the (?:[^ ]+ ){1,8}?and contributors as is and any express or implied warranties", "and contributors as is and any", 0.8),
+    ("bsd-2-clause", r"this software is provided by the author as is and any express or implied warranties", "by the author as is and any", 0.75),
+    ("bsd-4-clause", r"this product includes software developed by the university of california berkeley and its contributors", "developed by the university of california", 0.95),
+    ("hpnd", r"permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted", "any purpose and without fee", 0.9),
+    ("isc", r"the software is provided as is and the authors? disclaims? all warranties with regard to this software", "all warranties with regard to this", 0.8),
+    ("apache-2.0", r"licensed to the apache software foundation asf under one or more contributor license agreements", "contributor license agreements", 0.95),
+    ("apache-2.0", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "agreed to in writing", 0.85),
+    ("apache-2.0", r"grant of copyright license subject to the terms and conditions of this license each contributor hereby grants to you", "grant of copyright license", 0.95),
+    ("apache-2.0", r"grant of patent license subject to the terms and conditions of this license each contributor hereby grants to you", "grant of patent license", 0.95),
+    ("apache-1.1", r"this product includes software developed by the apache software foundation", "software developed by the apache", 0.85),
+    ("gpl", r"this program is distributed in the hope that it will be useful but without any warranty", "hope that it will be useful", 0.85),
+    ("gpl", r"this is free software and you are welcome to redistribute it under certain conditions", "welcome to redistribute", 0.7),
+    ("gpl-1.0", r"the license agreements of most software companies try to keep users at the mercy of those companies", "mercy of those companies", 0.95),
+    ("gpl-1.0", r"general public license version 1 february 1989", "february 1989", 0.95),
+    ("gpl-2.0", r"general public license version 2 june 1991", "june 1991", 0.95),
+    ("gpl-2.0", r"the licenses for most software are designed to take away your freedom to share and change it", "take away your freedom", 0.9),
+    ("gpl-2.0", r"you may not copy modify sublicense or distribute the program except as expressly provided under this license", "sublicense or distribute the program", 0.95),
+    ("gpl-3.0", r"gnu general public license version 3 29 june 2007", "29 june 2007", 0.95),
+    ("gpl-3.0", r"the licenses for most software and other practical works are designed to take away your freedom", "other practical works", 0.9),
+    ("gpl-3.0", r"this license explicitly affirms your unlimited permission to run the unmodified program", "unlimited permission to run", 0.95),
+    ("gpl-3.0", r"additional permissions are terms that supplement the terms of this license by making exceptions", "terms that supplement", 0.9),
+    ("gpl-classpath", r"linking this library statically or dynamically with other modules is making a combined work based on this library", "statically or dynamically", 0.9),
+    ("gpl-classpath", r"the copyright holders of this library give you permission to link this library with independent modules", "with independent modules", 0.95),
+    ("gpl-gcc-exception", r"you have permission to propagate a work of target code formed by combining the runtime library with independent modules", "propagate a work of target code", 0.95),
+    ("gpl-gcc-exception", r"gcc runtime library exception", "gcc runtime", 0.9),
+    ("lgpl-2.0", r"gnu library general public license version 2 june 1991", "library general public license version 2", 0.95),
+    ("lgpl-2.1", r"gnu lesser general public license version 2 1 february 1999", "february 1999", 0.95),
+    ("lgpl-2.1", r"a program that contains no derivative of any portion of the library but is designed to work with the library", "derivative of any portion of the library", 0.9),
+    ("lgpl-3.0", r"gnu lesser general public license version 3 29 june 2007", "lesser general public license version 3", 0.95),
+    ("lgpl-3.0", r"this version of the gnu lesser general public license incorporates the terms and conditions of version 3", "incorporates the terms", 0.95),
+    ("agpl-3.0", r"gnu affero general public license version 3 19 november 2007", "19 november 2007", 0.95),
+    ("agpl-3.0", r"remote network interaction use with the gnu general public license", "remote network interaction", 0.95),
+    ("agpl-3.0", r"your modified version must prominently offer all users interacting with it remotely through a computer network", "users interacting with it remotely", 0.95),
+    ("gfdl", r"with no invariant sections no front cover texts and no back cover texts", "invariant sections", 0.9),
+    ("gfdl", r"the purpose of this license is to make a manual textbook or other functional and useful document free", "functional and useful document", 0.95),
+    ("mpl-2.0", r"if a copy of the mpl was not distributed with this file you can obtain one at", "copy of the mpl", 0.95),
+    ("mpl-2.0", r"covered software is provided under this license on an as is basis", "covered software is provided", 0.9),
+    ("mpl-1.1", r"the contents of this file may be used under the terms of either the gnu general public license", "used under the terms of either", 0.7),
+    ("npl-1.1", r"subject to the netscape public license", "netscape public", 0.95),
+    ("epl-1.0", r"the accompanying program is provided under the terms of this eclipse public license agreement", "eclipse public license agreement", 0.95),
+    ("epl-1.0", r"eclipse public license v1 0", "eclipse public license v1", 0.85),
+    ("epl-2.0", r"the accompanying materials are made available under the terms of the eclipse public license (?:v |version )?2 0", "accompanying materials", 0.95),
+    ("epl-2.0", r"eclipse public license v2 0", "eclipse public license v2", 0.85),
+    ("cpl-1.0", r"the accompanying program is provided under the terms of this common public license agreement", "common public license agreement", 0.95),
+    ("ipl-1.0", r"ibm public license", "ibm public", 0.8),
+    ("cddl-1.0", r"you can obtain a copy of the license at usr src opensolaris license", "opensolaris license", 0.95),
+    ("bsl-1.0", r"the copyright notices in the software and this entire statement including the above license grant", "this entire statement", 0.95),
+    ("zlib", r"permission is granted to anyone to use this software for any purpose including commercial applications", "including commercial applications", 0.95),
+    ("zlib", r"the origin of this software must not be misrepresented", "must not be misrepresented", 0.9),
+    ("zlib", r"this notice may not be removed or altered from any source distribution", "altered from any source distribution", 0.9),
+    ("libpng", r"the png reference library is supplied as is", "png reference library", 0.95),
+    ("unlicense", r"anyone is free to copy modify publish use compile sell or distribute this software", "publish use compile", 0.95),
+    ("unlicense", r"dedicate any and all copyright interest in the software to the public domain", "all copyright interest", 0.95),
+    ("cc0-1.0", r"the person who associated a work with this deed has dedicated the work to the public domain", "work with this deed", 0.95),
+    ("cc0-1.0", r"unconditionally waives abandons and surrenders all of affirmer s copyright and related rights", "waives abandons and surrenders", 0.95),
+    ("cc0-1.0", r"creativecommons org publicdomain zero 1 0", "publicdomain zero", 1.0),
+    ("public-domain", r"creativecommons org publicdomain mark 1 0", "publicdomain mark", 0.9),
+    ("public-domain", r"(?:placed|released|dedicated|put) (?:in|into|to) the public domain", "the public domain", 0.8),
+    ("cc", r"this work is licensed under (?:a|the) creative commons", "creative commons", 0.7),
+    ("cc", r"by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions of this creative commons", "exercising the licensed rights", 0.9),
+    ("cc-by", r"you must give appropriate credit provide a link to the license and indicate if changes were made", "give appropriate credit", 0.8),
+    ("cc-by-sa", r"you must distribute your contributions under the same license as the original", "same license as the original", 0.85),
+    ("cc-by-nc", r"you may not use the material for commercial purposes", "the material for commercial", 0.8),
+    ("cc-by-nd", r"you may not distribute the modified material", "the modified material", 0.8),
+    ("cc-by-2.0", r"creativecommons org licenses by 2 [05]", "creativecommons org licenses by 2", 1.0),
+    ("cc-by-3.0", r"creativecommons org licenses by 3 0", "creativecommons org licenses by 3", 1.0),
+    ("cc-by-4.0", r"creativecommons org licenses by 4 0", "creativecommons org licenses by 4", 1.0),
+    ("cc-by-sa", r"creativecommons org licenses by sa [1-4] [05]", "licenses by sa", 1.0),
+    ("cc-by-nc", r"creativecommons org licenses by nc [1-4] [05]", "licenses by nc", 1.0),
+    ("cc-by-nd", r"creativecommons org licenses by nd [1-4] [05]", "licenses by nd", 1.0),
+    ("cc-by-nc-sa", r"creativecommons org licenses by nc sa [1-4] [05]", "licenses by nc sa", 1.0),
+    ("cc-by-nc-nd", r"creativecommons org licenses by nc nd [1-4] [05]", "licenses by nc nd", 1.0),
+    ("odbl-1.0", r"opendatacommons org licenses odbl", "licenses odbl", 1.0),
+    ("odc-by", r"opendatacommons org licenses by", "opendatacommons org licenses by", 1.0),
+    ("pddl-1.0", r"public domain dedication and license", "dedication and license", 0.9),
+    ("dbcl-1.0", r"database contents license", "database contents", 0.85),
+    ("ofl-1.1", r"the goals of the open font license ofl are to stimulate worldwide development", "stimulate worldwide", 0.95),
+    ("ofl-1.1", r"permission is hereby granted free of charge to any person obtaining a copy of the font software", "copy of the font software", 0.95),
+    ("bitstream-vera", r"permission is hereby granted free of charge to any person obtaining a copy of the fonts accompanying this license", "fonts accompanying this", 0.95),
+    ("python-2.0", r"psf is making python available to licensee on an as is basis", "psf is making", 0.95),
+    ("python-2.0", r"this license agreement is between the python software foundation", "agreement is between the python", 0.95),
+    ("php-3.01", r"this product includes php software freely available from", "includes php software", 0.95),
+    ("php-3.01", r"the name php must not be used to endorse or promote products derived from this software", "the name php must", 0.95),
+    ("openssl", r"this product includes software developed by the openssl project for use in the openssl toolkit", "openssl toolkit", 0.95),
+    ("ssleay", r"this product includes cryptographic software written by eric young", "cryptographic software written", 0.95),
+    ("artistic-2.0", r"this license establishes the terms under which a given free software package may be copied modified distributed", "a given free software package", 0.95),
+    ("ms-pl", r"this license governs use of the accompanying software if you use the software you accept this license", "governs use of the accompanying", 0.85),
+    ("ms-rl", r"reciprocal grants for any file you distribute that contains code from the software", "reciprocal grants", 0.95),
+    ("sspl-1.0", r"make the functionality of the program or a modified version available to third parties as a service", "to third parties as a service", 0.95),
+    ("elastic-2.0", r"you may not provide the software to third parties as a hosted or managed service", "hosted or managed service", 0.95),
+    ("busl-1.1", r"the right to copy modify create derivative works redistribute and make non production use of the licensed work", "non production use", 0.95),
+    ("commons-clause", r"commons clause license condition", "commons clause", 0.95),
+    ("commons-clause", r"the license does not grant to you the right to sell the software", "right to sell the software", 0.9),
+    ("openrail", r"use based restrictions as referenced in paragraph 5", "use based restrictions", 0.95),
+    ("openrail", r"you agree not to use the model or derivatives of the model", "derivatives of the model", 0.9),
+    ("llama", r"llama [1-4](?: [0-9])? community license(?: agreement)?", "community license", 0.95),
+    ("gemma", r"gemma terms of use", "gemma terms", 0.9),
+    ("json", r"the software shall be used for good not evil", "good not evil", 1.0),
+    ("beerware", r"you think this stuff is worth it you can buy me a beer", "buy me a beer", 1.0),
+    ("unicode", r"unicode inc license agreement data files and software", "unicode inc license", 0.95),
+    ("w3c", r"w3c software (?:and document )?notice and license", "notice and license", 0.9),
+    ("sleepycat", r"redistributions in any form must be accompanied by information on how to obtain complete source code", "obtain complete source code", 0.95),
+    ("ruby", r"ruby is copyrighted free software by yukihiro matsumoto", "yukihiro matsumoto", 0.95),
+    ("vim", r"there are no restrictions on distributing unmodified copies of vim", "copies of vim", 0.95),
+    ("tcl", r"the authors hereby grant permission to use copy modify distribute and license this software and its documentation for any purpose", "authors hereby grant permission", 0.95),
+    ("lppl-1.3c", r"this work may be distributed and or modified under the conditions of the latex project public license", "latex project", 0.95),
+    ("qpl-1.0", r"the q public license", "q public license", 0.85),
+    ("apsl-2.0", r"apple public source license", "apple public source", 0.9),
+    ("zpl-2.1", r"zope public license", "zope public", 0.9),
+    ("rpl-1.5", r"reciprocal public license", "reciprocal public", 0.9),
+    ("cecill-2.1", r"licen[cs]e cecill(?: v?2 1)?", "cecill", 0.85),
+    ("mulanpsl-2.0", r"mulan psl v2", "mulan psl", 0.95),
+    ("eupl-1.2", r"licensed under the eupl(?: version| v)?(?: 1 2)?", "under the eupl", 0.9),
+    ("ogl-3.0", r"contains public sector information licensed under the open government licence v3 0", "public sector information", 0.95),
+    ("ogl", r"open government licence", "open government", 0.85),
+    ("afl-3.0", r"licensed under the academic free license version 3 0", "academic free license version", 0.95),
+    ("osl-3.0", r"licensed under the open software license version 3 0", "open software license version", 0.95),
+    ("intel", r"intel open source license", "intel open source", 0.9),
+    ("proprietary", r"unauthorized copying of this file via any medium is strictly prohibited", "unauthorized copying of this file", 0.95),
+    ("proprietary", r"this software is the confidential and proprietary information of", "confidential and proprietary information", 0.9),
+    ("proprietary", r"licensed materials property of", "licensed materials property", 0.8),
 )
 
 # Short names as texts write them, in words.

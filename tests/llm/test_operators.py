@@ -421,6 +421,27 @@ def test_ids_offsets_and_round_trip(spark):
             assert end == bisect.bisect_left(starts, at)
 
 
+def test_latin_texts_are_cut_alike():
+    rng = random.Random(5)
+    chars = [chr(c) for c in range(0x2B0)]
+    for k in range(4000):
+        t = "".join(rng.choice(chars if k % 2 else "ab1 '\n.s") for _ in range(40))
+        assert tokens.pre_tokens(t) == tokens.SPLIT.findall(t), ascii(t)
+
+
+def test_scripts_and_new_characters(spark):
+    """Every language has settled letters; texts with a new one come out right all the same."""
+    assert all(tokens.settled(t) for t in ("日本語、です。", "ไทย เมือง", "العربية", "עברית", "हिन्दी", "Tiếng Việt", "😀🎉", "Ελληνικά"))
+    texts = ["new letters \U0001e900\U00016e40 and 12\u0de6x", "\U0001fae8 a\u1c80b", "\ua7cb Q", "\U00010d4a x"]
+    assert not all(map(tokens.settled, texts))
+    own, library = reference_encoding(), tokens.counter(public_tokenizers.path(tokens.COUNT_FILE))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for r in tokens.encode(df).collect():
+        assert r.ids == own.encode_ordinary(r.text) and bytes(r.decoded) == r.text.encode()
+    for r in tokens.count_tokens(df).collect():
+        assert r.n_tokens == len(library.encode(texts[r.doc_id], add_special_tokens=False).ids)
+
+
 def test_settled_characters_have_one_class():
     own, path = reference_encoding(), public_tokenizers.path(tokens.ENCODE_FILE)
     for cp in range(0x110000):
@@ -795,5 +816,16 @@ def test_license_texts_and_short_names_have_labels():
         assert rule.base or not any(p in rule.pattern for p in ("identifier copyright", "cense copyright", "identifier proprietary", "identifier public domain"))
 
 
+def test_written_rules_find_their_sentences():
+    """Each sentence, where it is plain words, gets its label; ordinary prose about licenses gets none."""
+    written = len(licenses.SENTENCES) + len(licenses.SHORT) + len(licenses.FAMILIES)
+    assert written >= 200 and len(set(licenses.rules())) == len(licenses.rules())
+    for label, pattern, _, _ in licenses.SENTENCES:
+        if not re.search(r"[^a-z0-9 ]", pattern):
+            assert label in licenses.summary(f"see: {pattern}.".encode())[5].split(","), pattern
+    for text in ("My driving license is in the copyright office", "a license to operate a boat", "the public library has a mission", "we met by the sea and bought beer", "Apache helicopters and python snakes", "the software is good"):
+        assert licenses.summary(text.encode())[5] == "", text
+
+
 def test_each_sentence_holds_its_keyword():
     assert all(keyword in pattern for _, pattern, keyword, _ in licenses.SENTENCES)
