@@ -78,6 +78,18 @@ def participants(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def paired(sides: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and structs ``a`` and ``b``: each row with each row of its group that is on another team.
+
+    A group is the players of one role in a match, so its list is short; it is made by one aggregate, without a join.
+    """
+    rest = [c for c in sides.columns if c not in keys]
+    group = sides.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("side"))
+    others = lambda a: F.filter("side", lambda b: b["team_id"] != a["team_id"])
+    pairs = F.flatten(F.transform("side", lambda a: F.transform(others(a), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    return group.select(*keys, F.inline(pairs))
+
+
 def bans(envelopes: DataFrame) -> DataFrame:
     """One row for each ban of a champion."""
     each = F.flatten(F.transform("doc.info.teams", lambda t: F.coalesce(t["bans"], F.array())))

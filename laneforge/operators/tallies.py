@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laneforge.functions.columns import as_int, normal_role, two_parts
-from laneforge.operators.extract import ITEMS, classified, rejected
+from laneforge.operators.extract import ITEMS, classified, paired, rejected
 
 def cell_counts(participants: DataFrame, patch: str | None = None) -> DataFrame:
     return tally(participants.where(classified(patch)), "champion_id", "role")
@@ -73,12 +73,10 @@ def all_build_counts(participants: DataFrame, patch: str | None = None) -> DataF
 
 def matchups(participants: DataFrame, patch: str | None = None) -> DataFrame:
     """Opponents of the same role, each pair once, the lower champion first; mirrors by team."""
-    side = participants.where(classified(patch)).select("match_id", "role", "team_id", "champion_id", "win")
-    a = side.alias("a")
-    b = side.select("match_id", "role", F.col("team_id").alias("other_team"), F.col("champion_id").alias("opponent_id"))
-    pair = a.join(b, ["match_id", "role"])
-    first = (F.col("champion_id") < F.col("opponent_id")) | (F.col("champion_id") == F.col("opponent_id")) & (F.col("team_id") < F.col("other_team"))
-    return pair.where((F.col("team_id") != F.col("other_team")) & first).select("match_id", "role", "champion_id", "opponent_id", "win")
+    pairs = paired(participants.where(classified(patch)).select("match_id", "role", "team_id", "champion_id", "win"), ["match_id", "role"])
+    a, b = F.col("a"), F.col("b")
+    first = (a["champion_id"] < b["champion_id"]) | (a["champion_id"] == b["champion_id"]) & (a["team_id"] < b["team_id"])
+    return pairs.where(first).select("match_id", "role", a["champion_id"].alias("champion_id"), b["champion_id"].alias("opponent_id"), a["win"].alias("win"))
 
 
 def matchup_counts(participants: DataFrame, patch: str | None = None) -> DataFrame:

@@ -6,12 +6,15 @@ match once serve the joins that follow.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laneforge.functions.columns import as_int, as_long, minute_of
-from laneforge.operators.extract import summary_participants
+from laneforge.operators.extract import paired, summary_participants
 from laneforge.sources.schemas import CHECKPOINTS, OBJECTIVES, TABLES
+from laneforge.sources.shared import stored
 
 KEY = ["match_id", "participant_id"]
 MIN_DURATION_S = 600
@@ -69,14 +72,19 @@ def frames(timelines: DataFrame) -> DataFrame:
 
 
 def events(timelines: DataFrame) -> DataFrame:
-    """One wide row for each event, numbered within its match; repeated skill-ups are marked, not dropped."""
-    f = timelines.where("payload_valid").select("match_id", "region", "patch", "queue_id", F.posexplode("doc.info.frames").alias("frame_index", "f"))
-    e = f.select("match_id", "region", "patch", "queue_id", "frame_index", F.posexplode("f.events").alias("event_in_frame", "e"))
+    """One wide row for each event, numbered within its match; repeated skill-ups are marked, not dropped.
+
+    A match's events lie in one payload, so numbers and marks come from its array, without a shuffle.
+    """
+    every = F.flatten(F.transform("doc.info.frames", lambda f: F.coalesce(f["events"], F.array())))
+    f = timelines.where("payload_valid").select("match_id", "region", "patch", "queue_id", every.alias("every"))
+    f = f.select("match_id", "region", "patch", "queue_id", "every", repeated_skill_ups(F.col("every")).alias("again"))
+    e = f.select("match_id", "region", "patch", "queue_id", "again", F.posexplode("every").alias("event_index", "e"))
     text = lambda name: F.col(f"e.{name}")
     number = lambda name: as_int(text(name))
     timestamp = as_long(text("timestamp"))
     rows = e.select(
-        "match_id", "region", "patch", "queue_id", "frame_index", "event_in_frame", timestamp.alias("timestamp_ms"), minute_of(timestamp).alias("minute"),
+        "match_id", "region", "patch", "queue_id", "event_index", timestamp.alias("timestamp_ms"), minute_of(timestamp).alias("minute"),
         text("type").alias("event_type"), F.coalesce(number("participantId"), number("killerId"), number("creatorId")).alias("actor_participant_id"),
         number("victimId").alias("target_participant_id"), text("assistingParticipantIds").alias("assisting_participant_ids"), number("teamId").alias("team_id"),
         number("position.x").alias("position_x"), number("position.y").alias("position_y"), text("laneType").alias("lane_type"), text("monsterType").alias("monster_type"),
@@ -85,16 +93,21 @@ def events(timelines: DataFrame) -> DataFrame:
         number("skillSlot").alias("skill_slot"), number("level").alias("level"), text("killType").alias("kill_type"), number("multiKillLength").alias("multi_kill_length"),
         text("transformType").alias("transform_type"), number("killStreakLength").alias("kill_streak_length"), number("bounty").alias("bounty"),
         number("shutdownBounty").alias("shutdown_bounty"), number("winningTeam").alias("winning_team"),
+        F.array_contains("again", F.col("event_index")).alias("is_duplicate_skill_level_up"),
     )
-    in_match = Window.partitionBy("match_id").orderBy("frame_index", "event_in_frame")
-    return mark_duplicates(rows.withColumn("event_index", F.row_number().over(in_match) - 1))
+    return rows
 
 
-def mark_duplicates(rows: DataFrame) -> DataFrame:
-    """Marks a skill-up that the match has had before for the same player, slot and level."""
-    same = Window.partitionBy("match_id", "actor_participant_id", "skill_slot", "level").orderBy("frame_index", "event_in_frame")
-    again = (F.col("event_type") == "SKILL_LEVEL_UP") & (F.row_number().over(same) > 1)
-    return rows.withColumn("is_duplicate_skill_level_up", again).drop("frame_index", "event_in_frame")
+def repeated_skill_ups(every: Column) -> Column:
+    """The places, in an array of events, of skill-ups that come again for the same player, slot and level."""
+    known = lambda e, name: F.coalesce(as_int(e[name]).cast("string"), F.lit("-"))
+    player = lambda e: F.coalesce(as_int(e["participantId"]), as_int(e["killerId"]), as_int(e["creatorId"])).cast("string")
+    key = lambda e: F.concat_ws(".", F.coalesce(player(e), F.lit("-")), known(e, "skillSlot"), known(e, "level"))
+    placed = F.filter(F.transform(every, lambda e, i: F.struct((e["type"] == "SKILL_LEVEL_UP").alias("is"), key(e).alias("key"), i.alias("at"))), lambda x: F.coalesce(x["is"], F.lit(False)))
+    first = lambda ups, x: F.array_position(F.transform(ups, lambda u: u["key"]), x["key"])
+    again = lambda ups: F.filter(ups, lambda x, n: first(ups, x) <= n)  # noqa: E731  positions count from 1, n from 0
+    # an array of one array, so that the list of skill-ups is made once
+    return F.flatten(F.transform(F.array(placed), lambda ups: F.transform(again(ups), lambda x: x["at"])))
 
 
 def events_table(index: DataFrame, all_events: DataFrame) -> DataFrame:
@@ -182,20 +195,28 @@ def checkpoint_pivot(picks: DataFrame) -> DataFrame:
 
 def lane_pairs(index: DataFrame, players: DataFrame) -> DataFrame:
     """Participants with their opponent of the same role, in both directions."""
-    who = players.join(eligible(index).select("match_id"), "match_id", "left_semi").where("role IS NOT NULL")
-    other = who.select("match_id", "role", F.col("participant_id").alias("opponent_participant_id"), F.col("champion_id").alias("opponent_champion_id"), F.col("team_id").alias("other_team"))
-    pairs = who.join(other, ["match_id", "role"]).where("team_id <> other_team")
+    return opponents(players.join(eligible(index).select("match_id"), "match_id", "left_semi"))
+
+
+def opponents(who: DataFrame, *values: str) -> DataFrame:
+    """Pairs of the rows of ``who``, with both sides' ``values``, the opponent's with a prefix ``o_``."""
+    kept = ["region", "patch", "queue_id", "participant_id", "champion_id", "team_id", "win", *values]
+    pairs = paired(who.where("role IS NOT NULL").select("match_id", "role", *kept), ["match_id", "role"])
+    a, b = F.col("a"), F.col("b")
+    mine = lambda name: a[name].alias(name)
     return pairs.select(
-        "match_id", "region", "patch", "queue_id", "participant_id", "opponent_participant_id", "role", "champion_id", "opponent_champion_id", "team_id", "win",
-        F.lit("team_position").alias("pairing_basis"), F.col("role").isin("BOTTOM", "SUPPORT").alias("is_duo_lane"), (F.col("role") != "JUNGLE").alias("has_nominal_opponent"),
+        "match_id", *map(mine, ("region", "patch", "queue_id", "participant_id")), b["participant_id"].alias("opponent_participant_id"), "role", mine("champion_id"),
+        b["champion_id"].alias("opponent_champion_id"), mine("team_id"), mine("win"), F.lit("team_position").alias("pairing_basis"),
+        F.col("role").isin("BOTTOM", "SUPPORT").alias("is_duo_lane"), (F.col("role") != "JUNGLE").alias("has_nominal_opponent"),
+        *map(mine, values), *(b[c].alias(f"o_{c}") for c in values),
     )
 
 
 def lane_matchups(index: DataFrame, players: DataFrame, picks: DataFrame) -> DataFrame:
     """Own and opponent's values at each checkpoint; null where the game never reached it."""
     own = checkpoint_pivot(picks)
-    other = own.select("match_id", F.col("participant_id").alias("opponent_participant_id"), *(F.col(c).alias(f"o_{c}") for c in own.columns if c not in KEY))
-    rows = lane_pairs(index, players).join(own, KEY, "left").join(other, ["match_id", "opponent_participant_id"], "left")
+    who = players.join(eligible(index).select("match_id"), "match_id", "left_semi").join(own, KEY, "left")
+    rows = opponents(who, *(c for c in own.columns if c not in KEY))
     for c in CHECKPOINTS:
         at = lambda name, side="": F.col(f"{side}{name}_at_{c}")  # noqa: B023, E731
         columns = {f"cs_{c}": at("cs_total"), f"opponent_cs_{c}": at("cs_total", "o_")}
@@ -309,19 +330,59 @@ def match_objectives(index: DataFrame, all_events: DataFrame, players: DataFrame
 # ---- all of it ---------------------------------------------------------------------------
 
 
-def feature_tables(summaries: DataFrame, timelines: DataFrame, min_duration_s: int = MIN_DURATION_S) -> dict[str, DataFrame]:
-    """The six tables, for a caller that writes them all.
+class Features:
+    """What the six tables share, each made once and stored: ledger, players, frames, events, minutes, checkpoints.
 
-    What several tables read (ledger, players, events, minutes, checkpoints) is made once and kept,
-    in memory as far as it fits, so each payload is parsed twice at most: for frames and for events.
+    ``summaries`` and ``timelines`` are parsed envelopes; each is read once, for the stored narrow rows.
     """
-    index = match_index(summaries, timelines, min_duration_s).persist()
-    players = summary_participants(summaries).persist()
-    all_events = events(timelines).persist()
-    minutes = participant_minutes(index, players, frames(timelines), kill_points(all_events)).persist()
-    picks = checkpoint_picks(minutes).persist()
-    actors = event_actors(all_events.join(eligible(index).select("match_id"), "match_id", "left_semi"))
+
+    def __init__(self, summaries: DataFrame, timelines: DataFrame, min_duration_s: int = MIN_DURATION_S):
+        self.summaries, self.timelines, self.min_duration_s = summaries, timelines, min_duration_s
+
+    @cached_property
+    def index(self) -> DataFrame:
+        return stored(match_index(self.summaries, self.timelines, self.min_duration_s), "index")
+
+    @cached_property
+    def players(self) -> DataFrame:
+        return stored(summary_participants(self.summaries), "players")
+
+    @cached_property
+    def frames(self) -> DataFrame:
+        return stored(frames(self.timelines), "frames")
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return stored(events(self.timelines), "events")
+
+    @cached_property
+    def minutes(self) -> DataFrame:
+        return stored(participant_minutes(self.index, self.players, self.frames, kill_points(self.events)), "minutes")
+
+    @cached_property
+    def picks(self) -> DataFrame:
+        return stored(checkpoint_picks(self.minutes), "picks")
+
+    def actors(self) -> DataFrame:
+        return event_actors(self.events.join(eligible(self.index).select("match_id"), "match_id", "left_semi"))
+
+    def events_table(self) -> DataFrame:
+        return events_table(self.index, self.events)
+
+    def lanes(self) -> DataFrame:
+        return lane_matchups(self.index, self.players, self.picks)
+
+    def early(self) -> DataFrame:
+        return participant_early(self.index, self.players, self.actors(), self.picks)
+
+    def objectives(self) -> DataFrame:
+        return match_objectives(self.index, self.events, self.players)
+
+
+def feature_tables(summaries: DataFrame, timelines: DataFrame, min_duration_s: int = MIN_DURATION_S) -> dict[str, DataFrame]:
+    """The six tables, for a caller that writes them all."""
+    f = Features(summaries, timelines, min_duration_s)
     return {
-        "match_index": index, "participant_minutes": minutes, "events": events_table(index, all_events), "lane_matchups": lane_matchups(index, players, picks),
-        "participant_early": participant_early(index, players, actors, picks), "match_objectives": match_objectives(index, all_events, players),
+        "match_index": f.index, "participant_minutes": f.minutes, "events": f.events_table(), "lane_matchups": f.lanes(),
+        "participant_early": f.early(), "match_objectives": f.objectives(),
     }

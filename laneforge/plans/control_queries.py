@@ -163,7 +163,7 @@ def seed_frontier(spark, sf_dir):
 
 @query("widen_frontier", W + f" SELECT 'p' || CAST({synth.H} % 5000 AS VARCHAR) AS puuid, max(game_creation_ms // 1000 + 86400) AS last_seen_at, 200::INT AS priority FROM p WHERE k % 3 = 0 GROUP BY 1")
 def widen_frontier(spark, sf_dir):
-    seen = archive.first_archived(archive.envelope(archive.parse_summaries(synth.summaries(spark, sf_dir))))
+    seen = archive.first_archived(archive.envelope(archive.parse_summaries(synth.archived(spark, sf_dir, "summaries"))))
     fetched = matches(spark, sf_dir).where("k % 3 = 0").select("match_id", "region", "fetched_at")
     out = control.widened(participant_ids(seen).join(fetched, "match_id"))
     return seconds(out.select("puuid", "last_seen_at", "priority"), "last_seen_at")
@@ -210,5 +210,5 @@ def stream_staleness(spark, sf_dir):
 @query("append_archive", W + f" SELECT CAST(game_creation AS DATE) + 1 AS dt, count(*) AS rows, count(*) AS intact FROM m GROUP BY 1")
 def append_archive(spark, sf_dir):
     """The rows as the archive stores them, by the day that they go to."""
-    rows = publish.archive_rows(synth.summaries(spark, sf_dir).where(F.col("dt") == F.to_date(F.timestamp_millis("game_creation_ms")) + F.expr("INTERVAL 1 DAY")).drop("dt"))
+    rows = publish.archive_rows(synth.archived(spark, sf_dir, "summaries").where(F.col("dt") == F.to_date(F.timestamp_millis("game_creation_ms")) + F.expr("INTERVAL 1 DAY")).drop("dt"))
     return rows.groupBy("dt").agg(F.count("*").alias("rows"), F.count_if(F.col("payload_sha256") == F.sha2("payload", 256)).alias("intact"))

@@ -9,7 +9,7 @@ from laneforge.functions.columns import ci95, minute_of, patch_of, tier_of, vali
 from laneforge.operators import extract, gates, policy, tallies
 from laneforge.plans import synth
 from laneforge.plans.catalog import query
-from laneforge.sources import archive, publish
+from laneforge.sources import archive, publish, shared
 
 REGION, QUEUE, END, DAYS, PATCH = "EUW", 420, "2026-09-14", 14, "16.18"
 W = synth.sql_relations()
@@ -32,12 +32,16 @@ mu AS (SELECT a.role, CAST(a.champion_id AS INT) AS champion_id, CAST(o.champion
 
 
 class Build:
-    """The relations of a tier list over the derived archive, made when they are asked for."""
+    """The relations of a tier list over the derived archive, made when they are asked for.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, patch: str | None = PATCH):
-        self.raw, self.patch = synth.summaries(spark, sf_dir), patch
+    With ``keep`` the archive is parsed once into a stored table, for queries that read it by several branches.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, patch: str | None = PATCH, keep: bool = False, spoil=lambda raw: raw):
+        self.raw, self.patch = spoil(synth.archived(spark, sf_dir, "summaries")), patch
         self.scope = extract.in_scope(REGION, QUEUE, END, DAYS)
-        self.envelopes = archive.first_archived(archive.envelope(archive.parse_summaries(self.raw)))
+        parsed = archive.parse_summaries(self.raw)
+        self.envelopes = archive.first_archived(archive.envelope(shared.stored(parsed, "parsed") if keep else parsed))
         self.window = self.envelopes.where(extract.match_filter(self.scope))
         self.participants = extract.participants(self.window)
         self.bans = extract.bans(self.window)
@@ -67,7 +71,7 @@ query("tier_list", CELLS + "SELECT *, row_number() OVER (PARTITION BY role ORDER
 
 @query("read_archive", W + f", a AS (SELECT k, match_id, CAST(game_creation AS DATE) + 1 AS dt FROM m UNION ALL SELECT k, match_id, CAST(game_creation AS DATE) + 2 FROM m WHERE {synth.COPY}) SELECT dt, count(*) AS rows, count(DISTINCT match_id) AS matches FROM a WHERE dt >= DATE '2026-09-05' GROUP BY 1")
 def read_archive(spark, sf_dir):
-    rows = synth.summaries(spark, sf_dir).where(F.col("dt") >= F.lit("2026-09-05").cast("date"))
+    rows = synth.archived(spark, sf_dir, "summaries").where(F.col("dt") >= F.lit("2026-09-05").cast("date"))
     return rows.groupBy("dt").agg(F.count("*").alias("rows"), F.count_distinct("match_id").alias("matches"))
 
 
@@ -87,7 +91,7 @@ def union_by_name(spark, sf_dir):
 
 @query("resolve_window", W + f", a AS (SELECT max(CAST(game_creation AS DATE) + CASE WHEN {synth.COPY} THEN 2 ELSE 1 END) AS last_day FROM m) SELECT last_day - 13 AS first_day, last_day FROM a")
 def resolve_window(spark, sf_dir):
-    return archive.resolve_window(synth.summaries(spark, sf_dir), DAYS)
+    return archive.resolve_window(synth.archived(spark, sf_dir, "summaries"), DAYS)
 
 
 @query("json_guard", "SELECT count(*) AS docs, count_if(json_valid(props)) AS valid FROM events")
@@ -103,7 +107,7 @@ def envelope(spark, sf_dir):
 
 @query("summary_envelope", W + "SELECT match_id, region, patch, platform_id, CAST(queue_id AS INT) AS queue_id, game_duration_s, 'GameComplete' AS end_of_game_result, true AS payload_valid FROM m")
 def summary_envelope(spark, sf_dir):
-    rows = archive.first_archived(archive.summary_envelope(archive.parse_summaries(synth.summaries(spark, sf_dir))))
+    rows = archive.first_archived(archive.summary_envelope(archive.parse_summaries(synth.archived(spark, sf_dir, "summaries"))))
     return rows.select("match_id", "region", "patch", "platform_id", "queue_id", "game_duration_s", "end_of_game_result", "payload_valid")
 
 
@@ -131,7 +135,7 @@ def participant_ids(spark, sf_dir):
 
 @query("normalize_role", W + "SELECT team_position, individual_position, role, count(*) AS n FROM p GROUP BY 1, 2, 3")
 def normalize_role(spark, sf_dir):
-    rows = extract.summary_participants(archive.first_archived(archive.summary_envelope(archive.parse_summaries(synth.summaries(spark, sf_dir)))))
+    rows = extract.summary_participants(archive.first_archived(archive.summary_envelope(archive.parse_summaries(synth.archived(spark, sf_dir, "summaries")))))
     return rows.groupBy("team_position", "individual_position", "role").agg(F.count("*").alias("n"))
 
 
@@ -148,7 +152,7 @@ def minutes_of(spark, sf_dir):
 
 @query("sha256_check", W + f"SELECT (SELECT count(*) FROM m) + (SELECT count(*) FROM m WHERE {synth.COPY}) AS rows, 0::BIGINT AS damaged")
 def sha256_check(spark, sf_dir):
-    raw = synth.summaries(spark, sf_dir)
+    raw = synth.archived(spark, sf_dir, "summaries")
     bad = archive.damaged(raw).agg(F.count("*").alias("damaged"))
     return raw.agg(F.count("*").alias("rows")).crossJoin(bad)
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laneforge.sources import archive, publish, shared
+
 H = "(k * 17 + pid * 29 + c * 7)"
 ACTOR = "(1 + (k + i * 3 + j * 7) % 10)"
 KIND = "((k + i * 5 + j * 3) % 11)"
@@ -92,8 +94,9 @@ def text(expression: str, engine: str) -> str:
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").cast("bigint").alias("k"), F.col("o_custkey").cast("bigint").alias("c"))
-    # a row of sixteen bytes becomes a payload of kilobytes, so rows are spread before they grow
-    spread = orders.repartition(4 * spark.sparkContext.defaultParallelism, "k")
+    # a row of sixteen bytes becomes a payload of kilobytes, so rows are spread before they grow; by day, as the archive is
+    day = F.expr("((k * 7919) % 28800) div 1440")
+    spread = orders.repartition(4 * spark.sparkContext.defaultParallelism, day, F.col("k") % 8)
     return spread.select("*", *(F.expr(text(e, "spark")).alias(name) for name, e in MATCH.items()))
 
 
@@ -153,6 +156,20 @@ def timelines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_columns(base(spark, sf_dir).where(TIMELINE), F.expr(payload), 0)
 
 
+ROOTS: dict[tuple[str, str, str], str] = {}
+
+
+def archived(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """The archive of a source ("summaries" or "timelines"): written once an application, then read as any archive is."""
+    key = (spark.sparkContext.applicationId, sf_dir, source)
+    if key not in ROOTS:
+        root = shared.scratch(spark, "archive")
+        made = {"summaries": summaries, "timelines": timelines}[source]
+        publish.append_archive(made(spark, sf_dir).drop("dt", "part", "part_row"), root, source)
+        ROOTS[key] = root
+    return archive.read_archive(spark, ROOTS[key], source)
+
+
 # ---- the same in SQL ---------------------------------------------------------------------
 
 ROLE = "CASE {0} WHEN 'TOP' THEN 'TOP' WHEN 'JUNGLE' THEN 'JUNGLE' WHEN 'MIDDLE' THEN 'MID' WHEN 'BOTTOM' THEN 'BOTTOM' WHEN 'UTILITY' THEN 'SUPPORT' END"
@@ -171,7 +188,7 @@ def sql_relations() -> str:
 m0 AS (SELECT k, c, {of(MATCH)} FROM ord),
 m AS (SELECT *, concat('16.', CAST(16 + k % 3 AS STRING)) AS patch, 'EUW' AS region, CAST(make_timestamp(game_creation_ms * 1000) AS TIMESTAMP) AS game_creation FROM m0),
 p0 AS (SELECT m.*, pid, {of(PLAYER)} FROM m CROSS JOIN (SELECT unnest(range(1, 11)) AS pid)),
-p AS (SELECT *, team_id = winner AS win, {ROLE.format("CASE WHEN team_position = '' THEN individual_position ELSE team_position END")} AS role,
+p AS MATERIALIZED (SELECT *, team_id = winner AS win, {ROLE.format("CASE WHEN team_position = '' THEN individual_position ELSE team_position END")} AS role,
  CASE WHEN (k + pid) % 61 <> 0 THEN list_value(tree, keystone, subtree, 5008, flex, 5001) END AS rune_style, CAST(pid AS INT) AS participant_id FROM p0),
 b AS (SELECT match_id, patch, platform_id, queue_id, game_creation, CASE WHEN (k + t + bt) % 9 = 0 THEN 0 ELSE 1 + (k * 3 + t * 5 + bt * 7 + c) % 45 END AS champion_id
  FROM m CROSS JOIN (SELECT unnest(range(0, 2)) AS t) CROSS JOIN (SELECT unnest(range(1, 6)) AS bt)),

@@ -8,43 +8,22 @@ from pyspark.sql import functions as F
 from laneforge.operators import extract, gates, recipes, timeline
 from laneforge.plans import synth
 from laneforge.plans.catalog import query
-from laneforge.sources import archive, schemas
+from laneforge.sources import archive, schemas, shared
 
 W = synth.sql_relations()
 
 
-class Dataset:
-    """The relations of the feature dataset over the derived archive, made when they are asked for."""
+class Dataset(timeline.Features):
+    """The relations of the feature dataset over the derived archive, made when they are asked for.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.summaries = archive.first_archived(archive.summary_envelope(archive.parse_summaries(synth.summaries(spark, sf_dir))))
-        self.timelines = archive.first_archived(archive.timeline_envelope(synth.timelines(spark, sf_dir)))
-        self.index = timeline.match_index(self.summaries.where(extract.feature_scope()), self.timelines)
-        self.players = extract.summary_participants(self.summaries)
-        self.frames = timeline.frames(self.timelines)
-        self.events = timeline.events(self.timelines)
-
-    def actors(self):
-        scope = timeline.eligible(self.index).select("match_id")
-        return timeline.event_actors(self.events.join(scope, "match_id", "left_semi"))
-
-    def minutes(self):
-        return timeline.participant_minutes(self.index, self.players, self.frames, timeline.kill_points(self.events))
-
-    def picks(self):
-        return timeline.checkpoint_picks(self.minutes())
+    Each source is parsed once, into a stored table that all branches read.
+    """
 
-    def lanes(self):
-        return timeline.lane_matchups(self.index, self.players, self.picks())
-
-    def early(self):
-        return timeline.participant_early(self.index, self.players, self.actors(), self.picks())
-
-    def objectives(self):
-        return timeline.match_objectives(self.index, self.events, self.players)
-
-    def events_table(self):
-        return timeline.events_table(self.index, self.events)
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        parsed = shared.stored(archive.parse_summaries(synth.archived(spark, sf_dir, "summaries")), "parsed")
+        lines = shared.stored(archive.timeline_envelope(synth.archived(spark, sf_dir, "timelines")), "parsed")
+        summaries = archive.first_archived(archive.summary_envelope(parsed))
+        super().__init__(summaries.where(extract.feature_scope()), archive.first_archived(lines))
 
 
 def made(name: str, sql: str, of):
@@ -63,10 +42,10 @@ made("event_actors", "SELECT match_id, event_index, event_type, participant_id,
 made("merged_points", "SELECT match_id, participant_id, timestamp_ms, CAST(sum(kills) AS BIGINT) AS kills, CAST(sum(deaths) AS BIGINT) AS deaths, CAST(sum(assists) AS BIGINT) AS assists FROM pt GROUP BY 1, 2, 3", lambda d: timeline.merged_points(timeline.kill_points(d.events_table())))
 made("kill_points", "SELECT * FROM pt", lambda d: timeline.kill_points(d.events_table()))
 made("running_kda", "SELECT match_id, participant_id, timestamp_ms, CAST(sum(sum(kills)) OVER w AS BIGINT) AS kills_to_minute, CAST(sum(sum(deaths)) OVER w AS BIGINT) AS deaths_to_minute, CAST(sum(sum(assists)) OVER w AS BIGINT) AS assists_to_minute FROM pt GROUP BY 1, 2, 3 WINDOW w AS (PARTITION BY match_id, participant_id ORDER BY timestamp_ms)", lambda d: timeline.running_kda(timeline.kill_points(d.events_table())))
-made("participant_minutes", "SELECT " + ", ".join(f"CAST({c} AS {k.upper()}) AS {c}" for c, k in schemas.PARTICIPANT_MINUTES) + " FROM mins", lambda d: d.minutes())
+made("participant_minutes", "SELECT " + ", ".join(f"CAST({c} AS {k.upper()}) AS {c}" for c, k in schemas.PARTICIPANT_MINUTES) + " FROM mins", lambda d: d.minutes)
 CHK = "match_id, participant_id, checkpoint, frame_timestamp_ms, cs_total, xp, total_gold, level, kills_to_minute, deaths_to_minute, assists_to_minute"
-made("nearest_checkpoint", f"SELECT {CHK} FROM chk", lambda d: d.picks().select(*CHK.split(", ")))
-made("checkpoint_pivot", "SELECT match_id, participant_id, " + ", ".join(f"max({n}) FILTER (WHERE checkpoint = {c}) AS {n}_at_{c}" for c in (5, 10, 15) for n in timeline.AT_CHECKPOINT[1:]) + " FROM chk GROUP BY 1, 2", lambda d: timeline.checkpoint_pivot(d.picks()))
+made("nearest_checkpoint", f"SELECT {CHK} FROM chk", lambda d: d.picks.select(*CHK.split(", ")))
+made("checkpoint_pivot", "SELECT match_id, participant_id, " + ", ".join(f"max({n}) FILTER (WHERE checkpoint = {c}) AS {n}_at_{c}" for c in (5, 10, 15) for n in timeline.AT_CHECKPOINT[1:]) + " FROM chk GROUP BY 1, 2", lambda d: timeline.checkpoint_pivot(d.picks))
 PAIRS = "SELECT a.match_id, a.region, a.patch, CAST(a.queue_id AS INT) AS queue_id, a.participant_id, o.participant_id AS opponent_participant_id, a.role, CAST(a.champion_id AS INT) AS champion_id, CAST(o.champion_id AS INT) AS opponent_champion_id, CAST(a.team_id AS INT) AS team_id, a.win, 'team_position' AS pairing_basis, a.role IN ('BOTTOM', 'SUPPORT') AS is_duo_lane, a.role <> 'JUNGLE' AS has_nominal_opponent FROM p a JOIN ok USING (match_id) JOIN p o ON o.match_id = a.match_id AND o.role = a.role AND o.team_id <> a.team_id"
 made("lane_pairs", PAIRS, lambda d: timeline.lane_pairs(d.index, d.players))
 _side = lambda c: f"LEFT JOIN chk c{c} ON c{c}.match_id = pr.match_id AND c{c}.participant_id = pr.participant_id AND c{c}.checkpoint = {c} LEFT JOIN chk o{c} ON o{c}.match_id = pr.match_id AND o{c}.participant_id = pr.opponent_participant_id AND o{c}.checkpoint = {c}"
@@ -100,7 +79,7 @@ made("first_blood", EARLY + " SELECT * FROM fb", lambda d: timeline.first_blood(
 made("skill_order", EARLY + " SELECT * FROM sk", lambda d: timeline.skill_order(d.actors()))
 made("item_timings", EARLY + " SELECT * FROM it", lambda d: timeline.item_timings(d.actors()))
 made("cumulative_plates", EARLY + " SELECT match_id, participant_id, timestamp_ms, count(*) OVER (PARTITION BY match_id, participant_id ORDER BY timestamp_ms) AS plates FROM pl", lambda d: timeline.cumulative_plates(d.actors()))
-made("asof_plates", EARLY + " SELECT * FROM pla", lambda d: timeline.plates_at(d.actors(), d.picks()))
+made("asof_plates", EARLY + " SELECT * FROM pla", lambda d: timeline.plates_at(d.actors(), d.picks))
 made("participant_early", EARLY + " SELECT * FROM early", lambda d: d.early())
 OBJ = ", ".join(f"count(*) FILTER (WHERE team_id = {t} AND {rule}) AS {n}_team_{t}" for n, rule in schemas.OBJECTIVES.items() for t in (100, 200))
 _first = lambda rule, name: f"arg_min(team_id, event_index) FILTER (WHERE {rule} AND team_id IS NOT NULL) AS first_{name}_team, min(timestamp_ms) FILTER (WHERE {rule}) AS first_{name}_ts_ms"
@@ -128,7 +107,7 @@ made("recipe_cs_at_five", LANES + f" SELECT cs_diff_5 <= -10 AS lost_lane, count
 _kda = lambda s, c: f"CAST({s}.kills_{c} + {s}.assists_{c} AS DOUBLE) / CASE WHEN {s}.deaths_{c} IS NULL THEN NULL ELSE greatest({s}.deaths_{c}, 1) END"
 made("recipe_kda_vs_opponent", LANES + f" SELECT p.role, count(*) AS n, {', '.join(f'round(avg({_kda(chr(112), c)} - {_kda(chr(111), c)}), 9) + 0.0 AS avg_kda_diff_{c}' for c in (5, 10, 15))}, avg(CAST(p.win AS INT)) AS win_rate FROM lm p JOIN lm o ON o.match_id = p.match_id AND o.participant_id = p.opponent_participant_id WHERE NOT p.is_duo_lane AND p.has_nominal_opponent GROUP BY 1", lambda d: rounded(recipes.kda_vs_opponent(d.lanes()), "avg_kda_diff_5", "avg_kda_diff_10", "avg_kda_diff_15"))
 made("recipe_cs_diff_curve", LANES + f" SELECT CAST(floor(cs_diff_10 / 10.0) * 10 AS DOUBLE) AS cs_diff_bucket, count(*) AS n, {WIN} FROM lm WHERE role = 'MID' AND cs_diff_10 IS NOT NULL GROUP BY 1 HAVING count(*) >= 30", lambda d: recipes.cs_diff_curve(d.lanes()))
-made("recipe_minute_curves", "SELECT minute, avg(cs_total) AS avg_cs, avg(CASE WHEN role = 'JUNGLE' THEN jungle_minions_killed END) AS avg_jungle_cs, avg(total_gold) AS avg_gold FROM mins WHERE minute <= 20 GROUP BY 1", lambda d: recipes.minute_curves(d.minutes()))
+made("recipe_minute_curves", "SELECT minute, avg(cs_total) AS avg_cs, avg(CASE WHEN role = 'JUNGLE' THEN jungle_minions_killed END) AS avg_jungle_cs, avg(total_gold) AS avg_gold FROM mins WHERE minute <= 20 GROUP BY 1", lambda d: recipes.minute_curves(d.minutes))
 made("recipe_first_objective", OBJECTIVES + f" SELECT obj.first_dragon_team = p.team_id AS took_first_dragon, count(DISTINCT p.match_id) AS games, count(*) AS participant_sides, {WIN} FROM obj JOIN p USING (match_id) WHERE first_dragon_team IS NOT NULL GROUP BY 1", lambda d: recipes.first_objective(d.objectives(), d.early()))
 made("recipe_event_timing", "SELECT event_type, count(*) AS n, quantile_cont(timestamp_ms, 0.5) / 60000 AS median_minute, count(*) FILTER (WHERE is_duplicate_skill_level_up) AS duplicates FROM e GROUP BY 1", lambda d: recipes.event_timing(d.events_table()))
 made("recipe_death_positions", "SELECT minute, position_x, position_y, count(*) AS deaths FROM e WHERE event_type = 'CHAMPION_KILL' AND target_participant_id > 0 GROUP BY 1, 2, 3", lambda d: recipes.death_positions(d.events_table()))
@@ -146,7 +125,7 @@ def feature_scope(spark, sf_dir):
 def schema_drift(spark, sf_dir):
     """How many columns of each table differ from the specification, for as long as there are matches."""
     d = Dataset(spark, sf_dir)
-    tables = {"match_index": d.index, "participant_minutes": d.minutes(), "events": d.events_table(), "lane_matchups": d.lanes(), "participant_early": d.early(), "match_objectives": d.objectives()}
+    tables = {"match_index": d.index, "participant_minutes": d.minutes, "events": d.events_table(), "lane_matchups": d.lanes(), "participant_early": d.early(), "match_objectives": d.objectives()}
     found = F.array(*(F.struct(F.lit(n).alias("table_name"), F.lit(len(gates.schema_drift(df, n))).alias("problems")) for n, df in tables.items()))
     return synth.base(spark, sf_dir).agg(F.count("*").alias("n")).where("n > 0").select(F.inline(found))
 

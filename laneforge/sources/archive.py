@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from laneforge.functions.columns import as_int, as_long, patch_of, patch_order, slug, valid_json
 from laneforge.sources import schemas
+from laneforge.sources.shared import stored
 
 
 class ArchiveEmpty(ValueError):
@@ -97,7 +98,7 @@ def parse_summaries(archive: DataFrame) -> DataFrame:
     """
     keep = [c for c in ("region", "dt", "part", "part_row") if c in archive.columns]
     parsed = archive.select(*keep, "payload", F.from_json("payload", schemas.SUMMARY).alias("doc"))
-    return parsed.select(*keep, valid_json(F.col("payload"), F.col("doc.info")).alias("payload_valid"), "doc")
+    return parsed.select(*keep, valid_json(F.col("payload"), F.col("doc.info.gameVersion")).alias("payload_valid"), "doc")
 
 
 def envelope(parsed: DataFrame) -> DataFrame:
@@ -127,7 +128,7 @@ def timeline_envelope(archive: DataFrame) -> DataFrame:
     own = ("match_id", "region", "patch", "game_version", "queue_id", "game_creation_ms", "game_duration_s")
     keep = (*own, *(c for c in ("part", "part_row") if c in archive.columns))
     parsed = archive.select(*keep, "payload", F.from_json("payload", schemas.TIMELINE).alias("doc"))
-    parsed = parsed.select(*keep, valid_json(F.col("payload"), F.col("doc.info")).alias("payload_valid"), "doc")
+    parsed = parsed.select(*keep, valid_json(F.col("payload"), F.col("doc.info.frameInterval")).alias("payload_valid"), "doc")
     frames = F.col("doc.info.frames")
     players = F.aggregate(frames, F.lit(0).cast("bigint"), lambda n, f: n + F.coalesce(F.size(F.map_keys(f["participantFrames"])), F.lit(0)))
     guarded = lambda c: F.when(F.col("payload_valid"), c)
@@ -143,10 +144,15 @@ def array_size(values: Column) -> Column:
 
 
 def first_archived(envelopes: DataFrame) -> DataFrame:
-    """One row for each match, the first by part and row. Rows without an id each stay, to be counted."""
-    key = F.coalesce("match_id", F.concat_ws("#", "part", "part_row"))
-    first = Window.partitionBy(key).orderBy("part", "part_row")
-    return envelopes.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    """One row for each match, the first by part and row. Rows without an id each stay, to be counted.
+
+    Only ids and addresses are sorted. The addresses of later copies are stored, so that the planner knows
+    how few they are and takes them out where the documents are read: these are not shuffled.
+    """
+    keys = envelopes.where(F.col("match_id").isNotNull()).select("match_id", "part", "part_row")
+    first = Window.partitionBy("match_id").orderBy("part", "part_row")
+    later = keys.withColumn("_n", F.row_number().over(first)).where("_n > 1").select("part", "part_row")
+    return envelopes.join(stored(later, "copies"), ["part", "part_row"], "left_anti")
 
 
 def carry_payload(archive: DataFrame, keys: DataFrame) -> DataFrame:
