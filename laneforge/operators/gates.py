@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from laneforge.functions.columns import TIERS, ci95, role_rank, round4
+from laneforge.functions.columns import TIERS, ci95, patch_order, role_rank, round4
 from laneforge.sources.schemas import ROLES, TABLES
 
 
@@ -77,6 +77,12 @@ def freshness(matches: DataFrame, now, budget_hours: float) -> DataFrame:
     return matches.agg(F.max(F.col("fetched_at").cast("timestamp")).alias("newest_fetched_at")).select("newest_fetched_at", stale.alias("stale"))
 
 
+def provenance(runs: DataFrame) -> DataFrame:
+    """The rows of a run table that don't say which revision and run made them."""
+    known = F.col("revision").rlike(r"^[0-9a-f]{7,40}$") & (F.col("run_id") > 0)
+    return runs.where(~F.coalesce(known, F.lit(False)))
+
+
 def check_provenance(revision: str, run_id: int, required: bool = True) -> None:
     if required and (not re.fullmatch(r"[0-9a-f]{7,40}", revision) or run_id <= 0):
         raise GateFailed("unrecorded_provenance")
@@ -202,5 +208,20 @@ def verify_manifest(manifest: DataFrame, tree: DataFrame) -> DataFrame:
     }, *PARTITION)
 
 
+def verify_latest(latest: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The partition named as latest, if it is not listed or another one is of a newer patch."""
+    newest = manifest.agg(F.max(patch_order(F.col("patch"))).alias("newest"))  # one row
+    there = manifest.select(*PARTITION, F.lit(True).alias("there")).distinct()
+    rows = latest.join(there, PARTITION, "left").crossJoin(F.broadcast(newest))
+    return named(rows, {"unlisted": F.col("there").isNull(), "older": patch_order(F.col("patch")) < F.col("newest")}, *PARTITION)
+
+
+def verify_envelope(documents: DataFrame) -> DataFrame:
+    """Documents whose ``envelope`` differs from the partition they lie in, or has a window that ends before it starts."""
+    e = F.col("envelope")
+    rules = {c: ~e[c].eqNullSafe(F.col(c)) for c in PARTITION}
+    return named(documents, rules | {"window": e["first_day"] > e["last_day"]}, *PARTITION)
+
+
 def in_published_order(cells: DataFrame) -> DataFrame:
     return cells.orderBy(role_rank(F.col("role")), "rank")

@@ -217,10 +217,13 @@ def envelope_patch_list(spark, sf_dir):
     return tallies.envelope_patch_list(b.envelopes, extract.match_filter(b.scope))
 
 
-@query("patch_evidence_diff", "SELECT NULL::VARCHAR AS patch, NULL::INT AS matches_a, NULL::INT AS matches_b, NULL::INT AS rows_a, NULL::INT AS rows_b WHERE false")
+@query("patch_evidence_diff", W + f""", a AS (SELECT patch, CAST(count(DISTINCT match_id) AS INT) AS matches_a, CAST(count(*) AS INT) AS rows_a FROM p WHERE {IN_SCOPE} AND champion_id <> 1 GROUP BY 1),
+b2 AS (SELECT patch, CAST(count(*) AS INT) AS matches_b, CAST(10 * count(*) AS INT) AS rows_b FROM m WHERE {IN_SCOPE} GROUP BY 1)
+SELECT patch, matches_a, matches_b, rows_a, rows_b FROM a FULL JOIN b2 USING (patch) WHERE matches_a IS DISTINCT FROM matches_b OR rows_a IS DISTINCT FROM rows_b""")
 def patch_evidence_diff(spark, sf_dir):
-    b = Build(spark, sf_dir)
-    return policy.patch_evidence_diff(tallies.patch_list(b.participants), tallies.envelope_patch_list(b.envelopes, extract.match_filter(b.scope)))
+    """Participants of which a champion is missing, against the envelopes."""
+    b = Build(spark, sf_dir, keep=True)
+    return policy.patch_evidence_diff(tallies.patch_list(b.participants.where("champion_id <> 1")), tallies.envelope_patch_list(b.envelopes, extract.match_filter(b.scope)))
 
 
 @query("newest_patch", W + f"SELECT '16.' || max(CAST(split_part(patch, '.', 2) AS INT)) AS patch FROM m WHERE {IN_SCOPE}")
@@ -256,42 +259,88 @@ query("matchup_axis", CELLS + "SELECT role, array_to_string(list_sort(list(DISTI
 )
 
 
-@query("champion_builds", CELLS + "SELECT champion_id, CAST(count(*) FILTER (n >= 100) AS INT) AS roles, coalesce(string_agg(role, ',' ORDER BY CASE role WHEN 'TOP' THEN 1 WHEN 'JUNGLE' THEN 2 WHEN 'MID' THEN 3 WHEN 'BOTTOM' THEN 4 ELSE 5 END) FILTER (n >= 100), '') AS role_names FROM cell GROUP BY 1")
+LISTED = ", ".join(f"string_agg(label || ':' || n || ':' || wins, ',' ORDER BY rank) FILTER (WHERE kind = '{k}') AS {k}" for k in KEYS)
+SHOWN = "role, n, wins, win_rate, pick_rate, ban_rate, tier, ci95"
+
+
+@query("champion_builds", CELLS + f""", tb AS ({TOP.format(COUNTED)}), bl AS (SELECT champion_id, role, {LISTED} FROM tb GROUP BY 1, 2)
+SELECT champion_id, {SHOWN}, items, runes, spells FROM (SELECT DISTINCT champion_id FROM cell) c LEFT JOIN (SELECT * FROM cell WHERE n >= 100) s USING (champion_id) LEFT JOIN bl USING (champion_id, role)""")
 def champion_builds(spark, sf_dir):
-    b = Build(spark, sf_dir)
+    """Every document whole, a row for each of its roles; a champion without a published role has one row of nulls."""
+    b = Build(spark, sf_dir, keep=True)
     found = b.cells()
-    docs = policy.champion_documents(policy.published(found), found, b.builds())
-    return docs.select("champion_id", F.size("roles").alias("roles"), F.array_join(F.transform("roles", lambda r: r["role"]), ",").alias("role_names"))
+    docs = policy.champion_documents(policy.published(found), found, b.builds()).select("champion_id", F.explode_outer("roles").alias("r"))
+    listed = lambda kind: F.array_join(F.transform(F.col("r")[kind], lambda x: F.concat_ws(":", x["label"], x["n"].cast("string"), x["wins"].cast("string"))), ",")
+    return docs.select("champion_id", *(F.col("r")[c].alias(c) for c in SHOWN.split(", ")), *(F.nullif(listed(k), F.lit("")).alias(k) for k in KEYS))
+
 
+# ---- gates, over relations with faults -----------------------------------------------------
 
-@query("gate_input", STATS.replace("SELECT (SELECT CAST", "SELECT reason FROM (SELECT (SELECT CAST", 1) + ") s, (VALUES ('rejected_rows')) r(reason) WHERE rejected_rows > greatest(0, ceil(0.001 * participant_rows))")
+
+def cut_off(raw: DataFrame) -> DataFrame:
+    """The archive with the payloads of one match in nine cut off."""
+    number = F.substring("match_id", 6, 10).cast("bigint")
+    return raw.withColumn("payload", F.when(number % 9 == 0, F.substring("payload", 1, 100)).otherwise(F.col("payload")))
+
+
+@query("gate_input", W + f""", s AS (SELECT count(*) AS n, count_if(role IS NULL OR champion_id <= 0) AS bad FROM p WHERE {USED} AND k % 9 <> 0)
+SELECT 'malformed_archive' AS reason WHERE (SELECT count(*) FROM m WHERE k % 9 = 0) > 0
+UNION ALL SELECT 'empty_window' FROM s WHERE n - bad = 0 UNION ALL SELECT 'rejected_rows' FROM s WHERE bad > ceil(0.0002 * n)""")
 def gate_input(spark, sf_dir):
-    b = Build(spark, sf_dir)
-    return gates.input_gate(tallies.archive_stats(b.envelopes), b.stats())
+    b = Build(spark, sf_dir, keep=True, spoil=cut_off)
+    return gates.input_gate(tallies.archive_stats(b.envelopes), b.stats(), gates.GateConfig(max_rejected_rate=0.0002))
 
 
-@query("gate_output", CELLS + "SELECT 'no_published_cells' AS reason FROM cell HAVING count(*) > 0 AND count_if(n >= 100) = 0")
+@query("gate_output", CELLS + """SELECT 'no_published_cells' AS reason FROM t WHERE champion_id % 2 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'reconciliation' FROM t HAVING sum(n) FILTER (champion_id % 2 = 0) <> sum(n)""")
 def gate_output(spark, sf_dir):
-    b = Build(spark, sf_dir)
-    return gates.output_gate(policy.suppression(b.tallies()), b.stats())
+    """Half of the tallies, and a floor that none reaches."""
+    b = Build(spark, sf_dir, keep=True)
+    return gates.output_gate(policy.suppression(b.tallies().where("champion_id % 2 = 0"), 10**9), b.stats())
+
+
+WRONG_ROLE, WRONG_WINS = "CASE WHEN champion_id % 11 = 0 THEN 'NONE' ELSE role END", "CASE WHEN champion_id % 7 = 0 THEN n + 1 ELSE wins END"
+
 
+@query("gate_tallies", CELLS + f"SELECT champion_id, {WRONG_ROLE} AS role, n, {WRONG_WINS} AS wins FROM t WHERE champion_id % 11 = 0 OR champion_id % 7 = 0")
+def gate_tallies(spark, sf_dir):
+    return gates.tally_sanity(Build(spark, sf_dir).tallies().withColumns({"role": F.expr(WRONG_ROLE), "wins": F.expr(WRONG_WINS)}))
 
-query("gate_tallies", "SELECT NULL::INT AS champion_id, NULL::VARCHAR AS role, NULL::INT AS n, NULL::INT AS wins WHERE false")(lambda spark, sf_dir: gates.tally_sanity(Build(spark, sf_dir).tallies()))
-NO_CELLS = "SELECT NULL::VARCHAR AS role, NULL::INT AS champion_id, NULL::VARCHAR AS problem WHERE false"
-query("verify_cells", NO_CELLS)(lambda spark, sf_dir: gates.verify_cells(policy.published(Build(spark, sf_dir).cells())))
-query("verify_order", NO_CELLS)(lambda spark, sf_dir: gates.verify_order(policy.ranked(policy.published(Build(spark, sf_dir).cells()))))
 
+@query("verify_cells", CELLS + """SELECT role, champion_id, problem FROM cell, (VALUES ('win_rate'), ('tier'), ('floor')) v(problem)
+WHERE n >= 20 AND (problem = 'win_rate' AND champion_id % 7 = 0 OR problem = 'tier' AND champion_id % 5 = 0 OR problem = 'floor' AND n < 100)""")
+def verify_cells(spark, sf_dir):
+    """Cells from a lower floor, some with another rate or an unknown tier."""
+    cells = policy.published(Build(spark, sf_dir).cells(), 20)
+    return gates.verify_cells(cells.withColumns({"win_rate": F.expr("CASE WHEN champion_id % 7 = 0 THEN win_rate + 0.001 ELSE win_rate END"), "tier": F.expr("CASE WHEN champion_id % 5 = 0 THEN 'Z' ELSE tier END")}))
 
-@query("verify_builds", "SELECT NULL::INT AS champion_id, NULL::VARCHAR AS role, NULL::VARCHAR AS kind, NULL::INT AS rank, NULL::VARCHAR AS problem WHERE false")
+
+@query("verify_order", CELLS + """, o AS (SELECT *, CASE tier WHEN 'S+' THEN 1 WHEN 'S' THEN 2 WHEN 'A' THEN 3 WHEN 'B' THEN 4 WHEN 'C' THEN 5 ELSE 6 END AS tr FROM cell WHERE n >= 20),
+q AS (SELECT *, lead(win_rate) OVER w AS before, lead(tr) OVER w AS tier_before FROM o WINDOW w AS (PARTITION BY role ORDER BY win_rate DESC, champion_id))
+SELECT role, champion_id, problem FROM q, (VALUES ('rate_order'), ('tier_order')) v(problem) WHERE problem = 'rate_order' AND win_rate > before OR problem = 'tier_order' AND tr < tier_before""")
+def verify_order(spark, sf_dir):
+    """The published order turned round."""
+    return gates.verify_order(policy.ranked(policy.published(Build(spark, sf_dir).cells(), 20)).withColumn("rank", -F.col("rank")))
+
+
+@query("verify_builds", CELLS + f""", tb AS ({TOP.format(COUNTED)}) SELECT champion_id, role, kind, CAST(rank AS INT) AS rank, problem FROM tb, (VALUES ('key_length'), ('too_many_games')) v(problem)
+WHERE problem = 'key_length' AND kind = 'runes' AND champion_id % 4 = 0 OR problem = 'too_many_games' AND champion_id % 6 = 0""")
 def verify_builds(spark, sf_dir):
-    b = Build(spark, sf_dir)
-    return gates.verify_builds(b.builds(), b.cells())
+    """Builds, some with a short key or too many games."""
+    b = Build(spark, sf_dir, keep=True)
+    key = F.when((F.col("kind") == "runes") & (F.col("champion_id") % 4 == 0), F.slice("key", 1, 5)).otherwise(F.col("key"))
+    return gates.verify_builds(b.builds().withColumns({"key": key, "n": F.when(F.col("champion_id") % 6 == 0, F.col("n") + 1_000_000).otherwise(F.col("n"))}), b.cells())
 
 
-@query("verify_matchups", "SELECT NULL::VARCHAR AS role, NULL::INT AS champion_id, NULL::INT AS opponent_id, NULL::VARCHAR AS problem WHERE false")
+@query("verify_matchups", CELLS + """, s AS (SELECT role, CASE WHEN champion_id % 5 = 0 THEN opponent_id ELSE champion_id END AS champion_id, CASE WHEN champion_id % 5 = 0 THEN champion_id ELSE opponent_id END AS opponent_id FROM mu WHERE n >= 5)
+SELECT role, champion_id, opponent_id, problem FROM s, (VALUES ('order'), ('axis')) v(problem) WHERE problem = 'order' AND champion_id > opponent_id OR problem = 'axis' AND (champion_id = 3 OR opponent_id = 3)""")
 def verify_matchups(spark, sf_dir):
-    counts = tallies.matchup_counts(Build(spark, sf_dir).participants, PATCH)
-    return gates.verify_matchups(policy.published(policy.matchup_cells(counts), 5), policy.matchup_axis(counts), 5)
+    """Pairs, some turned round, and an axis that lacks a champion."""
+    counts = shared.stored(tallies.matchup_counts(Build(spark, sf_dir).participants, PATCH))
+    turned = F.col("champion_id") % 5 == 0
+    shown = policy.published(policy.matchup_cells(counts), 5).withColumns({"champion_id": F.when(turned, F.col("opponent_id")).otherwise(F.col("champion_id")), "opponent_id": F.when(turned, F.col("champion_id")).otherwise(F.col("opponent_id"))})
+    axis = policy.matchup_axis(counts).withColumn("champions", F.array_except("champions", F.array(F.lit(3))))
+    return gates.verify_matchups(shown, axis, 5)
 
 
 MANIFEST = W + """, r AS (SELECT patch, platform_id AS region, queue_id AS queue, 'all' AS bracket, min(CAST(game_creation AS DATE)) AS first_day, max(CAST(game_creation AS DATE)) AS last_day, count(*) AS matches FROM m GROUP BY 1, 2, 3)"""

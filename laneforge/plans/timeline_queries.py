@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laneforge.operators import extract, gates, recipes, timeline
@@ -93,7 +93,19 @@ made("orphan_timelines", "SELECT match_id FROM idx WHERE timeline_present AND k
 made("ledger_counts", "SELECT count(*) AS matches, count_if(timeline_present) AS timelines, count_if(exclusion_reason = 'ok') AS eligible, count_if(exclusion_reason <> 'ok') AS excluded, 0::BIGINT AS unexplained, count(*) AS distinct_matches, 0::BIGINT AS malformed, 0::BIGINT AS orphans FROM idx", lambda d: gates.ledger_counts(d.index, d.summaries, timeline.orphan_timelines(d.timelines, d.summaries)))
 made("table_row_counts", f", pr AS ({PAIRS}) SELECT 'match_index' AS table_name, count(*) AS rows FROM idx UNION ALL SELECT 'events', count(*) FROM e UNION ALL SELECT 'match_objectives', count(*) FROM ok UNION ALL SELECT 'participant_minutes', count(*) FROM f UNION ALL SELECT 'lane_matchups', count(*) FROM pr UNION ALL SELECT 'participant_early', 10 * count(*) FROM ok", lambda d: gates.table_row_counts(timeline.feature_tables(d.summaries, d.timelines)))
 made("reconcile_matchups", f", pr AS ({PAIRS}) SELECT count(*) AS rows, count(DISTINCT match_id) AS matches, (SELECT count(*) FROM ok) AS eligible FROM pr", lambda d: gates.reconcile_matchups(timeline.lane_pairs(d.index, d.players), d.index))
-made("gate_features", f", pr AS ({PAIRS}) SELECT 'lane_rows' AS reason FROM pr HAVING count(*) <> 10 * (SELECT count(*) FROM ok) OR count(DISTINCT match_id) <> (SELECT count(*) FROM ok)", lambda d: gates.feature_gate(gates.ledger_counts(d.index, d.summaries, timeline.orphan_timelines(d.timelines, d.summaries)), gates.reconcile_matchups(timeline.lane_pairs(d.index, d.players), d.index)))
+LANE_FAULTS = f""", pr AS ({PAIRS}) SELECT 'orphan_timelines' AS reason WHERE (SELECT count(*) FROM idx WHERE timeline_present AND k % 60 = 0) > 0
+UNION ALL SELECT 'lane_rows' FROM pr WHERE role <> 'TOP' HAVING count(*) <> 10 * (SELECT count(*) FROM ok)"""
+
+
+def some_summaries(d: Dataset) -> DataFrame:
+    """Summaries without one match in sixty."""
+    return d.summaries.where(F.substring("match_id", 6, 10).cast("bigint") % 60 != 0)
+
+
+made("gate_features", LANE_FAULTS, lambda d: gates.feature_gate(
+    gates.ledger_counts(d.index, d.summaries, timeline.orphan_timelines(d.timelines, some_summaries(d))),
+    gates.reconcile_matchups(timeline.lane_pairs(d.index, d.players).where("role <> 'TOP'"), d.index),
+))
 
 
 
