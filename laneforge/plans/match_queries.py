@@ -9,7 +9,7 @@ from laneforge.functions.columns import ci95, minute_of, patch_of, tier_of, vali
 from laneforge.operators import extract, gates, policy, tallies
 from laneforge.plans import synth
 from laneforge.plans.catalog import query
-from laneforge.sources import archive, publish, shared
+from laneforge.sources import archive, publish, schemas, shared
 
 REGION, QUEUE, END, DAYS, PATCH = "EUW", 420, "2026-09-14", 14, "16.18"
 W = synth.sql_relations()
@@ -34,17 +34,17 @@ mu AS (SELECT a.role, CAST(a.champion_id AS INT) AS champion_id, CAST(o.champion
 class Build:
     """The relations of a tier list over the derived archive, made when they are asked for.
 
-    With ``keep`` the archive is parsed once into a stored table, for queries that read it by several branches.
+    The archive is parsed once, to the fields of ``schema``, into a stored table that all branches read.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, patch: str | None = PATCH, keep: bool = False, spoil=lambda raw: raw):
+    def __init__(self, spark: SparkSession, sf_dir: str, patch: str | None = PATCH, schema: str = schemas.SUMMARY, spoil=lambda raw: raw):
         self.raw, self.patch = spoil(synth.archived(spark, sf_dir, "summaries")), patch
         self.scope = extract.in_scope(REGION, QUEUE, END, DAYS)
-        parsed = archive.parse_summaries(self.raw)
-        self.envelopes = archive.first_archived(archive.envelope(shared.stored(parsed, "parsed") if keep else parsed))
+        self.envelopes = archive.first_archived(archive.envelope(shared.stored(archive.parse_summaries(self.raw, schema), "parsed")))
         self.window = self.envelopes.where(extract.match_filter(self.scope))
-        self.participants = extract.participants(self.window)
-        self.bans = extract.bans(self.window)
+        if schema == schemas.SUMMARY:
+            self.participants = extract.participants(self.window)
+            self.bans = extract.bans(self.window)
 
     def tallies(self) -> DataFrame:
         return tallies.cell_counts(self.participants, self.patch)
@@ -63,7 +63,7 @@ class Build:
 
 
 def tier_list(spark: SparkSession, sf_dir: str, min_cell_n: int = 100) -> DataFrame:
-    return policy.ranked(policy.published(Build(spark, sf_dir).cells(), min_cell_n))
+    return policy.ranked(policy.published(Build(spark, sf_dir, schema=schemas.PLAYED).cells(), min_cell_n))
 
 
 query("tier_list", CELLS + "SELECT *, row_number() OVER (PARTITION BY role ORDER BY win_rate DESC, champion_id) AS rank FROM cell WHERE n >= 100")(tier_list)
@@ -222,7 +222,7 @@ b2 AS (SELECT patch, CAST(count(*) AS INT) AS matches_b, CAST(10 * count(*) AS I
 SELECT patch, matches_a, matches_b, rows_a, rows_b FROM a FULL JOIN b2 USING (patch) WHERE matches_a IS DISTINCT FROM matches_b OR rows_a IS DISTINCT FROM rows_b""")
 def patch_evidence_diff(spark, sf_dir):
     """Participants of which a champion is missing, against the envelopes."""
-    b = Build(spark, sf_dir, keep=True)
+    b = Build(spark, sf_dir)
     return policy.patch_evidence_diff(tallies.patch_list(b.participants.where("champion_id <> 1")), tallies.envelope_patch_list(b.envelopes, extract.match_filter(b.scope)))
 
 
@@ -267,7 +267,7 @@ SHOWN = "role, n, wins, win_rate, pick_rate, ban_rate, tier, ci95"
 SELECT champion_id, {SHOWN}, items, runes, spells FROM (SELECT DISTINCT champion_id FROM cell) c LEFT JOIN (SELECT * FROM cell WHERE n >= 100) s USING (champion_id) LEFT JOIN bl USING (champion_id, role)""")
 def champion_builds(spark, sf_dir):
     """Every document whole, a row for each of its roles; a champion without a published role has one row of nulls."""
-    b = Build(spark, sf_dir, keep=True)
+    b = Build(spark, sf_dir)
     found = b.cells()
     docs = policy.champion_documents(policy.published(found), found, b.builds()).select("champion_id", F.explode_outer("roles").alias("r"))
     listed = lambda kind: F.array_join(F.transform(F.col("r")[kind], lambda x: F.concat_ws(":", x["label"], x["n"].cast("string"), x["wins"].cast("string"))), ",")
@@ -287,7 +287,7 @@ def cut_off(raw: DataFrame) -> DataFrame:
 SELECT 'malformed_archive' AS reason WHERE (SELECT count(*) FROM m WHERE k % 9 = 0) > 0
 UNION ALL SELECT 'empty_window' FROM s WHERE n - bad = 0 UNION ALL SELECT 'rejected_rows' FROM s WHERE bad > ceil(0.0002 * n)""")
 def gate_input(spark, sf_dir):
-    b = Build(spark, sf_dir, keep=True, spoil=cut_off)
+    b = Build(spark, sf_dir, spoil=cut_off)
     return gates.input_gate(tallies.archive_stats(b.envelopes), b.stats(), gates.GateConfig(max_rejected_rate=0.0002))
 
 
@@ -295,7 +295,7 @@ def gate_input(spark, sf_dir):
 UNION ALL SELECT 'reconciliation' FROM t HAVING sum(n) FILTER (champion_id % 2 = 0) <> sum(n)""")
 def gate_output(spark, sf_dir):
     """Half of the tallies, and a floor that none reaches."""
-    b = Build(spark, sf_dir, keep=True)
+    b = Build(spark, sf_dir)
     return gates.output_gate(policy.suppression(b.tallies().where("champion_id % 2 = 0"), 10**9), b.stats())
 
 
@@ -327,7 +327,7 @@ def verify_order(spark, sf_dir):
 WHERE problem = 'key_length' AND kind = 'runes' AND champion_id % 4 = 0 OR problem = 'too_many_games' AND champion_id % 6 = 0""")
 def verify_builds(spark, sf_dir):
     """Builds, some with a short key or too many games."""
-    b = Build(spark, sf_dir, keep=True)
+    b = Build(spark, sf_dir)
     key = F.when((F.col("kind") == "runes") & (F.col("champion_id") % 4 == 0), F.slice("key", 1, 5)).otherwise(F.col("key"))
     return gates.verify_builds(b.builds().withColumns({"key": key, "n": F.when(F.col("champion_id") % 6 == 0, F.col("n") + 1_000_000).otherwise(F.col("n"))}), b.cells())
 

@@ -91,13 +91,13 @@ def window_ending(end: str, days: int) -> tuple[str, str]:
 # ---- payloads ----------------------------------------------------------------------------
 
 
-def parse_summaries(archive: DataFrame) -> DataFrame:
+def parse_summaries(archive: DataFrame, schema: str = schemas.SUMMARY) -> DataFrame:
     """The archive's summaries as structs, beside their position; null where the payload is no JSON.
 
     The parse is to the paths that are read; Spark leaves out those that a query does not use.
     """
     keep = [c for c in ("region", "dt", "part", "part_row") if c in archive.columns]
-    parsed = archive.select(*keep, "payload", F.from_json("payload", schemas.SUMMARY).alias("doc"))
+    parsed = archive.select(*keep, "payload", F.from_json("payload", schema).alias("doc"))
     return parsed.select(*keep, valid_json(F.col("payload"), F.col("doc.info.gameVersion")).alias("payload_valid"), "doc")
 
 

@@ -21,6 +21,13 @@ SUMMARY = (
     "style: STRING, selections: ARRAY<STRUCT<perk: STRING>>>>, statPerks: STRUCT<offense: STRING, flex: STRING, defense: STRING>>>>>"
 )
 
+#: What cells are made of, for readers of nothing else.
+PLAYED = (
+    "metadata STRUCT<matchId: STRING>, info STRUCT<gameVersion: STRING, platformId: STRING, queueId: STRING, gameCreation: STRING, "
+    "teams: ARRAY<STRUCT<bans: ARRAY<STRUCT<championId: STRING>>>>, "
+    "participants: ARRAY<STRUCT<championId: STRING, teamPosition: STRING, individualPosition: STRING, win: STRING>>>"
+)
+
 FRAME = (
     "STRUCT<level: STRING, xp: STRING, totalGold: STRING, currentGold: STRING, minionsKilled: STRING, "
     "jungleMinionsKilled: STRING, position: STRUCT<x: STRING, y: STRING>>"
