@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import decimal
+import io
 import re
 import shutil
 import subprocess
@@ -15,7 +17,8 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
-from laneforge.plans import registry
+from laneforge.operators import timeline
+from laneforge.plans import registry, timeline_queries
 
 ROOT = Path(__file__).resolve().parents[1]
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -53,12 +56,13 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_documents_are_not_shuffled(spark):
     """Neither copies nor the ledger make parsed documents or payloads go through an exchange."""
-    for name in ("tier_list", "match_index"):
-        df = registry.QUERIES[name](spark, SF)
-        df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        arguments = re.findall(r"(?:Exchange|ShuffleQueryStage)[^\n]*\n[^\n]*", plan)
-        assert arguments and not any(re.search(r"\b(?:doc|payload)#", a) for a in arguments), name
+    d = timeline_queries.Dataset(spark, SF)
+    for df in (registry.QUERIES["tier_list"](spark, SF), timeline.match_index(d.summaries, d.timelines)):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain("formatted")
+        inputs = re.findall(r"\) Exchange\s*\nInput[^\n]*", out.getvalue())
+        assert inputs and not any(re.search(r"\b(?:doc|payload)#", i) for i in inputs)
 
 
 def test_every_query_has_sql():
