@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from laneforge.sources.shared import shared_dir, stored
+
 #: A word: a run of anything but space and the control characters from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bits of a row's place in its file that rows numbered in one window may differ in.
@@ -16,35 +15,6 @@ CHUNK_BITS = 20
 BROADCAST_ROWS = 100_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    A cluster names it in ``spark.checkpoint.dir``; without it this raises an error there. On one machine
-    (tests) a temporary folder is made where it is unset.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    current = context._jsc.sc().getCheckpointDir()
-    if named:
-        if current.isEmpty():
-            context.setCheckpointDir(named)
-        return named
-    if current.isEmpty():
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-        current = context._jsc.sc().getCheckpointDir()
-    return current.get()
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the application ends."""
-    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return folder
-
-
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder; later reads need neither its lineage nor a given executor."""
     shared_dir(df.sparkSession)
@@ -59,9 +29,7 @@ def addressed(docs: DataFrame, is_table: bool = False) -> tuple[DataFrame, list[
     and filters at most. Anything else is written to the shared folder first and read from there.
     """
     if not is_table:
-        folder = scratch(docs.sparkSession, "rows")
-        docs.write.parquet(folder)
-        docs = docs.sparkSession.read.parquet(folder)
+        docs = stored(docs)
     names = [unused(docs, "_file"), unused(docs, "_at")]
     place = docs.metadataColumn("_metadata")
     return docs.select("*", F.xxhash64(place["file_path"]).alias(names[0]), place["row_index"].alias(names[1])), names

@@ -46,7 +46,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laneforge.llm.common import saved, shared_dir
+from laneforge.llm.common import saved
+from laneforge.sources.shared import shared_dir
 
 #: Hashed as the end token; holds a space, so no word is equal.
 END = b" end"
