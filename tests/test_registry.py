@@ -61,7 +61,7 @@ def test_documents_are_not_shuffled(spark):
         out = io.StringIO()
         with contextlib.redirect_stdout(out):
             df.explain("formatted")
-        inputs = re.findall(r"\) Exchange\s*\nInput[^\n]*", out.getvalue())
+        inputs = re.findall(r"\) (?:Broadcast)?Exchange\s*\nInput[^\n]*", out.getvalue())
         assert inputs and not any(re.search(r"\b(?:doc|payload)#", i) for i in inputs)
 
 
