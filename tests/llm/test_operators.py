@@ -483,6 +483,40 @@ def joined(prints):
     return {f: find(f) for f in listed}
 
 
+def five_words(text):
+    words = WORD.findall(lower(text))
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+
+def similar(a, b):
+    return 10 * len(a & b) >= 8 * len(a | b)
+
+
+def copies_are_gone(texts, kept):
+    """Of ``texts`` by id, ``kept`` has one of each group of near copies but for a tenth of the copies, and loses no group."""
+    sets, roots, holders = {i: five_words(t) for i, t in texts.items()}, {i: i for i in texts}, collections.defaultdict(list)
+
+    def root(i):
+        while roots[i] != i:
+            i = roots[i]
+        return i
+
+    for i in sorted(sets):
+        seen = {j for shingle in sets[i] for j in holders[shingle]}
+        for shingle in sets[i]:
+            holders[shingle].append(i)
+        for j in seen:
+            if similar(sets[i], sets[j]):
+                low, high = sorted((root(i), root(j)))
+                roots[high] = low
+    groups = collections.defaultdict(set)
+    for i in sets:
+        groups[root(i)].add(i)
+    assert set(groups) <= kept <= set(texts)
+    copies = set(texts) - set(groups)
+    assert len(copies) >= 10 and len(copies & kept) <= len(copies) / 10
+
+
 def test_simhash(spark, path):
     out = [(r, int(r.fingerprint, 16)) for _, r in results(spark, "op5_simhash", path)]
     docs = collections.Counter((r.doc_id, simhash_of(r.text)) for r in spark.read.parquet(f"{path}/documents.parquet").collect())
