@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laneforge.llm import mixing, quality, secrets, simhash, tokens
+from laneforge.llm import mixing, near_copies, quality, secrets, tokens
 from laneforge.sources.shared import scratch
 
 
@@ -17,9 +17,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.clean(docs)
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies."""
-    return simhash.keep_one(docs, is_table=True)
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near copies (five words, 0.8)."""
+    return near_copies.keep_one(docs, is_table=True)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
-    ("SimHash near-dedup", near_copies),
+    ("SimHash near-dedup", near_dedup),
     ("secret scans", secret_scans),
     ("mixing", source_mix),
     ("byte-level BPE", token_ids),
