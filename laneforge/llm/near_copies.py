@@ -8,11 +8,11 @@ segments of 32 bits, and texts that differ by at most one bit in one segment sha
 variant of it, so an equality join meets them. Whether a pair has such a segment is chance: at a
 similarity of 0.8 by scattered edits (about a tenth of the bits) over nine in ten pairs have one.
 
-Texts of the same words meet first, so a group of copies costs one row. The members of a variant
-are compared with each other if there are ``HOT`` of them at most; otherwise each with a few that
-follow it in an order of the variant's own, and then, once links have joined most of them, those
-outside the variant's largest component with all others. So no pair that shares a variant stays
-uncompared unless other links connect it already.
+Texts of the same words meet first, so a group of copies costs one row. Each text is
+compared with the one that follows it in an order of the variant's own, in its ``KEYS`` most shared
+variants; once these links have joined most texts, those outside a variant's main component are
+compared with all others there. So no pair that shares a variant stays uncompared unless other links
+connect it already, and a large group of near copies costs a few pairs a text.
 
 Defined cases: texts that are null or have no words are copies of each other; those of fewer than
 five words have one shingle, so they link to equal ones alone. A null id comes after any other;
@@ -33,6 +33,7 @@ from pyspark.sql import Window
 
 from laneforge.llm.common import addressed, saved
 from laneforge.llm.simhash import components
+from laneforge.sources.shared import stored
 
 SHINGLE, FEATURE = 5, 2
 #: Least similarity of two linked texts, in hundredths.
@@ -41,12 +42,8 @@ SEGMENTS, LONGS = 16, 8
 #: Candidates differ in this many bits of 512 at most. At a similarity of 0.8 by one long edit, the worst
 #: case, 77 are expected, with a deviation of 8; unrelated texts differ in more than 200.
 REACH = 104
-#: Texts that share a variant and are still all compared with each other.
-HOT = 100
-#: Followers that a member of a larger variant is compared with.
-FOLLOWERS = 2
-#: Candidates of a text, nearest first, that are verified before the rest.
-NEAREST = 8
+#: Variants, the most shared ones, in which a text is first compared with the one that follows it.
+KEYS = 8
 #: Rows of variants for a task.
 TASK_ROWS = 2_000_000
 #: Shingles whose bits are added up at once.
@@ -134,22 +131,21 @@ def variants(nodes: DataFrame) -> DataFrame:
 
 
 def shared_variants(nodes: DataFrame) -> DataFrame:
-    """Of the variants that two texts or more share: ``key``, ``tag``, ``size`` (its texts) and ``next1``, ``next2``, that follow in its order."""
+    """Of the variants that two texts or more share: ``key``, ``tag``, ``size`` (its texts) and ``next``, that follows in its order."""
     spark = nodes.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), nodes.count() * SEGMENTS * 32 // TASK_ROWS)
     spread = nodes.select("tag", *PARTS).repartition(tasks, "tag")
     ordered = Window.partitionBy("key").orderBy(F.xxhash64("key", "tag"), "tag")
-    follow = [F.lead("tag", k).over(ordered).alias(f"next{k}") for k in range(1, FOLLOWERS + 1)]
-    rows = variants(spread).repartition(tasks, "key").select("key", "tag", F.lag("tag").over(ordered).alias("before"), *follow)
-    rows = rows.where("before IS NOT NULL OR next1 IS NOT NULL").drop("before")
-    return saved(rows.withColumn("size", F.count("*").over(Window.partitionBy("key"))))
+    around = [F.lag("tag").over(ordered).alias("before"), F.lead("tag").over(ordered).alias("next")]
+    rows = variants(spread).repartition(tasks, "key").select("key", "tag", *around).where("before IS NOT NULL OR next IS NOT NULL")
+    return stored(rows.drop("before").withColumn("size", F.count("*").over(Window.partitionBy("key"))))
 
 
 def close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of ``pairs`` (x, y) of tags: ``a`` and ``b``, their nodes, if within reach of each other, and ``apart``, the bits between."""
+    """Of ``pairs`` (x, y) of tags: ``a`` and ``b``, their nodes, if within reach of each other."""
     side = lambda name, tag: nodes.select(F.col("tag").alias(tag), F.struct("node", *PARTS).alias(name))
     both = pairs.join(side("p", "x"), "x").join(side("q", "y"), "y")
-    return both.where(may_link("p", "q")).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"), apart("p", "q").alias("apart"))
+    return both.where(may_link("p", "q")).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"))
 
 
 def apart(p: str, q: str) -> Column:
@@ -169,50 +165,46 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").where(common * (100 + SIMILARITY) >= total * SIMILARITY).select("a", "b")
 
 
-def rest_of_crowds(crowded: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) within reach, of texts that share a crowded variant and are in different components."""
-    tagged = crowded.select("key", "tag").join(nodes, "tag")
-    rows = saved(tagged.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"), F.struct("node", *PARTS).alias("p")))
+def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links among ``pairs`` (x, y) of tags."""
+    within = saved(close(pairs, nodes))
+    places = nodes.join(within.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+    sets = shingle_sets(texts.join(places.select("node", F.col("least").alias("place")), "place").select("node", "text"))
+    return saved(linked(within, saved(sets)))
+
+
+def rest(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (x, y) of tags that share a variant but no component: those outside a variant's main component, with all others."""
+    named = nodes.select("tag", "node").join(roots, "node", "left").select("tag", F.coalesce("root", "node").alias("root"))
+    rows = shared.select("key", "tag").join(named, "tag")
+    mixed_keys = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    rows = saved(rows.join(mixed_keys, "key"))
     main = rows.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    few = rows.join(main, "key").where("root <> main").select("key", F.col("root").alias("other"), F.col("p").alias("q"))
-    met = few.join(rows, "key").where((F.col("root") != F.col("other")) & may_link("p", "q"))
-    return met.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
+    few = rows.join(main, "key").where("root <> main").select("key", F.col("root").alias("other"), F.col("tag").alias("t"))
+    met = few.join(rows, "key").where("root <> other")
+    return met.select(F.least("t", "tag").alias("x"), F.greatest("t", "tag").alias("y")).distinct()
 
 
-def roots_of(texts: DataFrame, nodes: DataFrame, hot: int = HOT) -> DataFrame:
+def roots_of(texts: DataFrame, nodes: DataFrame, keys: int = KEYS) -> DataFrame:
     """``node`` and ``root`` of texts that have links. ``texts`` (place, text) holds the text of every ``nodes.least``."""
     shared = shared_variants(nodes.where(F.col("n") > 0))
-    cold = shared.where(F.col("size") <= hot).select("key", F.col("tag").alias("x"))
-    met = cold.join(cold.withColumnRenamed("x", "y"), "key").where("x < y").select("x", "y")
-    crowded = shared.where(F.col("size") > hot)
-    follow = crowded.select(F.col("tag").alias("t"), F.explode(F.array(*(f"next{k}" for k in range(1, FOLLOWERS + 1)))).alias("u")).where("u IS NOT NULL")
-    follow = follow.select(F.least("t", "u").alias("x"), F.greatest("t", "u").alias("y"))
-    pairs = saved(close(met.unionByName(follow).distinct(), nodes))
-    wanted = crowded.select("tag").join(nodes, "tag").select("node").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
-    places = nodes.join(wanted, "node", "left_semi").select("node", F.col("least").alias("place"))
-    sets = saved(shingle_sets(texts.join(places, "place").select("node", "text")))
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
-    rank = F.row_number().over(Window.partitionBy("a").orderBy("apart", F.xxhash64("a", "b"), "b"))
-    nearest = both.withColumn("rank", rank).where(F.col("rank") <= NEAREST).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    sure = saved(linked(nearest, sets))
-    roots = saved(components(sure))
-    more = pairs.select("a", "b").join(nearest, ["a", "b"], "left_anti").unionByName(rest_of_crowds(crowded, nodes, roots)).distinct()
-    for end in "ab":
-        more = more.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
-    open_pairs = more.where("coalesce(a_root, a) <> coalesce(b_root, b)")
-    return components(sure.unionByName(linked(open_pairs, sets)))
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", is_table: bool = False, hot: int = HOT) -> DataFrame:
+    largest = Window.partitionBy("tag").orderBy(F.desc("size"), F.xxhash64("key", "tag"), "key")
+    few = shared.withColumn("rank", F.row_number().over(largest)).where(F.col("rank") <= keys).where("next IS NOT NULL")
+    sure = verified(few.select(F.least("tag", "next").alias("x"), F.greatest("tag", "next").alias("y")).distinct(), texts, nodes)
+    more = verified(rest(shared, nodes, saved(components(sure))), texts, nodes)
+    return components(sure.unionByName(more))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", is_table: bool = False, keys: int = KEYS) -> DataFrame:
     """One document of each group that links connect: the one with the smallest id; any id comes before null.
 
     If that id stands on several rows of the group, the first of them by address stays.
     """
-    told, keys = addressed(docs, is_table)
-    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), *(F.col(k).alias(a) for k, a in zip(keys, ("file", "at"))))
+    told, address = addressed(docs, is_table)
+    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), *(F.col(k).alias(a) for k, a in zip(address, ("file", "at"))))
     texts = told.select(place.alias("place"), F.col(text).alias("text"))
     nodes = saved(prints(texts).groupBy("node", "tag", "n", *PARTS).agg(F.min("place").alias("least")))
-    roots = roots_of(texts, nodes, hot)
+    roots = roots_of(texts, nodes, keys)
     whole = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
-    chosen = saved(whole.select(*(F.col(f"least.{a}").alias(k) for k, a in zip(keys, ("file", "at")))))
-    return told.join(chosen, keys, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    chosen = saved(whole.select(*(F.col(f"least.{a}").alias(k) for k, a in zip(address, ("file", "at")))))
+    return told.join(chosen, address, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -40,15 +40,15 @@ def test_whole_table_against_all_pairs(spark):
     copies_are_gone(texts, {r.doc_id for r in near_copies.keep_one(docs, is_table=True).collect()})
 
 
-@pytest.mark.parametrize("hot", [2, 20, near_copies.HOT])
-def test_crowds(spark, tmp_path, hot):
+@pytest.mark.parametrize("keys", [1, near_copies.KEYS])
+def test_crowds(spark, tmp_path, keys):
     """A large group around one text, a chain whose ends are apart, and strangers."""
     middle, chain = prose(200), [prose(200)]
     for _ in range(12):
         chain.append(edited(chain[-1], 3))
     texts = [edited(middle, 2) for _ in range(150)] + chain + [prose(200) for _ in range(20)]
     named = {k: " ".join(t) for k, t in enumerate(texts)}
-    found = {r.doc_id for r in kept(spark, [(k, t, 1, "a") for k, t in named.items()], tmp_path, hot=hot)}
+    found = {r.doc_id for r in kept(spark, [(k, t, 1, "a") for k, t in named.items()], tmp_path, keys=keys)}
     assert not similar(five_words(named[150]), five_words(named[162]))
     assert found == {0, 150, *range(163, 183)}
 
