@@ -119,21 +119,36 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.select("node", F.col("text").cast("binary").alias("text")).mapInArrow(run, "node binary, found array<long>")
 
 
+def segment(part: Column, s: int) -> Column:
+    """Of the long that holds the ``s``-th segment, that segment."""
+    return F.shiftrightunsigned(part, 32) if s % 2 else part.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 def variants(nodes: DataFrame) -> DataFrame:
     """``tag`` by each key: a segment, the place of its wildcard, and its other bits."""
-    segments = []
-    for s in range(SEGMENTS):
-        part = F.col(PARTS[s // 2])
-        own = F.shiftrightunsigned(part, 32) if s % 2 else part.bitwiseAND(F.lit(0xFFFFFFFF))
-        segments.append(own.bitwiseOR(F.lit(s << 37)))
+    segments = [segment(F.col(PARTS[s // 2]), s).bitwiseOR(F.lit(s << 37)) for s in range(SEGMENTS)]
     keys = [F.col("segment").bitwiseAND(F.lit(~(1 << bit))).bitwiseOR(F.lit(bit << 32)) for bit in range(32)]
     return nodes.select("tag", F.explode(F.array(*segments)).alias("segment")).select("tag", F.explode(F.array(*keys)).alias("key"))
 
 
+def first_shared(p: str, q: str) -> Column:
+    """The upper part (segment and place of the wildcard) of the first key that two fingerprints share; null if none."""
+    found = []
+    for s in range(SEGMENTS):
+        apart_in = segment(F.col(f"{p}.{PARTS[s // 2]}").bitwiseXOR(F.col(f"{q}.{PARTS[s // 2]}")), s)
+        wildcard = F.when(apart_in == 0, F.lit(0)).otherwise(F.bit_count(apart_in - 1))
+        found.append(F.when(F.bit_count(apart_in) <= 1, wildcard + F.lit(s << 5)))
+    return F.coalesce(*found)
+
+
+def tasks_for(nodes: DataFrame) -> int:
+    """Tasks for the variants of ``nodes``."""
+    return max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), nodes.count() * SEGMENTS * 32 // TASK_ROWS)
+
+
 def shared_variants(nodes: DataFrame) -> DataFrame:
     """Of the variants that two texts or more share: ``key``, ``tag``, ``size`` (its texts) and ``next``, that follows in its order."""
-    spark = nodes.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), nodes.count() * SEGMENTS * 32 // TASK_ROWS)
+    tasks = tasks_for(nodes)
     spread = nodes.select("tag", *PARTS).repartition(tasks, "tag")
     ordered = Window.partitionBy("key").orderBy(F.xxhash64("key", "tag"), "tag")
     around = [F.lag("tag").over(ordered).alias("before"), F.lead("tag").over(ordered).alias("next")]
@@ -166,23 +181,30 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links among ``pairs`` (x, y) of tags."""
-    within = saved(close(pairs, nodes))
+    """Links among ``pairs`` (a, b) of nodes."""
+    within = saved(pairs)
     places = nodes.join(within.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
     sets = shingle_sets(texts.join(places.select("node", F.col("least").alias("place")), "place").select("node", "text"))
     return saved(linked(within, saved(sets)))
 
 
 def rest(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (x, y) of tags that share a variant but no component: those outside a variant's main component, with all others."""
-    named = nodes.select("tag", "node").join(roots, "node", "left").select("tag", F.coalesce("root", "node").alias("root"))
-    rows = shared.select("key", "tag").join(named, "tag")
-    mixed_keys = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    rows = saved(rows.join(mixed_keys, "key"))
-    main = rows.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    few = rows.join(main, "key").where("root <> main").select("key", F.col("root").alias("other"), F.col("tag").alias("t"))
-    met = few.join(rows, "key").where("root <> other")
-    return met.select(F.least("t", "tag").alias("x"), F.greatest("t", "tag").alias("y")).distinct()
+    """Pairs (a, b) of nodes within reach that share a variant but no component: those outside a variant's main component, with all others.
+
+    Fingerprints go with the rows, so a pair is told at the first variant it shares and nowhere else,
+    and none beyond reach leaves the join.
+    """
+    named = nodes.join(roots, "node", "left").select("tag", F.coalesce("root", "node").alias("root"), F.struct("node", *PARTS).alias("q"))
+    rows = shared.select("key", "tag").join(named, "tag").drop("tag").repartition(tasks_for(nodes), "key")
+    by_key = Window.partitionBy("key")
+    rows = rows.withColumn("size", F.count("*").over(Window.partitionBy("key", "root")))
+    rows = rows.withColumn("main", F.max_by("root", F.struct("size", "root")).over(by_key)).withColumn("least", F.min_by("root", F.struct("size", "root")).over(by_key))
+    mixed_keys = stored(rows.where("least <> main").select("key", "q", "root", (F.col("root") == F.col("main")).alias("in_main")))
+    few = mixed_keys.where("NOT in_main").select("key", F.col("q").alias("p"), F.col("root").alias("other"))
+    once = F.col("in_main") | (F.col("p.node") < F.col("q.node"))
+    first = F.shiftright("key", 32) == first_shared("p", "q")
+    met = few.join(mixed_keys, "key").where((F.col("root") != F.col("other")) & once & first & may_link("p", "q"))
+    return met.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"))
 
 
 def roots_of(texts: DataFrame, nodes: DataFrame, keys: int = KEYS) -> DataFrame:
@@ -190,7 +212,8 @@ def roots_of(texts: DataFrame, nodes: DataFrame, keys: int = KEYS) -> DataFrame:
     shared = shared_variants(nodes.where(F.col("n") > 0))
     largest = Window.partitionBy("tag").orderBy(F.desc("size"), F.xxhash64("key", "tag"), "key")
     few = shared.withColumn("rank", F.row_number().over(largest)).where(F.col("rank") <= keys).where("next IS NOT NULL")
-    sure = verified(few.select(F.least("tag", "next").alias("x"), F.greatest("tag", "next").alias("y")).distinct(), texts, nodes)
+    followers = few.select(F.least("tag", "next").alias("x"), F.greatest("tag", "next").alias("y")).distinct()
+    sure = verified(close(followers, nodes), texts, nodes)
     more = verified(rest(shared, nodes, saved(components(sure))), texts, nodes)
     return components(sure.unionByName(more))
 
