@@ -92,3 +92,19 @@ def test_shared_variants_are_those_within_a_bit(spark):
     want = {(i, j) for i in range(12) for j in range(i + 1, 12) if any((a ^ b).bit_count() <= 1 for a, b in zip(halves(rows[i]), halves(rows[j])))}
     assert {tuple(r) for r in met} == want and want >= {(0, 6), (1, 7), (2, 8), (3, 9), (4, 10), (5, 11)}
     assert shared.where(F.col("size") < 2).isEmpty()
+
+
+def test_a_pair_is_told_at_its_first_shared_variant_alone(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(6):
+        base = rng.integers(-(1 << 62), 1 << 62, near_copies.LONGS)
+        other = base.copy()
+        for bit in range(0, 64 * near_copies.LONGS, 11 + 3 * k):  # from three differing bits a segment to about one
+            other[bit // 64] ^= np.int64(-(1 << 63)) if bit % 64 == 63 else np.int64(1 << bit % 64)
+        rows += [base, other]
+    nodes = spark.createDataFrame([(k, *map(int, r)) for k, r in enumerate(rows)], "tag long, " + ", ".join(f"{p} long" for p in near_copies.PARTS))
+    side = lambda name: near_copies.variants(nodes).join(nodes, "tag").select("key", F.struct("tag", *near_copies.PARTS).alias(name))
+    both = side("p").join(side("q"), "key").where("p.tag < q.tag").select(F.struct("p.tag", "q.tag").alias("pair"), "key", near_copies.first_shared("p", "q").alias("first"))
+    met = both.groupBy("pair").agg(F.min(F.shiftright("key", 32)).alias("least"), F.min("first").alias("first"), F.sum((F.shiftright("key", 32) == F.col("first")).cast("int")).alias("told")).collect()
+    assert met and all(r.told == 1 and r.first == r.least for r in met)
