@@ -12,7 +12,9 @@ Texts of the same words meet first, so a group of copies costs one row. Each tex
 compared with the one that follows it in an order of the variant's own, in its ``KEYS`` most shared
 variants; once these links have joined most texts, those outside a variant's main component are
 compared with all others there. So no pair that shares a variant stays uncompared unless other links
-connect it already, and a large group of near copies costs a few pairs a text.
+connect it already, and a large group of copies that links join costs a few pairs a text. A large group
+of texts that are just not similar enough costs pairs with the square of its size: nothing short of
+comparing them shows that they have no link.
 
 Defined cases: texts that are null or have no words are copies of each other; those of fewer than
 five words have one shingle, so they link to equal ones alone. A null id comes after any other;
