@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laneforge.llm import kneser_ney, licenses, matroska, mixing, quality, secrets, sharding, simhash, tokens
+from laneforge.llm import conversations, kneser_ney, licenses, matroska, mixing, neighbours, periodic, quality, secrets, sharding, simhash, tokens
 from laneforge.llm.common import documents
 
 
@@ -48,6 +48,19 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.found_licenses(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(conversations.texts(conversations.conversations(spark, sf_dir)))
+    return conversations.audits(rows)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(documents(spark, sf_dir))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbours(neighbours.embeddings(spark, sf_dir), is_table=True)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_lm_scoring": op2_lm_scoring,
@@ -59,6 +72,9 @@ QUERIES = {
     "op8_matroska": op8_matroska,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_license_scans": op10_license_scans,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 #: The others are beyond SQL; tests hold them against brute force.
