@@ -78,13 +78,24 @@ def participants(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def sides(envelopes: DataFrame) -> DataFrame:
+    """Who played what on which team, without builds."""
+    p = F.col("p")
+    rows = envelopes.where("payload_valid").select("match_id", "game_version", F.explode("doc.info.participants").alias("p"))
+    return rows.select(
+        "match_id", two_parts(F.col("game_version")).alias("patch"), as_int(p["championId"]).alias("champion_id"), normal_role(p["teamPosition"], p["individualPosition"]).alias("role"),
+        p["win"].try_cast("boolean").alias("win"), as_int(p["teamId"]).alias("team_id"),
+    )
+
+
 def paired(sides: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and structs ``a`` and ``b``: each row with each row of its group that is on another team.
 
     A group is the players of one role in a match, so its list is short; it is made by one aggregate, without a join.
+    Rows that lack a key are of no group: as in a join, nulls don't meet.
     """
     rest = [c for c in sides.columns if c not in keys]
-    group = sides.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("side"))
+    group = sides.where(all_of([F.col(k).isNotNull() for k in keys])).groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("side"))
     others = lambda a: F.filter("side", lambda b: b["team_id"] != a["team_id"])
     pairs = F.flatten(F.transform("side", lambda a: F.transform(others(a), lambda b: F.struct(a.alias("a"), b.alias("b")))))
     return group.select(*keys, F.inline(pairs))

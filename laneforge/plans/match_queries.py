@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,10 @@ from laneforge.plans import synth
 from laneforge.plans.catalog import query
 from laneforge.sources import archive, publish, schemas, shared
 
-REGION, QUEUE, END, DAYS, PATCH = "EUW", 420, "2026-09-14", 14, "16.18"
+REGION, QUEUE, END, DAYS, PATCH = "EUW", 420, "2026-09-14", 10, "16.18"
+FIRST, _ = archive.window_ending(END, DAYS)
 W = synth.sql_relations()
-IN_SCOPE = "platform_id IN ('EUW', 'EUW1') AND queue_id = 420 AND CAST(game_creation AS DATE) BETWEEN DATE '2026-09-01' AND DATE '2026-09-14'"
+IN_SCOPE = f"platform_id IN ('EUW', 'EUW1') AND queue_id = 420 AND CAST(game_creation AS DATE) BETWEEN DATE '{FIRST}' AND DATE '{END}'"
 USED = f"{IN_SCOPE} AND patch = '{PATCH}'"
 GOOD = f"{USED} AND role IS NOT NULL AND champion_id > 0"
 RATE = "round(CAST(wins AS DOUBLE) / n * 10000) / 10000"
@@ -31,20 +34,38 @@ mu AS (SELECT a.role, CAST(a.champion_id AS INT) AS champion_id, CAST(o.champion
 """
 
 
-class Build:
+class Build(shared.Owner):
     """The relations of a tier list over the derived archive, made when they are asked for.
 
-    The archive is parsed once, to the fields of ``schema``, into a stored table that all branches read.
+    Days before the window are not read: a match is archived on the day that it is played or later. Of each summary the
+    fields of ``schema`` are parsed, once; what is stored for all branches is a narrow row, with the parsed struct only where the
+    match is in scope. ``whole`` takes all days and keeps all structs, for queries on the archive itself.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, patch: str | None = PATCH, schema: str = schemas.SUMMARY, spoil=lambda raw: raw):
-        self.raw, self.patch = spoil(synth.archived(spark, sf_dir, "summaries")), patch
+    def __init__(self, spark: SparkSession, sf_dir: str, patch: str | None = PATCH, schema: str = schemas.SUMMARY, spoil=lambda raw: raw, whole: bool = False):
+        super().__init__(spark)
+        self.raw, self.patch = spoil(synth.archived(spark, sf_dir, "summaries", None if whole else FIRST)), patch
         self.scope = extract.in_scope(REGION, QUEUE, END, DAYS)
-        self.envelopes = archive.first_archived(archive.envelope(shared.stored(archive.parse_summaries(self.raw, schema), "parsed")))
-        self.window = self.envelopes.where(extract.match_filter(self.scope))
-        if schema == schemas.SUMMARY:
-            self.participants = extract.participants(self.window)
-            self.bans = extract.bans(self.window)
+        self.parsed = archive.envelope(archive.parse_summaries(self.raw, schema))
+        if not whole:
+            self.parsed = self.parsed.withColumn("doc", F.when(extract.match_filter(self.scope), F.col("doc")))
+        self.schema = schema
+
+    @cached_property
+    def envelopes(self) -> DataFrame:
+        return archive.first_archived(self.stored(self.parsed, "parsed"), self.stored)
+
+    @cached_property
+    def window(self) -> DataFrame:
+        return self.envelopes.where(extract.match_filter(self.scope))
+
+    @cached_property
+    def participants(self) -> DataFrame:
+        return extract.participants(self.window) if self.schema == schemas.SUMMARY else extract.sides(self.window)
+
+    @cached_property
+    def bans(self) -> DataFrame:
+        return extract.bans(self.window)
 
     def tallies(self) -> DataFrame:
         return tallies.cell_counts(self.participants, self.patch)
@@ -102,7 +123,7 @@ def json_guard(spark, sf_dir):
 
 @query("envelope", W + "SELECT match_id, game_version, platform_id, CAST(queue_id AS INT) AS queue_id, game_creation_ms, 10 AS participants FROM m")
 def envelope(spark, sf_dir):
-    return Build(spark, sf_dir).envelopes.select("match_id", "game_version", "platform_id", "queue_id", "game_creation_ms", "participants")
+    return Build(spark, sf_dir, whole=True).envelopes.select("match_id", "game_version", "platform_id", "queue_id", "game_creation_ms", "participants")
 
 
 @query("summary_envelope", W + "SELECT match_id, region, patch, platform_id, CAST(queue_id AS INT) AS queue_id, game_duration_s, 'GameComplete' AS end_of_game_result, true AS payload_valid FROM m")
@@ -113,7 +134,7 @@ def summary_envelope(spark, sf_dir):
 
 @query("dedup_first_archived", W + f"SELECT 'first' AS kept, count(*) AS rows, count_if(win) AS wins FROM p WHERE participant_id = 1")
 def dedup_first_archived(spark, sf_dir):
-    rows = Build(spark, sf_dir).envelopes.select(F.lit("first").alias("kept"), F.get("doc.info.participants", F.lit(0))["win"].cast("boolean").alias("win"))
+    rows = Build(spark, sf_dir, whole=True).envelopes.select(F.lit("first").alias("kept"), F.get("doc.info.participants", F.lit(0))["win"].cast("boolean").alias("win"))
     return rows.groupBy("kept").agg(F.count("*").alias("rows"), F.count_if("win").alias("wins"))
 
 
@@ -129,7 +150,7 @@ def bans(spark, sf_dir):
 
 @query("participant_ids", W + f", q AS (SELECT match_id, {synth.H} % 5000 AS u FROM p) SELECT match_id, count(DISTINCT u) AS players, sum(DISTINCT u)::BIGINT AS total FROM q GROUP BY 1")
 def participant_ids(spark, sf_dir):
-    rows = extract.participant_ids(Build(spark, sf_dir).envelopes).select("match_id", F.explode("puuids").alias("u"))
+    rows = extract.participant_ids(Build(spark, sf_dir, whole=True).envelopes).select("match_id", F.explode("puuids").alias("u"))
     return rows.groupBy("match_id").agg(F.count("*").alias("players"), F.sum(F.substring("u", 2, 9).cast("bigint")).alias("total"))
 
 
@@ -141,7 +162,7 @@ def normalize_role(spark, sf_dir):
 
 @query("patch_of", W + "SELECT game_version, patch, count(*) AS n FROM m GROUP BY 1, 2")
 def patches_of(spark, sf_dir):
-    return Build(spark, sf_dir).envelopes.select("game_version", patch_of(F.col("game_version")).alias("patch")).groupBy("game_version", "patch").agg(F.count("*").alias("n"))
+    return Build(spark, sf_dir, whole=True).envelopes.select("game_version", patch_of(F.col("game_version")).alias("patch")).groupBy("game_version", "patch").agg(F.count("*").alias("n"))
 
 
 @query("minute_of", "SELECT CAST(floor((epoch_ms(ts) % 3600000) / 60000.0) AS INT) AS minute, count(*) AS n FROM events GROUP BY 1")
@@ -203,10 +224,32 @@ for _kind, (_key, _there) in KEYS.items():
     query(f"build_counts_{_kind}", W + f"SELECT CAST(champion_id AS INT) AS champion_id, role, array_to_string({_key}, '-') AS key, CAST(count(*) AS INT) AS n, CAST(sum(CASE WHEN win THEN 1 ELSE 0 END) AS INT) AS wins FROM p WHERE {GOOD} AND {_there} GROUP BY 1, 2, 3")(
         lambda spark, sf_dir, kind=_kind: tallies.build_counts(Build(spark, sf_dir).participants, kind, PATCH).withColumn("key", F.array_join("key", "-"))
     )
-query("matchups", W + f"SELECT a.match_id, a.role, CAST(a.champion_id AS INT) AS champion_id, CAST(o.champion_id AS INT) AS opponent_id, a.win FROM (SELECT * FROM p WHERE {GOOD}) a JOIN (SELECT * FROM p WHERE {GOOD}) o ON a.match_id = o.match_id AND a.role = o.role AND a.team_id <> o.team_id WHERE a.champion_id < o.champion_id OR a.champion_id = o.champion_id AND a.team_id < o.team_id")(
-    lambda spark, sf_dir: tallies.matchups(Build(spark, sf_dir).participants, PATCH)
-)
-query("matchup_counts", CELLS + "SELECT * FROM mu")(lambda spark, sf_dir: tallies.matchup_counts(Build(spark, sf_dir).participants, PATCH))
+SIDES = """, s AS MATERIALIZED (SELECT match_id, role, max(CASE WHEN team_id = 100 THEN champion_id END) AS c1, max(CASE WHEN team_id = 200 THEN champion_id END) AS c2,
+ max(CASE WHEN team_id = 100 THEN CAST(win AS INT) END) AS w1, max(CASE WHEN team_id = 200 THEN CAST(win AS INT) END) AS w2 FROM p WHERE {} GROUP BY 1, 2)
+SELECT match_id, role, CAST(least(c1, c2) AS INT) AS champion_id, CAST(greatest(c1, c2) AS INT) AS opponent_id, CASE WHEN c1 <= c2 THEN w1 ELSE w2 END = 1 AS win
+FROM s WHERE c1 IS NOT NULL AND c2 IS NOT NULL"""  # a team has one player of a role
+query("matchups", W + SIDES.format(GOOD))(lambda spark, sf_dir: tallies.matchups(Build(spark, sf_dir, schema=schemas.PAIRED).participants, PATCH))
+
+
+def cut_off(raw: DataFrame) -> DataFrame:
+    """The archive with the payloads of one match in nine cut off."""
+    number = F.substring("match_id", 6, 10).cast("bigint")
+    return raw.withColumn("payload", F.when(number % 9 == 0, F.substring("payload", 1, 100)).otherwise(F.col("payload")))
+
+
+def without_ids(raw: DataFrame) -> DataFrame:
+    """The archive with the payloads of one match in eight without a match id."""
+    number = F.substring("match_id", 6, 10).cast("bigint")
+    return raw.withColumn("payload", F.when(number % 8 == 0, F.regexp_replace("payload", '"matchId":"[^"]*"', '"id":""')).otherwise(F.col("payload")))
+
+
+@query("matchups_without_ids", W + SIDES.format(f"{GOOD} AND k % 8 <> 0"))
+def matchups_without_ids(spark, sf_dir):
+    """Summaries that lack an id are of no match, so their players meet nobody."""
+    return tallies.matchups(Build(spark, sf_dir, schema=schemas.PAIRED, spoil=without_ids).participants, PATCH)
+
+
+query("matchup_counts", CELLS + "SELECT * FROM mu")(lambda spark, sf_dir: tallies.matchup_counts(Build(spark, sf_dir, schema=schemas.PAIRED).participants, PATCH))
 PATCHES = W + f"SELECT patch, CAST(count(*) AS INT) AS matches, CAST(10 * count(*) AS INT) AS participant_rows FROM m WHERE {IN_SCOPE} GROUP BY 1"
 query("patch_list", PATCHES)(lambda spark, sf_dir: tallies.patch_list(Build(spark, sf_dir).participants))
 
@@ -232,7 +275,7 @@ def newest_patch(spark, sf_dir):
     return policy.newest_patch(tallies.envelope_patch_list(b.envelopes, extract.match_filter(b.scope)))
 
 
-query("archive_stats", W + "SELECT CAST(count(*) AS INT) AS archive_rows, 0::INT AS malformed_rows FROM m")(lambda spark, sf_dir: tallies.archive_stats(Build(spark, sf_dir).envelopes))
+query("archive_stats", W + f"SELECT CAST(count(*) + count_if(k % 9 = 0 AND {synth.COPY}) AS INT) AS archive_rows, CAST(count_if(k % 9 = 0) + count_if(k % 9 = 0 AND {synth.COPY}) AS INT) AS malformed_rows FROM m")(lambda spark, sf_dir: tallies.archive_stats(Build(spark, sf_dir, spoil=cut_off, whole=True).envelopes))
 STATS = W + f", ps AS (SELECT * FROM p WHERE {USED}) SELECT (SELECT CAST(count(*) AS INT) FROM m WHERE {USED}) AS matches_used, (SELECT CAST(count(*) AS INT) FROM ps) AS participant_rows, (SELECT CAST(count(*) AS INT) FROM ps WHERE role IS NULL OR champion_id <= 0) AS rejected_rows, (SELECT CAST(count(*) AS INT) FROM b WHERE {IN_SCOPE} AND champion_id > 0) AS ban_rows"
 query("window_stats", STATS)(lambda spark, sf_dir: Build(spark, sf_dir).stats())
 query("baseline_win_rate", CELLS + "SELECT r AS baseline FROM base")(lambda spark, sf_dir: tallies.baseline(Build(spark, sf_dir).tallies()))
@@ -252,10 +295,10 @@ TOP = """SELECT champion_id, role, kind, label, n, wins, rank FROM (SELECT *, ro
 COUNTED = " UNION ALL ".join(f"SELECT CAST(champion_id AS INT) AS champion_id, role, '{kind}' AS kind, CAST({key} AS INT[]) AS key, CAST(count(*) AS INT) AS n, CAST(sum(CASE WHEN win THEN 1 ELSE 0 END) AS INT) AS wins FROM p WHERE {GOOD} AND {there} GROUP BY 1, 2, 3, 4" for kind, (key, there) in KEYS.items())
 query("top_builds", W + TOP.format(COUNTED))(lambda spark, sf_dir: Build(spark, sf_dir).builds().select("champion_id", "role", "kind", "label", "n", "wins", "rank"))
 query("matchup_matrix", CELLS + f"SELECT role, champion_id, opponent_id, n, wins, {RATE} AS win_rate, {CI} AS ci95 FROM mu WHERE n >= 5")(
-    lambda spark, sf_dir: policy.published(policy.matchup_cells(tallies.matchup_counts(Build(spark, sf_dir).participants, PATCH)), 5)
+    lambda spark, sf_dir: policy.published(policy.matchup_cells(tallies.matchup_counts(Build(spark, sf_dir, schema=schemas.PAIRED).participants, PATCH)), 5)
 )
 query("matchup_axis", CELLS + "SELECT role, array_to_string(list_sort(list(DISTINCT c)), ',') AS champions FROM (SELECT role, champion_id AS c FROM mu UNION ALL SELECT role, opponent_id FROM mu) GROUP BY 1")(
-    lambda spark, sf_dir: policy.matchup_axis(tallies.matchup_counts(Build(spark, sf_dir).participants, PATCH)).withColumn("champions", F.array_join("champions", ","))
+    lambda spark, sf_dir: policy.matchup_axis(tallies.matchup_counts(Build(spark, sf_dir, schema=schemas.PAIRED).participants, PATCH)).withColumn("champions", F.array_join("champions", ","))
 )
 
 
@@ -277,14 +320,8 @@ def champion_builds(spark, sf_dir):
 # ---- gates, over relations with faults -----------------------------------------------------
 
 
-def cut_off(raw: DataFrame) -> DataFrame:
-    """The archive with the payloads of one match in nine cut off."""
-    number = F.substring("match_id", 6, 10).cast("bigint")
-    return raw.withColumn("payload", F.when(number % 9 == 0, F.substring("payload", 1, 100)).otherwise(F.col("payload")))
-
-
 @query("gate_input", W + f""", s AS (SELECT count(*) AS n, count_if(role IS NULL OR champion_id <= 0) AS bad FROM p WHERE {USED} AND k % 9 <> 0)
-SELECT 'malformed_archive' AS reason WHERE (SELECT count(*) FROM m WHERE k % 9 = 0) > 0
+SELECT 'malformed_archive' AS reason WHERE (SELECT count(*) FROM m WHERE k % 9 = 0 AND CAST(game_creation AS DATE) + 1 >= DATE '{FIRST}') > 0
 UNION ALL SELECT 'empty_window' FROM s WHERE n - bad = 0 UNION ALL SELECT 'rejected_rows' FROM s WHERE bad > ceil(0.0002 * n)""")
 def gate_input(spark, sf_dir):
     b = Build(spark, sf_dir, spoil=cut_off)
@@ -336,7 +373,7 @@ def verify_builds(spark, sf_dir):
 SELECT role, champion_id, opponent_id, problem FROM s, (VALUES ('order'), ('axis')) v(problem) WHERE problem = 'order' AND champion_id > opponent_id OR problem = 'axis' AND (champion_id = 3 OR opponent_id = 3)""")
 def verify_matchups(spark, sf_dir):
     """Pairs, some turned round, and an axis that lacks a champion."""
-    counts = shared.stored(tallies.matchup_counts(Build(spark, sf_dir).participants, PATCH))
+    counts = shared.stored(tallies.matchup_counts(Build(spark, sf_dir, schema=schemas.PAIRED).participants, PATCH))
     turned = F.col("champion_id") % 5 == 0
     shown = policy.published(policy.matchup_cells(counts), 5).withColumns({"champion_id": F.when(turned, F.col("opponent_id")).otherwise(F.col("champion_id")), "opponent_id": F.when(turned, F.col("champion_id")).otherwise(F.col("opponent_id"))})
     axis = policy.matchup_axis(counts).withColumn("champions", F.array_except("champions", F.array(F.lit(3))))
@@ -348,7 +385,7 @@ MANIFEST = W + """, r AS (SELECT patch, platform_id AS region, queue_id AS queue
 
 def partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a manifest would list: the derived archive's patches, platforms and queues."""
-    rows = Build(spark, sf_dir).envelopes.select(patch_of(F.col("game_version")).alias("patch"), F.col("platform_id").alias("region"), F.col("queue_id").alias("queue"), F.lit("all").alias("bracket"), F.to_date(F.timestamp_millis("game_creation_ms")).alias("day"))
+    rows = Build(spark, sf_dir, whole=True).envelopes.select(patch_of(F.col("game_version")).alias("patch"), F.col("platform_id").alias("region"), F.col("queue_id").alias("queue"), F.lit("all").alias("bracket"), F.to_date(F.timestamp_millis("game_creation_ms")).alias("day"))
     return rows.groupBy(*publish.PARTITION).agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count("*").alias("matches"))
 
 

@@ -134,12 +134,33 @@ def append_archive_parts(spark, sf_dir):
     return back.groupBy("dt").agg(F.count("*").alias("rows"), F.count_if(F.col("payload_sha256") == F.sha2("payload", 256)).alias("intact"))
 
 
-@query("stream_archive", W + "SELECT count(*) AS rows, count(*) AS matches FROM m")
+STREAMED = W + f""", a AS (SELECT k, match_id, k % 5 AS g, k % 7 = 0 AS bare FROM m UNION ALL SELECT k, match_id, (k // 25) % 5, k % 7 = 0 FROM m WHERE {synth.COPY}),
+r AS (SELECT match_id, bare, count(*) AS n, count_if(g = 0) AS before, count_if(g BETWEEN 1 AND 3) AS live, count_if(g = 4) AS after FROM a GROUP BY 1, 2)
+SELECT CAST(sum(CASE WHEN bare THEN n ELSE before + after + CASE WHEN before = 0 AND live > 0 THEN 1 ELSE 0 END END) AS BIGINT) AS rows,
+ count_if(NOT bare) AS matches, CAST(coalesce(sum(n) FILTER (bare), 0) AS BIGINT) AS without_id FROM r"""
+
+
+@query("stream_archive", f"SELECT *, rows AS intact FROM ({STREAMED})")
 def stream_archive(spark, sf_dir):
-    """The archive as a stream of files, appended to a new one with each match once."""
+    """One archive fed by a batch, a stream in micro-batches that is stopped and started again, and another batch.
+
+    The stream leaves out matches that are there already; one match in seven has no id, and each of its rows is kept.
+    """
     root = shared.scratch(spark, "stream")
-    rows = synth.archived(spark, sf_dir, "summaries").drop("dt", "part", "part_row").withColumn("payload", F.substring("payload", 1, 50))
-    rows.repartition(8).write.parquet(f"{root}/in")
-    stream.stream_archive(stream.incoming(spark, f"{root}/in", rows.schema), f"{root}/out", "summaries", f"{root}/state").awaitTermination()
+    number = F.substring("match_id", 6, 10).cast("bigint")
+    again = F.to_date("fetched_at") > F.to_date(F.timestamp_millis("game_creation_ms")) + F.lit(1)
+    rows = synth.archived(spark, sf_dir, "summaries").drop("dt", "part", "part_row").withColumn("group", F.when(again, F.floor(number / 25) % 5).otherwise(number % 5))
+    rows = rows.withColumn("match_id", F.when(number % 7 != 0, F.col("match_id")))
+    of = lambda *groups: rows.where(F.col("group").isin(*groups)).drop("group")
+    live = lambda: stream.stream_archive(stream.incoming(spark, f"{root}/in", of().schema, 4), f"{root}/out", "summaries", f"{root}/state")
+    publish.append_archive(of(0), f"{root}/out", "summaries")
+    for arrived in ((1, 2), (3,)):
+        for group in arrived:
+            of(group).coalesce(4).write.mode("append").parquet(f"{root}/in")
+        live().awaitTermination()
+    publish.append_archive(of(4), f"{root}/out", "summaries")
     back = archive.read_archive(spark, f"{root}/out", "summaries")
-    return back.agg(F.count("*").alias("rows"), F.count_distinct("match_id").alias("matches"))
+    return back.agg(
+        F.count("*").alias("rows"), F.count_distinct("match_id").alias("matches"), F.count_if(F.col("match_id").isNull()).alias("without_id"),
+        F.count_if(F.col("payload_sha256") == F.sha2("payload", 256)).alias("intact"),
+    )

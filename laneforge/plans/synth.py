@@ -159,15 +159,15 @@ def timelines(spark: SparkSession, sf_dir: str) -> DataFrame:
 ROOTS: dict[tuple[str, str, str], str] = {}
 
 
-def archived(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    """The archive of a source ("summaries" or "timelines"): written once an application, then read as any archive is."""
+def archived(spark: SparkSession, sf_dir: str, source: str, since: str | None = None) -> DataFrame:
+    """The archive of a source ("summaries" or "timelines"): written once an application, then read as any archive is, from ``since`` on."""
     key = (spark.sparkContext.applicationId, sf_dir, source)
     if key not in ROOTS:
         root = shared.scratch(spark, "archive")
         made = {"summaries": summaries, "timelines": timelines}[source]
         publish.append_archive(made(spark, sf_dir).drop("dt", "part", "part_row"), root, source)
         ROOTS[key] = root
-    return archive.read_archive(spark, ROOTS[key], source)
+    return archive.read_archive(spark, ROOTS[key], source, since)
 
 
 # ---- the same in SQL ---------------------------------------------------------------------

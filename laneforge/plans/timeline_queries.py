@@ -46,8 +46,14 @@ made("participant_minutes", "SELECT " + ", ".join(f"CAST({c} AS {k.upper()}) AS
 CHK = "match_id, participant_id, checkpoint, frame_timestamp_ms, cs_total, xp, total_gold, level, kills_to_minute, deaths_to_minute, assists_to_minute"
 made("nearest_checkpoint", f"SELECT {CHK} FROM chk", lambda d: d.picks.select(*CHK.split(", ")))
 made("checkpoint_pivot", "SELECT match_id, participant_id, " + ", ".join(f"max({n}) FILTER (WHERE checkpoint = {c}) AS {n}_at_{c}" for c in (5, 10, 15) for n in timeline.AT_CHECKPOINT[1:]) + " FROM chk GROUP BY 1, 2", lambda d: timeline.checkpoint_pivot(d.picks))
-PAIRS = "SELECT a.match_id, a.region, a.patch, CAST(a.queue_id AS INT) AS queue_id, a.participant_id, o.participant_id AS opponent_participant_id, a.role, CAST(a.champion_id AS INT) AS champion_id, CAST(o.champion_id AS INT) AS opponent_champion_id, CAST(a.team_id AS INT) AS team_id, a.win, 'team_position' AS pairing_basis, a.role IN ('BOTTOM', 'SUPPORT') AS is_duo_lane, a.role <> 'JUNGLE' AS has_nominal_opponent FROM p a JOIN ok USING (match_id) JOIN p o ON o.match_id = a.match_id AND o.role = a.role AND o.team_id <> a.team_id"
-made("lane_pairs", PAIRS, lambda d: timeline.lane_pairs(d.index, d.players))
+#: A team has one player of a role, so the players of a role in a match are two columns each of one aggregate.
+SIDED = ", ".join(f"max(CASE WHEN team_id = {100 * t} THEN {c} END) AS {n}{t}" for t in (1, 2) for c, n in (("participant_id", "pid"), ("champion_id", "champ"), ("CAST(win AS INT)", "won")))
+ONE_WAY = """SELECT match_id, region, patch, CAST(queue_id AS INT) AS queue_id, pid{0} AS participant_id, pid{1} AS opponent_participant_id, role, CAST(champ{0} AS INT) AS champion_id,
+ CAST(champ{1} AS INT) AS opponent_champion_id, CAST({0}00 AS INT) AS team_id, won{0} = 1 AS win, 'team_position' AS pairing_basis, role IN ('BOTTOM', 'SUPPORT') AS is_duo_lane,
+ role <> 'JUNGLE' AS has_nominal_opponent FROM sd WHERE pid1 IS NOT NULL AND pid2 IS NOT NULL"""
+PAIRS = f"""WITH sd AS MATERIALIZED (SELECT match_id, role, any_value(region) AS region, any_value(patch) AS patch, any_value(queue_id) AS queue_id, {SIDED}
+ FROM p WHERE role IS NOT NULL AND match_id IN (SELECT match_id FROM ok) GROUP BY 1, 2) {ONE_WAY.format(1, 2)} UNION ALL {ONE_WAY.format(2, 1)}"""
+made("lane_pairs", f", pr AS ({PAIRS}) SELECT * FROM pr", lambda d: timeline.lane_pairs(d.index, d.players))
 _side = lambda c: f"LEFT JOIN chk c{c} ON c{c}.match_id = pr.match_id AND c{c}.participant_id = pr.participant_id AND c{c}.checkpoint = {c} LEFT JOIN chk o{c} ON o{c}.match_id = pr.match_id AND o{c}.participant_id = pr.opponent_participant_id AND o{c}.checkpoint = {c}"
 _cols = lambda c: f"c{c}.cs_total AS cs_{c}, o{c}.cs_total AS opponent_cs_{c}, c{c}.cs_total - o{c}.cs_total AS cs_diff_{c}, c{c}.xp - o{c}.xp AS xp_diff_{c}, c{c}.total_gold - o{c}.total_gold AS gold_diff_{c}, c{c}.level - o{c}.level AS level_diff_{c}, c{c}.kills_to_minute AS kills_{c}, c{c}.deaths_to_minute AS deaths_{c}, c{c}.assists_to_minute AS assists_{c}"
 LANES = f", pr AS ({PAIRS}), lm AS (SELECT pr.*, {', '.join(map(_cols, (5, 10, 15)))} FROM pr {' '.join(map(_side, (5, 10, 15)))})"

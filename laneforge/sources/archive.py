@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laneforge.functions.columns import as_int, as_long, patch_of, patch_order, slug, valid_json
-from laneforge.sources import schemas
-from laneforge.sources.shared import stored
+from laneforge.sources import parts, schemas
+from laneforge.sources.shared import folders, stored
+
+#: How Spark names the folder of rows without a value to part by.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 class ArchiveEmpty(ValueError):
@@ -27,26 +30,43 @@ def canonical_date(text: str) -> date:
     return date.fromisoformat(text)
 
 
+def parts_of(spark: SparkSession, path: str, since: str | None = None) -> list[str]:
+    """The day folders of a source from ``since`` on; a folder whose name is no date is an error. Rows without a day belong to no window."""
+    found = []
+    for folder in folders(spark, f"{path}/dt=*"):
+        day = folder.rsplit("dt=", 1)[1]
+        if day == NO_DAY:
+            found += [] if since else [folder]
+        elif not since or canonical_date(day) >= canonical_date(since):
+            found.append(folder)
+    return found
+
+
 def read_archive(spark: SparkSession, root: str, source: str, since: str | None = None, schema: str = schemas.ARCHIVE) -> DataFrame:
     """The rows of ``root/source/dt=...`` from ``since`` on, with ``dt``, ``part`` and ``part_row``.
 
-    Parts that lack a column have it null. Partitions before ``since`` are not listed as input.
+    Days before ``since`` are neither listed nor read. Parts that lack a column have it null, and parts that hold a
+    whole number in 32 or in 64 bits are read alike: a number that the schema's own type can't hold is null.
+    Days are named one by one, so what a stream's sink may have noted beside them doesn't hide a part.
     """
     path = f"{root}/{source}"
-    try:
-        df = spark.read.schema(f"{schema}, dt DATE").option("basePath", path).option("mergeSchema", "true").parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            raise ArchiveEmpty(f"no archive at {path}") from error
-        raise
+    days = parts_of(spark, path, since)
+    if not days:
+        raise ArchiveEmpty(f"no archive at {path}" + (f" since {since}" if since else ""))
+    df = spark.read.schema(f"{schemas.widest(schema)}, dt DATE").option("basePath", path).parquet(*days)
     if since:
         df = df.where(F.col("dt") >= F.lit(canonical_date(since)))
     df = with_position(df)
+    df = df.select(*(narrowed(df, c, kind) for c, kind in schemas.columns_of(schema)), "dt", "part", "part_row")
     if df.isEmpty():
         raise ArchiveEmpty(f"{source} has no rows since {since}")
     return df
 
 
+def narrowed(df: DataFrame, column: str, kind: str) -> Column:
+    return F.col(column) if df.schema[column].dataType.simpleString() == kind.lower() else F.col(column).try_cast(kind).alias(column)
+
+
 def with_position(df: DataFrame) -> DataFrame:
     """Each row's file and its place in it, the address that stays the same from read to read."""
     return df.select("*", F.col("_metadata.file_path").alias("part"), F.col("_metadata.row_index").alias("part_row"))
@@ -59,16 +79,17 @@ def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ladder_pages(spark: SparkSession, root: str) -> DataFrame:
     """Ladder pages, partitioned by date and region."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{root}/league-v4")
+    return parts.read_evolved(spark, f"{root}/league-v4")
 
 
 def read_static_documents(spark: SparkSession, root: str) -> DataFrame:
     """Static documents, partitioned by date and kind."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{root}/ddragon")
+    return parts.read_evolved(spark, f"{root}/ddragon")
 
 
 def read_accounts(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(f"{root}/account-v1")
+    """Accounts, partitioned by date."""
+    return parts.read_evolved(spark, f"{root}/account-v1")
 
 
 def window_days(days: int) -> int:
@@ -143,16 +164,20 @@ def array_size(values: Column) -> Column:
     return F.when(values.isNotNull(), F.size(values))
 
 
-def first_archived(envelopes: DataFrame) -> DataFrame:
+def first_archived(envelopes: DataFrame, store=stored) -> DataFrame:
     """One row for each match, the first by part and row. Rows without an id each stay, to be counted.
 
     Only ids and addresses are sorted. The addresses of later copies are stored, so that the planner knows
     how few they are and takes them out where the documents are read: these are not shuffled.
     """
     keys = envelopes.where(F.col("match_id").isNotNull()).select("match_id", "part", "part_row")
+    return envelopes.join(store(later_copies(keys), "copies"), ["part", "part_row"], "left_anti")
+
+
+def later_copies(keys: DataFrame) -> DataFrame:
+    """Of ``keys`` (match_id, part, part_row) the places of all rows but each match's first."""
     first = Window.partitionBy("match_id").orderBy("part", "part_row")
-    later = keys.withColumn("_n", F.row_number().over(first)).where("_n > 1").select("part", "part_row")
-    return envelopes.join(stored(later, "copies"), ["part", "part_row"], "left_anti")
+    return keys.withColumn("_n", F.row_number().over(first)).where("_n > 1").select("part", "part_row")
 
 
 def carry_payload(archive: DataFrame, keys: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laneforge.operators.gates import GateFailed, schema_drift
+from laneforge.sources import shared
 
 PARTITION = ["patch", "region", "queue", "bracket"]
 PART_ROWS = 20_000
@@ -97,5 +98,20 @@ def archive_rows(rows: DataFrame) -> DataFrame:
     })
 
 
-def append_archive(rows: DataFrame, root: str, source: str) -> None:
-    archive_rows(rows).write.mode("append").partitionBy("dt").option("maxRecordsPerFile", PART_ROWS).option("compression", "zstd").parquet(f"{root}/{source}")
+def append_archive(rows: DataFrame, root: str, source: str, name: str | None = None) -> None:
+    """Appends rows as new parts of their days.
+
+    With a ``name`` the parts go to a folder of that name in each day: they are written aside and moved when all are there, and what an
+    earlier append left under that name is replaced. So an append of a name can be tried again.
+    """
+    spark, out = rows.sparkSession, archive_rows(rows).write.partitionBy("dt").option("maxRecordsPerFile", PART_ROWS).option("compression", "zstd")
+    if name is None:
+        out.mode("append").parquet(f"{root}/{source}")
+        return
+    aside = f"{root}/_staged/{source}/{name}"
+    out.mode("overwrite").parquet(aside)
+    for old in shared.folders(spark, f"{root}/{source}/dt=*/{name}"):
+        shared.remove(spark, old)
+    for day in shared.folders(spark, f"{aside}/dt=*"):
+        shared.move(spark, day, f"{root}/{source}/{day.rsplit('/', 1)[1]}/{name}")
+    shared.remove(spark, aside)

@@ -21,6 +21,22 @@ SUMMARY = (
     "style: STRING, selections: ARRAY<STRUCT<perk: STRING>>>>, statPerks: STRUCT<offense: STRING, flex: STRING, defense: STRING>>>>>"
 )
 
+
+
+def columns_of(schema: str) -> list[tuple[str, str]]:
+    """Names and types of a schema of plain columns."""
+    return [tuple(c.split()) for c in schema.split(", ")]
+
+
+#: What a column's type may have been widened to, by the family that it belongs to; a reader takes the widest.
+WIDER = {"TINYINT": "BIGINT", "SMALLINT": "BIGINT", "INT": "BIGINT", "FLOAT": "DOUBLE"}
+
+
+def widest(schema: str) -> str:
+    """A schema that reads parts written before and after a column was widened."""
+    return ", ".join(f"{c} {WIDER.get(kind, kind)}" for c, kind in columns_of(schema))
+
+
 #: What cells are made of, for readers of nothing else.
 PLAYED = (
     "metadata STRUCT<matchId: STRING>, info STRUCT<gameVersion: STRING, platformId: STRING, queueId: STRING, gameCreation: STRING, "
@@ -28,6 +44,9 @@ PLAYED = (
     "participants: ARRAY<STRUCT<championId: STRING, teamPosition: STRING, individualPosition: STRING, win: STRING>>>"
 )
 
+#: The same with the players' teams, for matchups.
+PAIRED = PLAYED.replace("STRUCT<championId", "STRUCT<teamId: STRING, championId").replace("bans: ARRAY<STRUCT<teamId: STRING, championId", "bans: ARRAY<STRUCT<championId")
+
 FRAME = (
     "STRUCT<level: STRING, xp: STRING, totalGold: STRING, currentGold: STRING, minionsKilled: STRING, "
     "jungleMinionsKilled: STRING, position: STRUCT<x: STRING, y: STRING>>"

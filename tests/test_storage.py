@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from laneforge.operators import control, extract
 from laneforge.plans import synth
-from laneforge.sources import archive, publish, schemas
+from laneforge.sources import archive, parts, publish, schemas
 from laneforge.streaming import archive as stream
 
 
@@ -113,20 +113,84 @@ def test_published_partitions(spark, tmp_path):
         publish.merge_manifest(listed, found, entry("16.11", 9).withColumn("source", F.lit("demo"))).collect()
 
 
-def test_stream_appends_each_match_once(spark, tmp_path):
-    kept = full_rows(spark).limit(300)
-    for k in range(2):
-        kept.coalesce(1).write.parquet(f"{tmp_path}/in{k}")
-    schema = kept.schema
-    (tmp_path / "in").mkdir()
-    for k in range(2):
-        for p in (tmp_path / f"in{k}").glob("*.parquet"):
-            p.rename(tmp_path / "in" / f"{k}-{p.name}")
-    source = stream.incoming(spark, str(tmp_path / "in"), schema, 1)
-    query = stream.stream_archive(source, str(tmp_path / "out"), "s", str(tmp_path / "c"))
-    query.awaitTermination(120)
+def live(spark, path, schema):
+    stream.stream_archive(stream.incoming(spark, f"{path}/in", schema, 1), f"{path}/out", "s", f"{path}/c").awaitTermination(120)
+
+
+def test_stream_and_batch_feed_one_archive(spark, tmp_path):
+    """A batch, a stream in three micro-batches with a restart, and a batch again: nothing is lost, no match comes twice by the stream, null ids stay."""
+    kept = full_rows(spark).limit(400).withColumn("match_id", F.when(F.crc32(F.col("payload").cast("binary")) % 10 > 0, F.col("match_id"))).coalesce(1).cache()
+    parts = [kept.where(F.crc32(F.concat("payload_sha256", F.lit("x")).cast("binary")) % 5 == k) for k in range(5)]
+    publish.append_archive(parts[0], str(tmp_path / "out"), "s")
+    for p in (parts[1], parts[0].unionByName(parts[1]).unionByName(parts[2])):  # the second file brings known matches again
+        p.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    live(spark, tmp_path, kept.schema)
+    parts[3].coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    live(spark, tmp_path, kept.schema)
+    publish.append_archive(parts[4], str(tmp_path / "out"), "s")
     back = archive.read_archive(spark, str(tmp_path / "out"), "s")
-    assert back.count() == back.select("match_id").distinct().count() == kept.select("match_id").distinct().count()
+    once = kept.where("match_id IS NOT NULL")
+    bare = kept.where("match_id IS NULL").count() + parts[0].unionByName(parts[1]).where("match_id IS NULL").count()
+    assert back.where("match_id IS NULL").count() == bare > 0
+    assert back.select("match_id").where("match_id IS NOT NULL").distinct().count() == once.select("match_id").distinct().count()
+    streamed = back.where("part LIKE '%/stream-%'")
+    assert streamed.where("match_id IS NOT NULL").count() == streamed.select("match_id").where("match_id IS NOT NULL").distinct().count()
+    assert archive.damaged(back).isEmpty()
+
+
+def test_a_batch_run_again_replaces_itself(spark, tmp_path):
+    kept = archive.with_position(spark.read.schema(full_rows(spark).schema).parquet(written(full_rows(spark).limit(50), tmp_path / "in")))
+    for _ in range(2):
+        stream.append_batch(kept, 0, str(tmp_path / "out"), "s", "x")
+    first = archive.read_archive(spark, str(tmp_path / "out"), "s")
+    assert first.count() == kept.select("match_id").distinct().count()
+    stream.append_batch(kept, 1, str(tmp_path / "out"), "s", "x")  # another batch of the same matches adds none
+    assert archive.read_archive(spark, str(tmp_path / "out"), "s").count() == first.count()
+    assert not list((tmp_path / "out" / "_staged" / "s").glob("*"))
+
+
+def test_a_log_of_another_sink_hides_no_part(spark, tmp_path):
+    publish.append_archive(full_rows(spark).limit(20), str(tmp_path), "s")
+    (tmp_path / "s" / "_spark_metadata").mkdir()
+    (tmp_path / "s" / "_spark_metadata" / "0").write_text("v1\n")
+    assert archive.read_archive(spark, str(tmp_path), "s").count() == 20
+
+
+def written(df, path) -> str:
+    df.coalesce(1).write.parquet(str(path))
+    return str(path)
+
+
+def test_days_before_the_window_are_not_listed(spark, tmp_path):
+    publish.append_archive(full_rows(spark).limit(200), str(tmp_path), "s")
+    days = archive.parts_of(spark, f"{tmp_path}/s")
+    assert [d for d in days if d >= f"{tmp_path}/s/dt=2026-09-10"] or len(days) > 5
+    assert {d.rsplit("=", 1)[1] for d in archive.parts_of(spark, f"{tmp_path}/s", "2026-09-10")} == {d.rsplit("=", 1)[1] for d in days if d.rsplit("=", 1)[1] >= "2026-09-10"}
+    (tmp_path / "s" / "dt=2026-9-1").mkdir()
+    with pytest.raises(ValueError, match="not a date"):
+        archive.parts_of(spark, f"{tmp_path}/s", "2026-09-10")
+
+
+def test_parts_whose_columns_were_widened(spark, tmp_path):
+    """A whole number of 32 bits in one part, of 64 in another, and not there in a third."""
+    kept = full_rows(spark).limit(1)
+    for day, rows_ in (("01", kept), ("02", kept.withColumn("queue_id", F.lit(2**40 + 420).cast("bigint"))), ("03", kept.withColumn("queue_id", F.lit(440).cast("bigint"))), ("04", kept.drop("queue_id"))):
+        rows_.write.parquet(f"{tmp_path}/s/dt=2026-09-{day}")
+    back = archive.read_archive(spark, str(tmp_path), "s")
+    assert back.schema["queue_id"].dataType.simpleString() == "int"
+    first = kept.first().queue_id
+    assert [r.queue_id for r in back.orderBy("dt").collect()] == [first, None, 440, None]
+
+
+def test_evolved_parts_read_as_one(spark, tmp_path):
+    spark.createDataFrame([("a", 1, 1.5)], "puuid string, level int, share float").write.parquet(f"{tmp_path}/t/dt=2026-09-01")
+    spark.createDataFrame([(2**40, "b", 0.1)], "level long, puuid string, share double").write.parquet(f"{tmp_path}/t/dt=2026-09-02")
+    spark.createDataFrame([("c",)], "puuid string").write.parquet(f"{tmp_path}/t/dt=2026-09-03")
+    back = parts.read_evolved(spark, f"{tmp_path}/t")
+    assert [tuple(r)[:3] for r in back.select("puuid", "level", "share").orderBy("puuid").collect()] == [("a", 1, 1.5), ("b", 2**40, 0.1), ("c", None, None)]
+    spark.createDataFrame([("d", "x")], "puuid string, level string").write.parquet(f"{tmp_path}/t/dt=2026-09-04")
+    with pytest.raises(Exception, match="level bigint, int, string"):
+        parts.read_evolved(spark, f"{tmp_path}/t")
 
 
 def test_staleness_of_a_stream_equals_that_of_a_table(spark, tmp_path):

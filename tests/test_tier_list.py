@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import os
+
 import pytest
-from conftest import rows
+from conftest import SF, rows
 from matches import archive as frame
 from matches import season
 from pyspark.sql import functions as F
@@ -137,3 +139,36 @@ def test_ties_and_thresholds(spark):
     roles = [("", "MID"), ("ADC", "TOP"), ("", "Invalid"), (None, "UTILITY")]
     assert [x[0] for x in spark.createDataFrame(roles, "a string, b string").select(normal_role(F.col("a"), F.col("b"))).collect()] == ["MID", "BOTTOM", None, "SUPPORT"]
     assert platforms_of(" euw ") == ["EUW", "EUW1"] and platforms_of("", "kr") == ["KR"]
+
+
+def test_the_window_prunes_the_scan_and_the_store(spark, tmp_path):
+    """Days before the window are neither listed nor read, and documents out of scope are not stored."""
+    from laneforge.plans import match_queries
+    from laneforge.sources import schemas
+
+    with match_queries.Build(spark, SF, schema=schemas.PLAYED) as build:
+        plan = build.raw._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(dt" in plan and match_queries.FIRST > "2026-09-02"
+        assert all(f.rsplit("dt=", 1)[1][:10] >= match_queries.FIRST for f in build.raw.inputFiles())
+        kept = build.envelopes
+        assert "puuid" not in kept.schema.simpleString() and "item0" not in kept.schema.simpleString()
+        assert kept.where(~extract.match_filter(build.scope)).where("doc IS NOT NULL").isEmpty()
+        assert not kept.where("doc IS NULL").isEmpty() and not kept.where("doc IS NOT NULL").isEmpty()
+        stored = [f.removeprefix("file:") for f in kept.inputFiles()]
+    assert stored and not any(os.path.exists(f) for f in stored)
+
+
+def test_an_empty_window_is_an_error(spark, monkeypatch):
+    from laneforge.plans import match_queries
+    from laneforge.sources import archive
+
+    monkeypatch.setattr(match_queries, "FIRST", "2030-01-01")
+    with pytest.raises(archive.ArchiveEmpty):
+        match_queries.tier_list(spark, SF)
+
+
+def test_players_without_a_match_meet_nobody(spark):
+    rows = [(None, "TOP", 100, 1, True), (None, "TOP", 200, 2, False), ("a", "TOP", 100, 3, True), ("a", "TOP", 200, 4, False), ("a", None, 100, 5, True), ("a", None, 200, 6, False)]
+    sides = spark.createDataFrame(rows, "match_id string, role string, team_id int, champion_id int, win boolean")
+    pairs = extract.paired(sides, ["match_id", "role"]).collect()
+    assert sorted((r.a.champion_id, r.b.champion_id) for r in pairs) == [(3, 4), (4, 3)]
