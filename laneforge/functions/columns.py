@@ -16,15 +16,34 @@ def as_long(value: Column) -> Column:
     return value.try_cast("bigint")
 
 
-def valid_json(payload: Column, parsed: Column | None = None) -> Column:
-    """True for a JSON document; false for null, broken text, or text that goes on after it.
+def sealed(payload: Column) -> tuple[Column, Column]:
+    """A payload as the first of an array's two values, and the other, a hash of the payload.
 
-    ``parsed`` is a part of a parse already made: where it is not null the text is not parsed again.
+    A text that goes on after its first document either makes the array longer or broken, or closes it before
+    the hash, which it can't hold itself. So what parses to just these two values is one whole document.
     """
-    whole = F.try_parse_json(payload).isNotNull()
-    if parsed is not None:
-        whole = F.when(parsed.isNotNull(), True).otherwise(whole)
-    return F.coalesce(whole & F.rtrim(payload).rlike(r"[}\]\"0-9a-z]$"), F.lit(False))
+    seal = F.hex(F.xxhash64(payload))
+    return seal, F.concat(F.lit("["), payload, F.lit(',{"_seal":"'), seal, F.lit('"}]'))
+
+
+def valid_json(payload: Column) -> Column:
+    """True for one JSON document; false for null, broken text, or text that goes on after it."""
+    seal, both = sealed(payload)
+    parsed = F.try_parse_json(both)
+    last = F.try_variant_get(parsed, "$[1]._seal", "string")
+    return F.coalesce((last == seal) & F.try_variant_get(parsed, "$[2]", "variant").isNull(), F.lit(False))
+
+
+def parsed_json(payload: Column, schema: str) -> tuple[Column, Column, Column]:
+    """A payload's struct of ``schema`` (``name: type`` fields) from one parse: the array to select first, and of a column ``both`` of it the struct and its validity.
+
+    A document of another shape than a struct is valid too, and has a null struct.
+    """
+    seal, both = sealed(payload)
+    array = F.from_json(both, f"ARRAY<STRUCT<{schema}, _seal: STRING>>")
+    held = (F.size("both") == 2) & (F.get("both", F.lit(1))["_seal"] == seal)
+    valid = F.when(F.coalesce(held, F.lit(False)), F.lit(True)).otherwise(valid_json(payload))
+    return array, F.when(held, F.get("both", F.lit(0)).dropFields("_seal")), valid
 
 
 def normal_role(team_position: Column, individual_position: Column) -> Column:

@@ -120,13 +120,21 @@ def dedup_queue_items(items: DataFrame) -> DataFrame:
     return rows.select("match_id", "kind", "priority", "not_before", "position")
 
 
-def merge_queue(queue: DataFrame, items: DataFrame, now) -> DataFrame:
-    """New jobs added as pending; dead ones revived, up to three times; others as they are."""
+def last_id(queue: DataFrame) -> DataFrame:
+    """One row: the largest id, by which new jobs go on."""
+    return queue.agg(F.max("id").alias("last_id"))
+
+
+def merge_queue(queue: DataFrame, items: DataFrame, now, last: DataFrame | None = None) -> DataFrame:
+    """New jobs added as pending; dead ones revived, up to three times; others as they are.
+
+    Where ``queue`` is a part of the table, ``last`` is the ``last_id`` of the whole.
+    """
     revive = (F.col("status") == "dead") & (F.col("revivals") < REVIVALS)
-    last_id = F.coalesce(F.col("last_id"), F.lit(0))
-    numbered = dedup_queue_items(items).crossJoin(queue.agg(F.max("id").alias("last_id")))  # one row
+    last_id_ = F.coalesce(F.col("last_id"), F.lit(0))
+    numbered = dedup_queue_items(items).crossJoin(last_id(queue) if last is None else last)  # one row
     new = numbered.select(
-        "match_id", "kind", (last_id + 1 + F.col("position")).alias("id"), "priority", F.lit(0).alias("attempts"), F.lit(0).alias("revivals"),
+        "match_id", "kind", (last_id_ + 1 + F.col("position")).alias("id"), "priority", F.lit(0).alias("attempts"), F.lit(0).alias("revivals"),
         F.coalesce("not_before", F.lit(now).cast("timestamp")).alias("not_before"), F.lit(None).cast("timestamp").alias("claimed_at"), F.lit("pending").alias("status"), F.lit(None).cast("string").alias("last_cause"),
     )
     revived = {"status": F.lit("pending"), "attempts": F.lit(0), "revivals": F.col("revivals") + 1, "not_before": F.col("new_not_before"), "claimed_at": F.lit(None), "last_cause": F.lit(None)}
@@ -182,22 +190,35 @@ def first_rows(rows: DataFrame, keys: list[str], order: list, limit: int) -> Dat
     return rows.orderBy(*order).limit(limit).select(*keys, F.lit(True).alias("_hit"))
 
 
+JOB = ["match_id", "kind"]
+
+
+def stuck_jobs(queue: DataFrame, before, limit: int = 1000) -> DataFrame:
+    """The keys of jobs claimed before a time, the oldest claims first."""
+    stuck = queue.where((F.col("status") == "claimed") & (F.col("claimed_at") < F.lit(before).cast("timestamp")))
+    return first_rows(stuck, [*JOB, "id"], ["claimed_at", "id"], limit)
+
+
+def dead_jobs(queue: DataFrame, limit: int = 1000) -> DataFrame:
+    """The keys of dead jobs, those claimed first first."""
+    return first_rows(queue.where("status = 'dead'"), [*JOB, "id"], [F.col("claimed_at").asc_nulls_last(), "id"], limit)
+
+
 def rewritten(table: DataFrame, hits: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
     both = table.join(hits, keys, "left")
     return both.select(*(F.when(F.col("_hit").isNotNull(), values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in table.columns))
 
 
-def reset_stuck(queue: DataFrame, before, now, limit: int = 1000) -> DataFrame:
-    """Jobs claimed before a time go back to be tried again, the oldest claims first."""
-    stuck = queue.where((F.col("status") == "claimed") & (F.col("claimed_at") < F.lit(before).cast("timestamp")))
-    hits = first_rows(stuck, ["id"], ["claimed_at", "id"], limit)
-    return rewritten(queue, hits, ["id"], {"status": F.lit("retry"), "claimed_at": F.lit(None), "not_before": F.lit(now).cast("timestamp"), "last_cause": F.lit(EXPIRED)})
+def reset_stuck(queue: DataFrame, before, now, limit: int = 1000, hits: DataFrame | None = None) -> DataFrame:
+    """Jobs claimed before a time go back to be tried again. ``hits`` are those of the whole table where ``queue`` is a part of it."""
+    hits = stuck_jobs(queue, before, limit) if hits is None else hits
+    return rewritten(queue, hits.drop(*JOB), ["id"], {"status": F.lit("retry"), "claimed_at": F.lit(None), "not_before": F.lit(now).cast("timestamp"), "last_cause": F.lit(EXPIRED)})
 
 
-def replay_dead(queue: DataFrame, now, limit: int = 1000) -> DataFrame:
-    """Dead jobs become pending, those claimed first first."""
-    hits = first_rows(queue.where("status = 'dead'"), ["id"], [F.col("claimed_at").asc_nulls_last(), "id"], limit)
-    return rewritten(queue, hits, ["id"], {"status": F.lit("pending"), "attempts": F.lit(0), "claimed_at": F.lit(None), "not_before": F.lit(now).cast("timestamp"), "last_cause": F.lit(REPLAYED)})
+def replay_dead(queue: DataFrame, now, limit: int = 1000, hits: DataFrame | None = None) -> DataFrame:
+    """Dead jobs become pending. ``hits`` as above."""
+    hits = dead_jobs(queue, limit) if hits is None else hits
+    return rewritten(queue, hits.drop(*JOB), ["id"], {"status": F.lit("pending"), "attempts": F.lit(0), "claimed_at": F.lit(None), "not_before": F.lit(now).cast("timestamp"), "last_cause": F.lit(REPLAYED)})
 
 
 def prune_frontier(frontier: DataFrame, before, max_empty: int) -> DataFrame:

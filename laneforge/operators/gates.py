@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laneforge.functions.columns import TIERS, ci95, patch_order, role_rank, round4
@@ -142,8 +142,8 @@ def schema_drift(df: DataFrame, table: str) -> list[str]:
 # ---- published documents -----------------------------------------------------------------
 
 
-def verify_cells(cells: DataFrame, min_cell_n: int = 100) -> DataFrame:
-    """Published cells that break a rule: ranges, recomputed rates, floor, known tier and role."""
+def verify_cells(cells: DataFrame, min_cell_n: int = 100, *per: str) -> DataFrame:
+    """Published cells that break a rule: ranges, recomputed rates, floor, known tier and role. ``per`` are the columns of their partition, if of several."""
     rate = round4(F.col("wins") / F.col("n").cast("double"))
     off = lambda a, b: F.abs(a - b) > 1e-9
     unit = lambda c: F.col(c).between(0, 1)
@@ -151,7 +151,7 @@ def verify_cells(cells: DataFrame, min_cell_n: int = 100) -> DataFrame:
         "rates": ~(unit("win_rate") & unit("pick_rate") & unit("ban_rate")), "wins": ~F.col("wins").between(0, F.col("n")),
         "win_rate": off(F.col("win_rate"), rate), "ci95": off(F.col("ci95"), ci95(F.col("n"))), "floor": F.col("n") < min_cell_n,
         "tier": ~F.col("tier").isin(*(t for t, _ in TIERS), "D"), "role": ~F.col("role").isin(*ROLES),
-    }, "role", "champion_id")
+    }, *per, "role", "champion_id")
 
 
 def named(rows: DataFrame, rules: dict, *keys: str) -> DataFrame:
@@ -160,38 +160,45 @@ def named(rows: DataFrame, rules: dict, *keys: str) -> DataFrame:
     return rows.select(*keys, F.explode(failed).alias("problem"))
 
 
-def verify_order(cells: DataFrame) -> DataFrame:
+def verify_order(cells: DataFrame, *per: str) -> DataFrame:
     """Cells out of published order: a repeated champion, a rate above the one before, a better tier after a worse."""
-    order = Window.partitionBy("role").orderBy("rank")
+    order = Window.partitionBy(*per, "role").orderBy("rank")
     tier = F.array_position(F.array(*(F.lit(t) for t, _ in TIERS), F.lit("D")), F.col("tier"))
     rows = cells.withColumn("tier_rank", tier).withColumns({
-        "before": F.lag("win_rate").over(order), "tier_before": F.lag("tier_rank").over(order), "copies": F.count("*").over(Window.partitionBy("role", "champion_id")),
+        "before": F.lag("win_rate").over(order), "tier_before": F.lag("tier_rank").over(order), "copies": F.count("*").over(Window.partitionBy(*per, "role", "champion_id")),
     })
     return named(rows, {
         "repeated": F.col("copies") > 1, "rate_order": F.coalesce(F.col("win_rate") > F.col("before"), F.lit(False)),
         "tier_order": F.coalesce(F.col("tier_rank") < F.col("tier_before"), F.lit(False)),
-    }, "role", "champion_id")
+    }, *per, "role", "champion_id")
 
 
 KEY_LENGTHS = {"items": 7, "runes": 6, "spells": 2}
 
 
+def key_length() -> Column:
+    return F.element_at(F.create_map(*(F.lit(x) for kv in KEY_LENGTHS.items() for x in kv)), F.col("kind"))
+
+
 def verify_builds(builds: DataFrame, cells: DataFrame) -> DataFrame:
     """Builds with a key of the wrong length, more games than their cell, or too many of a kind."""
-    length = F.element_at(F.create_map(*(F.lit(x) for kv in KEY_LENGTHS.items() for x in kv)), F.col("kind"))
     rows = builds.join(cells.select("champion_id", "role", F.col("n").alias("cell_n")), ["champion_id", "role"], "left")
-    return named(rows, {"key_length": F.size("key") != length, "too_many_games": F.coalesce(F.col("n") > F.col("cell_n"), F.lit(False)), "too_many_builds": F.col("rank") > 10}, "champion_id", "role", "kind", "rank")
+    return named(rows, {"key_length": F.size("key") != key_length(), "too_many_games": F.coalesce(F.col("n") > F.col("cell_n"), F.lit(False)), "too_many_builds": F.col("rank") > 10}, "champion_id", "role", "kind", "rank")
 
 
 def verify_matchups(shown: DataFrame, axis: DataFrame, min_cell_n: int = 100) -> DataFrame:
     """Published pairs out of order, below the floor, off the axis, or with other rates than their counts."""
-    rows = shown.join(axis, "role", "left")
+    return pair_problems(shown.join(axis, "role", "left"), min_cell_n)
+
+
+def pair_problems(rows: DataFrame, min_cell_n: int, *per: str) -> DataFrame:
+    """The same, of pairs with the ``champions`` of their axis."""
     rate = round4(F.col("wins") / F.col("n").cast("double"))
     return named(rows, {
         "order": F.col("champion_id") > F.col("opponent_id"), "floor": F.col("n") < min_cell_n,
         "axis": ~(F.array_contains("champions", F.col("champion_id")) & F.array_contains("champions", F.col("opponent_id"))),
         "win_rate": F.abs(F.col("win_rate") - rate) > 1e-9, "ci95": F.abs(F.col("ci95") - ci95(F.col("n"))) > 1e-9,
-    }, "role", "champion_id", "opponent_id")
+    }, *per, "role", "champion_id", "opponent_id")
 
 
 PARTITION = ["patch", "region", "queue", "bracket"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from laneforge.functions.columns import ci95, patch_order, role_rank, round4, tier_of, valid_patch
@@ -46,14 +46,24 @@ def published(rows: DataFrame, min_cell_n: int = MIN_CELL_N) -> DataFrame:
     return rows.where(F.col("n") >= min_cell_n)
 
 
-def suppression(rows: DataFrame, min_cell_n: int = MIN_CELL_N) -> DataFrame:
-    """One row: how many cells there are, how many are published and suppressed, and the rows they hold."""
+def suppression_figures(min_cell_n: int = MIN_CELL_N) -> list[Column]:
+    """How many cells there are, how many are published and suppressed, and the rows they hold."""
     shown = F.col("n") >= min_cell_n
     count = lambda c: F.count_if(c).cast("int")
-    return rows.agg(
-        F.count("*").cast("int").alias("cells_total"), count(shown).alias("cells_published"), count(~shown).alias("cells_suppressed"),
+    return [
+        F.count(F.lit(1)).cast("int").alias("cells_total"), count(shown).alias("cells_published"), count(~shown).alias("cells_suppressed"),
         F.coalesce(F.sum("n"), F.lit(0)).cast("int").alias("sum_n"), F.coalesce(F.sum(F.when(shown, F.col("n"))), F.lit(0)).cast("int").alias("sum_n_published"),
-    )
+    ]
+
+
+def suppression(rows: DataFrame, min_cell_n: int = MIN_CELL_N) -> DataFrame:
+    """One row of these figures."""
+    return rows.agg(*suppression_figures(min_cell_n))
+
+
+def published_and_counted(rows: DataFrame, seen: Observation, min_cell_n: int = MIN_CELL_N) -> DataFrame:
+    """The published cells; ``seen`` has the figures of ``suppression`` once they have been written, without another pass."""
+    return published(rows.observe(seen, *suppression_figures(min_cell_n)), min_cell_n)
 
 
 def ranked(rows: DataFrame) -> DataFrame:

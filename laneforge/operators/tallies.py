@@ -22,12 +22,10 @@ def ban_counts(bans: DataFrame, patch: str | None = None) -> DataFrame:
     return rows.groupBy("champion_id").agg(F.count_distinct("match_id").cast("int").alias("bans"))
 
 
-def tier_facts(window: DataFrame, patch: str | None = None) -> DataFrame:
-    """All that cells are made of, in one pass over the matches and one aggregate.
+def match_facts() -> Column:
+    """What a summary (``doc``) gives to cells: an array of facts, of ``kind`` cell for each classified player, ban for each banned champion, and match once.
 
-    Rows of ``kind`` cell (games and wins of a champion in a role), ban (matches in which a champion
-    was banned) and match (matches played). ``window`` has one row for each match, so a champion that
-    a match bans twice is counted once by its list of bans.
+    A summary stands for a match, so a champion that a match bans twice is counted once by its list of bans.
     """
     fact = lambda kind, champion=None, role=None, win=None: F.struct(
         F.lit(kind).alias("kind"), (F.lit(None) if champion is None else champion).cast("int").alias("champion_id"),
@@ -37,8 +35,16 @@ def tier_facts(window: DataFrame, patch: str | None = None) -> DataFrame:
     known = F.filter(players, lambda f: f["role"].isNotNull() & (f["champion_id"] > 0) & f["win"].isNotNull())
     banned = F.array_distinct(F.transform(F.flatten(F.transform("doc.info.teams", lambda t: F.coalesce(t["bans"], F.array()))), lambda b: as_int(b["championId"])))
     bans = F.transform(F.filter(F.coalesce(banned, F.array().cast("array<int>")), lambda c: c > 0), lambda c: fact("ban", c))
+    return F.concat(F.coalesce(known, F.array().cast(known_type())), bans, F.array(fact("match")))
+
+
+def tier_facts(window: DataFrame, patch: str | None = None) -> DataFrame:
+    """All that cells are made of, in one pass over the matches and one aggregate: games and wins by kind, champion and role.
+
+    ``window`` has one row for each match, with its ``facts`` or the summary that they are made of.
+    """
     rows = window.where("payload_valid").where(two_parts(F.col("game_version")) == patch if patch else F.lit(True))
-    each = rows.select(F.inline(F.concat(F.coalesce(known, F.array().cast(known_type())), bans, F.array(fact("match")))))
+    each = rows.select(F.inline(F.col("facts") if "facts" in window.columns else match_facts()))
     return each.groupBy("kind", "champion_id", "role").agg(F.count("*").cast("int").alias("n"), F.count_if("win").cast("int").alias("wins"))
 
 

@@ -12,12 +12,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laneforge.functions.columns import as_int, as_long, minute_of
-from laneforge.operators.extract import paired, summary_participants
+from laneforge.operators.extract import all_of, paired, summary_participants
 from laneforge.sources.schemas import CHECKPOINTS, OBJECTIVES, TABLES
-from laneforge.sources.shared import stored
+from laneforge.sources.archive import first_archived
+from laneforge.sources.shared import Owner, stored
 
 KEY = ["match_id", "participant_id"]
 MIN_DURATION_S = 600
+#: Stretches of time that a key's rows are cut into at most, and the rows of a key from which they are.
+SEGMENTS, SEGMENT_ROWS = 1000, 1_000_000
 
 
 def as_table(df: DataFrame, name: str) -> DataFrame:
@@ -145,18 +148,53 @@ def running_kda(points: DataFrame) -> DataFrame:
     return merged_points(points).select(*KEY, "timestamp_ms", *(F.sum(c).over(upto).cast("bigint").alias(f"{c}_to_minute") for c in ("kills", "deaths", "assists")))
 
 
-def last_before(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, values: list[str]) -> DataFrame:
+def last_before(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, values: list[str], segment_rows: int | None = None) -> DataFrame:
     """An as-of left join: each left row with the values of the latest right row at its time or before.
 
     Both sides go into one sort by key and time, so the cost doesn't depend on how many right rows
-    precede a left one. Of right rows at one time the last by their values counts.
+    precede a left one. Of right rows at one time the last by their values counts. A null key meets nothing.
+
+    A key's rows are one task's, which a game bounds for its players. Where nothing bounds them, ``segment_rows`` cuts the rows of a
+    key that has more into stretches of time of about so many; each is sorted on its own, and what was last in the stretches before is
+    carried on. Rows of one time stay together.
     """
     mine = [c for c in left.columns if c not in keys]
     a = left.select(*keys, F.col(left_time).alias("_at"), F.lit(1).alias("_side"), F.struct(*mine).alias("_left"), F.lit(None).cast(right.select(F.struct(*values).alias("v")).schema["v"].dataType).alias("_right"))
     b = right.select(*keys, F.col(right_time).alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast(a.schema["_left"].dataType).alias("_left"), F.struct(*values).alias("_right"))
-    upto = Window.partitionBy(*keys).orderBy("_at", "_side", "_right").rowsBetween(Window.unboundedPreceding, 0)
-    rows = a.unionByName(b).withColumn("_right", F.last("_right", ignorenulls=True).over(upto)).where("_side = 1")
-    return rows.select(*keys, *(F.col("_left")[c].alias(c) for c in mine), *(F.col("_right")[c].alias(c) for c in values))
+    rows = a.unionByName(b)
+    within, carried = list(keys), None
+    if segment_rows:
+        rows, carried = segmented(rows, keys, segment_rows)
+        within.append("_segment")
+    upto = Window.partitionBy(*within).orderBy("_at", "_side", "_right").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_right", F.last("_right", ignorenulls=True).over(upto)).where("_side = 1")
+    if carried is not None:
+        rows = rows.join(carried, within, "left").withColumn("_right", F.coalesce("_right", "_carried"))
+    known = all_of([F.col(k).isNotNull() for k in keys])
+    return rows.select(*keys, *(F.col("_left")[c].alias(c) for c in mine), *(F.when(known, F.col("_right")[c]).alias(c) for c in values))
+
+
+def segmented(rows: DataFrame, keys: list[str], segment_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with ``_segment``, a stretch of a large key's time (0 for other keys), and what each later stretch starts with.
+
+    Large keys are at most the rows by ``segment_rows``, so what is told of them is small beside the rows.
+    """
+    known = rows.where(all_of([F.col(k).isNotNull() for k in keys]))
+    large = stored(known.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > segment_rows), "large")
+    shares = [k / SEGMENTS for k in range(1, SEGMENTS)]
+    ends = known.join(large, keys, "left_semi").groupBy(*keys).agg(F.percentile_approx("_at", shares, 10 * SEGMENTS).alias("_ends"))
+    told = stored(ends.join(large, keys), "segments")
+    # as many of the cuts as the key's rows ask for
+    every = F.greatest(F.lit(1), F.floor(F.lit(SEGMENTS) * segment_rows / F.col("_n"))).cast("int")
+    told = told.select(*keys, F.filter("_ends", lambda x, k: (k + 1) % every == 0).alias("_ends"))
+    cut = rows.join(told, keys, "left")
+    segment = F.coalesce(F.size(F.filter("_ends", lambda x: x < F.col("_at"))), F.lit(0))
+    cut = cut.withColumn("_segment", F.when(F.col("_ends").isNull(), F.lit(0)).otherwise(segment)).drop("_ends")
+    last = cut.join(told, keys, "left_semi").where("_side = 0").groupBy(*keys, "_segment").agg(F.max(F.struct("_at", "_right")).alias("last"))
+    stretches = told.select(*keys, F.explode(F.sequence(F.lit(0), F.size("_ends"))).alias("_segment")).join(last, [*keys, "_segment"], "left")
+    before = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    carried = stretches.withColumn("_carried", F.last("last._right", ignorenulls=True).over(before)).where("_carried IS NOT NULL")
+    return cut, carried.select(*keys, "_segment", "_carried")
 
 
 def participant_minutes(index: DataFrame, players: DataFrame, all_frames: DataFrame, points: DataFrame) -> DataFrame:
@@ -330,38 +368,55 @@ def match_objectives(index: DataFrame, all_events: DataFrame, players: DataFrame
 # ---- all of it ---------------------------------------------------------------------------
 
 
-class Features:
-    """What the six tables share, each made once and stored: ledger, players, frames, events, minutes, checkpoints.
+class Features(Owner):
+    """What the six tables share: ledger, players, minutes and checkpoints, made when they are asked for.
 
-    ``summaries`` and ``timelines`` are parsed envelopes; each is read once, for the stored narrow rows.
+    ``summaries`` and ``timelines`` are parsed envelopes with their copies. The ledger is made of narrow rows alone; the
+    structs are stored once, when a table of players, frames or events is asked for, and frames and
+    events are read from them by column. ``close`` removes what was stored.
     """
 
-    def __init__(self, summaries: DataFrame, timelines: DataFrame, min_duration_s: int = MIN_DURATION_S):
-        self.summaries, self.timelines, self.min_duration_s = summaries, timelines, min_duration_s
+    def __init__(self, summaries: DataFrame, timelines: DataFrame, min_duration_s: int = MIN_DURATION_S, ledger_only: bool = False):
+        super().__init__(summaries.sparkSession)
+        narrow = lambda df: df.drop("doc") if ledger_only else df
+        self._parsed, self.min_duration_s = (narrow(summaries), narrow(timelines)), min_duration_s
+
+    @cached_property
+    def summaries(self) -> DataFrame:
+        return first_archived(self.stored(self._parsed[0], "parsed"), self.stored)
+
+    @cached_property
+    def timelines(self) -> DataFrame:
+        return first_archived(self.stored(self._parsed[1], "parsed"), self.stored)
 
     @cached_property
     def index(self) -> DataFrame:
-        return stored(match_index(self.summaries, self.timelines, self.min_duration_s), "index")
+        return self.stored(match_index(self.summaries, self.timelines, self.min_duration_s), "index")
 
     @cached_property
     def players(self) -> DataFrame:
-        return stored(summary_participants(self.summaries), "players")
+        """Players of the matches in the other tables."""
+        return self.stored(summary_participants(self.summaries).join(eligible(self.index).select("match_id"), "match_id", "left_semi"), "players")
 
-    @cached_property
+    @property
     def frames(self) -> DataFrame:
-        return stored(frames(self.timelines), "frames")
+        return frames(self.timelines)
 
-    @cached_property
+    @property
     def events(self) -> DataFrame:
-        return stored(events(self.timelines), "events")
+        return events(self.timelines)
+
+    def minutes_table(self) -> DataFrame:
+        return participant_minutes(self.index, self.players, self.frames, kill_points(self.events))
 
     @cached_property
     def minutes(self) -> DataFrame:
-        return stored(participant_minutes(self.index, self.players, self.frames, kill_points(self.events)), "minutes")
+        """The same, stored for the tables that are made of it."""
+        return self.stored(self.minutes_table(), "minutes")
 
     @cached_property
     def picks(self) -> DataFrame:
-        return stored(checkpoint_picks(self.minutes), "picks")
+        return self.stored(checkpoint_picks(self.minutes_table() if "minutes" not in self.__dict__ else self.minutes), "picks")
 
     def actors(self) -> DataFrame:
         return event_actors(self.events.join(eligible(self.index).select("match_id"), "match_id", "left_semi"))
@@ -378,11 +433,9 @@ class Features:
     def objectives(self) -> DataFrame:
         return match_objectives(self.index, self.events, self.players)
 
-
-def feature_tables(summaries: DataFrame, timelines: DataFrame, min_duration_s: int = MIN_DURATION_S) -> dict[str, DataFrame]:
-    """The six tables, for a caller that writes them all."""
-    f = Features(summaries, timelines, min_duration_s)
-    return {
-        "match_index": f.index, "participant_minutes": f.minutes, "events": f.events_table(), "lane_matchups": f.lanes(),
-        "participant_early": f.early(), "match_objectives": f.objectives(),
-    }
+    def tables(self) -> dict[str, DataFrame]:
+        """The six tables, for a caller that writes them all."""
+        return {
+            "participant_minutes": self.minutes, "match_index": self.index, "events": self.events_table(), "lane_matchups": self.lanes(),
+            "participant_early": self.early(), "match_objectives": self.objectives(),
+        }

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from laneforge.operators import control, gates
 from laneforge.operators.extract import participant_ids
 from laneforge.plans import synth
-from laneforge.plans.catalog import query
-from laneforge.sources import archive, publish
+from laneforge.plans.catalog import ORACLES, query
+from laneforge.sources import archive, publish, shared
+from laneforge.sources.snapshots import Snapshot
 from laneforge.streaming.archive import staleness
 
 START = 1788220800
@@ -201,6 +202,26 @@ def static_dictionary(spark, sf_dir):
     return archive.static_dictionary(docs, "champion")
 
 
+@query("static_items", "SELECT p_partkey::INT AS id, CAST(p_partkey AS VARCHAR) AS key, p_name AS name, CAST(p_partkey AS VARCHAR) AS slug, p_partkey || '.png' AS icon FROM part")
+def static_items(spark, sf_dir):
+    """Parts as items, which are known by the number that their entry stands under."""
+    number = F.col("p_partkey").cast("string")
+    entry = F.struct(F.col("p_name").alias("name"), F.struct(F.concat(number, F.lit(".png")).alias("full")).alias("image"))
+    docs = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.lit("item").alias("kind"), F.to_json(F.struct(F.create_map(number, entry).alias("data"))).alias("payload"))
+    return archive.static_dictionary(docs, "item")
+
+
+@query("static_runes", "SELECT id, key, name, tree FROM (SELECT 8000 + 100 * n_regionkey::INT AS id, 'T' || n_regionkey AS key, min(n_name) AS name, 8000 + 100 * n_regionkey::INT AS tree FROM nation GROUP BY n_regionkey UNION ALL SELECT 9000 + n_nationkey::INT, 'R' || n_nationkey, n_name, 8000 + 100 * n_regionkey::INT FROM nation)")
+def static_runes(spark, sf_dir):
+    """Regions as trees, with their nations as runes."""
+    rows = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    rune = F.struct((9000 + F.col("n_nationkey")).cast("int").alias("id"), F.concat(F.lit("R"), F.col("n_nationkey").cast("string")).alias("key"), F.col("n_name").alias("name"), F.lit("r.png").alias("icon"))
+    slots = rows.groupBy("n_regionkey").agg(F.collect_list(rune).alias("runes"), F.min("n_name").alias("name"))
+    region = F.col("n_regionkey")
+    tree = F.struct((8000 + 100 * region).cast("int").alias("id"), F.concat(F.lit("T"), region.cast("string")).alias("key"), "name", F.lit("t.png").alias("icon"), F.array(F.struct("runes")).alias("slots"))
+    return archive.rune_dictionary(slots.select(F.lit("runesReforged").alias("kind"), F.to_json(F.array(tree)).alias("payload"))).drop("icon")
+
+
 @query("stream_staleness", W + " SELECT fetched // 3600 * 3600 AS hour, count(*) AS rows, max(fetched) AS newest FROM mt GROUP BY 1")
 def stream_staleness(spark, sf_dir):
     """The stream's aggregate over the table; a test runs it as a stream."""
@@ -212,3 +233,37 @@ def append_archive(spark, sf_dir):
     """The rows as the archive stores them, by the day that they go to."""
     rows = publish.archive_rows(synth.archived(spark, sf_dir, "summaries").where(F.col("dt") == F.to_date(F.timestamp_millis("game_creation_ms")) + F.expr("INTERVAL 1 DAY")).drop("dt"))
     return rows.groupBy("dt").agg(F.count("*").alias("rows"), F.count_if(F.col("payload_sha256") == F.sha2("payload", 256)).alias("intact"))
+
+
+# ---- the same on snapshots in buckets -----------------------------------------------------
+
+
+def snapshot(spark: SparkSession, table: DataFrame, keys: list[str]) -> Snapshot:
+    made = Snapshot(spark, shared.scratch(spark, "snapshot"), keys, 64)
+    made.write(table)
+    return made
+
+
+@query("merge_queue_snapshot", ORACLES["merge_queue"].replace("k % 4 = 0", "k % 400 = 0"))
+def merge_queue_snapshot(spark, sf_dir):
+    """A small batch merged into the buckets that it falls in."""
+    held = snapshot(spark, queue(spark, sf_dir), control.JOB)
+    batch = items(spark, sf_dir).where(F.floor(F.col("position") / 2) * 2 % 400 == 0)
+    held.change(batch, lambda part: control.merge_queue(part, batch, NOW, control.last_id(held.read())))
+    return seconds(held.read().select("id", "match_id", "kind", "status", "revivals", "not_before"), "not_before")
+
+
+@query("merge_frontier_snapshot", ORACLES["merge_frontier"])
+def merge_frontier_snapshot(spark, sf_dir):
+    held, batch = snapshot(spark, frontier(spark, sf_dir), ["puuid"]), entries(spark, sf_dir)
+    held.change(batch, lambda part: control.merge_frontier(part, batch))
+    return seconds(held.read().select("puuid", "region", "seed_tier", "last_seen_at", "priority", "dead"), "last_seen_at")
+
+
+@query("reset_stuck_snapshot", ORACLES["reset_stuck"])
+def reset_stuck_snapshot(spark, sf_dir):
+    """The oldest claims of the whole table, rewritten where they lie."""
+    held = snapshot(spark, queue(spark, sf_dir), control.JOB)
+    hits = shared.stored(control.stuck_jobs(held.read(), NOW, 300))
+    held.change(hits, lambda part: control.reset_stuck(part, NOW, NOW, hits=hits))
+    return seconds(held.read().select("id", "status", "claimed_at", "not_before", "last_cause"), "claimed_at", "not_before")

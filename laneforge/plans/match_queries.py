@@ -39,15 +39,17 @@ class Build(shared.Owner):
 
     Days before the window are not read: a match is archived on the day that it is played or later. Of each summary the
     fields of ``schema`` are parsed, once; what is stored for all branches is a narrow row, with the parsed struct only where the
-    match is in scope. ``whole`` takes all days and keeps all structs, for queries on the archive itself.
+    match is in scope, or with ``facts`` what cells are made of in its place. ``whole`` takes all days and keeps all structs, for queries on the archive itself.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, patch: str | None = PATCH, schema: str = schemas.SUMMARY, spoil=lambda raw: raw, whole: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, patch: str | None = PATCH, schema: str = schemas.SUMMARY, spoil=lambda raw: raw, whole: bool = False, facts: bool = False):
         super().__init__(spark)
         self.raw, self.patch = spoil(synth.archived(spark, sf_dir, "summaries", None if whole else FIRST)), patch
         self.scope = extract.in_scope(REGION, QUEUE, END, DAYS)
         self.parsed = archive.envelope(archive.parse_summaries(self.raw, schema))
-        if not whole:
+        if facts:
+            self.parsed = self.parsed.withColumn("facts", F.when(extract.match_filter(self.scope, patch), tallies.match_facts())).drop("doc")
+        elif not whole:
             self.parsed = self.parsed.withColumn("doc", F.when(extract.match_filter(self.scope), F.col("doc")))
         self.schema = schema
 
@@ -84,7 +86,7 @@ class Build(shared.Owner):
 
 
 def tier_list(spark: SparkSession, sf_dir: str, min_cell_n: int = 100) -> DataFrame:
-    return policy.ranked(policy.published(Build(spark, sf_dir, schema=schemas.PLAYED).cells(), min_cell_n))
+    return policy.ranked(policy.published(Build(spark, sf_dir, schema=schemas.PLAYED, facts=True).cells(), min_cell_n))
 
 
 query("tier_list", CELLS + "SELECT *, row_number() OVER (PARTITION BY role ORDER BY win_rate DESC, champion_id) AS rank FROM cell WHERE n >= 100")(tier_list)
@@ -115,10 +117,17 @@ def resolve_window(spark, sf_dir):
     return archive.resolve_window(synth.archived(spark, sf_dir, "summaries"), DAYS)
 
 
-@query("json_guard", "SELECT count(*) AS docs, count_if(json_valid(props)) AS valid FROM events")
+@query("json_guard", """SELECT event_id % 6 AS planted, count(*) AS docs, count_if(coalesce(json_valid(doc), false)) AS valid
+FROM (SELECT event_id, CASE event_id % 6 WHEN 1 THEN props || ' {}' WHEN 2 THEN props || '] [' || props WHEN 3 THEN left(props, length(props) - 1) WHEN 4 THEN ' ' || props || chr(10) WHEN 5 THEN props || '}' ELSE props END AS doc FROM events) GROUP BY 1""")
 def json_guard(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return rows.agg(F.count("*").alias("docs"), F.count_if(valid_json(F.col("props"))).alias("valid"))
+    """Payloads as they are, followed by another document, closed twice, cut off, and with space around them."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select((F.col("event_id") % 6).alias("planted"), "props")
+    of = lambda k, doc: F.when(F.col("planted") == k, doc)
+    doc = F.coalesce(
+        of(1, F.concat("props", F.lit(" {}"))), of(2, F.concat("props", F.lit("] ["), "props")), of(3, F.expr("left(props, length(props) - 1)")),
+        of(4, F.concat(F.lit(" "), "props", F.lit("\n"))), of(5, F.concat("props", F.lit("}"))), F.col("props"),
+    )
+    return rows.groupBy("planted").agg(F.count("*").alias("docs"), F.count_if(valid_json(doc)).alias("valid"))
 
 
 @query("envelope", W + "SELECT match_id, game_version, platform_id, CAST(queue_id AS INT) AS queue_id, game_creation_ms, 10 AS participants FROM m")

@@ -14,25 +14,21 @@ W = synth.sql_relations()
 
 
 class Dataset(timeline.Features):
-    """The relations of the feature dataset over the derived archive, made when they are asked for.
+    """The relations of the feature dataset over the derived archive, made when they are asked for."""
 
-    Each source is parsed once, into a stored table that all branches read.
-    """
+    def __init__(self, spark: SparkSession, sf_dir: str, ledger_only: bool = False):
+        summaries = archive.summary_envelope(archive.parse_summaries(synth.archived(spark, sf_dir, "summaries"), schemas.SEATED))
+        lines = archive.timeline_envelope(synth.archived(spark, sf_dir, "timelines"))
+        super().__init__(summaries.where(extract.feature_scope()), lines, ledger_only=ledger_only)
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        parsed = shared.stored(archive.parse_summaries(synth.archived(spark, sf_dir, "summaries")), "parsed")
-        lines = shared.stored(archive.timeline_envelope(synth.archived(spark, sf_dir, "timelines")), "parsed")
-        summaries = archive.first_archived(archive.summary_envelope(parsed))
-        super().__init__(summaries.where(extract.feature_scope()), archive.first_archived(lines))
 
+def made(name: str, sql: str, of, ledger_only: bool = False):
+    query(name, W + sql)(lambda spark, sf_dir: of(Dataset(spark, sf_dir, ledger_only)))
 
-def made(name: str, sql: str, of):
-    query(name, W + sql)(lambda spark, sf_dir: of(Dataset(spark, sf_dir)))
 
-
-made("match_index", "SELECT match_id, region, platform_id, patch, CAST(queue_id AS INT) AS queue_id, game_version, game_creation, game_duration_s, 'GameComplete' AS end_of_game_result, frame_interval_ms, frame_count, participant_frame_count, timeline_present, exclusion_reason, exclusion_reason = 'ok' AS timeline_eligible FROM idx", lambda d: d.index)
-made("exclusion_counts", "SELECT exclusion_reason AS reason, count(*) AS matches FROM idx GROUP BY 1", lambda d: gates.exclusion_counts(d.index))
-made("timeline_envelope", "SELECT match_id, region, patch, CAST(queue_id AS INT) AS queue_id, frame_interval_ms, frame_count, participant_frame_count FROM idx WHERE timeline_present", lambda d: d.timelines.select("match_id", "region", "patch", "queue_id", "frame_interval_ms", "frame_count", "participant_frame_count"))
+made("match_index", "SELECT match_id, region, platform_id, patch, CAST(queue_id AS INT) AS queue_id, game_version, game_creation, game_duration_s, 'GameComplete' AS end_of_game_result, frame_interval_ms, frame_count, participant_frame_count, timeline_present, exclusion_reason, exclusion_reason = 'ok' AS timeline_eligible FROM idx", lambda d: d.index, ledger_only=True)
+made("exclusion_counts", "SELECT exclusion_reason AS reason, count(*) AS matches FROM idx GROUP BY 1", lambda d: gates.exclusion_counts(d.index), ledger_only=True)
+made("timeline_envelope", "SELECT match_id, region, patch, CAST(queue_id AS INT) AS queue_id, frame_interval_ms, frame_count, participant_frame_count FROM idx WHERE timeline_present", lambda d: d.timelines.select("match_id", "region", "patch", "queue_id", "frame_interval_ms", "frame_count", "participant_frame_count"), ledger_only=True)
 made("summary_participants", "SELECT match_id, region, patch, CAST(queue_id AS INT) AS queue_id, platform_id, game_creation, game_duration_s, participant_id, CAST(champion_id AS INT) AS champion_id, CAST(team_id AS INT) AS team_id, role, team_position, individual_position, win FROM p", lambda d: d.players)
 made("frames", "SELECT match_id, participant_id, frame_timestamp_ms, minute, level, xp, total_gold, current_gold, minions_killed, jungle_minions_killed, minions_killed + jungle_minions_killed AS cs_total, position_x, position_y FROM f", lambda d: d.frames.join(timeline.eligible(d.index).select("match_id"), "match_id", "left_semi").drop("region", "patch", "queue_id"))
 E_COLUMNS = {"match_id": "match_id", "region": "'EUW'", "patch": "patch", "queue_id": "CAST(queue_id AS INT)", "assisting_participant_ids": "array_to_string(assisting_participant_ids, ',')", "before_item_id": "NULL::INT", "after_item_id": "NULL::INT", "kill_type": "NULL::VARCHAR", "multi_kill_length": "NULL::INT", "transform_type": "NULL::VARCHAR", "shutdown_bounty": "NULL::INT", "winning_team": "NULL::INT"}
@@ -42,7 +38,7 @@ made("event_actors", "SELECT match_id, event_index, event_type, participant_id,
 made("merged_points", "SELECT match_id, participant_id, timestamp_ms, CAST(sum(kills) AS BIGINT) AS kills, CAST(sum(deaths) AS BIGINT) AS deaths, CAST(sum(assists) AS BIGINT) AS assists FROM pt GROUP BY 1, 2, 3", lambda d: timeline.merged_points(timeline.kill_points(d.events_table())))
 made("kill_points", "SELECT * FROM pt", lambda d: timeline.kill_points(d.events_table()))
 made("running_kda", "SELECT match_id, participant_id, timestamp_ms, CAST(sum(sum(kills)) OVER w AS BIGINT) AS kills_to_minute, CAST(sum(sum(deaths)) OVER w AS BIGINT) AS deaths_to_minute, CAST(sum(sum(assists)) OVER w AS BIGINT) AS assists_to_minute FROM pt GROUP BY 1, 2, 3 WINDOW w AS (PARTITION BY match_id, participant_id ORDER BY timestamp_ms)", lambda d: timeline.running_kda(timeline.kill_points(d.events_table())))
-made("participant_minutes", "SELECT " + ", ".join(f"CAST({c} AS {k.upper()}) AS {c}" for c, k in schemas.PARTICIPANT_MINUTES) + " FROM mins", lambda d: d.minutes)
+made("participant_minutes", "SELECT " + ", ".join(f"CAST({c} AS {k.upper()}) AS {c}" for c, k in schemas.PARTICIPANT_MINUTES) + " FROM mins", lambda d: d.minutes_table())
 CHK = "match_id, participant_id, checkpoint, frame_timestamp_ms, cs_total, xp, total_gold, level, kills_to_minute, deaths_to_minute, assists_to_minute"
 made("nearest_checkpoint", f"SELECT {CHK} FROM chk", lambda d: d.picks.select(*CHK.split(", ")))
 made("checkpoint_pivot", "SELECT match_id, participant_id, " + ", ".join(f"max({n}) FILTER (WHERE checkpoint = {c}) AS {n}_at_{c}" for c in (5, 10, 15) for n in timeline.AT_CHECKPOINT[1:]) + " FROM chk GROUP BY 1, 2", lambda d: timeline.checkpoint_pivot(d.picks))
@@ -95,9 +91,9 @@ pm AS (SELECT match_id, {_first(schemas.OBJECTIVES['kills'], 'blood')}, {_first(
 obj AS (SELECT ok.match_id, ok.region, ok.patch, CAST(ok.queue_id AS INT) AS queue_id, game_duration_s, pm.* EXCLUDE (match_id) FROM ok LEFT JOIN pm USING (match_id))"""
 made("match_objectives", OBJECTIVES + " SELECT * FROM obj", lambda d: d.objectives())
 made("killer_team", OBJECTIVES + " SELECT match_id, event_index, team_id FROM te WHERE event_type = 'CHAMPION_KILL'", lambda d: timeline.team_events(d.events_table(), d.players).where("event_type = 'CHAMPION_KILL'").select("match_id", "event_index", "team_id"))
-made("orphan_timelines", "SELECT match_id FROM idx WHERE timeline_present AND k % 60 = 0", lambda d: timeline.orphan_timelines(d.timelines, d.summaries.where(F.substring("match_id", 6, 10).cast("bigint") % 60 != 0)).select("match_id"))
-made("ledger_counts", "SELECT count(*) AS matches, count_if(timeline_present) AS timelines, count_if(exclusion_reason = 'ok') AS eligible, count_if(exclusion_reason <> 'ok') AS excluded, 0::BIGINT AS unexplained, count(*) AS distinct_matches, 0::BIGINT AS malformed, 0::BIGINT AS orphans FROM idx", lambda d: gates.ledger_counts(d.index, d.summaries, timeline.orphan_timelines(d.timelines, d.summaries)))
-made("table_row_counts", f", pr AS ({PAIRS}) SELECT 'match_index' AS table_name, count(*) AS rows FROM idx UNION ALL SELECT 'events', count(*) FROM e UNION ALL SELECT 'match_objectives', count(*) FROM ok UNION ALL SELECT 'participant_minutes', count(*) FROM f UNION ALL SELECT 'lane_matchups', count(*) FROM pr UNION ALL SELECT 'participant_early', 10 * count(*) FROM ok", lambda d: gates.table_row_counts(timeline.feature_tables(d.summaries, d.timelines)))
+made("orphan_timelines", "SELECT match_id FROM idx WHERE timeline_present AND k % 60 = 0", lambda d: timeline.orphan_timelines(d.timelines, d.summaries.where(F.substring("match_id", 6, 10).cast("bigint") % 60 != 0)).select("match_id"), ledger_only=True)
+made("ledger_counts", "SELECT count(*) AS matches, count_if(timeline_present) AS timelines, count_if(exclusion_reason = 'ok') AS eligible, count_if(exclusion_reason <> 'ok') AS excluded, 0::BIGINT AS unexplained, count(*) AS distinct_matches, 0::BIGINT AS malformed, 0::BIGINT AS orphans FROM idx", lambda d: gates.ledger_counts(d.index, d.summaries, timeline.orphan_timelines(d.timelines, d.summaries)), ledger_only=True)
+made("table_row_counts", f", pr AS ({PAIRS}) SELECT 'match_index' AS table_name, count(*) AS rows FROM idx UNION ALL SELECT 'events', count(*) FROM e UNION ALL SELECT 'match_objectives', count(*) FROM ok UNION ALL SELECT 'participant_minutes', count(*) FROM f UNION ALL SELECT 'lane_matchups', count(*) FROM pr UNION ALL SELECT 'participant_early', 10 * count(*) FROM ok", lambda d: gates.table_row_counts(d.tables()))
 made("reconcile_matchups", f", pr AS ({PAIRS}) SELECT count(*) AS rows, count(DISTINCT match_id) AS matches, (SELECT count(*) FROM ok) AS eligible FROM pr", lambda d: gates.reconcile_matchups(timeline.lane_pairs(d.index, d.players), d.index))
 LANE_FAULTS = f""", pr AS ({PAIRS}) SELECT 'orphan_timelines' AS reason WHERE (SELECT count(*) FROM idx WHERE timeline_present AND k % 60 = 0) > 0
 UNION ALL SELECT 'lane_rows' FROM pr WHERE role <> 'TOP' HAVING count(*) <> 10 * (SELECT count(*) FROM ok)"""
@@ -135,22 +131,21 @@ made("recipe_cs_bucket_frame", LANES + f" SELECT CAST(floor(cs_diff_5 / 10.0) *
 
 @query("feature_scope", W + "SELECT exclusion_reason AS reason, count(*) AS matches FROM idx WHERE platform_id IN ('NA', 'NA1') AND queue_id = 420 GROUP BY 1")
 def feature_scope(spark, sf_dir):
-    d = Dataset(spark, sf_dir)
+    d = Dataset(spark, sf_dir, ledger_only=True)
     return gates.exclusion_counts(timeline.match_index(d.summaries.where(extract.feature_scope("NA", queue=420)), d.timelines))
 
 
-@query("schema_drift", "SELECT table_name, 0::INT AS problems FROM (VALUES ('match_index'), ('participant_minutes'), ('events'), ('lane_matchups'), ('participant_early'), ('match_objectives')) t(table_name) WHERE (SELECT count(*) FROM orders) > 0")
-def schema_drift(spark, sf_dir):
-    """How many columns of each table differ from the specification, for as long as there are matches."""
-    d = Dataset(spark, sf_dir)
-    tables = {"match_index": d.index, "participant_minutes": d.minutes, "events": d.events_table(), "lane_matchups": d.lanes(), "participant_early": d.early(), "match_objectives": d.objectives()}
-    found = F.array(*(F.struct(F.lit(n).alias("table_name"), F.lit(len(gates.schema_drift(df, n))).alias("problems")) for n, df in tables.items()))
-    return synth.base(spark, sf_dir).agg(F.count("*").alias("n")).where("n > 0").select(F.inline(found))
-
-
 @query("asof_events", "SELECT l.event_id, l.user_id, r.value AS last_purchase FROM events l ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase') r ON r.user_id = l.user_id AND l.ts >= r.ts")
 def asof_events(spark, sf_dir):
     """Each event with its user's latest purchase so far."""
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "ts", "event_type", "value")
     bought = rows.where("event_type = 'purchase'").select("user_id", "ts", F.col("value").alias("last_purchase"))
-    return timeline.last_before(rows.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "ts", ["last_purchase"]).select("event_id", "user_id", "last_purchase")
+    return timeline.last_before(rows.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "ts", ["last_purchase"], timeline.SEGMENT_ROWS).select("event_id", "user_id", "last_purchase")
+
+
+@query("asof_hot_key", "SELECT l.event_id, r.value AS last_purchase FROM events l ASOF LEFT JOIN (SELECT event_type AS t, ts, value FROM events WHERE event_type = 'purchase') r ON r.t = CASE WHEN l.user_id % 10 < 9 THEN 'purchase' END AND l.ts >= r.ts")
+def asof_hot_key(spark, sf_dir):
+    """One key with nine rows in ten, the others without a key: its rows are cut into stretches of time."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "event_type", "value", F.when(F.col("user_id") % 10 < 9, "purchase").alias("key"))
+    bought = rows.where("event_type = 'purchase'").select(F.lit("purchase").alias("key"), "ts", F.col("value").alias("last_purchase"))
+    return timeline.last_before(rows.select("event_id", "key", "ts"), bought, ["key"], "ts", "ts", ["last_purchase"], 500).select("event_id", "last_purchase")

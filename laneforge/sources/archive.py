@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from laneforge.functions.columns import as_int, as_long, patch_of, patch_order, slug, valid_json
+from laneforge.functions.columns import as_int, as_long, parsed_json, patch_of, patch_order, slug
 from laneforge.sources import parts, schemas
 from laneforge.sources.shared import folders, stored
 
@@ -118,8 +118,8 @@ def parse_summaries(archive: DataFrame, schema: str = schemas.SUMMARY) -> DataFr
     The parse is to the paths that are read; Spark leaves out those that a query does not use.
     """
     keep = [c for c in ("region", "dt", "part", "part_row") if c in archive.columns]
-    parsed = archive.select(*keep, "payload", F.from_json("payload", schema).alias("doc"))
-    return parsed.select(*keep, valid_json(F.col("payload"), F.col("doc.info.gameVersion")).alias("payload_valid"), "doc")
+    both, doc, valid = parsed_json(F.col("payload"), schema)
+    return archive.select(*keep, "payload", both.alias("both")).select(*keep, valid.alias("payload_valid"), doc.alias("doc"))
 
 
 def envelope(parsed: DataFrame) -> DataFrame:
@@ -148,8 +148,8 @@ def timeline_envelope(archive: DataFrame) -> DataFrame:
     """The archive's own columns of each timeline, its struct, and counts of frames and of participants' frames."""
     own = ("match_id", "region", "patch", "game_version", "queue_id", "game_creation_ms", "game_duration_s")
     keep = (*own, *(c for c in ("part", "part_row") if c in archive.columns))
-    parsed = archive.select(*keep, "payload", F.from_json("payload", schemas.TIMELINE).alias("doc"))
-    parsed = parsed.select(*keep, valid_json(F.col("payload"), F.col("doc.info.frameInterval")).alias("payload_valid"), "doc")
+    both, doc, valid = parsed_json(F.col("payload"), schemas.TIMELINE)
+    parsed = archive.select(*keep, "payload", both.alias("both")).select(*keep, valid.alias("payload_valid"), doc.alias("doc"))
     frames = F.col("doc.info.frames")
     players = F.aggregate(frames, F.lit(0).cast("bigint"), lambda n, f: n + F.coalesce(F.size(F.map_keys(f["participantFrames"])), F.lit(0)))
     guarded = lambda c: F.when(F.col("payload_valid"), c)

@@ -12,8 +12,8 @@ ARCHIVE = (
 )
 
 SUMMARY = (
-    "metadata STRUCT<matchId: STRING, participants: ARRAY<STRING>>, "
-    "info STRUCT<gameVersion: STRING, platformId: STRING, queueId: STRING, gameCreation: STRING, gameDuration: STRING, "
+    "metadata: STRUCT<matchId: STRING, participants: ARRAY<STRING>>, "
+    "info: STRUCT<gameVersion: STRING, platformId: STRING, queueId: STRING, gameCreation: STRING, gameDuration: STRING, "
     "endOfGameResult: STRING, teams: ARRAY<STRUCT<bans: ARRAY<STRUCT<championId: STRING>>>>, "
     "participants: ARRAY<STRUCT<participantId: STRING, puuid: STRING, championId: STRING, teamId: STRING, teamPosition: STRING, "
     "individualPosition: STRING, win: STRING, item0: STRING, item1: STRING, item2: STRING, item3: STRING, item4: STRING, "
@@ -39,7 +39,7 @@ def widest(schema: str) -> str:
 
 #: What cells are made of, for readers of nothing else.
 PLAYED = (
-    "metadata STRUCT<matchId: STRING>, info STRUCT<gameVersion: STRING, platformId: STRING, queueId: STRING, gameCreation: STRING, "
+    "metadata: STRUCT<matchId: STRING>, info: STRUCT<gameVersion: STRING, platformId: STRING, queueId: STRING, gameCreation: STRING, "
     "teams: ARRAY<STRUCT<bans: ARRAY<STRUCT<championId: STRING>>>>, "
     "participants: ARRAY<STRUCT<championId: STRING, teamPosition: STRING, individualPosition: STRING, win: STRING>>>"
 )
@@ -47,6 +47,18 @@ PLAYED = (
 #: The same with the players' teams, for matchups.
 PAIRED = PLAYED.replace("STRUCT<championId", "STRUCT<teamId: STRING, championId").replace("bans: ARRAY<STRUCT<teamId: STRING, championId", "bans: ARRAY<STRUCT<championId")
 
+#: What the feature dataset reads of a summary: its envelope and who sat where.
+SEATED = (
+    "metadata: STRUCT<matchId: STRING>, info: STRUCT<gameVersion: STRING, platformId: STRING, queueId: STRING, gameCreation: STRING, gameDuration: STRING, endOfGameResult: STRING, "
+    "participants: ARRAY<STRUCT<participantId: STRING, championId: STRING, teamId: STRING, teamPosition: STRING, individualPosition: STRING, win: STRING>>>"
+)
+
+#: What the feature dataset reads of a summary: its envelope and who sat where.
+SEATED = (
+    "metadata: STRUCT<matchId: STRING>, info: STRUCT<gameVersion: STRING, platformId: STRING, queueId: STRING, gameCreation: STRING, gameDuration: STRING, endOfGameResult: STRING, "
+    "participants: ARRAY<STRUCT<participantId: STRING, championId: STRING, teamId: STRING, teamPosition: STRING, individualPosition: STRING, win: STRING>>>"
+)
+
 FRAME = (
     "STRUCT<level: STRING, xp: STRING, totalGold: STRING, currentGold: STRING, minionsKilled: STRING, "
     "jungleMinionsKilled: STRING, position: STRUCT<x: STRING, y: STRING>>"
@@ -58,7 +70,7 @@ EVENT = (
     "beforeId: STRING, afterId: STRING, skillSlot: STRING, level: STRING, killType: STRING, multiKillLength: STRING, "
     "transformType: STRING, killStreakLength: STRING, bounty: STRING, shutdownBounty: STRING, winningTeam: STRING>"
 )
-TIMELINE = f"info STRUCT<frameInterval: STRING, frames: ARRAY<STRUCT<timestamp: STRING, participantFrames: MAP<STRING, {FRAME}>, events: ARRAY<{EVENT}>>>>"
+TIMELINE = f"info: STRUCT<frameInterval: STRING, frames: ARRAY<STRUCT<timestamp: STRING, participantFrames: MAP<STRING, {FRAME}>, events: ARRAY<{EVENT}>>>>"
 
 LADDER_PAGE = "region STRING, queue STRING, tier STRING, division STRING, page INT, fetched_at TIMESTAMP, payload STRING, payload_sha256 STRING"
 STATIC_DOCUMENT = "kind STRING, version STRING, locale STRING, fetched_at TIMESTAMP, payload STRING, payload_sha256 STRING"

@@ -7,11 +7,12 @@ import time
 import pytest
 from conftest import SF, rows
 from matches import season, summary
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from laneforge.operators import control, extract
+from laneforge.operators import control, documents, extract, policy
 from laneforge.plans import synth
-from laneforge.sources import archive, parts, publish, schemas
+from laneforge.sources import archive, parts, publish, schemas, snapshots
 from laneforge.streaming import archive as stream
 
 
@@ -95,22 +96,95 @@ def test_ladder_pages(spark):
     assert sorted(rows(out.select("puuid", "seed_tier", "seed_division"))) == [("a", "SILVER", "I"), ("b", "GOLD", "IV"), ("c", "CHALLENGER", "I")]
 
 
+def of(patch, at):
+    return {"patch": patch, "region": "EUW", "queue": 420, "bracket": "all", "built_at": dt.datetime(2026, 9, at), "first_day": dt.date(2026, 9, 1), "last_day": dt.date(2026, 9, 10), "source": "live"}
+
+
+def docs_of(spark, entry, n, wins=5):
+    """The documents of one cell, of n games, with a build and a pair."""
+    cells = spark.createDataFrame([(24, "TOP", n, wins, round(wins / n, 4), 0.5, 0.0, "S", round(0.98 / n**0.5, 4))], "champion_id int, role string, n int, wins int, win_rate double, pick_rate double, ban_rate double, tier string, ci95 double")
+    builds = spark.createDataFrame([(24, "TOP", [4, 12], "4-12", n, wins, 0.5, 1, "spells")], "champion_id int, role string, key array<int>, label string, n int, wins int, win_rate double, rank int, kind string")
+    pairs = spark.createDataFrame([("TOP", 24, 86, n, wins)], "role string, champion_id int, opponent_id int, n int, wins int")
+    names = spark.createDataFrame([(24, "jax", "Jax")], "id int, slug string, name string")
+    return documents.assembled(cells, builds, pairs, names, entry, 1)
+
+
 def test_published_partitions(spark, tmp_path):
-    cells = lambda patch, n: publish.in_partition(spark.createDataFrame([(1, n)], "champion_id int, n int"), patch, "EUW", 420)
-    entry = lambda patch, at: publish.in_partition(spark.createDataFrame([(at, "live")], "built_at int, source string"), patch, "EUW", 420)
-    for patch, n, at in (("16.9", 1, 1), ("16.10", 2, 2), ("16.9", 3, 3)):
-        publish.publish_partition({"tier_list": cells(patch, n)}, str(tmp_path), entry(patch, at))
-    back = spark.read.json(f"{tmp_path}/tier_list")
-    assert sorted((str(r.patch), r.n) for r in back.collect()) == [("16.1", 2), ("16.9", 3)] or sorted(r.n for r in back.collect()) == [2, 3]
-    listed = publish.manifest(spark.read.schema("built_at int, source string, patch string, region string, queue int, bracket string").json(f"{tmp_path}/manifest"))
-    assert [(r.patch, r.built_at) for r in listed.collect()] == [("16.10", 2), ("16.9", 3)]
-    found = publish.known_partitions(spark, str(tmp_path))
-    assert sorted(r.patch for r in found.collect()) == ["16.10", "16.9"]
-    merged = publish.merge_manifest(listed, found, entry("16.9", 9))
-    assert [(r.patch, r.built_at) for r in merged.collect()] == [("16.10", 2), ("16.9", 9)]
-    assert publish.latest_partition(listed, entry("16.9", 9)).first().patch == "16.10"
+    root = str(tmp_path)
+    assert publish.read_manifest(spark, root).isEmpty()
+    numbers = [publish.publish_partition(docs_of(spark, of(p, at), n), root, of(p, at)) for p, n, at in (("16.9", 10, 1), ("16.10", 20, 2), ("16.9", 30, 3))]
+    assert numbers == [1, 2, 3]
+    listed = publish.read_manifest(spark, root)
+    assert [(r.patch, r.built_at.day) for r in listed.collect()] == [("16.10", 2), ("16.9", 3)]
+    games = lambda number: {r.envelope.patch: r.cells[0].n for r in publish.read_documents(spark, root, "tier_list", publish.read_manifest(spark, root, number)).collect()}
+    assert (games(1), games(2), games(3)) == ({"16.9": 10}, {"16.9": 10, "16.10": 20}, {"16.9": 30, "16.10": 20})
+    page = publish.read_documents(spark, root, "champions", listed).where("envelope.patch = '16.9'").first()
+    assert (page.slug, page.name, page.roles[0].n, page.roles[0].spells[0].label) == ("jax", "Jax", 30, "4-12")
+    assert publish.read_documents(spark, root, "matchups", listed).first().champions == [24, 86]
+    assert sorted((r.patch, r.built_at.day) for r in publish.entries_of_tree(spark, root).collect()) == [("16.10", 2), ("16.9", 3)]
+    assert publish.verify_tree(spark, root, 1).isEmpty()
+    assert publish.latest_partition(listed, listed.where("patch = '16.9'")).first().patch == "16.10"
+    gone = publish.prune_builds(spark, root, keep=1)
+    assert len(gone) == 1 and publish.manifest_numbers(spark, root) == [3] and games(3) == {"16.9": 30, "16.10": 20}
     with pytest.raises(Exception, match="one source"):
-        publish.merge_manifest(listed, found, entry("16.11", 9).withColumn("source", F.lit("demo"))).collect()
+        publish.publish_partition(docs_of(spark, of("16.11", 4), 9), root, {**of("16.11", 4), "source": "demo"})
+    assert publish.manifest_numbers(spark, root) == [3]
+
+
+def test_a_build_that_fails_leaves_the_old_one(spark, tmp_path):
+    root = str(tmp_path)
+    publish.publish_partition(docs_of(spark, of("16.9", 1), 10), root, of("16.9", 1))
+    broken = docs_of(spark, of("16.9", 2), 20)
+    broken["matchups"] = broken["matchups"].where(F.assert_true(F.col("role").isNull(), F.lit("fails")).isNull())
+    with pytest.raises(Exception, match="fails"):
+        publish.publish_partition(broken, root, of("16.9", 2))
+    assert [r.built_at.day for r in publish.read_manifest(spark, root).collect()] == [1]
+    assert [r.built_at.day for r in publish.entries_of_tree(spark, root).collect()] == [1]
+    with pytest.raises(ValueError, match="documents of"):
+        publish.publish_partition({"tier_list": broken["tier_list"]}, root, of("16.9", 3))
+
+
+def test_faults_on_disk_are_named(spark, tmp_path):
+    root = str(tmp_path)
+    for patch, wins in (("16.9", 5), ("16.10", 5)):
+        publish.publish_partition(docs_of(spark, of(patch, 1), 10, wins), root, of(patch, 1))
+    builds = {r.patch: r.build for r in publish.read_manifest(spark, root).collect()}
+    (line,) = [f for f in (tmp_path / "builds" / builds["16.9"] / "tier_list").glob("*.json") if f.read_text()]
+    text = line.read_text()
+    line.write_text(text.replace('"win_rate":0.5', '"win_rate":0.6').replace('"queue":420', '"queue":440') + '{"envelope"\n')
+    for crc in line.parent.glob(".*.crc"):
+        crc.unlink()
+    for f in (tmp_path / "builds" / builds["16.10"] / "champions").iterdir():
+        f.unlink()
+    (tmp_path / "builds" / builds["16.10"] / "champions").rmdir()
+    found = {(r.patch, r.kind, r.problem) for r in publish.verify_tree(spark, root, 1).collect()}
+    assert found == {("16.9", "tier_list", "win_rate"), ("16.9", "tier_list", "envelope_queue"), ("16.9", "tier_list", "broken"), ("16.10", "champions", "missing")}
+    assert {(r.patch, r.problem) for r in publish.verify_tree(spark, root, 11).where("kind = 'matchups'").collect()} == {("16.9", "floor"), ("16.10", "floor")}
+
+
+def test_a_merge_rewrites_the_buckets_of_its_batch(spark, tmp_path):
+    rows_ = spark.range(5000).select(F.concat(F.lit("m"), "id").alias("match_id"), F.lit("timeline").alias("kind"), "id", F.lit(1).alias("priority"), F.lit(0).alias("attempts"), F.lit(0).alias("revivals"),
+                                      F.lit("2026-09-01").cast("timestamp").alias("not_before"), F.lit(None).cast("timestamp").alias("claimed_at"), F.lit("dead").alias("status"), F.lit(None).cast("string").alias("last_cause"))
+    held = snapshots.Snapshot(spark, f"{tmp_path}/q", control.JOB, 32)
+    held.write(rows_)
+    files = lambda: {f: f.read_bytes() for f in (tmp_path / "q").rglob("*.parquet")}
+    before = files()
+    batch = spark.createDataFrame([("m7", "timeline", 0, None, 1), ("new", "timeline", 0, None, 2)], "match_id string, kind string, priority int, not_before timestamp, position int")
+    whole = control.merge_queue(held.read(), batch, "2026-09-15")
+    expected = sorted(map(str, whole.collect()))
+    hit = held.change(batch, lambda part: control.merge_queue(part, batch, "2026-09-15", control.last_id(held.read())))
+    after = files()
+    assert 1 <= len(hit) <= 2 and sorted(map(str, held.read().select(whole.columns).collect())) == expected
+    bucket = lambda f: int(f.parent.name.split("=")[1])
+    assert {f: x for f, x in before.items() if bucket(f) not in hit} == {f: x for f, x in after.items() if bucket(f) not in hit}
+    assert held.change(batch.limit(0), lambda part: part) == [] and files() == after
+
+
+def test_figures_gathered_while_writing(spark, tmp_path):
+    cells = spark.createDataFrame([(1, 150), (2, 99), (3, 100)], "champion_id int, n int")
+    seen = Observation("cells")
+    policy.published_and_counted(cells, seen).write.parquet(f"{tmp_path}/cells")
+    assert seen.get == policy.suppression(cells).first().asDict() and spark.read.parquet(f"{tmp_path}/cells").count() == 2
 
 
 def live(spark, path, schema):
@@ -182,6 +256,16 @@ def test_parts_whose_columns_were_widened(spark, tmp_path):
     assert [r.queue_id for r in back.orderBy("dt").collect()] == [first, None, 440, None]
 
 
+def test_drift_is_found_part_by_part(spark, tmp_path):
+    whole = ", ".join(f"{c} {t}" for c, t in schemas.TABLES["match_index"])
+    empty = spark.createDataFrame([], whole)
+    for name, df in (("a", empty), ("b", empty.drop("patch")), ("c", empty.withColumn("frame_count", F.col("frame_count").cast("bigint"))), ("d", empty.select(*reversed(empty.columns)))):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    found = parts.drifted(parts.part_columns(spark, str(tmp_path)), "match_index").withColumn("part", F.regexp_extract("part", "/([a-d])/[^/]*$", 1))
+    assert sorted(map(tuple, found.where("part < 'd'").select("part", "column", "problem", "found", "wanted").collect())) == [("b", "patch", "missing", None, "string"), ("c", "frame_count", "type", "bigint", "int")]
+    assert found.where("part = 'd' AND problem = 'order'").count() == len(empty.columns) - 1
+
+
 def test_evolved_parts_read_as_one(spark, tmp_path):
     spark.createDataFrame([("a", 1, 1.5)], "puuid string, level int, share float").write.parquet(f"{tmp_path}/t/dt=2026-09-01")
     spark.createDataFrame([(2**40, "b", 0.1)], "level long, puuid string, share double").write.parquet(f"{tmp_path}/t/dt=2026-09-02")

@@ -112,8 +112,9 @@ def test_gates(data):
 def test_written_tables_have_the_specified_columns(spark, data, tmp_path):
     names = {"match_index": "index", "participant_minutes": "minutes", "events": "events", "lane_matchups": "lanes", "participant_early": "early", "match_objectives": "objectives"}
     tables = {name: data[key] for name, key in names.items()}
-    publish.write_features(timeline.feature_tables(data["summaries"], data["timelines"]), str(tmp_path))
-    assert {name: spark.read.parquet(f"{tmp_path}/{name}").count() for name in tables} == {name: df.count() for name, df in tables.items()}
+    with timeline.Features(data["summaries"], data["timelines"]) as made:
+        counted = publish.write_features(made.tables(), str(tmp_path))
+    assert counted == {name: spark.read.parquet(f"{tmp_path}/{name}").count() for name in tables} == {name: df.count() for name, df in tables.items()}
     with pytest.raises(gates.GateFailed, match="column 2"):
         publish.write_features({"match_index": data["index"].drop("region")}, str(tmp_path))
 
@@ -124,6 +125,22 @@ def test_as_of_join_takes_the_latest_at_or_before(spark):
     assert sorted(rows(timeline.last_before(left, right, ["k"], "t", "t", ["v"]).select("x", "v"))) == [("a", 1), ("b", 4), ("c", None), ("d", None), ("e", None)]
 
 
+def test_as_of_join_of_a_hot_key_in_stretches(spark):
+    """One key with most rows: cut into stretches that are near equal, and the same rows as in one sort."""
+    left = spark.range(6000).select((F.when(F.col("id") % 6 == 0, F.col("id") % 50 + 1).otherwise(0)).alias("k"), (F.crc32(F.col("id").cast("string").cast("binary")) % 9000).alias("t"), F.col("id").alias("x"))
+    left = left.unionByName(left.limit(5).withColumn("k", F.lit(None).cast("bigint")))
+    right = left.select("k", (F.col("t") + F.col("x") % 3).alias("t"), F.col("x").alias("v")).where("v % 7 = 0 AND t % 500 > 300")
+    plain = timeline.last_before(left, right, ["k"], "t", "t", ["v"])
+    cut = timeline.last_before(left, right, ["k"], "t", "t", ["v"], 400)
+    assert sorted(rows(cut), key=str) == sorted(rows(plain), key=str) and not cut.where("v IS NOT NULL").isEmpty()
+    assert cut.where("k IS NULL AND v IS NOT NULL").isEmpty()
+    both = left.select("k", F.col("t").alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast("struct<v:bigint>").alias("_right"))
+    parts, carried = timeline.segmented(both.unionByName(right.select("k", F.col("t").alias("_at"), F.lit(0).alias("_side"), F.struct("v").alias("_right"))), ["k"], 400)
+    sizes = {(r.k, r._segment): r["count"] for r in parts.groupBy("k", "_segment").count().collect()}
+    assert max(sizes.values()) <= 600 and len([s for k, s in sizes if k == 0]) > 8
+    assert all(s == 0 for k, s in sizes if k != 0) and carried.where("k <> 0").isEmpty()
+
+
 def test_nearest_frame(spark):
     stamps = [250000, 285000, 315000, 400000]
     df = spark.createDataFrame([("m", 1, ts, k, 0, 0, 0, 0, 0, 0) for k, ts in enumerate(stamps)], "match_id string, participant_id int, frame_timestamp_ms long, cs_total int, xp long, total_gold int, level int, kills_to_minute long, deaths_to_minute long, assists_to_minute long")
