@@ -8,13 +8,15 @@ segments of 32 bits, and texts that differ by at most one bit in one segment sha
 variant of it, so an equality join meets them. Whether a pair has such a segment is chance: at a
 similarity of 0.8 by scattered edits (about a tenth of the bits) over nine in ten pairs have one.
 
+One long edit spoils many pairs at once, so such copies may share no variant. Each text is therefore also cut into parts at
+words that their hash picks, some six to twelve and half as many, and texts meet that share one of each other's ``RAREST``
+rarest parts: a run of a ninth of the words, the longest that leaves a similarity of 0.8, touches three parts at most.
+
 Texts of the same words meet first, so a group of copies costs one row. Each text is
-compared with the one that follows it in an order of the variant's own, in its ``KEYS`` most shared
-variants; once these links have joined most texts, those outside a variant's main component are
-compared with all others there. So no pair that shares a variant stays uncompared unless other links
-connect it already, and a large group of copies that links join costs a few pairs a text. A large group
-of texts that are just not similar enough costs pairs with the square of its size: nothing short of
-comparing them shows that they have no link.
+compared with the one that follows it in an order of the key's own, in its ``KEYS`` most shared keys
+(variants or parts). What these links leave apart, though it shares a key, is compared by prefix filtering on the
+shingles themselves: of two texts at 0.8 the smaller has one of its rarest ninth of shingles among the other's rarest fifth, so texts meet on rare shingles alone. That loses no
+pair, needs no cap, and a large group of texts that are just not similar enough costs little, as their rare shingles are what they differ in.
 
 Defined cases: texts that are null or have no words are copies of each other; those of fewer than
 five words have one shingle, so they link to equal ones alone. A null id comes after any other;
@@ -46,6 +48,8 @@ SEGMENTS, LONGS = 16, 8
 REACH = 104
 #: Variants, the most shared ones, in which a text is first compared with the one that follows it.
 KEYS = 8
+#: Words to a part of a text, by powers of two: parts at a level and at the next, and the rarest parts of a level that texts meet on.
+LEAST_PART_BITS, PARTS_OF_TEXT, RAREST = 3, 6, 4
 #: Rows of variants for a task.
 TASK_ROWS = 2_000_000
 #: Shingles whose bits are added up at once.
@@ -79,6 +83,27 @@ def shingles(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(found)
 
 
+def levels(n: int) -> tuple[int, int]:
+    """The levels of a text of ``n`` words: a word in 2^level ends a part. Texts that differ by a ninth in length share one."""
+    first = max(LEAST_PART_BITS, (n // PARTS_OF_TEXT).bit_length() - 1)
+    return first, first + 1
+
+
+def parts_of(words: list[bytes]) -> list[int]:
+    """Digests of the parts between words that their own hash picks, at two levels; the level is the lowest byte."""
+    own = np.array([xxhash.xxh64_intdigest(w, 1) for w in words], np.uint64)
+    found: set[int] = set()
+    for level in levels(len(words)):
+        ends = [*(np.flatnonzero(own & np.uint64((1 << level) - 1) == 0) + 1).tolist(), len(words)]
+        first = 0
+        for end in ends:
+            if end > first:
+                digest = xxhash.xxh3_64_intdigest(b" ".join(words[first:end]))
+                found.add(digest >> 8 << 8 | level)
+            first = end
+    return sorted(found)
+
+
 def fingerprint(features: np.ndarray) -> np.ndarray:
     """Eight longs: a bit is 1 if set in over half of the features' 512-bit hashes."""
     bits = np.zeros(64 * LONGS, np.int64)
@@ -89,23 +114,24 @@ def fingerprint(features: np.ndarray) -> np.ndarray:
 
 
 def prints(texts: DataFrame) -> DataFrame:
-    """Of ``texts`` (place, text): ``place``, ``node`` (a digest of the words), ``tag`` (its first bytes), ``n`` shingles, fingerprint."""
+    """Of ``texts`` (place, text): ``place``, ``node`` (a digest of the words), ``tag`` (its first bytes), ``n`` shingles, ``parts``, fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, found = [], [], np.zeros((batch.num_rows, LONGS), np.int64)
+            nodes, sizes, parts, found = [], [], [], np.zeros((batch.num_rows, LONGS), np.int64)
             for at, text in enumerate(batch.column(1)):
                 words = words_of(text.as_py() or b"")
                 nodes.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 sizes.append(max(0, len(words) - SHINGLE + 1))
+                parts.append(np.array(parts_of(words), np.uint64).view(np.int64))
                 found[at] = fingerprint(shingles(words, FEATURE))
             tags = np.frombuffer(b"".join(nodes), np.int64)[::2]
-            columns = [batch.column(0), pa.array(nodes, pa.binary()), pa.array(tags), pa.array(sizes, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(found[:, k].copy()) for k in range(LONGS)], names=["place", "node", "tag", "n", *PARTS])
+            columns = [batch.column(0), pa.array(nodes, pa.binary()), pa.array(tags), pa.array(sizes, pa.int64()), pa.array(parts, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(found[:, k].copy()) for k in range(LONGS)], names=["place", "node", "tag", "n", "parts", *PARTS])
 
     kind = texts.schema["place"].dataType.simpleString()
     longs = ", ".join(f"{p} long" for p in PARTS)
-    return texts.select("place", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"place {kind}, node binary, tag long, n long, {longs}")
+    return texts.select("place", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"place {kind}, node binary, tag long, n long, parts array<long>, {longs}")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -133,29 +159,44 @@ def variants(nodes: DataFrame) -> DataFrame:
     return nodes.select("tag", F.explode(F.array(*segments)).alias("segment")).select("tag", F.explode(F.array(*keys)).alias("key"))
 
 
-def first_shared(p: str, q: str) -> Column:
-    """The upper part (segment and place of the wildcard) of the first key that two fingerprints share; null if none."""
-    found = []
-    for s in range(SEGMENTS):
-        apart_in = segment(F.col(f"{p}.{PARTS[s // 2]}").bitwiseXOR(F.col(f"{q}.{PARTS[s // 2]}")), s)
-        wildcard = F.when(apart_in == 0, F.lit(0)).otherwise(F.bit_count(apart_in - 1))
-        found.append(F.when(F.bit_count(apart_in) <= 1, wildcard + F.lit(s << 5)))
-    return F.coalesce(*found)
-
-
 def tasks_for(nodes: DataFrame) -> int:
     """Tasks for the variants of ``nodes``."""
     return max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), nodes.count() * SEGMENTS * 32 // TASK_ROWS)
 
 
+def in_order(keyed: DataFrame) -> DataFrame:
+    """Of ``keyed`` (key, tag) the keys that two texts or more share: ``key``, ``tag``, ``size`` (its texts) and ``next``, that follows in its order."""
+    ordered = Window.partitionBy("key").orderBy(F.xxhash64("key", "tag"), "tag")
+    around = [F.lag("tag").over(ordered).alias("before"), F.lead("tag").over(ordered).alias("next")]
+    rows = keyed.select("key", "tag", *around).where("before IS NOT NULL OR next IS NOT NULL")
+    return rows.drop("before").withColumn("size", F.count("*").over(Window.partitionBy("key")))
+
+
 def shared_variants(nodes: DataFrame) -> DataFrame:
-    """Of the variants that two texts or more share: ``key``, ``tag``, ``size`` (its texts) and ``next``, that follows in its order."""
+    """The variants that texts share, as ``in_order`` has them."""
     tasks = tasks_for(nodes)
     spread = nodes.select("tag", *PARTS).repartition(tasks, "tag")
-    ordered = Window.partitionBy("key").orderBy(F.xxhash64("key", "tag"), "tag")
-    around = [F.lag("tag").over(ordered).alias("before"), F.lead("tag").over(ordered).alias("next")]
-    rows = variants(spread).repartition(tasks, "key").select("key", "tag", *around).where("before IS NOT NULL OR next IS NOT NULL")
-    return stored(rows.drop("before").withColumn("size", F.count("*").over(Window.partitionBy("key"))))
+    return stored(in_order(variants(spread).repartition(tasks, "key")))
+
+
+def shared_parts(nodes: DataFrame) -> DataFrame:
+    """The parts that texts share, as ``in_order`` has them: of each text and level those among its rarest.
+
+    A part that no other text has is rarer than any, so it takes a place; a text with ``RAREST`` of them at a level has no copy by one edit there.
+    """
+    each = nodes.select("tag", F.explode("parts").alias("key"))
+    often = each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    own = nodes.select("tag", F.explode("parts").alias("key")).groupBy("tag", level_of("key")).agg(F.count("*").alias("all"))
+    met = each.join(often, "key")
+    rarest = Window.partitionBy("tag", "level").orderBy("n", "key")
+    everywhere = Window.partitionBy("tag", "level")
+    ranked = met.select("tag", "key", "n", level_of("key")).join(own, ["tag", "level"])
+    ranked = ranked.withColumn("rank", F.row_number().over(rarest) + F.col("all") - F.count("*").over(everywhere))
+    return stored(in_order(ranked.where(F.col("rank") <= RAREST).select("key", "tag")))
+
+
+def level_of(key: str) -> Column:
+    return F.col(key).bitwiseAND(F.lit(255)).alias("level")
 
 
 def close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -182,41 +223,71 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").where(common * (100 + SIMILARITY) >= total * SIMILARITY).select("a", "b")
 
 
+def sets_of(chosen: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The shingle sets of the ``chosen`` nodes."""
+    places = nodes.join(chosen, "node", "left_semi").select("node", F.col("least").alias("place"))
+    return saved(shingle_sets(texts.join(places, "place").select("node", "text")))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links among ``pairs`` (a, b) of nodes."""
     within = saved(pairs)
-    places = nodes.join(within.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
-    sets = shingle_sets(texts.join(places.select("node", F.col("least").alias("place")), "place").select("node", "text"))
-    return saved(linked(within, saved(sets)))
+    sets = sets_of(within.select(F.explode(F.array("a", "b")).alias("node")).distinct(), texts, nodes)
+    return saved(linked(within, sets))
+
+
+def apart_still(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``node``, ``root`` of texts that share a key with a text of another component."""
+    named = nodes.join(roots, "node", "left").select("tag", "node", F.coalesce("root", "node").alias("root"))
+    rows = shared.select("key", "tag").join(named.select("tag", F.xxhash64("root").alias("r")), "tag")
+    mixed_keys = rows.groupBy("key").agg(F.min("r").alias("least"), F.max("r").alias("most")).where("least < most").select("key")
+    tags = rows.join(mixed_keys, "key", "left_semi").select("tag").distinct()
+    return saved(named.join(tags, "tag", "left_semi").select("node", "root"))
 
 
-def rest(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes within reach that share a variant but no component: those outside a variant's main component, with all others.
+def by_rare_shingles(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that may be similar enough: all that are, among ``sets`` (node, found).
 
-    Fingerprints go with the rows, so a pair is told at the first variant it shares and nowhere else,
-    and none beyond reach leaves the join.
+    As similar as a link asks, the smaller set has 2 t / (1 + t) of its shingles in common with the other, and the larger a share of t. So in any
+    one order of all shingles they meet in those beyond these shares of each, and where they meet first, enough have to follow in both. The
+    order is by rarity: a text with so many shingles of its own meets nobody.
     """
-    named = nodes.join(roots, "node", "left").select("tag", F.coalesce("root", "node").alias("root"), F.struct("node", *PARTS).alias("q"))
-    rows = shared.select("key", "tag").join(named, "tag").drop("tag").repartition(tasks_for(nodes), "key")
-    by_key = Window.partitionBy("key")
-    rows = rows.withColumn("size", F.count("*").over(Window.partitionBy("key", "root")))
-    rows = rows.withColumn("main", F.max_by("root", F.struct("size", "root")).over(by_key)).withColumn("least", F.min_by("root", F.struct("size", "root")).over(by_key))
-    mixed_keys = stored(rows.where("least <> main").select("key", "q", "root", (F.col("root") == F.col("main")).alias("in_main")))
-    few = mixed_keys.where("NOT in_main").select("key", F.col("q").alias("p"), F.col("root").alias("other"))
+    size = F.size("found")
+    beyond = lambda part, whole: (size - F.ceil(size * part / whole) + 1).cast("int")
+    firsts = [beyond(SIMILARITY, 100).alias("first"), beyond(2 * SIMILARITY, 100 + SIMILARITY).alias("as_smaller")]
+    rows = sets.select("node", size.alias("n"), *firsts, F.explode("found").alias("shingle"))
+    often = rows.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
+    met = rows.join(often, "shingle")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "shingle"))
+    own = F.col("n") - F.count("*").over(Window.partitionBy("node"))
+    rare = met.withColumn("rank", rank + own).where("rank <= first").join(roots, "node")
+    rare = rare.withColumn("size", F.count("*").over(Window.partitionBy("shingle", "root")))
+    by_shingle = Window.partitionBy("shingle")
+    main = F.max_by("root", F.struct("size", "root")).over(by_shingle)
+    several = rare.withColumns({"main": main, "least": F.min("root").over(by_shingle), "most": F.max("root").over(by_shingle)}).where("least < most")
+    kept = ["shingle", "node", "n", "rank", (F.col("rank") <= F.col("as_smaller")).alias("early"), "root"]
+    rare = saved(several.select(*kept, (F.col("root") == F.col("main")).alias("in_main")))
+    few = rare.where("NOT in_main").select("shingle", F.struct("node", "n", "rank", "early", "root").alias("p"))
+    others = rare.select("shingle", F.struct("node", "n", "rank", "early", "root").alias("q"), "in_main")
+    smaller_early = F.when(F.col("p.n") < F.col("q.n"), F.col("p.early")).when(F.col("p.n") > F.col("q.n"), F.col("q.early")).otherwise(F.col("p.early") & F.col("q.early"))
+    common = 1 + F.least(F.col("p.n") - F.col("p.rank"), F.col("q.n") - F.col("q.rank"))
+    enough = common * (100 + SIMILARITY) >= (F.col("p.n") + F.col("q.n")) * SIMILARITY
     once = F.col("in_main") | (F.col("p.node") < F.col("q.node"))
-    first = F.shiftright("key", 32) == first_shared("p", "q")
-    met = few.join(mixed_keys, "key").where((F.col("root") != F.col("other")) & once & first & may_link("p", "q"))
-    return met.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"))
+    pairs = few.join(others, "shingle").where((F.col("p.root") != F.col("q.root")) & smaller_early & enough & once)
+    return pairs.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
 
 
 def roots_of(texts: DataFrame, nodes: DataFrame, keys: int = KEYS) -> DataFrame:
     """``node`` and ``root`` of texts that have links. ``texts`` (place, text) holds the text of every ``nodes.least``."""
-    shared = shared_variants(nodes.where(F.col("n") > 0))
+    worded = nodes.where(F.col("n") > 0)
+    shared = shared_variants(worded).unionByName(shared_parts(worded))
     largest = Window.partitionBy("tag").orderBy(F.desc("size"), F.xxhash64("key", "tag"), "key")
     few = shared.withColumn("rank", F.row_number().over(largest)).where(F.col("rank") <= keys).where("next IS NOT NULL")
     followers = few.select(F.least("tag", "next").alias("x"), F.greatest("tag", "next").alias("y")).distinct()
     sure = verified(close(followers, nodes), texts, nodes)
-    more = verified(rest(shared, nodes, saved(components(sure))), texts, nodes)
+    left = apart_still(shared, nodes, saved(components(sure)))
+    sets = sets_of(left.select("node"), texts, nodes)
+    more = saved(linked(saved(by_rare_shingles(sets, left)), sets))
     return components(sure.unionByName(more))
 
 
@@ -228,7 +299,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", is_tab
     told, address = addressed(docs, is_table)
     place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), *(F.col(k).alias(a) for k, a in zip(address, ("file", "at"))))
     texts = told.select(place.alias("place"), F.col(text).alias("text"))
-    nodes = saved(prints(texts).groupBy("node", "tag", "n", *PARTS).agg(F.min("place").alias("least")))
+    nodes = saved(prints(texts).groupBy("node", "tag", "n", *PARTS).agg(F.min("place").alias("least"), F.first("parts").alias("parts")))
     roots = roots_of(texts, nodes, keys)
     whole = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
     chosen = saved(whole.select(*(F.col(f"least.{a}").alias(k) for k, a in zip(address, ("file", "at")))))

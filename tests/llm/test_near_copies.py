@@ -94,17 +94,59 @@ def test_shared_variants_are_those_within_a_bit(spark):
     assert shared.where(F.col("size") < 2).isEmpty()
 
 
-def test_a_pair_is_told_at_its_first_shared_variant_alone(spark):
-    rng = np.random.default_rng(4)
-    rows = []
-    for k in range(6):
-        base = rng.integers(-(1 << 62), 1 << 62, near_copies.LONGS)
-        other = base.copy()
-        for bit in range(0, 64 * near_copies.LONGS, 11 + 3 * k):  # from three differing bits a segment to about one
-            other[bit // 64] ^= np.int64(-(1 << 63)) if bit % 64 == 63 else np.int64(1 << bit % 64)
-        rows += [base, other]
-    nodes = spark.createDataFrame([(k, *map(int, r)) for k, r in enumerate(rows)], "tag long, " + ", ".join(f"{p} long" for p in near_copies.PARTS))
-    side = lambda name: near_copies.variants(nodes).join(nodes, "tag").select("key", F.struct("tag", *near_copies.PARTS).alias(name))
-    both = side("p").join(side("q"), "key").where("p.tag < q.tag").select(F.struct("p.tag", "q.tag").alias("pair"), "key", near_copies.first_shared("p", "q").alias("first"))
-    met = both.groupBy("pair").agg(F.min(F.shiftright("key", 32)).alias("least"), F.min("first").alias("first"), F.sum((F.shiftright("key", 32) == F.col("first")).cast("int")).alias("told")).collect()
-    assert met and all(r.told == 1 and r.first == r.least for r in met)
+def run_edited(words, share, rng):
+    """One run of replaced words, so long that five-word sets are similar by ``share``."""
+    shingles = len(words) - 4
+    lost = round(shingles * (1 - share) / (1 + share))  # of each text's shingles
+    n = max(1, lost - 4)
+    at = rng.randrange(5, len(words) - n - 5)
+    return words[:at] + [f"y{rng.randrange(10**6)}" for _ in range(n)] + words[at + n :]
+
+
+@pytest.mark.parametrize("kind", ["run", "scattered"])
+@pytest.mark.parametrize("least", [0.80, 0.85])
+def test_recall_of_planted_pairs(spark, tmp_path, kind, least):
+    """120 pairs whose similarity lies within three hundredths above ``least``, among strangers that share passages."""
+    rng = random.Random(f"{kind}{least}")
+    passage, rows, pairs = prose(60, rng), [], []
+    while len(pairs) < 120:
+        words = prose(rng.randrange(150, 900), rng)
+        if len(pairs) % 3 == 0:
+            words = words[:80] + passage + words[80:]
+        lost = (len(words) - 4) * (1 - least) / (1 + least)
+        copy = run_edited(words, least + 0.015, rng) if kind == "run" else edited(words, max(1, round(lost / 5.2)), rng)
+        one, two = five_words(" ".join(words)), five_words(" ".join(copy))
+        share = len(one & two) / len(one | two)
+        if least <= share < least + 0.03:
+            pairs.append((2 * len(pairs), 2 * len(pairs) + 1))
+            rows += [(pairs[-1][0], " ".join(words), 0, "x"), (pairs[-1][1], " ".join(copy), 0, "x")]
+    found = {r.doc_id for r in kept(spark, rows, tmp_path)}
+    assert all(a in found for a, _ in pairs)
+    assert sum(b not in found for _, b in pairs) >= 0.95 * len(pairs)
+
+
+def test_a_large_group_just_below_costs_little(spark):
+    """600 texts of one base, all at some 0.7 to each other: no pair is worth a look, as they differ in their rare shingles."""
+    rng = random.Random(8)
+    base = prose(300, rng)
+    texts = [edited(base, 12, rng) for _ in range(600)]
+    rows = [(bytes([k // 256, k % 256]), [int(x) for x in near_copies.shingles([w.encode() for w in t], 5).view(np.int64)]) for k, t in enumerate(texts)]
+    sets = spark.createDataFrame(rows, "node binary, found array<long>")
+    pairs = near_copies.by_rare_shingles(sets, sets.select("node", F.col("node").alias("root")))
+    assert pairs.count() < 600
+
+
+def test_rare_shingles_lose_no_pair(spark):
+    """Pairs of random sets of all sizes against all pairs: none that is similar enough is missing."""
+    rng = random.Random(3)
+    base = [[rng.randrange(4000) for _ in range(rng.randrange(1, 60))] for _ in range(12)]
+    sets = [sorted({x if rng.random() > 0.08 else rng.randrange(4000) for x in rng.choice(base)}) for _ in range(160)]
+    rows = [(bytes([k]), s) for k, s in enumerate(sets)]
+    roots = [(bytes([k]), bytes([k % 40])) for k in range(len(sets))]
+    frame = spark.createDataFrame(rows, "node binary, found array<long>")
+    pairs = near_copies.by_rare_shingles(frame, spark.createDataFrame(roots, "node binary, root binary"))
+    got = {(r.a[0], r.b[0]) for r in pairs.collect()}
+    similar_ = lambda a, b: 100 * len(set(a) & set(b)) >= 80 * len(set(a) | set(b))
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if i % 40 != j % 40 and similar_(sets[i], sets[j])}
+    assert want and want <= got
+    assert {(r.a[0], r.b[0]) for r in near_copies.linked(pairs, frame).collect()} == want
