@@ -30,7 +30,9 @@ def listed(table: dict[str, str]) -> str:
     return ", ".join(f"{x} AS {n}" for n, x in table.items())
 
 
-W = synth.sql_relations() + f""", q AS (SELECT match_id, {listed(QUEUE)}, NULL::VARCHAR AS last_cause FROM m WHERE k % 3 = 0), mt AS (SELECT k, match_id, CAST(queue_id AS INT) AS queue_id, patch, game_creation_ms // 1000 AS created, game_duration_s, game_creation_ms // 1000 + 86400 AS fetched FROM m),
+W = synth.sql_relations() + f""", q AS (SELECT match_id, {listed(QUEUE)}, NULL::VARCHAR AS last_cause
+ FROM m WHERE k % 3 = 0), mt AS (SELECT k, match_id, CAST(queue_id AS INT) AS queue_id, patch, game_creation_ms // 1000 AS created,
+ game_duration_s, game_creation_ms // 1000 + 86400 AS fetched FROM m),
 fr AS (SELECT {listed(FRONTIER)} FROM (SELECT CAST(c_custkey AS BIGINT) AS c FROM customer))"""
 
 
@@ -62,7 +64,9 @@ SINCE_S = START + 2 * 86400
 ELIGIBLE = f"queue_id = 420 AND created >= {SINCE_S}"
 
 
-@query("timeline_candidates", W + f" SELECT match_id, patch, game_duration_s FROM mt WHERE {ELIGIBLE} AND game_duration_s >= 600 AND match_id NOT IN (SELECT match_id FROM q WHERE kind = 'timeline') ORDER BY md5(match_id), match_id LIMIT 200")
+@query("timeline_candidates", W + f""" SELECT match_id, patch, game_duration_s
+ FROM mt WHERE {ELIGIBLE} AND game_duration_s >= 600 AND match_id NOT IN (SELECT match_id
+ FROM q WHERE kind = 'timeline') ORDER BY md5(match_id), match_id LIMIT 200""")
 def timeline_candidates(spark, sf_dir):
     return control.timeline_candidates(matches(spark, sf_dir), queue(spark, sf_dir), "EUW", 420, SINCE, 600, 200).select("match_id", "patch", "game_duration_s")
 
@@ -72,7 +76,11 @@ def hash_sample(spark, sf_dir):
     return control.hash_sample(matches(spark, sf_dir), 500).select("match_id")
 
 
-@query("timeline_backlog_stats", W + f", j AS (SELECT mt.*, status FROM mt LEFT JOIN (SELECT * FROM q WHERE kind = 'timeline') USING (match_id) WHERE {ELIGIBLE}) SELECT count(*) AS eligible, count_if(game_duration_s < 600) AS short_excluded, count_if(game_duration_s >= 600 AND status IN ('pending', 'claimed', 'retry')) AS already_queued, count_if(game_duration_s >= 600 AND status IN ('done', 'dead')) AS already_done, count_if(game_duration_s >= 600 AND status IS NULL) AS ready FROM j")
+@query("timeline_backlog_stats", W + f""", j AS (SELECT mt.*, status FROM mt
+ LEFT JOIN (SELECT * FROM q WHERE kind = 'timeline') USING (match_id) WHERE {ELIGIBLE}) SELECT count(*) AS eligible,
+ count_if(game_duration_s < 600) AS short_excluded, count_if(game_duration_s >= 600 AND status IN ('pending',
+ 'claimed', 'retry')) AS already_queued, count_if(game_duration_s >= 600 AND status IN ('done', 'dead')) AS already_done,
+ count_if(game_duration_s >= 600 AND status IS NULL) AS ready FROM j""")
 def timeline_backlog(spark, sf_dir):
     return control.timeline_backlog(matches(spark, sf_dir), queue(spark, sf_dir), "EUW", 420, SINCE, 600)
 
@@ -81,7 +89,8 @@ query("queue_depths", W + " SELECT status, count(*) AS jobs FROM q GROUP BY 1")(
 query("queue_oldest", W + " SELECT min(not_before) AS oldest FROM q WHERE status IN ('pending', 'retry')")(lambda spark, sf_dir: seconds(control.queue_oldest(queue(spark, sf_dir)), "oldest"))
 query("newest_fetched", W + " SELECT max(fetched) AS newest FROM mt")(lambda spark, sf_dir: seconds(control.newest_fetched(matches(spark, sf_dir)), "newest"))
 query("frontier_size", W + " SELECT count_if(NOT dead) AS live, count_if(dead) AS dead FROM fr")(lambda spark, sf_dir: control.frontier_size(frontier(spark, sf_dir)))
-query("freshness_gate", W + f" SELECT max(fetched) AS newest_fetched_at, {START + 21 * 86400} - max(fetched) > 129600 AS stale FROM mt")(lambda spark, sf_dir: seconds(gates.freshness(matches(spark, sf_dir), F.lit("2026-09-22 00:00:00"), 36), "newest_fetched_at"))
+query("freshness_gate", W + f""" SELECT max(fetched) AS newest_fetched_at, {START + 21 * 86400} - max(fetched) > 129600 AS stale
+ FROM mt""")(lambda spark, sf_dir: seconds(gates.freshness(matches(spark, sf_dir), F.lit("2026-09-22 00:00:00"), 36), "newest_fetched_at"))
 
 
 def offered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,10 +103,13 @@ OFFERED = ", off AS (SELECT concat('EUW1_', lpad(CAST(k * 2 AS STRING), 10, '0')
 query("known_match", W + OFFERED + " SELECT match_id FROM off WHERE match_id IN (SELECT match_id FROM mt)")(lambda spark, sf_dir: control.known_matches(offered(spark, sf_dir), matches(spark, sf_dir)))
 query("new_match", W + OFFERED + " SELECT match_id FROM off WHERE match_id NOT IN (SELECT match_id FROM mt)")(lambda spark, sf_dir: control.new_matches(offered(spark, sf_dir), matches(spark, sf_dir)))
 NOW_S = START + 14 * 86400
-query("next_frontier", W + f" SELECT puuid, priority, last_fetched_at FROM fr WHERE NOT dead AND (last_fetched_at IS NULL OR last_fetched_at <= {NOW_S} - 86400) ORDER BY priority, last_fetched_at NULLS FIRST, puuid LIMIT 100")(
+query("next_frontier", W + f""" SELECT puuid, priority, last_fetched_at
+ FROM fr WHERE NOT dead AND (last_fetched_at IS NULL OR last_fetched_at <= {NOW_S} - 86400)
+ ORDER BY priority, last_fetched_at NULLS FIRST, puuid LIMIT 100""")(
     lambda spark, sf_dir: seconds(control.next_frontier(frontier(spark, sf_dir), NOW, 86400, 100).select("puuid", "priority", "last_fetched_at"), "last_fetched_at")
 )
-query("ready_jobs", W + f" SELECT id, match_id, priority FROM q WHERE kind = 'timeline' AND status IN ('pending', 'retry') AND not_before <= {NOW_S} ORDER BY priority, not_before, id LIMIT 100")(
+query("ready_jobs", W + f""" SELECT id, match_id, priority FROM q WHERE kind = 'timeline' AND status IN ('pending',
+ 'retry') AND not_before <= {NOW_S} ORDER BY priority, not_before, id LIMIT 100""")(
     lambda spark, sf_dir: control.ready_jobs(queue(spark, sf_dir), "timeline", NOW, 100).select("id", "match_id", "priority")
 )
 
@@ -108,10 +120,17 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(rows.where("position % 8 = 0").withColumns({"priority": F.lit(10), "position": F.col("position") + 1}))
 
 
-query("dedup_queue_items", W + " SELECT match_id, 'timeline' AS kind, CAST(CASE WHEN k % 8 = 0 THEN 10 ELSE 50 + k % 3 END AS INT) AS priority, k AS position FROM m WHERE k % 4 = 0")(lambda spark, sf_dir: control.dedup_queue_items(items(spark, sf_dir)).drop("not_before"))
+query("dedup_queue_items", W + """ SELECT match_id, 'timeline' AS kind, CAST(CASE WHEN k % 8 = 0 THEN 10 ELSE 50 + k % 3 END AS INT) AS priority,
+ k AS position FROM m WHERE k % 4 = 0""")(lambda spark, sf_dir: control.dedup_queue_items(items(spark, sf_dir)).drop("not_before"))
 
 
-@query("merge_queue", W + f", n AS (SELECT k, match_id FROM m WHERE k % 4 = 0), top AS (SELECT max(id) AS last_id FROM q) SELECT coalesce(q.id, last_id + 1 + n.k) AS id, coalesce(q.match_id, n.match_id) AS match_id, coalesce(q.kind, 'timeline') AS kind, CASE WHEN n.match_id IS NOT NULL AND q.status = 'dead' AND revivals < 3 THEN 'pending' ELSE coalesce(q.status, 'pending') END AS status, CASE WHEN q.id IS NULL THEN 0 WHEN n.match_id IS NOT NULL AND q.status = 'dead' AND revivals < 3 THEN revivals + 1 ELSE revivals END::INT AS revivals, CASE WHEN q.id IS NULL THEN {NOW_S} WHEN n.match_id IS NOT NULL AND q.status = 'dead' AND revivals < 3 THEN {NOW_S} ELSE q.not_before END AS not_before FROM q FULL JOIN n ON n.match_id = q.match_id AND q.kind = 'timeline', top")
+@query("merge_queue", W + f""", n AS (SELECT k, match_id FROM m WHERE k % 4 = 0), top AS (SELECT max(id) AS last_id
+ FROM q) SELECT coalesce(q.id, last_id + 1 + n.k) AS id, coalesce(q.match_id, n.match_id) AS match_id, coalesce(q.kind,
+ 'timeline') AS kind, CASE WHEN n.match_id IS NOT NULL AND q.status = 'dead' AND revivals < 3 THEN 'pending'
+ ELSE coalesce(q.status, 'pending') END AS status, CASE WHEN q.id IS NULL THEN 0 WHEN n.match_id IS NOT NULL
+ AND q.status = 'dead' AND revivals < 3 THEN revivals + 1 ELSE revivals END::INT AS revivals, CASE WHEN q.id IS NULL THEN {NOW_S}
+ WHEN n.match_id IS NOT NULL AND q.status = 'dead' AND revivals < 3 THEN {NOW_S} ELSE q.not_before END AS not_before
+ FROM q FULL JOIN n ON n.match_id = q.match_id AND q.kind = 'timeline', top""")
 def merge_queue(spark, sf_dir):
     out = control.merge_queue(queue(spark, sf_dir), items(spark, sf_dir), NOW)
     return seconds(out.select("id", "match_id", "kind", "status", "revivals", "not_before"), "not_before")
@@ -122,13 +141,20 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.expr("concat('p', CAST(c AS STRING))").alias("puuid"), F.lit("NA").alias("region"), F.lit("SILVER").alias("seed_tier"), F.lit("I").alias("seed_division"), F.timestamp_seconds(F.lit(START) + F.col("c") % 1200 * 3600).alias("last_seen_at"), F.expr("CAST(c % 200 AS INT)").alias("priority"))
 
 
-@query("merge_frontier", W + f", n AS (SELECT concat('p', CAST(c AS STRING)) AS puuid, {START} + c % 1200 * 3600 AS seen, CAST(c % 200 AS INT) AS pr FROM (SELECT CAST(c_custkey AS BIGINT) * 2 AS c FROM customer)) SELECT coalesce(fr.puuid, n.puuid) AS puuid, CASE WHEN n.puuid IS NULL THEN 'EUW' ELSE 'NA' END AS region, CASE WHEN n.puuid IS NULL THEN fr.seed_tier ELSE 'SILVER' END AS seed_tier, greatest(fr.last_seen_at, n.seen) AS last_seen_at, least(fr.priority, n.pr) AS priority, coalesce(fr.dead, false) AS dead FROM fr FULL JOIN n ON n.puuid = fr.puuid")
+@query("merge_frontier", W + f""", n AS (SELECT concat('p', CAST(c AS STRING)) AS puuid, {START} + c % 1200 * 3600 AS seen,
+ CAST(c % 200 AS INT) AS pr FROM (SELECT CAST(c_custkey AS BIGINT) * 2 AS c
+ FROM customer)) SELECT coalesce(fr.puuid, n.puuid) AS puuid, CASE WHEN n.puuid IS NULL THEN 'EUW' ELSE 'NA' END AS region,
+ CASE WHEN n.puuid IS NULL THEN fr.seed_tier ELSE 'SILVER' END AS seed_tier, greatest(fr.last_seen_at, n.seen) AS last_seen_at,
+ least(fr.priority, n.pr) AS priority, coalesce(fr.dead, false) AS dead
+ FROM fr FULL JOIN n ON n.puuid = fr.puuid""")
 def merge_frontier(spark, sf_dir):
     out = control.merge_frontier(frontier(spark, sf_dir), entries(spark, sf_dir))
     return seconds(out.select("puuid", "region", "seed_tier", "last_seen_at", "priority", "dead"), "last_seen_at")
 
 
-@query("merge_matches", W + " SELECT match_id, fetched AS fetched_at FROM mt WHERE k % 3 <> 0 UNION ALL SELECT match_id, fetched + 60 FROM mt WHERE k % 3 = 0")
+@query("merge_matches", W + """ SELECT match_id, fetched AS fetched_at
+ FROM mt WHERE k % 3 <> 0 UNION ALL SELECT match_id, fetched + 60 FROM mt
+ WHERE k % 3 = 0""")
 def merge_matches(spark, sf_dir):
     rows = matches(spark, sf_dir)
     again = rows.withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 60 SECONDS"))
@@ -136,23 +162,34 @@ def merge_matches(spark, sf_dir):
     return seconds(out.select("match_id", "fetched_at"), "fetched_at")
 
 
-@query("reset_stuck", W + f", s AS (SELECT id FROM q WHERE status = 'claimed' AND claimed_at < {NOW_S} ORDER BY claimed_at, id LIMIT 300) SELECT id, CASE WHEN s.id IS NULL THEN status ELSE 'retry' END AS status, CASE WHEN s.id IS NULL THEN claimed_at END AS claimed_at, CASE WHEN s.id IS NULL THEN not_before ELSE {NOW_S} END AS not_before, CASE WHEN s.id IS NOT NULL THEN '{control.EXPIRED}' END AS last_cause FROM q LEFT JOIN s USING (id)")
+@query("reset_stuck", W + f""", s AS (SELECT id FROM q WHERE status = 'claimed' AND claimed_at < {NOW_S}
+ ORDER BY claimed_at, id LIMIT 300) SELECT id, CASE WHEN s.id IS NULL THEN status ELSE 'retry' END AS status,
+ CASE WHEN s.id IS NULL THEN claimed_at END AS claimed_at, CASE WHEN s.id IS NULL THEN not_before ELSE {NOW_S} END AS not_before,
+ CASE WHEN s.id IS NOT NULL THEN '{control.EXPIRED}' END AS last_cause FROM q
+ LEFT JOIN s USING (id)""")
 def reset_stuck(spark, sf_dir):
     out = control.reset_stuck(queue(spark, sf_dir), NOW, NOW, 300)
     return seconds(out.select("id", "status", "claimed_at", "not_before", "last_cause"), "claimed_at", "not_before")
 
 
-@query("replay_dead", W + f", s AS (SELECT id FROM q WHERE status = 'dead' ORDER BY claimed_at, id LIMIT 300) SELECT id, CASE WHEN s.id IS NULL THEN status ELSE 'pending' END AS status, CASE WHEN s.id IS NULL THEN attempts ELSE 0 END AS attempts, CASE WHEN s.id IS NULL THEN claimed_at END AS claimed_at FROM q LEFT JOIN s USING (id)")
+@query("replay_dead", W + f""", s AS (SELECT id FROM q WHERE status = 'dead'
+ ORDER BY claimed_at, id LIMIT 300) SELECT id, CASE WHEN s.id IS NULL THEN status ELSE 'pending' END AS status,
+ CASE WHEN s.id IS NULL THEN attempts ELSE 0 END AS attempts, CASE WHEN s.id IS NULL THEN claimed_at END AS claimed_at
+ FROM q LEFT JOIN s USING (id)""")
 def replay_dead(spark, sf_dir):
     out = control.replay_dead(queue(spark, sf_dir), NOW, 300)
     return seconds(out.select("id", "status", "attempts", "claimed_at"), "claimed_at")
 
 
-query("prune_frontier", W + f" SELECT puuid, dead FROM fr WHERE NOT ((dead AND coalesce(last_fetched_at, last_seen_at) < {NOW_S}) OR (consecutive_empty >= 8 AND last_seen_at < {NOW_S}))")(lambda spark, sf_dir: control.prune_frontier(frontier(spark, sf_dir), NOW, 8).select("puuid", "dead"))
-query("reprioritize", W + " SELECT puuid, CAST(CASE WHEN dead THEN priority ELSE least(300, 50 + 25 * consecutive_empty) END AS INT) AS priority FROM fr")(lambda spark, sf_dir: control.reprioritize(frontier(spark, sf_dir)).select("puuid", "priority"))
+query("prune_frontier", W + f""" SELECT puuid, dead FROM fr WHERE NOT ((dead AND coalesce(last_fetched_at,
+ last_seen_at) < {NOW_S}) OR (consecutive_empty >= 8 AND last_seen_at < {NOW_S}))""")(lambda spark, sf_dir: control.prune_frontier(frontier(spark, sf_dir), NOW, 8).select("puuid", "dead"))
+query("reprioritize", W + """ SELECT puuid, CAST(CASE WHEN dead THEN priority ELSE least(300, 50 + 25 * consecutive_empty) END AS INT) AS priority
+ FROM fr""")(lambda spark, sf_dir: control.reprioritize(frontier(spark, sf_dir)).select("puuid", "priority"))
 
 
-@query("seed_frontier", "SELECT DISTINCT 'p' || c_custkey AS puuid, upper(CASE WHEN c_custkey % 3 = 0 THEN 'Gold' ELSE 'silver' END) AS seed_tier, CASE WHEN c_custkey % 2 = 0 THEN 'II' ELSE 'IV' END AS seed_division FROM customer WHERE c_custkey % 11 <> 0")
+@query("seed_frontier", """SELECT DISTINCT 'p' || c_custkey AS puuid, upper(CASE WHEN c_custkey % 3 = 0 THEN 'Gold'
+ ELSE 'silver' END) AS seed_tier, CASE WHEN c_custkey % 2 = 0 THEN 'II' ELSE 'IV' END AS seed_division
+ FROM customer WHERE c_custkey % 11 <> 0""")
 def seed_frontier(spark, sf_dir):
     """Ladder pages of customers; an entry may lack its tier or rank, be blank, or stand twice."""
     rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("c"))
@@ -162,7 +199,8 @@ def seed_frontier(spark, sf_dir):
     return control.seed_entries(pages).select("puuid", "seed_tier", "seed_division")
 
 
-@query("widen_frontier", W + f" SELECT 'p' || CAST({synth.H} % 5000 AS VARCHAR) AS puuid, max(game_creation_ms // 1000 + 86400) AS last_seen_at, 200::INT AS priority FROM p WHERE k % 3 = 0 GROUP BY 1")
+@query("widen_frontier", W + f""" SELECT 'p' || CAST({synth.H} % 5000 AS VARCHAR) AS puuid, max(game_creation_ms // 1000 + 86400) AS last_seen_at,
+ 200::INT AS priority FROM p WHERE k % 3 = 0 GROUP BY 1""")
 def widen_frontier(spark, sf_dir):
     seen = archive.first_archived(archive.envelope(archive.parse_summaries(synth.archived(spark, sf_dir, "summaries"))))
     fetched = matches(spark, sf_dir).where("k % 3 = 0").select("match_id", "region", "fetched_at")
@@ -170,7 +208,8 @@ def widen_frontier(spark, sf_dir):
     return seconds(out.select("puuid", "last_seen_at", "priority"), "last_seen_at")
 
 
-@query("set_toggles", "SELECT r_name AS source, (r_regionkey % 3 = 0) AS enabled, CASE WHEN (r_regionkey % 2 = 0) <> (r_regionkey % 3 = 0) THEN 2 ELSE 1 END::BIGINT AS decided_at FROM region")
+@query("set_toggles", """SELECT r_name AS source, (r_regionkey % 3 = 0) AS enabled, CASE WHEN (r_regionkey % 2 = 0) <> (r_regionkey % 3 = 0) THEN 2
+ ELSE 1 END::BIGINT AS decided_at FROM region""")
 def set_toggles(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/region.parquet")
     toggles = lambda rule, t: rows.select(F.col("r_name").alias("source"), F.expr(rule).alias("enabled"), F.lit("ops").alias("decided_by"), F.timestamp_seconds(F.lit(t)).alias("decided_at"), F.lit(None).cast("timestamp").alias("review_due_at"), F.lit("").alias("notes"))
@@ -178,7 +217,9 @@ def set_toggles(spark, sf_dir):
     return seconds(out.select("source", "enabled", "decided_at"), "decided_at")
 
 
-@query("audit_runs", W + ", r AS (SELECT patch, count(*) AS total, count_if(game_duration_s >= 600) AS shown FROM m GROUP BY 1) SELECT patch, total AS cells_total, shown AS cells_published, total - shown AS cells_suppressed FROM r UNION ALL SELECT patch, 0, 0, 0 FROM r")
+@query("audit_runs", W + """, r AS (SELECT patch, count(*) AS total, count_if(game_duration_s >= 600) AS shown
+ FROM m GROUP BY 1) SELECT patch, total AS cells_total, shown AS cells_published, total - shown AS cells_suppressed
+ FROM r UNION ALL SELECT patch, 0, 0, 0 FROM r""")
 def audit_runs(spark, sf_dir):
     rows = matches(spark, sf_dir).groupBy("patch").agg(F.count("*").alias("cells_total"), F.count_if(F.col("game_duration_s") >= 600).alias("cells_published"))
     run = rows.withColumn("cells_suppressed", F.col("cells_total") - F.col("cells_published"))
@@ -186,13 +227,17 @@ def audit_runs(spark, sf_dir):
     return control.append_run(runs, run)
 
 
-@query("newest_version", W + ", v AS (SELECT DISTINCT split_part(game_version, '.', 2)::INT AS a, split_part(game_version, '.', 3)::INT AS b FROM m) SELECT '16.' || a || '.' || b AS version FROM v ORDER BY a DESC, b DESC LIMIT 1")
+@query("newest_version", W + """, v AS (SELECT DISTINCT split_part(game_version, '.', 2)::INT AS a, split_part(game_version,
+ '.', 3)::INT AS b FROM m) SELECT '16.' || a || '.' || b AS version FROM v
+ ORDER BY a DESC, b DESC LIMIT 1""")
 def newest_version(spark, sf_dir):
     rows = synth.base(spark, sf_dir).select(F.concat_ws(".", *(F.split_part("game_version", F.lit("."), F.lit(k)) for k in (1, 2, 3))).alias("version"))
     return archive.newest_version(rows)
 
 
-@query("static_dictionary", "SELECT p_partkey::INT AS id, regexp_replace(p_name, '[^A-Za-z0-9]', '', 'g') || p_partkey AS key, p_name AS name, lower(regexp_replace(p_name, '[^A-Za-z0-9]', '', 'g')) || p_partkey AS slug, p_partkey || '.png' AS icon FROM part")
+@query("static_dictionary", """SELECT p_partkey::INT AS id, regexp_replace(p_name, '[^A-Za-z0-9]', '', 'g') || p_partkey AS key,
+ p_name AS name, lower(regexp_replace(p_name, '[^A-Za-z0-9]', '', 'g')) || p_partkey AS slug, p_partkey || '.png' AS icon
+ FROM part""")
 def static_dictionary(spark, sf_dir):
     """Parts as champions, in documents of one entry each."""
     rows = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -202,7 +247,8 @@ def static_dictionary(spark, sf_dir):
     return archive.static_dictionary(docs, "champion")
 
 
-@query("static_items", "SELECT p_partkey::INT AS id, CAST(p_partkey AS VARCHAR) AS key, p_name AS name, CAST(p_partkey AS VARCHAR) AS slug, p_partkey || '.png' AS icon FROM part")
+@query("static_items", """SELECT p_partkey::INT AS id, CAST(p_partkey AS VARCHAR) AS key, p_name AS name,
+ CAST(p_partkey AS VARCHAR) AS slug, p_partkey || '.png' AS icon FROM part""")
 def static_items(spark, sf_dir):
     """Parts as items, which are known by the number that their entry stands under."""
     number = F.col("p_partkey").cast("string")
@@ -211,7 +257,10 @@ def static_items(spark, sf_dir):
     return archive.static_dictionary(docs, "item")
 
 
-@query("static_runes", "SELECT id, key, name, tree FROM (SELECT 8000 + 100 * n_regionkey::INT AS id, 'T' || n_regionkey AS key, min(n_name) AS name, 8000 + 100 * n_regionkey::INT AS tree FROM nation GROUP BY n_regionkey UNION ALL SELECT 9000 + n_nationkey::INT, 'R' || n_nationkey, n_name, 8000 + 100 * n_regionkey::INT FROM nation)")
+@query("static_runes", """SELECT id, key, name, tree FROM (SELECT 8000 + 100 * n_regionkey::INT AS id, 'T' || n_regionkey AS key,
+ min(n_name) AS name, 8000 + 100 * n_regionkey::INT AS tree FROM nation
+ GROUP BY n_regionkey UNION ALL SELECT 9000 + n_nationkey::INT, 'R' || n_nationkey, n_name, 8000 + 100 * n_regionkey::INT
+ FROM nation)""")
 def static_runes(spark, sf_dir):
     """Regions as trees, with their nations as runes."""
     rows = spark.read.parquet(f"{sf_dir}/nation.parquet")

@@ -18,7 +18,8 @@ from laneforge.streaming import archive as stream
 W = synth.sql_relations()
 
 
-@query("read_jsonl_payloads", W + f"SELECT (SELECT count(*) FROM m) + (SELECT count(*) FROM m WHERE {synth.COPY}) AS rows, (SELECT count(*) FROM m) AS matches")
+@query("read_jsonl_payloads", W + f"""SELECT (SELECT count(*) FROM m) + (SELECT count(*)
+ FROM m WHERE {synth.COPY}) AS rows, (SELECT count(*) FROM m) AS matches""")
 def read_jsonl_payloads(spark, sf_dir):
     """Payloads as lines of a text file, with empty lines between them."""
     path = shared.scratch(spark, "lines")
@@ -33,7 +34,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", day.alias("dt"), F.when(key % 2 == 0, "EUW").otherwise("NA").alias("region"))
 
 
-@query("read_ladder_pages", "SELECT DATE '2026-09-01' + CAST(c_custkey % 3 AS INT) AS dt, CASE WHEN c_custkey % 2 = 0 THEN 'EUW' ELSE 'NA' END AS region, count(DISTINCT c_custkey // 60) AS pages, count(*) AS entries FROM customer GROUP BY 1, 2")
+@query("read_ladder_pages", """SELECT DATE '2026-09-01' + CAST(c_custkey % 3 AS INT) AS dt, CASE WHEN c_custkey % 2 = 0 THEN 'EUW'
+ ELSE 'NA' END AS region, count(DISTINCT c_custkey // 60) AS pages, count(*) AS entries
+ FROM customer GROUP BY 1, 2""")
 def read_ladder_pages(spark, sf_dir):
     """Pages of up to ten entries, partitioned by date and region; pages of one date number themselves in 32 bits, others in 64."""
     root = shared.scratch(spark, "archive")
@@ -47,7 +50,8 @@ def read_ladder_pages(spark, sf_dir):
     return found.groupBy("dt", "region").agg(F.count_distinct("page").alias("pages"), F.sum(F.json_array_length("payload")).cast("bigint").alias("entries"))
 
 
-@query("read_accounts", "SELECT DATE '2026-09-01' + CAST(c_custkey % 3 AS INT) AS dt, count(*) AS accounts, count_if(c_custkey % 3 > 0) AS tagged FROM customer GROUP BY 1")
+@query("read_accounts", """SELECT DATE '2026-09-01' + CAST(c_custkey % 3 AS INT) AS dt, count(*) AS accounts,
+ count_if(c_custkey % 3 > 0) AS tagged FROM customer GROUP BY 1""")
 def read_accounts(spark, sf_dir):
     """Accounts by date; parts of the first date lack a column, which is null there."""
     root = shared.scratch(spark, "archive")
@@ -58,7 +62,8 @@ def read_accounts(spark, sf_dir):
     return archive.read_accounts(spark, root).groupBy("dt").agg(F.count("*").alias("accounts"), F.count("tag_line").alias("tagged"))
 
 
-@query("read_static_documents", "SELECT CASE WHEN p_partkey % 2 = 0 THEN 'champion' ELSE 'item' END AS kind, count(*) AS documents FROM part GROUP BY 1")
+@query("read_static_documents", """SELECT CASE WHEN p_partkey % 2 = 0 THEN 'champion' ELSE 'item' END AS kind,
+ count(*) AS documents FROM part GROUP BY 1""")
 def read_static_documents(spark, sf_dir):
     root = shared.scratch(spark, "archive")
     rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.when(F.col("p_partkey") % 2 == 0, "champion").otherwise("item").alias("kind"), F.lit("2026-09-01").cast("date").alias("dt"), F.to_json(F.struct("p_name")).alias("payload"))
@@ -66,8 +71,11 @@ def read_static_documents(spark, sf_dir):
     return archive.read_static_documents(spark, root).groupBy("kind").agg(F.count("*").alias("documents"))
 
 
-WRITTEN = f""", pr AS ({PAIRS}), t AS (SELECT 'match_index' AS table_name, count(*) AS rows FROM idx UNION ALL SELECT 'events', count(*) FROM e UNION ALL SELECT 'match_objectives', count(*) FROM ok
- UNION ALL SELECT 'participant_minutes', count(*) FROM f UNION ALL SELECT 'lane_matchups', count(*) FROM pr UNION ALL SELECT 'participant_early', 10 * count(*) FROM ok)"""
+WRITTEN = f""", pr AS ({PAIRS}), t AS (SELECT 'match_index' AS table_name, count(*) AS rows
+ FROM idx UNION ALL SELECT 'events', count(*) FROM e UNION ALL SELECT 'match_objectives', count(*)
+ FROM ok
+ UNION ALL SELECT 'participant_minutes', count(*) FROM f UNION ALL SELECT 'lane_matchups', count(*)
+ FROM pr UNION ALL SELECT 'participant_early', 10 * count(*) FROM ok)"""
 
 
 @query("write_features", W + WRITTEN + " SELECT table_name, rows, rows AS rows_read FROM t")
@@ -141,7 +149,9 @@ def told(spark: SparkSession, root: str, number: int | None = None) -> DataFrame
 COUNTED = "count(*) AS cells, count(DISTINCT champion_id) AS champions, (SELECT count(DISTINCT role) FROM mu) AS roles"
 
 
-@query("publish_partition", CELLS + f"SELECT '{PATCH}' AS patch, 'EUW' AS region, 420::INT AS queue, 'all' AS bracket, 2::INT AS built_at, {COUNTED} FROM cell UNION ALL SELECT '16.1', 'EUW', 420, 'all', 1, {COUNTED} FROM cell WHERE champion_id <= 10")
+@query("publish_partition", CELLS + f"""SELECT '{PATCH}' AS patch, 'EUW' AS region, 420::INT AS queue, 'all' AS bracket,
+ 2::INT AS built_at, {COUNTED} FROM cell UNION ALL SELECT '16.1', 'EUW', 420, 'all', 1, {COUNTED}
+ FROM cell WHERE champion_id <= 10""")
 def publish_partition(spark, sf_dir):
     """One partition published twice and another once: what the last manifest lists, with the documents that it names."""
     root, made = shared.scratch(spark, "published"), Parts(spark, sf_dir)
@@ -154,8 +164,11 @@ def publish_partition(spark, sf_dir):
 @query("republish", CELLS + f"""SELECT moment, {PATCH} AS patch, built_at, cells, champions FROM (
 SELECT 'before' AS moment, 1 AS built_at, count(*) AS cells, count(DISTINCT champion_id) AS champions FROM cell WHERE champion_id <= 10
 UNION ALL SELECT 'reader of before', 1, count(*), count(DISTINCT champion_id) FROM cell WHERE champion_id <= 10
-UNION ALL SELECT 'after', 2, count(*), count(DISTINCT champion_id) FROM cell UNION ALL SELECT 'after a failure', 2, count(*), count(DISTINCT champion_id) FROM cell
-UNION ALL SELECT 'from the tree', 2, count(*), count(DISTINCT champion_id) FROM cell)""".replace(f"{PATCH} AS patch", f"'{PATCH}' AS patch").replace("1 AS built_at", "1::INT AS built_at"))
+UNION ALL SELECT 'after', 2, count(*), count(DISTINCT champion_id) FROM cell
+ UNION ALL SELECT 'after a failure', 2, count(*), count(DISTINCT champion_id)
+ FROM cell
+UNION ALL SELECT 'from the tree', 2, count(*), count(DISTINCT champion_id)
+ FROM cell)""".replace(f"{PATCH} AS patch", f"'{PATCH}' AS patch").replace("1 AS built_at", "1::INT AS built_at"))
 def republish(spark, sf_dir):
     """A partition published anew, and once more by a build that fails midway, with what readers of old and new manifests find."""
     root, made = shared.scratch(spark, "published"), Parts(spark, sf_dir)
@@ -181,13 +194,17 @@ def republish(spark, sf_dir):
     return rows
 
 
-FAULTS = """SELECT '16.18' AS patch, 'tier_list' AS kind, role || ' ' || champion_id AS place, 'win_rate' AS problem FROM cell WHERE n >= 20 AND champion_id % 7 = 0
+FAULTS = """SELECT '16.18' AS patch, 'tier_list' AS kind, role || ' ' || champion_id AS place, 'win_rate' AS problem
+ FROM cell WHERE n >= 20 AND champion_id % 7 = 0
 UNION ALL SELECT '16.18', 'tier_list', role || ' ' || champion_id, 'floor' FROM cell WHERE n >= 20 AND n < 30
 UNION ALL SELECT '16.18', 'champions', role || ' ' || champion_id, 'floor' FROM cell WHERE n >= 20 AND n < 30
-UNION ALL SELECT '16.18', 'matchups', s.role || ' ' || s.champion_id || ' ' || opponent_id, 'axis' FROM mu s WHERE n >= 30 AND (s.champion_id = 3 OR opponent_id = 3)
+UNION ALL SELECT '16.18', 'matchups', s.role || ' ' || s.champion_id || ' ' || opponent_id, 'axis'
+ FROM mu s WHERE n >= 30 AND (s.champion_id = 3 OR opponent_id = 3)
 UNION ALL SELECT '16.18', 'matchups', s.role || ' ' || s.champion_id || ' ' || opponent_id, 'floor' FROM mu s WHERE n >= 20 AND n < 30
-UNION ALL SELECT '16.18', 'matchups', s.role || ' ' || s.champion_id || ' ' || opponent_id, 'axis' FROM mu s WHERE n >= 20 AND n < 30 AND (s.champion_id = 3 OR opponent_id = 3)
-UNION ALL SELECT '16.17', 'matchups', '', 'missing' UNION ALL SELECT '16.17', 'champions', '', 'broken' UNION ALL SELECT '16.16', 'tier_list', '', 'envelope_region'"""
+UNION ALL SELECT '16.18', 'matchups', s.role || ' ' || s.champion_id || ' ' || opponent_id, 'axis'
+ FROM mu s WHERE n >= 20 AND n < 30 AND (s.champion_id = 3 OR opponent_id = 3)
+UNION ALL SELECT '16.17', 'matchups', '', 'missing' UNION ALL SELECT '16.17', 'champions', '', 'broken'
+ UNION ALL SELECT '16.16', 'tier_list', '', 'envelope_region'"""
 
 
 @query("verify_tree", CELLS + FAULTS)
@@ -213,7 +230,8 @@ def verify_tree(spark, sf_dir):
     return publish.verify_tree(spark, root, 30).where("problem <> 'rate_order'").select("patch", "kind", "place", "problem")
 
 
-@query("merge_manifest", MANIFEST + " SELECT patch, region, CAST(queue AS INT) AS queue, bracket, CASE WHEN patch = '16.18' THEN 9 WHEN patch = '16.17' THEN 1 END::INT AS built_at FROM r")
+@query("merge_manifest", MANIFEST + """ SELECT patch, region, CAST(queue AS INT) AS queue, bracket, CASE WHEN patch = '16.18' THEN 9
+ WHEN patch = '16.17' THEN 1 END::INT AS built_at FROM r""")
 def merge_manifest(spark, sf_dir):
     """Listed partitions of one patch, those of all patches found in the tree, and a new build of another patch."""
     found = partitions(spark, sf_dir).select(*publish.PARTITION)
@@ -221,7 +239,8 @@ def merge_manifest(spark, sf_dir):
     return publish.merge_manifest(known, found, found.where("patch = '16.18'").withColumn("built_at", F.lit(9))).select(*publish.PARTITION, "built_at")
 
 
-@query("verify_latest", MANIFEST + " SELECT patch, region, CAST(queue AS INT) AS queue, bracket, 'older' AS problem FROM r WHERE patch <> (SELECT max(patch) FROM r)")
+@query("verify_latest", MANIFEST + """ SELECT patch, region, CAST(queue AS INT) AS queue, bracket, 'older' AS problem
+ FROM r WHERE patch <> (SELECT max(patch) FROM r)""")
 def verify_latest(spark, sf_dir):
     """Each partition named as latest in turn."""
     rows = partitions(spark, sf_dir)
@@ -229,7 +248,8 @@ def verify_latest(spark, sf_dir):
 
 
 @query("verify_envelope", MANIFEST + """, d AS (SELECT patch, region, CAST(queue AS INT) AS queue, bracket, first_day, last_day FROM r)
-SELECT patch, region, queue, bracket, problem FROM d, (VALUES ('region'), ('window')) v(problem) WHERE problem = 'region' AND queue = 440 AND region <> 'EUW1' OR problem = 'window' AND patch = '16.17' AND last_day < DATE '2026-12-31'""")
+SELECT patch, region, queue, bracket, problem FROM d, (VALUES ('region'), ('window')) v(problem)
+ WHERE problem = 'region' AND queue = 440 AND region <> 'EUW1' OR problem = 'window' AND patch = '16.17' AND last_day < DATE '2026-12-31'""")
 def verify_envelope(spark, sf_dir):
     """Documents of every partition, some with another region or a window turned round."""
     rows = partitions(spark, sf_dir)
@@ -238,7 +258,8 @@ def verify_envelope(spark, sf_dir):
     return gates.verify_envelope(rows.withColumn("envelope", F.struct("patch", region.alias("region"), "queue", "bracket", first.alias("first_day"), "last_day")))
 
 
-@query("provenance", "SELECT o_orderkey::BIGINT AS run_id, CASE WHEN o_orderkey % 5 = 0 THEN 'main' ELSE substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 12) END AS revision FROM orders WHERE o_orderkey % 5 = 0")
+@query("provenance", """SELECT o_orderkey::BIGINT AS run_id, CASE WHEN o_orderkey % 5 = 0 THEN 'main' ELSE substr(md5(CAST(o_orderkey AS VARCHAR)),
+ 1, 12) END AS revision FROM orders WHERE o_orderkey % 5 = 0""")
 def provenance(spark, sf_dir):
     """Runs of a table, some under a name that is no revision."""
     key = F.col("o_orderkey").cast("bigint")
@@ -246,7 +267,9 @@ def provenance(spark, sf_dir):
     return gates.provenance(spark.read.parquet(f"{sf_dir}/orders.parquet").select(key.alias("run_id"), revision.alias("revision")))
 
 
-@query("append_archive_parts", W + f", a AS (SELECT CAST(game_creation AS DATE) + 1 AS dt FROM m UNION ALL SELECT CAST(game_creation AS DATE) + 2 FROM m WHERE {synth.COPY}) SELECT dt, count(*) AS rows, count(*) AS intact FROM a GROUP BY 1")
+@query("append_archive_parts", W + f""", a AS (SELECT CAST(game_creation AS DATE) + 1 AS dt
+ FROM m UNION ALL SELECT CAST(game_creation AS DATE) + 2 FROM m WHERE {synth.COPY}) SELECT dt, count(*) AS rows,
+ count(*) AS intact FROM a GROUP BY 1""")
 def append_archive_parts(spark, sf_dir):
     """Two appends to a new archive, read back by date with every payload held against its hash."""
     root, rows = shared.scratch(spark, "archive"), synth.archived(spark, sf_dir, "summaries").drop("dt", "part", "part_row")
@@ -257,8 +280,10 @@ def append_archive_parts(spark, sf_dir):
     return back.groupBy("dt").agg(F.count("*").alias("rows"), F.count_if(F.col("payload_sha256") == F.sha2("payload", 256)).alias("intact"))
 
 
-STREAMED = W + f""", a AS (SELECT k, match_id, k % 5 AS g, k % 7 = 0 AS bare FROM m UNION ALL SELECT k, match_id, (k // 25) % 5, k % 7 = 0 FROM m WHERE {synth.COPY}),
-r AS (SELECT match_id, bare, count(*) AS n, count_if(g = 0) AS before, count_if(g BETWEEN 1 AND 3) AS live, count_if(g = 4) AS after FROM a GROUP BY 1, 2)
+STREAMED = W + f""", a AS (SELECT k, match_id, k % 5 AS g, k % 7 = 0 AS bare
+ FROM m UNION ALL SELECT k, match_id, (k // 25) % 5, k % 7 = 0 FROM m WHERE {synth.COPY}),
+r AS (SELECT match_id, bare, count(*) AS n, count_if(g = 0) AS before, count_if(g BETWEEN 1 AND 3) AS live,
+ count_if(g = 4) AS after FROM a GROUP BY 1, 2)
 SELECT CAST(sum(CASE WHEN bare THEN n ELSE before + after + CASE WHEN before = 0 AND live > 0 THEN 1 ELSE 0 END END) AS BIGINT) AS rows,
  count_if(NOT bare) AS matches, CAST(coalesce(sum(n) FILTER (bare), 0) AS BIGINT) AS without_id FROM r"""
 
