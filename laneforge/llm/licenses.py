@@ -107,6 +107,9 @@ FAMILIES = (
 # Families whose names are not licenses one can be licensed under; their identifiers are no SPDX ones.
 NO_LICENSE = {"public-domain", "proprietary", "copyright"}
 
+# Licenses whose identifier is a word of its own, so that it may start the sentence after "license".
+PLAIN_WORDS = {"ruby", "vim"}
+
 # How a text takes up a license, where ID is its identifier in words and NAME its name.
 FORMS = (
     ("SPDX license identifier ID", r"spdx license identifier ID(?: only| or later| plus)?", 1, 1.0),
@@ -280,15 +283,25 @@ SENTENCES = (
     ("proprietary", r"licensed materials property of", "licensed materials property", 0.8),
 )
 
+# Words that may stand after a short name and its bare number.
+AFTER = "only|or|and|licen[cs]e|licen[cs]ed|as|with|in|compatible|compliant|terms|copyright|see|code|software|library|project|by|is|which|that|this|the"
+
+
+def numbered(name: str, number: str) -> str:
+    """A short name with a version: marked as one, in full, joined to the name, or bare where no other noun follows that the number may count."""
+    later = "(?: only| or later)?"
+    return f"(?:{name}(?: ?v| ?v | ?version ){number}(?: 0)?{later}|{name} ?{number} 0{later}|{name}{number}{later}|{name} {number}(?: only| or later)|{name} {number}(?= (?:$|{AFTER})))"
+
+
 # Short names as texts write them, in words.
 SHORT = (
-    ("gpl-1.0", r"gpl ?v?(?: ?version )?1(?: 0)?(?: only| or later)?", "gpl"),
-    ("gpl-2.0", r"gpl ?v?(?: ?version )?2(?: 0)?(?: only| or later)?", "gpl"),
-    ("gpl-3.0", r"gpl ?v?(?: ?version )?3(?: 0)?(?: only| or later)?", "gpl"),
-    ("lgpl-2.0", r"lgpl ?v?(?: ?version )?2(?: 0)?(?: only| or later)?", "lgpl"),
+    ("gpl-1.0", numbered("gpl", "1"), "gpl"),
+    ("gpl-2.0", numbered("gpl", "2"), "gpl"),
+    ("gpl-3.0", numbered("gpl", "3"), "gpl"),
+    ("lgpl-2.0", numbered("lgpl", "2"), "lgpl"),
     ("lgpl-2.1", r"lgpl ?v?(?: ?version )?2 1(?: only| or later)?", "lgpl"),
-    ("lgpl-3.0", r"lgpl ?v?(?: ?version )?3(?: 0)?(?: only| or later)?", "lgpl"),
-    ("agpl-3.0", r"agpl ?v?(?: ?version )?3(?: 0)?(?: only| or later)?", "agpl"),
+    ("lgpl-3.0", numbered("lgpl", "3"), "lgpl"),
+    ("agpl-3.0", numbered("agpl", "3"), "agpl"),
     ("gfdl-1.3", r"gfdl ?v?(?: ?version )?1 3", "gfdl"),
     ("apache-2.0", r"(?:apache|asl) ?v?2 0", "apache|asl"),
     ("apache-1.1", r"(?:apache|asl) ?v?1 1", "apache|asl"),
@@ -313,13 +326,20 @@ SHORT = (
 )
 
 
+def either_spelling(name: str, keyword: str) -> tuple[str, str]:
+    """A license's name in both spellings of the word, and its keywords in each of them."""
+    keywords = [k.replace("license", spelling) for k in keyword.split("|") for spelling in (("license", "licence") if "license" in k else ("license",))]
+    return name.replace("licen[cs]e", "license").replace("license", "licen[cs]e"), "|".join(keywords)
+
+
 def rules() -> list[Rule]:
     """The ordered rules: the base's, then each form for each license it can occur with, sentences of licenses, and short names."""
     found = [Rule(label, phrase, phrase, 0, 0.5, True) for phrase, label in BASE]
     for label, name, keyword in FAMILIES:
+        name, keyword = either_spelling(name, keyword)
         identifier = " ".join(re.findall("[a-z0-9]+", label))
         for _, form, priority, weight in FORMS:
-            if label in NO_LICENSE and form != "NAME":
+            if label in NO_LICENSE and form != "NAME" or label in PLAIN_WORDS and form == "licen[cs]e ID":
                 continue
             pattern = form.replace("NAME", f"(?:{name})").replace("ID", identifier)
             found.append(Rule(label, pattern, "licen" if "ID" in form else keyword, priority, weight))
@@ -407,7 +427,7 @@ KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a struct ``license`` of counts, labels, score and detections."""
+    """The rows of ``docs`` with a struct ``license`` of counts, labels, score and detections, in place of a column of that name."""
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
