@@ -53,6 +53,8 @@ from laneforge.sources.shared import shared_dir
 END = b" end"
 #: Tokens that a task counts before it sends blocks, and bytes of text for each range of the model.
 BLOCK_TOKENS, RANGE_BYTES = 2_000_000, 16_000_000
+#: Keys of a range that are held as they came before equal ones are put together.
+MERGE_KEYS = 1 << 20
 #: Bits of the most ranges that blocks are dealt to at once, and of the most files of a kind.
 FAN_BITS, BUNDLE_BITS = 12, 10
 #: Words whose hashes a worker keeps between batches.
@@ -305,16 +307,26 @@ def by_bundle(frame: DataFrame, bits: int, bundle_bits: int) -> DataFrame:
 
 
 def ranges_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, dict[int, list]]]:
-    """Bundle, range and, by kind, the unpacked blocks of each range of a sorted partition."""
-    at, found = None, {}
+    """Bundle, range and, by kind, the unpacked blocks of each range of a sorted partition.
+
+    Blocks are put together as they come, so what is held of a range is some blocks' worth beside twice its distinct keys:
+    a pair that every text has comes with each block, and its range in one task.
+    """
+    at, found, held, limit = None, {}, {}, {}
     for batch in batches:
         for bundle, range_, kind, n, block in zip(*(c.to_pylist() for c in batch.columns)):
             if at is not None and at != (bundle, range_):
                 yield *at, found
-                found = {}
+                found, held, limit = {}, {}, {}
             at = (bundle, range_)
-            if kind >= 0:
-                found.setdefault(kind, []).append(unpack(block, n, kind))
+            if kind < 0:
+                continue
+            found.setdefault(kind, []).append(unpack(block, n, kind))
+            held[kind] = held.get(kind, 0) + n
+            if held[kind] > limit.get(kind, MERGE_KEYS):
+                found[kind] = [sums_of(found[kind], kind)]
+                held[kind] = len(found[kind][0][0])
+                limit[kind] = max(MERGE_KEYS, 2 * held[kind])
     if at is not None:
         yield *at, found
 

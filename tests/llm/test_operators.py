@@ -14,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -835,6 +836,33 @@ def test_license_rules():
         assert licenses.detections(norm) == brute_detections(norm)
 
 
+def test_blocks_of_a_hot_range_are_put_together_as_they_come(monkeypatch):
+    """A pair that half of all trigrams start with comes with every block; what is held doesn't grow with the blocks."""
+    monkeypatch.setattr(kneser_ney, "MERGE_KEYS", 1000)
+    rng, most = np.random.default_rng(4), []
+    kept = kneser_ney.sums_of
+    monkeypatch.setattr(kneser_ney, "sums_of", lambda parts, kind: (most.append(sum(len(p[0]) for p in parts)), kept(parts, kind))[1])
+    rows, total = [], 0
+    for _ in range(300):
+        last = np.unique(rng.integers(0, 700, 400)).astype(np.uint32)
+        rows += [(0, 5, r["kind"], r["n"], r["block"]) for b in kneser_ney.blocks(np.full(len(last), 5), kneser_ney.TRIGRAMS, np.full(len(last), 77, np.uint64), last, np.ones(len(last), np.uint32)) for r in b.to_pylist()]
+        total += len(last)
+    batch = pa.RecordBatch.from_pylist([dict(zip(("bundle", "range", "kind", "n", "block"), r)) for r in rows])
+    ((_, _, found),) = kneser_ney.ranges_of([batch])
+    contexts, last, n = kept(found[kneser_ney.TRIGRAMS], kneser_ney.TRIGRAMS)
+    assert int(n.sum()) == total and len(last) == 700 and set(contexts) == {77}
+    assert len(most) > 50 and max(most) < 2500
+
+
+def test_names_in_both_spellings_and_what_only_looks_like_one():
+    cases = {
+        "released under the MIT licence": "mit", "Licensed under the Apache Licence, Version 2.0": "apache-2.0", "boost software licence": "bsl-1.0", "I lost my driving license. Ruby is here": "", "gpl 2 years ago": "",
+        "we met GPL 2 people": "", "under GPL 2.": "gpl-2.0", "GPL 2 or later": "gpl-2.0", "GPL-2.0-only": "gpl-2.0", "GPL version 3": "gpl-3.0", "gpl2": "gpl-2.0", "LGPL 3": "lgpl-3.0", "the vim license": "vim",
+    }
+    for text, labels in cases.items():
+        assert licenses.summary(text.encode())[5] == labels, (text, licenses.summary(text.encode())[5])
+
+
 def test_license_texts_and_short_names_have_labels():
     cases = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the 'Software'), to deal in the Software": "mit",
