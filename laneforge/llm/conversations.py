@@ -336,3 +336,55 @@ def audits(rows: DataFrame) -> DataFrame:
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
+# ---- the same in SQL ---------------------------------------------------------------------
+
+
+def best(*options: str) -> str:
+    """The least of structs (c: cost, a: audit, r: repaired text), nulls left out."""
+    return f"list_sort(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))[1]"
+
+
+def after(state: str, cost: str, initial: str, piece: str | None = None, when: str = "true") -> str:
+    """A state after an edit that costs ``cost`` and adds a message ``piece``."""
+    text = f"{state}.r" if piece is None else f"coalesce({state}.r || chr(10), '') || {piece}"
+    return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{initial}', 'r': {text}}} END"
+
+
+def oracle() -> str:
+    """The rows of ``audits`` over damaged rows in DuckDB's SQL: from row to row the best way into each of the four states."""
+    ascii_bytes = "list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    fold = "CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    whole, own, extra = "fault NOT IN (1, 2)", "role || ':' || text", f"CASE WHEN fault = 3 THEN {TRUNCATED} ELSE 0 END"
+    keep = lambda state, initial: after(state, extra, "K", own, f"{whole} AND left(role, 1) = '{initial}'")
+    rerole = lambda state, name: after(state, f"{REROLE} + {extra}", "R", f"'{name}:' || text", whole)
+    dropped = [after(f"s{k}", str(DELETE), "D") for k in range(4)]
+    due_user = ("s0", "s1", "s3")
+    into = [
+        dropped[0], best(dropped[1], keep("s0", "s")), best(dropped[2], *(f(s, x) for s in due_user for f, x in ((keep, "u"), (rerole, "user")))),
+        best(dropped[3], keep("s2", "a"), rerole("s2", "assistant")),
+    ]
+    closed = f"n0 AS s0, n1 AS s1, {best('n2', *(after(s, str(INSERT), 'I', chr(39) + 'user:' + chr(39)) for s in ('n0', 'n1', 'n3')))} AS s2, n3"
+    opened = f"s0, s1, s2, {best('n3', after('s2', str(INSERT), 'I', chr(39) + 'assistant:' + chr(39)))} AS s3"
+    kind = "STRUCT(c BIGINT, a VARCHAR, r VARCHAR)"
+    strip = r"regexp_replace(text, '[\x20\x09-\x0D]+$', '')"
+    return f"""WITH RECURSIVE tbl AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, b: {fold}) AS c
+ FROM (SELECT unnest(range(256)) AS i))),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+ xor(list_reduce(list_prepend(4294967295, {ascii_bytes}), lambda a, b: xor(a >> 8, t[1 + xor(a, b) % 256])), 4294967295) % 20 AS kind FROM conversations, tbl),
+hit AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+ CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS again
+ FROM keyed WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), again) AS rn FROM hit),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) AS seen, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY rn) AS before, {strip} AS stripped FROM placed),
+marked AS (SELECT *, CASE WHEN stripped = '' THEN 1 WHEN seen > 1 THEN 2 WHEN right(stripped, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM ranked),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 1) AS blank, count_if(fault = 2) AS duplicate,
+ count_if(fault = 3) AS truncated, count_if(before IS NOT NULL AND before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY 1),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+st AS (SELECT conv_id, CAST(0 AS BIGINT) AS rn, CAST({{'c': 0, 'a': '', 'r': NULL}} AS {kind}) AS s0, CAST(NULL AS {kind}) AS s1,
+ CAST({{'c': {INSERT}, 'a': 'I', 'r': 'user:'}} AS {kind}) AS s2, CAST({{'c': {2 * INSERT}, 'a': 'II', 'r': 'user:' || chr(10) || 'assistant:'}} AS {kind}) AS s3 FROM ids
+UNION ALL SELECT conv_id, rn, {opened} FROM (SELECT conv_id, rn, {closed} FROM (
+ SELECT st.conv_id, m.rn, {', '.join(f'CAST({x} AS {kind}) AS n{k}' for k, x in enumerate(into))} FROM st JOIN marked m ON m.conv_id IS NOT DISTINCT FROM st.conv_id AND m.rn = st.rn + 1))),
+ends AS (SELECT conv_id, {best('s0', 's3')} AS e FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY rn DESC) AS last FROM st) WHERE last = 1)
+SELECT ends.conv_id, {', '.join(f'CAST(coalesce({c}, 0) AS BIGINT) AS {c}' for c in ('gaps', 'blank', 'duplicate', 'truncated', 'illegal'))}, e.c AS cost, e.a AS audit, sha256(coalesce(e.r, '')) AS repaired_sha256 FROM ends LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ends.conv_id"""

@@ -78,4 +78,4 @@ QUERIES = {
 }
 
 #: The others are beyond SQL; tests hold them against brute force.
-ORACLES = {"op3_secret_scans": secrets.oracle(), "op6_quality_rules": quality.oracle()}
+ORACLES = {"op3_secret_scans": secrets.oracle(), "op6_quality_rules": quality.oracle(), "op11_conversation_repair": conversations.oracle()}
