@@ -240,8 +240,8 @@ def apart_still(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFr
     """``node``, ``root`` of texts that share a key with a text of another component."""
     named = nodes.join(roots, "node", "left").select("tag", "node", F.coalesce("root", "node").alias("root"))
     rows = shared.select("key", "tag").join(named.select("tag", F.xxhash64("root").alias("r")), "tag")
-    mixed_keys = rows.groupBy("key").agg(F.min("r").alias("least"), F.max("r").alias("most")).where("least < most").select("key")
-    tags = rows.join(mixed_keys, "key", "left_semi").select("tag").distinct()
+    by_key = Window.partitionBy("key")
+    tags = rows.select("tag", (F.min("r").over(by_key) < F.max("r").over(by_key)).alias("apart")).where("apart").select("tag").distinct()
     return saved(named.join(tags, "tag", "left_semi").select("node", "root"))
 
 
