@@ -1,7 +1,7 @@
 """Line-first quality rules in built-in functions.
 
-Each line with a word is held against punctuation, navigation and boilerplate rules; lines that
-fail are taken out of the text, and a document that loses too much of its text is rejected, as
+Each line with a word is held against punctuation, navigation and boilerplate rules: symbols, menus in one line or with an entry a
+line, addresses, and phrases of sites in four languages. Lines that fail are taken out of the text, and a document that loses too much of its text is rejected, as
 is one that is too short or repeats itself too much.
 
 Defined cases: a null or blank text has no words and is rejected for its length. Lines without a
@@ -21,11 +21,24 @@ SYMBOL = r"[#*$%&|<>]"
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
 #: Characters that part the entries of a menu when they stand alone.
 SEPARATOR = r"(?:\A|[\x20\x09-\x0D])[|>/\x{BB}\x{203A}\x{B7}\x{2022}](?:[\x20\x09-\x0D]|\z)"
-BOILERPLATE = (
-    r"(?i)all rights reserved|cookies? policy|uses? cookies|privacy policy|terms of (?:use|service)|"
-    r"(?:enable|requires?) javascript|click here|sign up (?:now|today|for)|subscribe (?:now|to)|"
-    r"share (?:this|on)|lorem ipsum|powered by|skip to (?:main )?content|back to top"
-)
+# Phrases of sites rather than of texts, by language; each stands at the start of a word.
+PHRASES = {
+    "en": r"all rights reserved|cookies? policy|uses? cookies|privacy policy|terms of (?:use|service)|(?:enable|requires?) javascript|click here|sign up (?:now|today|for)|"
+    r"subscribe (?:now|to)|share (?:this|on)|lorem ipsum|powered by|skip to (?:main )?content|back to top",
+    "fr": r"tous droits r[éÉ]serv[éÉ]s|politique de (?:confidentialit[éÉ]|cookies)|conditions d['’]utilisation|mentions l[éÉ]gales|utilise des cookies|activer javascript|cliquez ici|"
+    r"inscrivez[- ]vous|abonnez[- ]vous|partager (?:cet article|sur)|propuls[éÉ] par|aller au contenu|retour en haut",
+    "de": r"alle rechte vorbehalten|datenschutzerkl[äÄ]rung|nutzungsbedingungen|impressum|verwendet cookies|cookie[- ]richtlinie|javascript aktivieren|(?:hier klicken|klicken sie hier)|"
+    r"jetzt (?:anmelden|abonnieren|registrieren)|newsletter abonnieren|teilen auf|zum inhalt springen|zum seitenanfang",
+    "es": r"todos los derechos reservados|pol[íÍ]tica de (?:privacidad|cookies)|t[éÉ]rminos (?:de uso|y condiciones)|aviso legal|utiliza(?:mos)? cookies|habilit[ae]r? javascript|ha[gz]a? clic aqu[íÍ]|"
+    r"reg[íÍ]strate|suscr[íÍ]bete|compartir (?:en|este)|saltar al contenido|volver arriba",
+}
+BOILERPLATE = r"(?i)(?:\A|[\x20\x09-\x0D(])(?:" + "|".join(PHRASES.values()) + ")"
+#: An address of the web, as the start of a word.
+ADDRESS = r"(?i)(?:\A|[\x20\x09-\x0D(<])(?:https?://|www\.)"
+#: What ends a sentence or leads on to the next line.
+END = r"[.!?…:;,。！？][\x20\x09-\x0D\x22'”»)\]]*\z"
+#: A line of so few words without such an end is an entry; a menu has this many of them one after the other.
+ENTRY_WORDS, MENU_ENTRIES = 3, 4
 MIN_WORDS = 50
 #: Percent of the words that may stand in repeated windows.
 MAX_REPEATED = 50
@@ -47,13 +60,39 @@ def word_chars(text: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """True where a line is symbols rather than prose, a menu, or boilerplate."""
+    """True where a line is symbols rather than prose, a menu in one line, addresses, or boilerplate."""
     words = n_words(line)
     noisy = (words >= PUNCTUATION_WORDS) & (2 * F.regexp_count(line, F.lit(PUNCTUATION)) > words)
     separators = F.regexp_count(line, F.lit(SEPARATOR))
     menu = (separators >= 3) & (4 * separators >= words)
+    links = (words <= BOILERPLATE_WORDS) & (2 * F.regexp_count(line, F.lit(ADDRESS)) >= words)
     boilerplate = (words <= BOILERPLATE_WORDS) & line.rlike(BOILERPLATE)
-    return noisy | menu | boilerplate
+    return noisy | menu | links | boilerplate
+
+
+def is_entry(line: Column) -> Column:
+    """True for a few words that no mark ends."""
+    return (n_words(line) <= ENTRY_WORDS) & ~line.rlike(END)
+
+
+def in_menu(entries: Column, i: Column) -> Column:
+    """True where a line is one of ``MENU_ENTRIES`` or more entries in a row: one of the stretches of that many around it is all entries."""
+    at = lambda k: F.coalesce(F.get(entries, i + k), F.lit(False))
+    out = F.lit(False)
+    for first in range(1 - MENU_ENTRIES, 1):
+        whole = F.lit(True)
+        for k in range(first, first + MENU_ENTRIES):
+            whole = whole & at(k)
+        out = out | whole
+    return out
+
+
+def good_lines(lines: Column) -> Column:
+    """The lines that neither fail by themselves nor are entries of a menu."""
+    alone = F.filter(lines, lambda x: ~line_fails(x))
+    some = F.size(F.filter(lines, is_entry)) >= MENU_ENTRIES  # most texts have few entries or none
+    both = bind_array(F.transform(lines, is_entry), lambda e: F.filter(lines, lambda x, i: ~line_fails(x) & ~in_menu(e, i)))
+    return F.when(some, both).otherwise(alone)
 
 
 def repeated_words(words: Column) -> Column:
@@ -97,6 +136,11 @@ def bind(value: Column, use, when: Column | None = None) -> Column:
     return out if when is None else F.when(when, out).otherwise(F.lit(0).cast("long"))
 
 
+def bind_array(value: Column, use) -> Column:
+    """``use(value)``, an array, with ``value`` computed once for a row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def once(docs: DataFrame, name: str, **values: Column) -> DataFrame:
     """``docs`` with a struct ``name`` of the values, which no later filter or projection computes again."""
     return docs.withColumn(name, F.explode(F.array(F.struct(*(v.alias(k) for k, v in values.items())))))
@@ -111,7 +155,7 @@ def judged(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
         step, name,
         n_words=F.size(q("words")).cast("long"), word_chars=F.length(F.array_join(q("words"), "")).cast("long"), n_repeat_words=bind(q("words"), repeated_words),
         n_symbols=F.regexp_count(q("body"), F.lit(SYMBOL)).cast("long"), n_dup_lines=(F.size(q("lines")) - F.size(F.array_distinct(q("lines")))).cast("long"),
-        kept_lines=F.filter(q("lines"), lambda x: ~line_fails(x)), n_lines=F.size(q("lines")),
+        kept_lines=good_lines(q("lines")), n_lines=F.size(q("lines")),
     )
     n, chars, repeated = q("n_words"), q("word_chars"), q("n_repeat_words")
     kept_text = F.array_join(q("kept_lines"), "\n")
@@ -147,15 +191,18 @@ def oracle() -> str:
     words = count("x", WORD)
     fails = (
         f"(({words} >= {PUNCTUATION_WORDS} AND 2 * {count('x', PUNCTUATION)} > {words}) OR ({count('x', SEPARATOR)} >= 3 AND 4 * {count('x', SEPARATOR)} >= {words})"
-        f" OR ({words} <= {BOILERPLATE_WORDS} AND regexp_matches(x, {quote(BOILERPLATE)})))"
+        f" OR ({words} <= {BOILERPLATE_WORDS} AND (2 * {count('x', ADDRESS)} >= {words} OR regexp_matches(x, {quote(BOILERPLATE)}))))"
     )
+    entry = f"({words} <= {ENTRY_WORDS} AND NOT regexp_matches(x, {quote(END)}))"
+    at = lambda k: f"(i + {k} >= 1 AND coalesce(es[i + {k}], false))"
+    menu = " OR ".join("(" + " AND ".join(at(k) for k in range(first, first + MENU_ENTRIES)) + ")" for first in range(1 - MENU_ENTRIES, 1))
     chars = lambda value: f"len(regexp_replace({value}, '[\\x20\\x09-\\x0D]+', '', 'g'))"
     return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, doc_id, t, regexp_extract_all(t, {quote(WORD)}) AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {quote(WORD)})) AS ls FROM d),
 win AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
 rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1),
 cov AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM rep) GROUP BY 1),
-k AS (SELECT r, doc_id, t, len(ws) AS n_words, {chars('t')} AS word_chars, {count('t', SYMBOL)} AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines, list_filter(ls, lambda x: NOT {fails}) AS good FROM w),
+k AS (SELECT r, doc_id, t, len(ws) AS n_words, {chars('t')} AS word_chars, {count('t', SYMBOL)} AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines, list_filter(ls, lambda x, i: NOT {fails} AND NOT ({menu})) AS good FROM (SELECT *, list_transform(ls, lambda x: {entry}) AS es FROM w)),
 v AS (SELECT k.*, coalesce(cov.n, 0) AS n_repeat_words, word_chars - {chars("array_to_string(good, chr(10))")} AS lost_chars FROM k LEFT JOIN cov USING (r)),
 z AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words AS base_failed FROM v)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 100 * lost_chars <= {MAX_LOST} * word_chars AS kept, n_lines - len(good) AS n_failed_lines, lost_chars FROM z"""
