@@ -23,14 +23,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from laneforge.llm.common import addressed, saved, unused
+from laneforge.sources.shared import stored
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 #: Fingerprints that share a variant and are still joined with each other.
 HOT = 1000
+#: Bits that are turned in all fingerprints before their star keys are hashed, by round.
+SALTS = (0, 0x5555555555555555, 0x3333333333333333)
 #: Hashes whose bits are added up at once.
 AT_ONCE = 1 << 15
 
@@ -105,17 +108,26 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
     return cold.unionByName(star_links(crowded)).distinct()
 
 
-def star_links(fps: DataFrame) -> DataFrame:
+def star_links(fps: DataFrame, salt: int = 0) -> DataFrame:
     """Links from each fingerprint to the smallest of every star key that it has with others.
 
     Keys are hashes, so a stranger may share one by chance: links are verified, and those whom the
-    smallest doesn't suit link to the largest.
+    smallest doesn't suit link to the largest. Where neither suits, all members of the key meet again under other hashes, those
+    of the fingerprints with some bits turned in all; that a stranger shares a key each of ``SALTS`` times is past all chance.
     """
-    named = spread(fps).select("fp", F.explode(star_keys(F.col("fp"))).alias("key"))
+    turned = F.col("fp").bitwiseXOR(F.lit(SALTS[salt]))
+    named = spread(fps).select("fp", F.explode(star_keys(turned)).alias("key"))
     ends = named.groupBy("key").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least < most")
     fp, least, most = F.col("fp"), F.col("least"), F.col("most")
-    other = F.when(near(least, fp), least).when(near(most, fp), most).otherwise(fp)
-    return named.join(ends, "key").select(F.least(other, fp).alias("a"), F.greatest(other, fp).alias("b")).where("a < b").distinct()
+    other = F.when(near(least, fp), least).when(near(most, fp), most)
+    met, seen = named.join(ends, "key").withColumn("other", other), Observation()
+    sure = met.observe(seen, F.count_if(F.col("other").isNull()).alias("strangers")).where("other IS NOT NULL")
+    found = stored(sure.select(F.least("other", "fp").alias("a"), F.greatest("other", "fp").alias("b")).where("a < b").distinct(), "stars")
+    if not seen.get["strangers"] or salt + 1 == len(SALTS):
+        return found
+    crossed = met.where("other IS NULL").select("key").distinct()
+    again = stored(named.join(crossed, "key", "left_semi").select("fp").distinct(), "crossed")
+    return found.unionByName(star_links(again, salt + 1)).distinct()
 
 
 def ball(part: Column, bits: int) -> Column:

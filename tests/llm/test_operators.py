@@ -891,3 +891,38 @@ def test_written_rules_find_their_sentences():
 
 def test_each_sentence_holds_its_keyword():
     assert all(keyword in pattern for _, pattern, keyword, _ in licenses.SENTENCES)
+
+
+@pytest.mark.parametrize(("line", "fails"), [
+    ("Tous droits réservés.", True), ("Cliquez ici pour la suite", True), ("POLÍTICA DE PRIVACIDAD", True), ("Todos los derechos reservados 2020", True), ("Alle Rechte vorbehalten", True),
+    ("Unsere Datenschutzerklärung gilt.", True), ("Jetzt anmelden und lesen", True), ("Privacy Policy | Contact", True), ("https://a.example/x www.b.example", True), ("see https://a.example/x for the whole of the story as it was told", False),
+    ("Das Impressum der Burg ist grau und alt, sagt er, denn seit vielen langen Jahren hat dort niemand mehr gewohnt, und auch heute kommt kaum noch jemand bei uns vorbei.", False),
+    ("Les droits de tous sont réservés.", False), ("the pool is shared on Sundays", False), ("Home > Docs > API > v2", True), ("La política es larga.", False),
+])
+def test_lines_of_sites_in_four_languages(spark, line, fails):
+    assert spark.createDataFrame([(line,)], "x string").select(quality.line_fails(F.col("x"))).first()[0] is fails
+
+
+def test_menus_of_one_entry_a_line(spark):
+    """Four entries in a row go; fewer stay, and so do short lines that a mark ends."""
+    menu, short = ["Home", "About us", "Contact", "Log in"], ["He came.", "He saw.", "He left,", "Yes!"]
+    cases = {tuple(menu): [], tuple(menu[:3]): menu[:3], tuple(short): short, (*menu[:2], "A line of prose that goes on for a while.", *menu[2:]): [*menu[:2], "A line of prose that goes on for a while.", *menu[2:]],
+             ("Title", "A first line of the text.", *menu, "More", "Its last line."): ["Title", "A first line of the text.", "Its last line."]}
+    rows = spark.createDataFrame([(list(k),) for k in cases], "lines array<string>")
+    assert [r[0] for r in rows.select(quality.good_lines(F.col("lines"))).collect()] == list(cases.values())
+
+
+def test_strangers_under_one_key_cut_no_link(spark, monkeypatch):
+    """All fingerprints share one key, as if their hashes met by chance: those near neither end meet again under other hashes."""
+    real, calls = simhash.star_keys, []
+    monkeypatch.setattr(simhash, "star_keys", lambda fp: real(fp) if calls else (calls.append(1), F.array(F.lit(7).cast("long")))[1])
+    middle = 1 << 40
+    fps = [0, (1 << 63) - 1, middle, middle ^ 1, middle ^ 6, middle ^ (0b1111 << 20)]
+    found = {tuple(r) for r in simhash.star_links(spark.createDataFrame([(f,) for f in fps], "fp long")).collect()}
+    near = {(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3}
+    assert found <= near
+    names = {f: f for f in fps}
+    for _ in fps:
+        for a, b in found:
+            names[a] = names[b] = min(names[a], names[b])
+    assert len({names[f] for f in fps[2:5]}) == 1 and len({*names.values()}) == 4
