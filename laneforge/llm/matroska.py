@@ -158,7 +158,10 @@ def unsigned(data: bytes, at: int, end: int) -> int:
 
 
 def block_frames(data: bytes, at: int, end: int) -> tuple[int, int, int, list[tuple[int, int]]]:
-    """Track, relative timestamp, flags, and start and end of each frame of a block."""
+    """Track, relative timestamp, flags, and start and end of each frame of a block.
+
+    Laced frames follow each other by the track's default duration; without one they all have the block's timestamp.
+    """
     track, at, _ = varint(data, at)
     since, flags = struct.unpack_from(">hB", data, at)
     at, kind = at + 3, flags >> 1 & 3
@@ -267,7 +270,7 @@ PACKETS_AT_ONCE = 20_000
 
 
 def store(docs: DataFrame, payload, media: str = "media") -> DataFrame:
-    """``docs`` with the Matroska file of a binary column in ``media``."""
+    """``docs`` with the Matroska file of a binary column in ``media``, in place of a column of that name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

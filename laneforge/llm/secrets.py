@@ -192,7 +192,7 @@ def listed(told: DataFrame, keys: list[str], rules: tuple[Rule, ...], text: str,
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", is_table: bool = False) -> DataFrame:
-    """The rows of ``docs`` without their text, with ``found``: structs of start, rule and end, in order."""
+    """The rows of ``docs`` without their text, with ``found``, in place of a column of that name: structs of start, rule and end, in order."""
     told, keys = addressed(docs, is_table)
     names = [c for c in docs.columns if c not in (text, "found")]
     none = F.array().cast("array<struct<start:bigint,rule:int,end:bigint>>")

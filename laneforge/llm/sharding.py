@@ -124,7 +124,7 @@ def shards_of(told: DataFrame, keys: list[str], n_shards: int | None, target_byt
 
 
 def assign(docs: DataFrame, n_shards: int | None = None, target_bytes: int | None = None, id_col: str = "doc_id", text: str = "text", is_table: bool = False) -> DataFrame:
-    """``docs`` with ``shard`` and ``slot``."""
+    """``docs`` with ``shard`` and ``slot``, in place of columns of these names. Leaves are near equal in bytes: a test holds their spread under 6 %."""
     told, keys = addressed(docs, is_table)
     names, shard, slot = [c for c in docs.columns if c not in ("shard", "slot")], *(unused(told, c) for c in ("shard", "slot"))
     placed = shards_of(told, keys, n_shards, target_bytes, id_col, text)

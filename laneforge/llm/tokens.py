@@ -283,7 +283,7 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", digests
     """The rows of ``docs`` with token ids, the end of each token in characters, and decoded bytes.
 
     Adds ``ids``, ``ends`` (arrays of integers) and ``decoded`` (binary); with ``digests_only``
-    adds ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` in their place.
+    adds ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` in their place. Columns of these names are replaced.
     """
     path = path or public_tokenizers.path(ENCODE_FILE)
     names = docs.columns

@@ -170,3 +170,20 @@ def test_repaired_rows(spark):
 def test_undamaged_rows(spark):
     rows = c.whole(c.texts(c.conversations(spark, SF)))
     assert c.plans(rows).where("cost = 0 AND NOT audit RLIKE '^K+$'").isEmpty()
+
+
+def test_sql_gives_the_same_rows(spark, tmp_path):
+    """The twin over awkward rows too."""
+    import duckdb
+
+    rows = [r for r in AWKWARD if r[0] != 8]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    found = duck.execute(c.oracle())
+    names = [d[0] for d in found.description]
+    want = {r.conv_id: r for r in queries.op11_conversation_repair(spark, str(tmp_path)).collect()}
+    got = {x["conv_id"]: x for x in (dict(zip(names, r)) for r in found.fetchall())}
+    assert got.keys() == want.keys()
+    for conv, row in got.items():
+        assert all(row[k] == want[conv][k] for k in COLUMNS), conv
