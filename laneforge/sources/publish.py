@@ -32,10 +32,6 @@ def write_tallies(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def in_partition(df: DataFrame, patch: str, region: str, queue: int, bracket: str = "all") -> DataFrame:
-    return df.withColumns({"patch": F.lit(patch), "region": F.lit(region), "queue": F.lit(queue), "bracket": F.lit(bracket)})
-
-
 # ---- published documents -----------------------------------------------------------------
 #
 # builds/<build>/<kind>     the documents of one build of one partition, never changed
