@@ -55,7 +55,11 @@ TASK_ROWS = 2_000_000
 #: Shingles whose bits are added up at once.
 AT_ONCE = 1 << 11
 
+#: Longs of the parities of a set: its shingles are dealt to this many times 64 bits, of which each tells whether it got an odd number.
+PARITY_LONGS = 16
+
 PARTS = [f"f{k}" for k in range(LONGS)]
+PARITIES = [f"odd{k}" for k in range(PARITY_LONGS)]
 SALTS = (np.arange(1, LONGS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(1, -1)
 
 
@@ -147,6 +151,23 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.select("node", F.col("text").cast("binary").alias("text")).mapInArrow(run, "node binary, found array<long>")
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """Whether each bit got an odd number of the shingles. Two sets' parities differ in no more bits than the sets in shingles."""
+    many = np.bincount((found.view(np.uint64) % np.uint64(64 * PARITY_LONGS)).astype(np.int64), minlength=64 * PARITY_LONGS)
+    return np.packbits((many & 1).astype(np.uint8)).view(np.int64)
+
+
+def parity_of(sets: DataFrame) -> DataFrame:
+    """Of ``sets`` (node, found): ``node`` and the parities of what was found."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            odd = np.array([parities(found.values.to_numpy()) for found in batch.column(1)], np.int64).reshape(-1, PARITY_LONGS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(odd[:, k].copy()) for k in range(PARITY_LONGS))], names=["node", *PARITIES])
+
+    return sets.select("node", "found").mapInArrow(run, "node binary, " + ", ".join(f"{p} long" for p in PARITIES))
+
+
 def segment(part: Column, s: int) -> Column:
     """Of the long that holds the ``s``-th segment, that segment."""
     return F.shiftrightunsigned(part, 32) if s % 2 else part.bitwiseAND(F.lit(0xFFFFFFFF))
@@ -208,7 +229,11 @@ def close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def apart(p: str, q: str) -> Column:
     """The number of bits that two fingerprints differ in."""
-    return sum((F.bit_count(F.col(f"{p}.{f}").bitwiseXOR(F.col(f"{q}.{f}"))) for f in PARTS), F.lit(0))
+    return differing(p, q, PARTS)
+
+
+def differing(p: str, q: str, fields: list[str]) -> Column:
+    return sum((F.bit_count(F.col(f"{p}.{f}").bitwiseXOR(F.col(f"{q}.{f}"))) for f in fields), F.lit(0))
 
 
 def may_link(p: str, q: str) -> Column:
@@ -250,7 +275,8 @@ def by_rare_shingles(sets: DataFrame, roots: DataFrame) -> DataFrame:
 
     As similar as a link asks, the smaller set has 2 t / (1 + t) of its shingles in common with the other, and the larger a share of t. So in any
     one order of all shingles they meet in those beyond these shares of each, and where they meet first, enough have to follow in both. The
-    order is by rarity: a text with so many shingles of its own meets nobody.
+    order is by rarity: a text with so many shingles of its own meets nobody. Those that meet are told apart by their parities, which bound what
+    the sets have in common from above, so most of a crowd just below a link never become pairs.
     """
     size = F.size("found")
     beyond = lambda part, whole: (size - F.ceil(size * part / whole) + 1).cast("int")
@@ -266,14 +292,18 @@ def by_rare_shingles(sets: DataFrame, roots: DataFrame) -> DataFrame:
     main = F.max_by("root", F.struct("size", "root")).over(by_shingle)
     several = rare.withColumns({"main": main, "least": F.min("root").over(by_shingle), "most": F.max("root").over(by_shingle)}).where("least < most")
     kept = ["shingle", "node", "n", "rank", (F.col("rank") <= F.col("as_smaller")).alias("early"), "root"]
-    rare = saved(several.select(*kept, (F.col("root") == F.col("main")).alias("in_main")))
-    few = rare.where("NOT in_main").select("shingle", F.struct("node", "n", "rank", "early", "root").alias("p"))
-    others = rare.select("shingle", F.struct("node", "n", "rank", "early", "root").alias("q"), "in_main")
+    rare = several.select(*kept, (F.col("root") == F.col("main")).alias("in_main"))
+    rare = saved(rare.join(parity_of(sets), "node"))
+    told = ["node", "n", "rank", "early", "root", *PARITIES]
+    few = rare.where("NOT in_main").select("shingle", F.struct(*told).alias("p"))
+    others = rare.select("shingle", F.struct(*told).alias("q"), "in_main")
     smaller_early = F.when(F.col("p.n") < F.col("q.n"), F.col("p.early")).when(F.col("p.n") > F.col("q.n"), F.col("q.early")).otherwise(F.col("p.early") & F.col("q.early"))
     common = 1 + F.least(F.col("p.n") - F.col("p.rank"), F.col("q.n") - F.col("q.rank"))
     enough = common * (100 + SIMILARITY) >= (F.col("p.n") + F.col("q.n")) * SIMILARITY
     once = F.col("in_main") | (F.col("p.node") < F.col("q.node"))
-    pairs = few.join(others, "shingle").where((F.col("p.root") != F.col("q.root")) & smaller_early & enough & once)
+    total = F.col("p.n") + F.col("q.n")
+    may_be = (total - differing("p", "q", PARITIES)) * (100 + SIMILARITY) >= 2 * SIMILARITY * total
+    pairs = few.join(others, "shingle").where((F.col("p.root") != F.col("q.root")) & smaller_early & enough & once & may_be)
     return pairs.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
 
 

@@ -150,3 +150,18 @@ def test_rare_shingles_lose_no_pair(spark):
     want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if i % 40 != j % 40 and similar_(sets[i], sets[j])}
     assert want and want <= got
     assert {(r.a[0], r.b[0]) for r in near_copies.linked(pairs, frame).collect()} == want
+
+
+def test_a_crowd_below_a_link_makes_few_pairs(spark):
+    """Sixty sets that share rare shingles with nearly all others, but are too unlike to link; of one there is a near copy."""
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 1 << 63, 210, np.int64).astype(np.uint64)
+    crowd = [np.concatenate([pool[:90], rng.choice(pool[90:], 40, replace=False)]) for _ in range(60)]
+    crowd.append(np.concatenate([crowd[7][:-5], rng.integers(0, 1 << 63, 5, np.int64).astype(np.uint64)]))
+    sets = spark.createDataFrame([(bytes([k]), sorted(s.view(np.int64).tolist())) for k, s in enumerate(crowd)], "node binary, found array<long>")
+    roots = sets.select("node", F.col("node").alias("root"))
+    pairs = {(bytes(r.a)[0], bytes(r.b)[0]) for r in near_copies.by_rare_shingles(sets, roots).collect()}
+    assert (7, 60) in pairs and len(pairs) < 20
+    for a, b in ((a, b) for a in range(61) for b in range(a)):
+        differ = np.bitwise_count((near_copies.parities(crowd[a]) ^ near_copies.parities(crowd[b])).view(np.uint64)).sum()
+        assert differ <= len(np.setxor1d(crowd[a], crowd[b]))
