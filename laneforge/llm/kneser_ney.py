@@ -57,8 +57,8 @@ BLOCK_TOKENS, RANGE_BYTES = 2_000_000, 16_000_000
 MERGE_KEYS = 1 << 20
 #: Bits of the most ranges that blocks are dealt to at once, and of the most files of a kind.
 FAN_BITS, BUNDLE_BITS = 12, 10
-#: Words whose hashes a worker keeps between batches.
-KEEP_WORDS = 200_000
+#: Bytes of texts whose words are told apart at once; a longer text is split by itself.
+PIECE_BYTES = 1 << 19
 #: Stand in keys for the start of a text, for words that training lacks, and for "no word follows".
 BEGIN, OTHER, NOTHING = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFE), np.uint32(0xFFFFFFFF)
 START = BEGIN << np.uint64(32) | BEGIN
@@ -91,32 +91,127 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
-class Hashes(dict):
-    """Words to hashes, kept up to a number of words."""
+SPACES = np.isin(np.arange(256), [32, *range(9, 14)])
+BYTES = np.random.default_rng(64).integers(1, 1 << 63, 256, np.int64).astype(np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > KEEP_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+
+@lru_cache(maxsize=1)
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """An odd number's powers modulo 2^64, and those of what undoes it."""
+    return tuple(np.concatenate([[np.uint64(1)], np.full(2 * PIECE_BYTES, x).cumprod(dtype=np.uint64)]) for x in (MIX, UNMIX))
+
+
+def hashes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens of some texts, one after the other, and how many each has.
+
+    Words are told apart by a polynomial of their bytes, so that each distinct one is hashed once; that words of one polynomial are the same
+    is then checked by byte.
+    """
+    joined = b"\n".join(texts).lower()
+    if len(joined) > 2 * PIECE_BYTES:
+        words = [w for t in texts for w in tokens(t)]
+        return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64), np.array([len(tokens(t)) for t in texts])
+    data = np.frombuffer(joined, np.uint8)
+    edges = np.diff(np.concatenate([[0], ~SPACES[data], [0]]).astype(np.int8))
+    start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    upto = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
+    own = np.full(len(start) + len(texts), xxhash.xxh64_intdigest(END), np.uint64)
+    lengths = np.diff(upto, prepend=0) + 1
+    at = np.ones(len(own), bool)
+    at[np.cumsum(lengths) - 1] = False
+    up, down = powers()
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[data] * up[: len(data)], dtype=np.uint64)])
+    alike, back, first = distinct((sums[end] - sums[start]) * down[start], True)
+    size, place = end - start, start[first]
+    shift = np.repeat(place[back] - start, size)
+    body = ragged(start, end)
+    if (size == size[first][back]).all() and (data[body] == data[body + shift]).all():
+        found = [xxhash.xxh64_intdigest(joined[a:b]) for a, b in zip(place.tolist(), end[first].tolist())]
+        own[at] = np.array(found, np.uint64)[back]
+    else:
+        own[at] = [xxhash.xxh64_intdigest(joined[a:b]) for a, b in zip(start.tolist(), end.tolist())]
+    return own, lengths
 
 
 def runs_of(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
     """Hashes of the tokens of whole texts, lengths of the texts, and what else their rows hold, up to about ``most`` tokens at a time."""
-    known, hashes, lengths, rows, n = Hashes(), [], [], [], 0
+    hashes, lengths, rows, n = [], [], [], 0
+    piece, size, limit = [], 0, min(PIECE_BYTES, 2 * most)
     for batch in batches:
         others = batch.drop_columns(["_text"]).to_pylist() if batch.num_columns > 1 else [None] * len(batch)
         for text, other in zip(batch.column("_text").to_pylist(), others, strict=True):
-            words = tokens(text or b"")
-            hashes.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-            lengths.append(len(words))
+            piece.append(text or b"")
             rows.append(other)
-            n += len(words)
+            size += len(piece[-1]) + 1
+            if size >= limit:
+                own, many = hashes_of(piece)
+                hashes.append(own)
+                lengths.append(many)
+                n += len(own)
+                piece, size = [], 0
             if n >= most:
-                yield np.concatenate(hashes), np.array(lengths), rows
+                yield np.concatenate(hashes), np.concatenate(lengths), rows
                 hashes, lengths, rows, n = [], [], [], 0
     if rows:
-        yield np.concatenate(hashes), np.array(lengths), rows
+        if piece:
+            own, many = hashes_of(piece)
+            hashes.append(own)
+            lengths.append(many)
+        yield np.concatenate(hashes), np.concatenate(lengths), rows
+
+
+# ---- order -------------------------------------------------------------------------------
+
+
+def order_of(*keys: np.ndarray) -> np.ndarray:
+    """The order of unsigned numbers, by the first key, then the second; equal ones stay as they come.
+
+    Each number is sorted with its place in the lower bits, which is several times as quick as an indirect sort; what
+    doesn't fit 64 bits with its place goes by halves.
+    """
+    if len(keys) > 1:
+        order = order_of(*keys[1:])
+        return order[order_of(keys[0][order])]
+    (values,) = keys
+    bits = np.uint64(len(values).bit_length())
+    if not len(values):
+        return np.empty(0, np.int64)
+    if bits > 32:
+        return np.argsort(values, kind="stable")
+    if int(values.max()).bit_length() + int(bits) > 64:
+        return order_of(values >> np.uint64(32), values & LOW)
+    packed = values.astype(np.uint64) << bits | np.arange(len(values), dtype=np.uint64)
+    packed.sort()
+    return (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+
+
+def distinct(hashes: np.ndarray, with_first: bool = False) -> tuple[np.ndarray, ...]:
+    """The distinct values of spread numbers in order, and for each number which of these it is (and, if asked for, where each first stands)."""
+    bits = np.uint64(len(hashes).bit_length())
+    # by the upper bits, which are nearly always enough
+    packed = hashes >> bits << bits | np.arange(len(hashes), dtype=np.uint64)
+    packed.sort()
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    values = hashes[order]
+    if (values[1:] < values[:-1]).any():
+        order = order_of(hashes)
+        values = hashes[order]
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    back = np.empty(len(values), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return (values[new], back, order[new]) if with_first else (values[new], back)
+
+
+def distinct_numbers(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for numbers of words, -1 or more."""
+    order = order_of((numbers + 1).astype(np.uint64))
+    values = numbers[order]
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    back = np.empty(len(values), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return values[new], back
 
 
 # ---- files -------------------------------------------------------------------------------
@@ -254,7 +349,7 @@ def added(keys: list[np.ndarray], counts: np.ndarray) -> list[np.ndarray]:
     """Counts of equal keys (of one array or more) added up, in order of keys."""
     if not len(counts):
         return [*keys, counts]
-    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    order = order_of(*keys)
     keys, counts = [k[order] for k in keys], counts[order]
     new = np.ones(len(counts), bool)
     new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
@@ -384,10 +479,10 @@ def contexts_of(pairs: np.ndarray, lengths: np.ndarray, start) -> np.ndarray:
 
 def numbered(hashes: np.ndarray, sizes: Sizes) -> np.ndarray:
     """The number of each word, -1 for those that training lacks."""
-    distinct, back = np.unique(hashes, return_inverse=True)
-    out, bundle = np.full(len(distinct), UNKNOWN), top(distinct, sizes.bundle_bits)
+    words, back = distinct(hashes)
+    out, bundle = np.full(len(words), UNKNOWN), top(words, sizes.bundle_bits)
     for b, at in groups_of(bundle):
-        place = found_in(mapped(f"{sizes.path}/word-{b}", "u8"), distinct[at])
+        place = found_in(mapped(f"{sizes.path}/word-{b}", "u8"), words[at])
         out[at] = np.where(place < 0, UNKNOWN, place + sizes.starts[b])
     return out[back]
 
@@ -610,9 +705,9 @@ def probabilities(hashes: np.ndarray, lengths: np.ndarray, sizes: Sizes, d: Disc
     """The model's probability of each token, and the token's count in training."""
     numbers = numbered(hashes, sizes)
     keys = keys_of(numbers, lengths)
-    unique, back = np.unique(np.append(keys, START), return_inverse=True)
+    mixed, back = distinct(np.append(keys, START) * MIX)  # in the order of the model's arrays
     back, start = back[:-1], back[-1]
-    mixed = unique * MIX
+    unique = mixed * UNMIX
     bundle, place, n = top(mixed, sizes.bundle_bits), np.full(len(unique), UNKNOWN), np.zeros(len(unique), np.int64)
     for b, at in groups_of(bundle):
         found = found_in(mapped(f"{sizes.path}/pair-{b}", "u8"), mixed[at])
@@ -621,11 +716,11 @@ def probabilities(hashes: np.ndarray, lengths: np.ndarray, sizes: Sizes, d: Disc
     last = (unique & LOW).astype(np.int64)
     last[last >= int(OTHER)] = UNKNOWN
     # the lower order: after how many words each word stands
-    number, of = np.unique(last, return_inverse=True)
+    number, of = distinct_numbers(last)
     follow = of_words("follow", number, sizes)[:, 0]
     low = (np.maximum(follow - step(follow, d.low), 0) / max(1, d.pairs) + d.low_share / (sizes.words + 1))[of]
     before = (unique >> np.uint64(32)).astype(np.int64)
-    number, of = np.unique(before, return_inverse=True)
+    number, of = distinct_numbers(before)
     context = of_words("context", np.where(number >= int(OTHER), UNKNOWN, number), sizes, 4)
     context[number == int(BEGIN)] = d.begin
     context = context[of].astype(float)
@@ -633,14 +728,14 @@ def probabilities(hashes: np.ndarray, lengths: np.ndarray, sizes: Sizes, d: Disc
     p = np.where(total > 0, (np.maximum(n - step(n, d.high), 0) + left * low) / np.maximum(total, 1), low)[back]
     if sizes.order == 3:
         p = third(bundle, place, contexts_of(back, lengths, start), keys.astype(np.uint32), p, sizes, d)
-    number, of = np.unique(numbers, return_inverse=True)
+    number, of = distinct_numbers(numbers)
     return p, of_words("word.n", number, sizes)[of, 0]
 
 
 def third(bundle: np.ndarray, place: np.ndarray, context: np.ndarray, last: np.ndarray, low: np.ndarray, sizes: Sizes, d: Discounts) -> np.ndarray:
     """The probability of each token after its context, one of the pairs placed, where ``low`` is that after one word."""
     p = low.copy()
-    by_context = np.argsort(context, kind="stable")
+    by_context = order_of(context)
     firsts = np.concatenate([[0], np.cumsum(np.bincount(context, minlength=len(place)))])
     for b, at in groups_of(bundle):
         at = at[place[at] >= 0]
