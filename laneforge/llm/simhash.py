@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from laneforge.llm.common import addressed, saved, unused
+from laneforge.llm.common import addressed, saved, shuffled, unused
 from laneforge.sources.shared import stored
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
@@ -99,7 +99,7 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
     """Pairs ``a < b`` that connect exactly the fingerprints that links connect."""
     keyed = variants(fps)
     sizes = keyed.groupBy("key").count().where("count > 1")
-    shared = saved(keyed.join(sizes, "key"))
+    shared = saved(keyed.join(shuffled(sizes), "key"))
     pairs = shared.where(F.col("count") <= hot).select("key", F.col("fp").alias("a"))
     other = shared.where(F.col("count") <= hot).select("key", F.col("fp").alias("b"))
     a, b = F.col("a"), F.col("b")
@@ -120,13 +120,13 @@ def star_links(fps: DataFrame, salt: int = 0) -> DataFrame:
     ends = named.groupBy("key").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least < most")
     fp, least, most = F.col("fp"), F.col("least"), F.col("most")
     other = F.when(near(least, fp), least).when(near(most, fp), most)
-    met, seen = named.join(ends, "key").withColumn("other", other), Observation()
+    met, seen = named.join(shuffled(ends), "key").withColumn("other", other), Observation()
     sure = met.observe(seen, F.count_if(F.col("other").isNull()).alias("strangers")).where("other IS NOT NULL")
     found = stored(sure.select(F.least("other", "fp").alias("a"), F.greatest("other", "fp").alias("b")).where("a < b").distinct(), "stars")
     if not seen.get["strangers"] or salt + 1 == len(SALTS):
         return found
     crossed = met.where("other IS NULL").select("key").distinct()
-    again = stored(named.join(crossed, "key", "left_semi").select("fp").distinct(), "crossed")
+    again = stored(named.join(shuffled(crossed), "key", "left_semi").select("fp").distinct(), "crossed")
     return found.unionByName(star_links(again, salt + 1)).distinct()
 
 
