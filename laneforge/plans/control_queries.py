@@ -9,7 +9,7 @@ from laneforge.operators import control, gates
 from laneforge.operators.extract import participant_ids
 from laneforge.plans import synth
 from laneforge.plans.catalog import ORACLES, query
-from laneforge.sources import archive, publish, shared
+from laneforge.sources import archive, publish, schemas, shared
 from laneforge.sources.snapshots import Snapshot
 from laneforge.streaming.archive import staleness
 
@@ -202,9 +202,11 @@ def seed_frontier(spark, sf_dir):
 @query("widen_frontier", W + f""" SELECT 'p' || CAST({synth.H} % 5000 AS VARCHAR) AS puuid, max(game_creation_ms // 1000 + 86400) AS last_seen_at,
  200::INT AS priority FROM p WHERE k % 3 = 0 GROUP BY 1""")
 def widen_frontier(spark, sf_dir):
-    seen = archive.first_archived(archive.envelope(archive.parse_summaries(synth.archived(spark, sf_dir, "summaries"))))
-    fetched = matches(spark, sf_dir).where("k % 3 = 0").select("match_id", "region", "fetched_at")
-    out = control.widened(participant_ids(seen).join(fetched, "match_id"))
+    """The players of new matches; of each summary that was fetched the names alone are parsed, once, and only these are sorted."""
+    told = archive.envelope(archive.parse_summaries(synth.archived(spark, sf_dir, "fetched"), schemas.NAMED, once=True))
+    seen = archive.first_of_each(participant_ids(told, "part", "part_row"))
+    fetched = matches(spark, sf_dir).where(synth.NEW).select("match_id", "region", "fetched_at")
+    out = control.widened(seen.join(fetched, "match_id"))
     return seconds(out.select("puuid", "last_seen_at", "priority"), "last_seen_at")
 
 

@@ -190,3 +190,17 @@ def test_picks_need_no_minutes(spark):
     want = timeline.checkpoint_picks(d.minutes)
     assert picks.columns == want.columns and dict(picks.dtypes) == dict(want.dtypes) and picks.count() > 0
     assert picks.exceptAll(want).isEmpty() and want.exceptAll(picks).isEmpty()
+
+
+def test_players_of_new_matches_are_parsed_once(spark):
+    """The names alone, of the fetched summaries alone; of a match's copies those of the first, without a join that takes the others out."""
+    made = registry.QUERIES["widen_frontier"](spark, SF)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and "perks" not in plan and re.findall(r"\bJoin (\w+)", plan) == ["Inner"]
+    fetched = synth.archived(spark, SF, "fetched")
+    want = synth.archived(spark, SF, "summaries").where("cast(substring(match_id, 6) as bigint) % 3 = 0")
+    one = lambda rows: rows.select("match_id", "payload", "dt")
+    assert not fetched.isEmpty() and one(fetched).exceptAll(one(want)).isEmpty() and one(want).exceptAll(one(fetched)).isEmpty()
+    rows = spark.createDataFrame([("a", "q", 1, 1), ("a", "p", 9, 2), ("a", "p", 10, 3), (None, "p", 1, 4), (None, "p", 2, 5), ("b", "r", 1, 6)], "match_id string, part string, part_row long, x int")
+    assert {r.x for r in archive.first_of_each(rows).collect()} == {2, 6}
+    assert {r.x for r in archive.first_archived(rows).collect()} == {2, 4, 5, 6}
